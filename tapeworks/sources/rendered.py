@@ -1,0 +1,151 @@
+"""Exchange-format text rendered from the driver's tables.
+
+The driver offers only its own tables, so tick text and report text are
+*rendered* from them deterministically, then parsed back by the real
+operators; an independent SQL engine computes the expected values straight
+from the original columns.  Rendering is a source like any other: it yields
+the same ``(feed, file_date, source_row, line)`` lines DataFrame a text or
+archive scan yields, with physical line numbers.
+
+Fault injection is keyed on ids and calendar days so every validation rule
+fires on some files and the precedence between rules is exercised.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .. import contract as C
+from ..operators.sequence import sequence_within
+
+# --- Fixed rendering rules (mirrored by the oracle SQL) ---
+DERIV_EVENT_TYPES = ("purchase", "error")
+BLANK_BEFORE_MOD, BLANK_BEFORE_REM = 101, 50
+BAD_TIME_MOD = 97
+ANON_BUYER_MOD = 89
+# (feed, day of month) -> which fault the file carries.
+FAULT_DAYS = {
+    ("RV", 5): "header",
+    ("RV", 9): "field_count+price",
+    ("DERIV", 11): "price",
+    ("RV", 13): "quantity_range",
+    ("DERIV", 15): "reference_date",
+    ("RV", 17): "trade_date+quantity_pattern",
+    ("DERIV", 19): "update_action_range",
+    ("RV", 21): "session_type_pattern",
+    ("DERIV", 23): "channel_type_pattern",
+    ("RV", 25): "trade_id_pattern",
+    ("DERIV", 27): "update_action_pattern",
+}
+
+
+def _fault(feed: str, day: int):
+    return (F.col("feed") == F.lit(feed)) & (F.col("_day") == F.lit(day))
+
+
+def _next_business_day(d):
+    wd = F.weekday(d)  # 0 = Monday
+    return F.date_add(d, F.when(wd == 4, 3).when(wd == 5, 2).otherwise(1))
+
+
+def _previous_business_day(d):
+    wd = F.weekday(d)
+    return F.date_sub(d, F.when(wd == 0, 3).when(wd == 6, 2).otherwise(1))
+
+
+def tick_fields(events: DataFrame) -> DataFrame:
+    """One row per event with the 12 source fields as text (before faults)."""
+    e = events.select("event_id", "ts", "user_id", "event_type", "value")
+    feed = F.when(F.col("event_type").isin(*DERIV_EVENT_TYPES), "DERIV").otherwise("RV")
+    e = e.withColumn("feed", feed).withColumn("file_date", F.to_date("ts"))
+    e = e.withColumn("_day", F.dayofmonth("file_date")).withColumn("_hour", F.hour("ts"))
+    ref = F.date_format("file_date", "yyyy-MM-dd")
+    session = (F.when((F.col("feed") == "DERIV") & (F.col("_hour") >= 16)
+                      & (F.col("event_type") == "purchase"), _next_business_day(F.col("file_date")))
+                .when((F.col("feed") == "DERIV") & (F.col("_hour") < 3),
+                      _previous_business_day(F.col("file_date")))
+                .otherwise(F.col("file_date")))
+    t = F.date_format("ts", "HHmmssSSS")
+    k = (F.col("event_id") / BAD_TIME_MOD).cast("bigint") % 6
+    bad_time = (F.when(k == 0, F.lit("")).when(k == 1, F.lit("25000000"))
+                  .when(k == 2, F.lit("250000000")).when(k == 3, F.lit("106000000"))
+                  .when(k == 4, F.lit("09O000000")).otherwise(F.concat(t, F.lit("0"))))
+    time_raw = F.when(F.col("event_id") % BAD_TIME_MOD == 0, bad_time).otherwise(t)
+    return e.select(
+        "event_id", "ts", "feed", "file_date", "_day",
+        ref.alias("f_ref"),
+        F.concat(F.upper("event_type"), (F.col("user_id") % 5).cast("string")).alias("f_symbol"),
+        F.when(F.col("event_id") % 13 == 0, "2").otherwise("0").alias("f_action"),
+        F.replace(F.format_string("%.2f", "value"), F.lit("."), F.lit(",")).alias("f_price"),
+        ((F.col("event_id") * 7) % 1000 + 1).cast("string").alias("f_qty"),
+        time_raw.alias("f_time"),
+        F.col("event_id").cast("string").alias("f_trade_id"),
+        F.when(F.col("_hour") >= 17, "6").otherwise("1").alias("f_session"),
+        F.date_format(session, "yyyy-MM-dd").alias("f_trade_date"),
+        F.when(F.col("event_id") % ANON_BUYER_MOD == 0, "")
+         .otherwise(F.col("user_id").cast("string")).alias("f_buyer"),
+        (F.col("user_id") % 13).cast("string").alias("f_seller"),
+        F.when(F.col("feed") == "DERIV", "1").otherwise("2").alias("f_channel"),
+    )
+
+
+def _apply_faults(f: DataFrame) -> DataFrame:
+    eid = F.col("event_id")
+    f = f.withColumn("f_price", F.when(_fault("RV", 9) & (eid % 7 == 0), "1,2,3")
+                     .when(_fault("DERIV", 11) & (eid % 5 == 0), "1,2,3")
+                     .otherwise(F.col("f_price")))
+    f = f.withColumn("f_qty", F.when(_fault("RV", 13) & (eid % 3 == 1), "4294967296")
+                     .when(_fault("RV", 17) & (eid % 11 == 0), "abc")
+                     .otherwise(F.col("f_qty")))
+    f = f.withColumn("f_ref", F.when(_fault("DERIV", 15) & (eid % 40 == 3),
+                                     F.date_format(F.date_sub("file_date", 1), "yyyy-MM-dd"))
+                     .otherwise(F.col("f_ref")))
+    f = f.withColumn("f_trade_date", F.when(_fault("RV", 17) & (eid % 9 == 2), "2024-02-30")
+                     .otherwise(F.col("f_trade_date")))
+    f = f.withColumn("f_action", F.when(_fault("DERIV", 19) & (eid % 6 == 1), "256")
+                     .when(_fault("DERIV", 27) & (eid % 4 == 2), "0001")
+                     .otherwise(F.col("f_action")))
+    f = f.withColumn("f_session", F.when(_fault("RV", 21) & (eid % 8 == 5), "")
+                     .otherwise(F.col("f_session")))
+    f = f.withColumn("f_channel", F.when(_fault("DERIV", 23) & (eid % 10 == 4), "1a")
+                     .otherwise(F.col("f_channel")))
+    f = f.withColumn("f_trade_id", F.when(_fault("RV", 25) & (eid % 12 == 0), "-1")
+                     .otherwise(F.col("f_trade_id")))
+    return f
+
+
+def _header_for(feed_col, day_col):
+    bad = F.replace(F.lit(C.EXPECTED_HEADER), F.lit(";TipoDoCanal"), F.lit(";Canal"))
+    return F.when((feed_col == "RV") & (day_col == 5), bad).otherwise(F.lit(C.EXPECTED_HEADER))
+
+
+def tick_lines_from_events(events: DataFrame) -> DataFrame:
+    """Render ``events`` as one tick TXT per (feed, calendar day).
+
+    Returns ``(feed, file_date, source_row, line)``: header on line 1, one
+    line per event in (ts, event_id) order, a blank line before some events.
+    """
+    f = _apply_faults(tick_fields(events))
+    line = F.concat_ws(C.FIELD_SEPARATOR, *[F.col(c) for c in (
+        "f_ref", "f_symbol", "f_action", "f_price", "f_qty", "f_time", "f_trade_id",
+        "f_session", "f_trade_date", "f_buyer", "f_seller", "f_channel")])
+    line = F.when(_fault("RV", 9) & (F.col("event_id") % 50 == 7),
+                  F.concat(line, F.lit(";X"))).otherwise(line)
+    # Each event yields its line, preceded by a blank line for some ids.
+    parts = F.when(F.col("event_id") % BLANK_BEFORE_MOD == BLANK_BEFORE_REM,
+                   F.array(F.struct(F.lit(0).alias("sub"), F.lit("").alias("line")),
+                           F.struct(F.lit(1).alias("sub"), line.alias("line")))
+                   ).otherwise(F.array(F.struct(F.lit(1).alias("sub"), line.alias("line"))))
+    body = (f.select("feed", "file_date", "ts", "event_id", F.explode(parts).alias("p"))
+              .select("feed", "file_date", F.lit(1).alias("kind"), "ts", "event_id",
+                      F.col("p.sub").alias("sub"), F.col("p.line").alias("line")))
+    headers = (f.select("feed", "file_date", "_day").distinct()
+                 .select("feed", "file_date", F.lit(0).alias("kind"),
+                         F.lit(None).cast("timestamp_ntz").alias("ts"),
+                         F.lit(None).cast("bigint").alias("event_id"),
+                         F.lit(0).alias("sub"),
+                         _header_for(F.col("feed"), F.col("_day")).alias("line")))
+    numbered = sequence_within(body.unionByName(headers), ["feed", "file_date"],
+                               ["kind", "ts", "event_id", "sub"], out="source_row")
+    return numbered.select("feed", "file_date", "source_row", "line")
