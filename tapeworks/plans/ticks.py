@@ -101,3 +101,57 @@ def read_ticks(spark: SparkSession, root: str, feed: str, dates) -> DataFrame:
     df = spark.read.option("basePath", f"{root}/ticks").parquet(f"{root}/ticks")
     df = df.where((F.col("feed") == feed) & F.col("file_date").isin(*wanted))
     return df.select(*C.CONTRACT_COLUMNS)
+
+
+# --- Archive and text entry points ---
+
+def merge_archive_problems(verdicts: DataFrame, problems: DataFrame) -> DataFrame:
+    """Archive-level problems (no/multiple TXT, unreadable ZIP) win over line rules."""
+    p = problems.select("feed", "file_date", F.col("rule").alias("_arule"),
+                        F.col("candidates").alias("_cands"))
+    v = verdicts.join(p, validate.FILE_KEYS, "left")
+    bad = F.col("_arule").isNotNull()
+    return v.select(
+        "feed", "file_date",
+        F.when(bad, "REJECTED").otherwise(F.col("status")).alias("status"),
+        F.when(bad, F.col("_arule")).otherwise(F.col("rule")).alias("rule"),
+        F.when(bad, "archive").otherwise(F.col("source_column")).alias("source_column"),
+        F.when(bad, F.lit(1).cast("bigint")).otherwise(F.col("invalid_count")).alias("invalid_count"),
+        F.when(bad, F.lit(None).cast("int")).otherwise(F.col("first_line")).alias("first_line"),
+        F.when(bad, F.col("_cands")).otherwise(F.col("first_value")).alias("first_value"),
+        "data_lines", "blank_lines",
+        F.when(bad, F.format_string("archive: %s [%s]", F.col("_arule"), F.col("_cands")))
+         .otherwise(F.col("message")).alias("message"),
+    )
+
+
+def process_archives(spark: SparkSession, location: str, build_id: str | None = None,
+                     collector_version: str = "0") -> TickBatch:
+    """Validate and convert every tick archive under ``location``.
+
+    The archive scan is persisted (memory and disk) because three branches
+    read it; losing it only means re-reading the durable archives.
+    """
+    from pyspark import StorageLevel
+
+    from ..sources import archives
+    scan = archives.scan_archives(spark, location).persist(StorageLevel.MEMORY_AND_DISK)
+    problems = archives.archive_problems(scan)
+    lines = archives.archive_lines(scan)
+    verdicts = validate.file_verdicts(lines, problems.select("feed", "file_date"))
+    verdicts = merge_archive_problems(verdicts, problems)
+    ticks = convert.typed_ticks(validate.accepted_lines(lines, verdicts))
+    facts = provenance.tick_facts(ticks)
+    prov = provenance.provenance_rows(facts, verdicts, problems, collector_version, build_id)
+    return TickBatch(verdicts, ticks, prov)
+
+
+def process_text(spark: SparkSession, paths, build_id: str | None = None) -> TickBatch:
+    """Validate and convert unzipped tick TXT files (splittable, numbered in parallel)."""
+    from ..sources.text import tick_lines_from_text
+    lines = tick_lines_from_text(spark, paths)
+    sources = lines.where(F.col("source_row") == 1).select(
+        "feed", "file_date", F.lit(None).cast("string").alias("source_zip_name"),
+        F.lit(None).cast("string").alias("source_zip_sha256"),
+        F.regexp_extract("path", r"([^/]+)$", 1).alias("source_txt_name"))
+    return process_lines(lines.drop("path"), sources=sources, build_id=build_id)
