@@ -15,7 +15,11 @@ from pyspark.sql import functions as F
 
 from ..operators import convert, provenance, sessions, validate
 from ..sources.rendered import tick_lines_from_events
+from ..operators.layouts import is_perpetual
+from ..sources.rendered import btb_lines_from_lineitem, equities_lines_from_part
+from . import oracle_reports as OR
 from . import oracle_ticks as OT
+from .reports import parse_layout
 from .ticks import process_lines, rebuild_report
 
 
@@ -80,6 +84,38 @@ def q_tick_bars(spark, sf_dir):
                        "open", "high", "low", "close", "volume", "n_trades")
 
 
+def _btb(spark, sf_dir):
+    return parse_layout(btb_lines_from_lineitem(_table(spark, sf_dir, "lineitem")), "BTBLoanBalance")
+
+
+def _equities(spark, sf_dir):
+    return parse_layout(equities_lines_from_part(_table(spark, sf_dir, "part")), "InstrumentsEquities")
+
+
+def q_report_btb_rows(spark, sf_dir):
+    return _btb(spark, sf_dir)[0]
+
+
+def q_report_btb_verdicts(spark, sf_dir):
+    return _btb(spark, sf_dir)[1]
+
+
+def q_report_equities_rows(spark, sf_dir):
+    return _equities(spark, sf_dir)[0]
+
+
+def q_report_equities_verdicts(spark, sf_dir):
+    return _equities(spark, sf_dir)[1]
+
+
+def q_report_equities_perpetual(spark, sf_dir):
+    rows = _equities(spark, sf_dir)[0]
+    return rows.groupBy("report_date").agg(
+        F.count(F.lit(1)).alias("n_instruments"),
+        F.count_if(is_perpetual("expiration_date")).alias("n_perpetual"),
+        F.count_if(F.col("expiration_date").isNull()).alias("n_no_expiration"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tick_verdicts": q_tick_verdicts,
     "ticks_typed": q_ticks_typed,
@@ -90,6 +126,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tick_code_counts": q_tick_code_counts,
     "tick_sessions": q_tick_sessions,
     "tick_bars": q_tick_bars,
+    "report_btb_rows": q_report_btb_rows,
+    "report_btb_verdicts": q_report_btb_verdicts,
+    "report_equities_rows": q_report_equities_rows,
+    "report_equities_verdicts": q_report_equities_verdicts,
+    "report_equities_perpetual": q_report_equities_perpetual,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -102,4 +143,9 @@ ORACLE_SQL: dict[str, str] = {
     "tick_code_counts": OT.TICK_CODE_COUNTS,
     "tick_sessions": OT.TICK_SESSIONS,
     "tick_bars": OT.TICK_BARS,
+    "report_btb_rows": OR.BTB_ROWS,
+    "report_btb_verdicts": OR.BTB_VERDICTS,
+    "report_equities_rows": OR.EQ_ROWS,
+    "report_equities_verdicts": OR.EQ_VERDICTS,
+    "report_equities_perpetual": OR.EQ_PERPETUAL,
 }

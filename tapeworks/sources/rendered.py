@@ -149,3 +149,120 @@ def tick_lines_from_events(events: DataFrame) -> DataFrame:
     numbered = sequence_within(body.unionByName(headers), ["feed", "file_date"],
                                ["kind", "ts", "event_id", "sub"], out="source_row")
     return numbered.select("feed", "file_date", "source_row", "line")
+
+
+# --- Report text rendered from driver tables ---
+
+def _comma2(c):
+    return F.replace(F.format_string("%.2f", c), F.lit("."), F.lit(","))
+
+
+def _report_file(rows, preamble: list[str], footer: list[str], order_cols: list[str]):
+    """Number a report file: preamble, data rows in ``order_cols`` order, footer.
+
+    ``rows`` has ``report_date`` and ``line``.  Returns
+    ``(report_date, line_no, line)``.
+    """
+    dates = rows.select("report_date").distinct()
+    fixed = F.array(*[F.struct(F.lit(0).alias("kind"), F.lit(i).alias("sub"), F.lit(t).alias("line"))
+                      for i, t in enumerate(preamble)],
+                    *[F.struct(F.lit(2).alias("kind"), F.lit(i).alias("sub"), F.lit(t).alias("line"))
+                      for i, t in enumerate(footer)])
+    body = rows.select("report_date", F.lit(1).alias("kind"), *order_cols,
+                       F.lit(0).alias("sub"), "line")
+    # a handful of fixed lines per file, exploded from a literal (no join)
+    frame = dates.select("report_date", F.inline(fixed)).select(
+        "report_date", "kind", *[F.lit(None).cast(body.schema[c].dataType).alias(c)
+                                 for c in order_cols], "sub", "line")
+    numbered = sequence_within(body.unionByName(frame), ["report_date"],
+                               ["kind", *order_cols, "sub"], out="line_no")
+    return numbered.select("report_date", "line_no", "line")
+
+
+# Fixed rendering rules for the lending report (mirrored by the oracle SQL).
+BTB_PREAMBLE = ["Empréstimos registrados - posição em aberto por ativo", "Glossário: consulte o site",
+                "", ";;;;;;;;Taxa doador;;;Taxa tomador;;",
+                "Data;IF;ISIN;Empresa;Mercado;Contratos;Quantidade;Valor;Mín;Méd;Máx;Mín;Méd;Máx"]
+
+
+# row order inside a file; (orderkey, linenumber) alone repeats in the tables
+BTB_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+
+
+def btb_fields(lineitem: DataFrame) -> DataFrame:
+    li = lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+                         "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_shipdate")
+    d = F.to_date("l_shipdate")
+    trade_date = F.when(F.col("l_orderkey") % 997 == 5,
+                        F.concat(F.lit("31/02/"), F.date_format(d, "yyyy"))) \
+                  .otherwise(F.date_format(d, "dd/MM/yyyy"))
+    contracts = (F.when((F.col("l_orderkey") % 1009 == 7) & (F.col("l_linenumber") == 1), "2,5")
+                  .when(F.col("l_linenumber") == 3, "")
+                  .otherwise(F.col("l_linenumber").cast("string")))
+    cells = [
+        trade_date,
+        F.col("l_suppkey").cast("string"),
+        F.concat(F.lit("BRL"), F.lpad(F.col("l_partkey").cast("string"), 9, "0")),
+        F.concat(F.lit("COMPANY "), F.col("l_partkey").cast("string")),
+        F.when(F.col("l_returnflag") == "R", "Balcão").otherwise("Bolsa"),
+        contracts,
+        F.col("l_quantity").cast("bigint").cast("string"),
+        _comma2(F.col("l_extendedprice")),
+        F.concat(_comma2(F.col("l_discount") * 100), F.lit("%")),
+        F.concat(_comma2(F.col("l_tax") * 100), F.lit("%")),
+        F.concat(_comma2((F.col("l_discount") + F.col("l_tax")) * 100), F.lit("%")),
+        _comma2(F.col("l_discount") * 50),
+        _comma2(F.col("l_tax") * 50),
+        _comma2((F.col("l_discount") + F.col("l_tax")) * 50),
+    ]
+    return li.select(d.alias("report_date"), *BTB_ORDER, F.concat_ws(";", *cells).alias("line"))
+
+
+def btb_lines_from_lineitem(lineitem: DataFrame) -> DataFrame:
+    """One lending report per ship date: 5 preamble lines, one row per line item."""
+    return _report_file(btb_fields(lineitem), BTB_PREAMBLE, [], list(BTB_ORDER))
+
+
+EQUITIES_PREAMBLE = ["Cadastro de instrumentos (listado)", "Glossário: consulte o site", "",
+                     "Instrumento;Ativo;Descrição;Segmento;Mercado;Categoria;..."]
+EQUITIES_FOOTER = ["Informações sujeitas a alteração; consulte o site"]
+EQUITIES_DAYS = 20
+
+
+def equities_fields(part: DataFrame) -> DataFrame:
+    p = part.select("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
+    rd = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("p_partkey") % EQUITIES_DAYS).cast("int"))
+    size = F.col("p_size")
+    key = F.col("p_partkey").cast("string")
+    dmy = lambda c: F.date_format(c, "dd/MM/yyyy")
+    cells = [
+        F.concat(F.upper(F.replace(F.col("p_name"), F.lit(" "), F.lit(""))), key),
+        F.col("p_brand"), F.col("p_name"), F.col("p_type"),
+        F.when(size % 5 == 0, "-").otherwise("CASH"),
+        F.lit("SHARES"),
+        F.when(size % 3 == 0, "31/12/9999").when(size % 3 == 1, dmy(F.date_add(rd, size))).otherwise("-"),
+        dmy(F.date_add(F.lit("2020-01-01").cast("date"), (F.col("p_partkey") % 1000).cast("int"))),
+        F.lit("31/12/9999"),
+        F.concat(F.lit("BR"), F.lpad(key, 10, "0")),
+        F.lit("ESVUFR"), F.lit("-"),
+        F.when(size % 4 == 0, "-").otherwise((size * 100).cast("string")),
+        F.lit("BRL"), F.lit("PHYSICAL"),
+        _comma2(F.col("p_retailprice")),
+        F.lit("-"),
+        F.when(F.col("p_partkey") % 211 == 13, "YES").when(size % 3 == 0, "TRUE")
+         .when(size % 3 == 1, "FALSE").otherwise("-"),
+        (F.col("p_partkey") % 300).cast("string"),
+        F.lit("1"), F.lit("2"), F.lit("-"),
+        F.when(size % 2 == 0, "False").otherwise("True"),
+        F.lit("FALSE"), F.lit("ON NM"),
+        F.concat(F.lit("CORP "), F.col("p_brand")),
+        F.lit("-"), F.lit("FUNGIBLE"),
+        (F.col("p_partkey") * 1000).cast("string"),
+        F.lit("NM"),
+    ]
+    return p.select(rd.alias("report_date"), "p_partkey", F.concat_ws(";", *cells).alias("line"))
+
+
+def equities_lines_from_part(part: DataFrame) -> DataFrame:
+    """Instruments report files (one per day): 4 preamble lines, rows, 1 footer line."""
+    return _report_file(equities_fields(part), EQUITIES_PREAMBLE, EQUITIES_FOOTER, ["p_partkey"])
