@@ -17,6 +17,11 @@ from ..operators import convert, provenance, sessions, validate
 from ..sources.rendered import tick_lines_from_events
 from ..operators.layouts import is_perpetual
 from ..sources.rendered import btb_lines_from_lineitem, equities_lines_from_part
+from ..functions.calendar import is_business_day
+from ..operators import reconcile, retention, runlog
+from ..sources import derived as D
+from ..sources.catalog import catalog
+from . import oracle_ops as OO
 from . import oracle_reports as OR
 from . import oracle_ticks as OT
 from .reports import parse_layout
@@ -116,6 +121,102 @@ def q_report_equities_perpetual(spark, sf_dir):
         F.count_if(F.col("expiration_date").isNull()).alias("n_no_expiration"))
 
 
+def _archive(spark, sf_dir):
+    listing = D.archive_listing_from_orders(_table(spark, sf_dir, "orders"))
+    archived = reconcile.archived_dates(listing)
+    ticks = D.ticks_facts_from_lineitem(_table(spark, sf_dir, "lineitem"))
+    return archived, ticks
+
+
+def q_archive_dates(spark, sf_dir):
+    return _archive(spark, sf_dir)[0]
+
+
+def q_archive_verify(spark, sf_dir):
+    archived, ticks = _archive(spark, sf_dir)
+    return reconcile.verify(archived, ticks)
+
+
+def q_archive_verify_counts(spark, sf_dir):
+    archived, ticks = _archive(spark, sf_dir)
+    return reconcile.verify_counts(archived, ticks, reconcile.verify(archived, ticks))
+
+
+def _plan(spark, sf_dir):
+    archived, ticks = _archive(spark, sf_dir)
+    requested = ticks.where(is_business_day(F.col("file_date"))).select("feed", "file_date")
+    prov = ticks.where(F.col("has_provenance"))
+    return reconcile.rebuild_plan(requested, archived, prov, D.CURRENT_BUILD, dry_run=True)
+
+
+def q_rebuild_plan(spark, sf_dir):
+    return _plan(spark, sf_dir)
+
+
+def q_rebuild_histogram(spark, sf_dir):
+    return reconcile.status_histogram(_plan(spark, sf_dir))
+
+
+def _retention(spark, sf_dir):
+    files = D.local_files_from_documents(_table(spark, sf_dir, "documents"))
+    keys = D.archive_keys_from_files(files)
+    today = F.lit(D.RETENTION_TODAY).cast("date")
+    return retention.decide(files.drop("_archived"), keys, today, D.RETENTION_DAYS)
+
+
+def q_retention_decisions(spark, sf_dir):
+    return _retention(spark, sf_dir).select("doc_id", "feed", "kind", "file_date", "decision")
+
+
+def q_retention_summary(spark, sf_dir):
+    return retention.summary(_retention(spark, sf_dir))
+
+
+def _date_results(spark, sf_dir):
+    r = D.date_results_from_orders(_table(spark, sf_dir, "orders"))
+    return r.withColumn("error", runlog.accumulate_errors(F.col("_e1"), F.col("_e2"), F.col("_e3")))
+
+
+def q_run_date_summary(spark, sf_dir):
+    r = _date_results(spark, sf_dir).withColumn("run_year", F.year("trade_date"))
+    return runlog.date_summary(r, ["run_year"])
+
+
+def q_run_failures(spark, sf_dir):
+    f = runlog.failures(_date_results(spark, sf_dir))
+    return f.groupBy("trade_date").agg(F.count(F.lit(1)).alias("n_failed"),
+                                       F.min("error").alias("first_error"))
+
+
+def _report_results(spark, sf_dir):
+    r = D.report_results_from_orders(_table(spark, sf_dir, "orders"))
+    status = F.when(F.col("unavailable"), runlog.UNAVAILABLE).otherwise(
+        runlog.report_status(F.col("upload_status")))
+    cat = F.broadcast(catalog(spark).select(F.col("api_name").alias("report_name"), "section"))
+    return r.withColumn("status", status).join(cat, "report_name", "inner")
+
+
+def q_run_report_summary(spark, sf_dir):
+    return runlog.report_summary(_report_results(spark, sf_dir), ["section"])
+
+
+def q_report_lateness(spark, sf_dir):
+    r = D.report_results_from_orders(_table(spark, sf_dir, "orders"))
+    late = runlog.late_reports(r.withColumnRenamed("report_name", "api_name")
+                                .withColumnRenamed("trade_date", "report_date"), catalog(spark))
+    return late.groupBy("api_name").agg(F.count(F.lit(1)).alias("n_arrivals"),
+                                        F.count_if("late").alias("n_late"))
+
+
+def q_report_fanout(spark, sf_dir):
+    from .reports import catalog_fanout
+    days = (_table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("d")).distinct()
+            .where(is_business_day(F.col("d"))))
+    tasks = catalog_fanout(spark, days)
+    return tasks.groupBy(F.year("d").alias("run_year"), "section").agg(
+        F.count(F.lit(1)).alias("n_tasks"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tick_verdicts": q_tick_verdicts,
     "ticks_typed": q_ticks_typed,
@@ -131,6 +232,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "report_equities_rows": q_report_equities_rows,
     "report_equities_verdicts": q_report_equities_verdicts,
     "report_equities_perpetual": q_report_equities_perpetual,
+    "archive_dates": q_archive_dates,
+    "archive_verify": q_archive_verify,
+    "archive_verify_counts": q_archive_verify_counts,
+    "rebuild_plan": q_rebuild_plan,
+    "rebuild_histogram": q_rebuild_histogram,
+    "retention_decisions": q_retention_decisions,
+    "retention_summary": q_retention_summary,
+    "run_date_summary": q_run_date_summary,
+    "run_failures": q_run_failures,
+    "run_report_summary": q_run_report_summary,
+    "report_lateness": q_report_lateness,
+    "report_fanout": q_report_fanout,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -148,4 +261,16 @@ ORACLE_SQL: dict[str, str] = {
     "report_equities_rows": OR.EQ_ROWS,
     "report_equities_verdicts": OR.EQ_VERDICTS,
     "report_equities_perpetual": OR.EQ_PERPETUAL,
+    "archive_dates": OO.ARCHIVE_DATES,
+    "archive_verify": OO.ARCHIVE_VERIFY,
+    "archive_verify_counts": OO.ARCHIVE_VERIFY_COUNTS,
+    "rebuild_plan": OO.REBUILD_PLAN,
+    "rebuild_histogram": OO.REBUILD_HISTOGRAM,
+    "retention_decisions": OO.RETENTION_DECISIONS,
+    "retention_summary": OO.RETENTION_SUMMARY,
+    "run_date_summary": OO.RUN_DATE_SUMMARY,
+    "run_failures": OO.RUN_FAILURES,
+    "run_report_summary": OO.RUN_REPORT_SUMMARY,
+    "report_lateness": OO.REPORT_LATENESS,
+    "report_fanout": OO.REPORT_FANOUT,
 }
