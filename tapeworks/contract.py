@@ -97,13 +97,13 @@ FEEDS = (
     ("DERIV", "dd-MM-yyyy'_NEGOCIOSAVISTA_DRV.zip'", "dd-MM-yyyy'_NEGOCIOSAVISTA_DRV'",
      "b3/bdi/tick_by_tick_deriv/", "b3/tick_by_tick/deriv/ticks/", 1),
 )
-# Regexes that a file name must match exactly, with the date parts captured
-# as (year, month, day) - the inverse of the templates above.
+# Regexes a file name must match exactly, capturing the date text, and the
+# pattern that date text is parsed with - the inverse of the templates above.
 FEED_NAME_PATTERNS = {
-    "RV": (r"^([0-9]{4})([0-9]{2})([0-9]{2})_NEGOCIOSAVISTA\.zip$", (1, 2, 3)),
-    "DERIV": (r"^([0-9]{2})-([0-9]{2})-([0-9]{4})_NEGOCIOSAVISTA_DRV\.zip$", (3, 2, 1)),
+    "RV": (r"^([0-9]{8})_NEGOCIOSAVISTA\.zip$", "yyyyMMdd"),
+    "DERIV": (r"^([0-9]{2}-[0-9]{2}-[0-9]{4})_NEGOCIOSAVISTA_DRV\.zip$", "dd-MM-yyyy"),
 }
-TICKS_NAME_PATTERN = (r"^([0-9]{4})-([0-9]{2})-([0-9]{2})\.parquet$", (1, 2, 3))
+TICKS_NAME_PATTERN = (r"^([0-9]{4}-[0-9]{2}-[0-9]{2})\.parquet$", "yyyy-MM-dd")
 
 # --- Validation rules, in precedence order (the first failing rule wins) ---
 # (rule id, source column it reports)

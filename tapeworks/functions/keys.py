@@ -19,34 +19,34 @@ def basename(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/]+)$", 1)
 
 
-def _parse(name: Column, pattern: str, groups: tuple[int, int, int]) -> Column:
-    y, m, d = (F.regexp_extract(name, pattern, g) for g in groups)
-    ok = name.rlike(pattern)
-    return F.when(ok, F.try_to_date(F.concat_ws("-", y, m, d), "yyyy-MM-dd"))
+def _parse(name: Column, pattern: str, fmt: str) -> Column:
+    # The regex guard matters for speed: a failed date parse costs an
+    # exception inside Spark, a failed regex match does not.
+    return F.when(name.rlike(pattern), F.try_to_date(F.regexp_extract(name, pattern, 1), fmt))
 
 
 def name_date(name: Column, feed: str) -> Column:
     """Date encoded in an archive name of ``feed``, or null."""
-    pattern, groups = C.FEED_NAME_PATTERNS[feed]
-    return _parse(name, pattern, groups)
+    pattern, fmt = C.FEED_NAME_PATTERNS[feed]
+    return _parse(name, pattern, fmt)
 
 
 def ticks_name_date(name: Column) -> Column:
     """Date of a ``YYYY-MM-DD.parquet`` ticks file name, or null."""
-    pattern, groups = C.TICKS_NAME_PATTERN
-    return _parse(name, pattern, groups)
+    pattern, fmt = C.TICKS_NAME_PATTERN
+    return _parse(name, pattern, fmt)
 
 
-def archive_name_date(path: Column) -> list[Column]:
-    """``[feed, file_date]`` of an archive path; both null for strangers."""
-    name = basename(path)
+def archive_name_date(name: Column) -> list[Column]:
+    """``[feed, file_date]`` of an archive *file name*; both null for strangers.
+
+    Pass a column that already holds the base name, so it is computed once.
+    """
     dates = {feed: name_date(name, feed) for feed in _FEEDS}
     feed = F.lit(None).cast("string")
-    date = F.lit(None).cast("date")
     for f, d in dates.items():
         feed = F.when(d.isNotNull(), F.lit(f)).otherwise(feed)
-        date = F.when(d.isNotNull(), d).otherwise(date)
-    return [feed.alias("feed"), date.alias("file_date")]
+    return [feed.alias("feed"), F.coalesce(*dates.values()).alias("file_date")]
 
 
 def _by_feed(feed: Column, date: Column, index: int) -> Column:

@@ -24,7 +24,8 @@ STATUS_OK, STATUS_FAILED, STATUS_SKIPPED, STATUS_WOULD_RUN = "OK", "FAILED", "SK
 
 def archived_dates(inventory: DataFrame) -> DataFrame:
     """Distinct ``(feed, file_date)`` of archive names; strangers are ignored."""
-    parsed = inventory.select(*archive_name_date(F.col("path")))
+    names = inventory.select(basename(F.col("path")).alias("_name"))
+    parsed = names.select(*archive_name_date(F.col("_name")))
     return parsed.where(F.col("feed").isNotNull()).distinct()
 
 

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 
 _POS = "_tw_pos"
+POS = _POS
 _CHUNK = "_tw_chunk"
 
 
@@ -44,16 +45,23 @@ def _number_chunks(df: DataFrame, group_cols: list[str], chunk_cols: list[str],
 
 
 def sequence_within(df: DataFrame, group_cols: list[str], order_cols: list,
-                    out: str = "seq") -> DataFrame:
+                    out: str = "seq", project=None) -> DataFrame:
     """1-based rank of each row inside its group, by ``order_cols``.
 
     The ordering must be total within a group (ties get arbitrary but
     distinct numbers).  Cost: one range-partitioning sort, one checkpoint
     write, one small aggregate, one join back.
+
+    ``project`` (DataFrame -> DataFrame, keeping ``group_cols`` and
+    :data:`POS`) runs after the sort, inside the materialising stage - put
+    expensive per-row work there so the sort's sampling pass never pays it.
     """
     ordered = df.repartitionByRange(*group_cols, *order_cols).sortWithinPartitions(
         *group_cols, *order_cols)
-    tagged = cut_lineage(ordered.withColumn(_POS, F.monotonically_increasing_id()))
+    tagged = ordered.withColumn(_POS, F.monotonically_increasing_id())
+    if project is not None:
+        tagged = project(tagged)
+    tagged = cut_lineage(tagged)
     tagged = tagged.withColumn(_CHUNK, F.shiftright(F.col(_POS), 33))
     return _number_chunks(tagged, list(group_cols), [_CHUNK], out)
 

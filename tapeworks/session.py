@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,6 +63,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (never a local one)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` as a Parquet table in the shared checkpoint folder.
+
+    One job writes it (columnar, compressed); the returned DataFrame reads
+    it back, so later uses neither recompute nor re-shuffle the input and a
+    lost executor only costs re-reading files.  Never a machine-local folder.
+    """
+    spark = df.sparkSession
+    target = f"{checkpoint_dir(spark).rstrip('/')}/tw-{uuid.uuid4().hex}"
+    df.write.parquet(target)
+    return spark.read.parquet(target)

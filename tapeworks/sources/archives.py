@@ -88,7 +88,8 @@ def scan_archives(spark: SparkSession, location: str, glob: str = "*.zip") -> Da
     """
     raw = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
            .option("recursiveFileLookup", "true").load(location))
-    named = raw.select("path", "content", *archive_name_date(F.col("path")))
+    named = raw.withColumn("_name", basename(F.col("path")))
+    named = named.select("path", "content", *archive_name_date(F.col("_name")))
     named = named.where(F.col("feed").isNotNull())
     prefix = txt_prefix(F.col("feed"), F.col("file_date"))
     return named.select("path", "feed", "file_date", prefix.alias("txt_prefix"),

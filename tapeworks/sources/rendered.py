@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import contract as C
-from ..operators.sequence import sequence_within
+from ..operators.sequence import POS, sequence_within
 
 # --- Fixed rendering rules (mirrored by the oracle SQL) ---
 DERIV_EVENT_TYPES = ("purchase", "error")
@@ -54,11 +54,27 @@ def _previous_business_day(d):
     return F.date_sub(d, F.when(wd == 0, 3).when(wd == 6, 2).otherwise(1))
 
 
-def tick_fields(events: DataFrame) -> DataFrame:
-    """One row per event with the 12 source fields as text (before faults)."""
-    e = events.select("event_id", "ts", "user_id", "event_type", "value")
-    feed = F.when(F.col("event_type").isin(*DERIV_EVENT_TYPES), "DERIV").otherwise("RV")
-    e = e.withColumn("feed", feed).withColumn("file_date", F.to_date("ts"))
+def _comma2(c):
+    """Two-decimal text with a decimal comma (a decimal cast, not a formatter)."""
+    return F.replace(c.cast("decimal(20,2)").cast("string"), F.lit("."), F.lit(","))
+
+
+def _feed_of(event_type):
+    return F.when(event_type.isin(*DERIV_EVENT_TYPES), "DERIV").otherwise("RV")
+
+
+def tick_fields(events: DataFrame, keep: tuple = ()) -> DataFrame:
+    """The 12 source fields as text (before faults), one row per event.
+
+    ``keep`` columns pass through; ``feed``/``file_date`` are taken from the
+    input when present (header rows carry no event).
+    """
+    cols = set(events.columns)
+    e = events
+    if "feed" not in cols:
+        e = e.withColumn("feed", _feed_of(F.col("event_type")))
+    if "file_date" not in cols:
+        e = e.withColumn("file_date", F.to_date("ts"))
     e = e.withColumn("_day", F.dayofmonth("file_date")).withColumn("_hour", F.hour("ts"))
     ref = F.date_format("file_date", "yyyy-MM-dd")
     session = (F.when((F.col("feed") == "DERIV") & (F.col("_hour") >= 16)
@@ -73,11 +89,11 @@ def tick_fields(events: DataFrame) -> DataFrame:
                   .when(k == 4, F.lit("09O000000")).otherwise(F.concat(t, F.lit("0"))))
     time_raw = F.when(F.col("event_id") % BAD_TIME_MOD == 0, bad_time).otherwise(t)
     return e.select(
-        "event_id", "ts", "feed", "file_date", "_day",
+        *keep, "event_id", "ts", "feed", "file_date", "_day",
         ref.alias("f_ref"),
         F.concat(F.upper("event_type"), (F.col("user_id") % 5).cast("string")).alias("f_symbol"),
         F.when(F.col("event_id") % 13 == 0, "2").otherwise("0").alias("f_action"),
-        F.replace(F.format_string("%.2f", "value"), F.lit("."), F.lit(",")).alias("f_price"),
+        _comma2(F.col("value")).alias("f_price"),
         ((F.col("event_id") * 7) % 1000 + 1).cast("string").alias("f_qty"),
         time_raw.alias("f_time"),
         F.col("event_id").cast("string").alias("f_trade_id"),
@@ -125,57 +141,69 @@ def tick_lines_from_events(events: DataFrame) -> DataFrame:
 
     Returns ``(feed, file_date, source_row, line)``: header on line 1, one
     line per event in (ts, event_id) order, a blank line before some events.
+    Lines are numbered on the raw event columns first and rendered once,
+    after numbering (the range sort samples its input, so it should be cheap).
     """
-    f = _apply_faults(tick_fields(events))
-    line = F.concat_ws(C.FIELD_SEPARATOR, *[F.col(c) for c in (
-        "f_ref", "f_symbol", "f_action", "f_price", "f_qty", "f_time", "f_trade_id",
-        "f_session", "f_trade_date", "f_buyer", "f_seller", "f_channel")])
-    line = F.when(_fault("RV", 9) & (F.col("event_id") % 50 == 7),
-                  F.concat(line, F.lit(";X"))).otherwise(line)
-    # Each event yields its line, preceded by a blank line for some ids.
-    parts = F.when(F.col("event_id") % BLANK_BEFORE_MOD == BLANK_BEFORE_REM,
-                   F.array(F.struct(F.lit(0).alias("sub"), F.lit("").alias("line")),
-                           F.struct(F.lit(1).alias("sub"), line.alias("line")))
-                   ).otherwise(F.array(F.struct(F.lit(1).alias("sub"), line.alias("line"))))
-    body = (f.select("feed", "file_date", "ts", "event_id", F.explode(parts).alias("p"))
-              .select("feed", "file_date", F.lit(1).alias("kind"), "ts", "event_id",
-                      F.col("p.sub").alias("sub"), F.col("p.line").alias("line")))
-    headers = (f.select("feed", "file_date", "_day").distinct()
-                 .select("feed", "file_date", F.lit(0).alias("kind"),
-                         F.lit(None).cast("timestamp_ntz").alias("ts"),
-                         F.lit(None).cast("bigint").alias("event_id"),
-                         F.lit(0).alias("sub"),
-                         _header_for(F.col("feed"), F.col("_day")).alias("line")))
+    e = events.select("event_id", "ts", "user_id", "event_type", "value")
+    e = e.withColumn("feed", _feed_of(F.col("event_type"))).withColumn("file_date", F.to_date("ts"))
+    subs = F.when(F.col("event_id") % BLANK_BEFORE_MOD == BLANK_BEFORE_REM,
+                  F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(1)))
+    body = e.select("*", F.lit(1).alias("kind"), F.explode(subs).alias("sub"))
+    headers = e.select("feed", "file_date").distinct().select(
+        F.lit(None).cast("bigint").alias("event_id"), F.lit(None).cast("timestamp_ntz").alias("ts"),
+        F.lit(None).cast("bigint").alias("user_id"), F.lit(None).cast("string").alias("event_type"),
+        F.lit(None).cast("double").alias("value"), "feed", "file_date",
+        F.lit(0).alias("kind"), F.lit(0).alias("sub"))
+
+    def render(tagged: DataFrame) -> DataFrame:
+        f = _apply_faults(tick_fields(tagged, keep=("kind", "sub", POS)))
+        line = F.concat_ws(C.FIELD_SEPARATOR, *[F.col(c) for c in (
+            "f_ref", "f_symbol", "f_action", "f_price", "f_qty", "f_time", "f_trade_id",
+            "f_session", "f_trade_date", "f_buyer", "f_seller", "f_channel")])
+        line = F.when(_fault("RV", 9) & (F.col("event_id") % 50 == 7),
+                      F.concat(line, F.lit(";X"))).otherwise(line)
+        text = (F.when(F.col("kind") == 0, _header_for(F.col("feed"), F.col("_day")))
+                 .when(F.col("sub") == 0, F.lit("")).otherwise(line))
+        return f.select("feed", "file_date", POS, text.alias("line"))
+
     numbered = sequence_within(body.unionByName(headers), ["feed", "file_date"],
-                               ["kind", "ts", "event_id", "sub"], out="source_row")
+                               ["kind", "ts", "event_id", "sub"], out="source_row",
+                               project=render)
     return numbered.select("feed", "file_date", "source_row", "line")
 
 
 # --- Report text rendered from driver tables ---
 
-def _comma2(c):
-    return F.replace(F.format_string("%.2f", c), F.lit("."), F.lit(","))
-
+def _report_file(raw: DataFrame, render, preamble: list[str], footer: list[str],
+                 order_cols: list[str]) -> DataFrame:
+    """Number and render report files: preamble, data rows, footer.
 
-def _report_file(rows, preamble: list[str], footer: list[str], order_cols: list[str]):
-    """Number a report file: preamble, data rows in ``order_cols`` order, footer.
-
-    ``rows`` has ``report_date`` and ``line``.  Returns
+    ``raw`` has ``report_date``, ``order_cols`` and whatever ``render``
+    reads; rows are numbered on those raw columns, then ``render()`` (a
+    Column) builds each data line once.  Returns
     ``(report_date, line_no, line)``.
     """
-    dates = rows.select("report_date").distinct()
-    fixed = F.array(*[F.struct(F.lit(0).alias("kind"), F.lit(i).alias("sub"), F.lit(t).alias("line"))
-                      for i, t in enumerate(preamble)],
-                    *[F.struct(F.lit(2).alias("kind"), F.lit(i).alias("sub"), F.lit(t).alias("line"))
-                      for i, t in enumerate(footer)])
-    body = rows.select("report_date", F.lit(1).alias("kind"), *order_cols,
-                       F.lit(0).alias("sub"), "line")
+    dates = raw.select("report_date").distinct()
+    fixed = F.array(*[F.struct(F.lit(0).alias("kind"), F.lit(i).alias("sub")) for i in range(len(preamble))],
+                    *[F.struct(F.lit(2).alias("kind"), F.lit(i).alias("sub")) for i in range(len(footer))])
+    body = raw.select("*", F.lit(1).alias("kind"), F.lit(0).alias("sub"))
     # a handful of fixed lines per file, exploded from a literal (no join)
     frame = dates.select("report_date", F.inline(fixed)).select(
-        "report_date", "kind", *[F.lit(None).cast(body.schema[c].dataType).alias(c)
-                                 for c in order_cols], "sub", "line")
+        "report_date", *[F.lit(None).cast(f.dataType).alias(f.name)
+                         for f in raw.schema.fields if f.name != "report_date"], "kind", "sub")
+    pre = F.array(*[F.lit(t) for t in preamble]) if preamble else None
+    foot = F.array(*[F.lit(t) for t in footer]) if footer else None
+
+    def project(tagged: DataFrame) -> DataFrame:
+        text = F.when(F.col("kind") == 1, render())
+        if pre is not None:
+            text = text.when(F.col("kind") == 0, F.get(pre, F.col("sub")))
+        if foot is not None:
+            text = text.when(F.col("kind") == 2, F.get(foot, F.col("sub")))
+        return tagged.select("report_date", POS, text.alias("line"))
+
     numbered = sequence_within(body.unionByName(frame), ["report_date"],
-                               ["kind", *order_cols, "sub"], out="line_no")
+                               ["kind", *order_cols, "sub"], out="line_no", project=project)
     return numbered.select("report_date", "line_no", "line")
 
 
@@ -189,10 +217,14 @@ BTB_PREAMBLE = ["Empréstimos registrados - posição em aberto por ativo", "Glo
 BTB_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
 
 
-def btb_fields(lineitem: DataFrame) -> DataFrame:
-    li = lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-                         "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_shipdate")
-    d = F.to_date("l_shipdate")
+def btb_raw(lineitem: DataFrame) -> DataFrame:
+    return lineitem.select(F.to_date("l_shipdate").alias("report_date"), "l_orderkey", "l_partkey",
+                           "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                           "l_discount", "l_tax", "l_returnflag")
+
+
+def btb_line():
+    d = F.col("report_date")
     trade_date = F.when(F.col("l_orderkey") % 997 == 5,
                         F.concat(F.lit("31/02/"), F.date_format(d, "yyyy"))) \
                   .otherwise(F.date_format(d, "dd/MM/yyyy"))
@@ -215,12 +247,12 @@ def btb_fields(lineitem: DataFrame) -> DataFrame:
         _comma2(F.col("l_tax") * 50),
         _comma2((F.col("l_discount") + F.col("l_tax")) * 50),
     ]
-    return li.select(d.alias("report_date"), *BTB_ORDER, F.concat_ws(";", *cells).alias("line"))
+    return F.concat_ws(";", *cells)
 
 
 def btb_lines_from_lineitem(lineitem: DataFrame) -> DataFrame:
     """One lending report per ship date: 5 preamble lines, one row per line item."""
-    return _report_file(btb_fields(lineitem), BTB_PREAMBLE, [], list(BTB_ORDER))
+    return _report_file(btb_raw(lineitem), btb_line, BTB_PREAMBLE, [], list(BTB_ORDER))
 
 
 EQUITIES_PREAMBLE = ["Cadastro de instrumentos (listado)", "Glossário: consulte o site", "",
@@ -229,9 +261,14 @@ EQUITIES_FOOTER = ["Informações sujeitas a alteração; consulte o site"]
 EQUITIES_DAYS = 20
 
 
-def equities_fields(part: DataFrame) -> DataFrame:
-    p = part.select("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
+def equities_raw(part: DataFrame) -> DataFrame:
     rd = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("p_partkey") % EQUITIES_DAYS).cast("int"))
+    return part.select(rd.alias("report_date"), "p_partkey", "p_name", "p_brand", "p_type",
+                       "p_size", "p_retailprice")
+
+
+def equities_line():
+    rd = F.col("report_date")
     size = F.col("p_size")
     key = F.col("p_partkey").cast("string")
     dmy = lambda c: F.date_format(c, "dd/MM/yyyy")
@@ -260,9 +297,10 @@ def equities_fields(part: DataFrame) -> DataFrame:
         (F.col("p_partkey") * 1000).cast("string"),
         F.lit("NM"),
     ]
-    return p.select(rd.alias("report_date"), "p_partkey", F.concat_ws(";", *cells).alias("line"))
+    return F.concat_ws(";", *cells)
 
 
 def equities_lines_from_part(part: DataFrame) -> DataFrame:
     """Instruments report files (one per day): 4 preamble lines, rows, 1 footer line."""
-    return _report_file(equities_fields(part), EQUITIES_PREAMBLE, EQUITIES_FOOTER, ["p_partkey"])
+    return _report_file(equities_raw(part), equities_line, EQUITIES_PREAMBLE, EQUITIES_FOOTER,
+                        ["p_partkey"])

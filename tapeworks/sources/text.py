@@ -56,7 +56,8 @@ def tick_lines_from_text(spark: SparkSession, paths) -> DataFrame:
     month = F.regexp_extract(name, TXT_NAME_PATTERN, 2)
     year = F.regexp_extract(name, TXT_NAME_PATTERN, 3)
     suffix = F.regexp_extract(name, TXT_NAME_PATTERN, 4)
-    file_date = F.try_to_date(F.concat_ws("-", year, month, day), "yyyy-MM-dd")
+    file_date = F.when(name.rlike(TXT_NAME_PATTERN),
+                       F.try_to_date(F.concat_ws("-", year, month, day), "yyyy-MM-dd"))
     feed = F.when(suffix == "RV", "RV").when(suffix == "DRV", "DERIV")
     out = lines.select(feed.alias("feed"), file_date.alias("file_date"),
                        F.col("line_no").alias("source_row"), "line", "path")
