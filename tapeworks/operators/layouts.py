@@ -129,12 +129,21 @@ def parse_report(lines: DataFrame, layout: ReportLayout, keys: list[str]):
         typed.append(value.cast(_SPARK_TYPE[kind]).alias(name))
         if bad is not None:
             checks.append((f"{name}_invalid", name, bad, cells[name]))
-    aggs = [F.count(F.lit(1)).alias("data_rows")]
-    for rule, _, bad, value in checks:
-        aggs.append(F.count_if(bad).alias(f"n_{rule}"))
-        aggs.append(F.min(F.when(bad, F.struct(F.col("line_no").alias("line"),
-                                                value.alias("value")))).alias(f"f_{rule}"))
-    per_file = body.groupBy(*keys).agg(*aggs)
+    # counts: hash aggregate over all rows; (line, value) of the first
+    # offence: aggregate over offending rows only (string buffers sort)
+    counts = body.groupBy(*keys).agg(F.count(F.lit(1)).alias("data_rows"),
+                                     *[F.count_if(bad).alias(f"n_{rule}")
+                                       for rule, _, bad, _ in checks])
+    if checks:
+        any_bad = F.lit(False)
+        for _, _, bad, _ in checks:
+            any_bad = any_bad | bad
+        firsts = body.where(any_bad).groupBy(*keys).agg(*[
+            F.min(F.when(bad, F.struct(F.col("line_no").alias("line"), value.alias("value"))))
+            .alias(f"f_{rule}") for rule, _, bad, value in checks])
+        per_file = counts.join(firsts, keys, "left")
+    else:
+        per_file = counts
     cands = F.array(*[
         F.struct(F.lit(rule).alias("rule"), F.lit(col).alias("column"),
                  F.col(f"n_{rule}").cast("bigint").alias("n"),

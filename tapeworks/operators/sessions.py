@@ -100,8 +100,13 @@ def bars(ticks: DataFrame, unit: str = "minute") -> DataFrame:
     """
     t = ticks.where(F.col("timestamp").isNotNull()
                     & (F.col("update_action") != C.UPDATE_ACTION_CANCELLED))
-    order = F.struct(F.col("timestamp"), F.col("source_row"))
-    return t.groupBy("feed", "symbol", F.date_trunc(unit, "timestamp").alias("bar_start")).agg(
+    t = t.withColumn("bar_start", F.date_trunc(unit, "timestamp"))
+    # Order inside a bar = (time, TXT line).  The offset from the bar start
+    # (< 2^24 ms for bars up to a few hours) and the line (< 2^39) pack into
+    # one BIGINT, so min_by/max_by keep fixed-width buffers (hash aggregate).
+    offset = F.unix_millis("timestamp") - F.unix_millis("bar_start")
+    order = F.shiftleft(offset, 39) + F.col("source_row").cast("bigint")
+    return t.groupBy("feed", "symbol", "bar_start").agg(
         F.min_by("price", order).alias("open"),
         F.max("price").alias("high"),
         F.min("price").alias("low"),

@@ -77,6 +77,25 @@ def _first(pred: Column, value: Column) -> Column:
                                         value.alias("value"))))
 
 
+def offences(x: DataFrame, keys: list[str], checks: list[tuple[str, Column, Column]],
+             base_aggs: list[Column]) -> DataFrame:
+    """Per-file ``n_<rule>`` counts and ``first_<rule>`` (line, value) structs.
+
+    Two aggregates, so the big one stays a hash aggregate: counts over every
+    line use fixed-width buffers; the (line, value) structs carry strings,
+    which only a sort-based aggregate can hold, so they are computed over
+    the offending lines alone (rare), then joined per file.
+    """
+    counts = x.groupBy(*keys).agg(*base_aggs, *[F.count_if(bad).alias(f"n_{rule}")
+                                                for rule, bad, _ in checks])
+    any_bad = F.lit(False)
+    for _, bad, _ in checks:
+        any_bad = any_bad | bad
+    firsts = x.where(any_bad).groupBy(*keys).agg(
+        *[_first(bad, value).alias(f"first_{rule}") for rule, bad, value in checks])
+    return counts.join(firsts, keys, "left")
+
+
 def file_verdicts(lines: DataFrame, files: DataFrame | None = None) -> DataFrame:
     """One row per file: status OK/REJECTED and the deciding rule.
 
@@ -85,18 +104,14 @@ def file_verdicts(lines: DataFrame, files: DataFrame | None = None) -> DataFrame
     """
     x = with_fields(lines)
     data, header = is_data(), is_header()
-    aggs = [
+    checks = [("header", header & (F.col("line") != F.lit(C.EXPECTED_HEADER)), F.col("line"))]
+    checks += [(rule, data & bad, value) for rule, bad, value in rule_checks()]
+    base = [
         F.count_if(header).alias("_header_rows"),
-        F.count_if(header & (F.col("line") != F.lit(C.EXPECTED_HEADER))).alias("n_header"),
-        _first(header & (F.col("line") != F.lit(C.EXPECTED_HEADER)), F.col("line"))
-        .alias("first_header"),
         F.count_if(data).alias("data_lines"),
         F.count_if(is_blank()).alias("blank_lines"),
     ]
-    for rule, bad, value in rule_checks():
-        aggs.append(F.count_if(data & bad).alias(f"n_{rule}"))
-        aggs.append(_first(data & bad, value).alias(f"first_{rule}"))
-    per_file = x.groupBy(*FILE_KEYS).agg(*aggs)
+    per_file = offences(x, FILE_KEYS, checks, base)
     if files is not None:
         per_file = files.select(*FILE_KEYS).distinct().join(per_file, FILE_KEYS, "left")
         per_file = per_file.fillna(0, subset=["_header_rows", "n_header", "data_lines",
