@@ -127,7 +127,16 @@ def merge_archive_problems(verdicts: DataFrame, problems: DataFrame) -> DataFram
 
 def process_archives(spark: SparkSession, location: str, build_id: str | None = None,
                      collector_version: str = "0") -> TickBatch:
-    """Validate and convert every tick archive under ``location``.
+    """Validate and convert every tick archive under ``location``."""
+    from ..sources import archives
+    raw = (spark.read.format("binaryFile").option("pathGlobFilter", "*.zip")
+           .option("recursiveFileLookup", "true").load(location))
+    return process_archive_frame(raw, build_id, collector_version)
+
+
+def process_archive_frame(raw: DataFrame, build_id: str | None = None,
+                          collector_version: str = "0") -> TickBatch:
+    """Validate and convert the archives of a ``binaryFile`` DataFrame.
 
     The archive scan is persisted (memory and disk) because three branches
     read it; losing it only means re-reading the durable archives.
@@ -135,7 +144,7 @@ def process_archives(spark: SparkSession, location: str, build_id: str | None =
     from pyspark import StorageLevel
 
     from ..sources import archives
-    scan = archives.scan_archives(spark, location).persist(StorageLevel.MEMORY_AND_DISK)
+    scan = archives.scan_archive_frame(raw).persist(StorageLevel.MEMORY_AND_DISK)
     problems = archives.archive_problems(scan)
     lines = archives.archive_lines(scan)
     verdicts = validate.file_verdicts(lines, problems.select("feed", "file_date"))

@@ -80,14 +80,16 @@ def _read_archives(batches):
                                           archive.read(candidates[0]))
 
 
-def scan_archives(spark: SparkSession, location: str, glob: str = "*.zip") -> DataFrame:
-    """Archive summary and line rows for every ZIP under ``location``.
+BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+
+
+def scan_archive_frame(raw: DataFrame) -> DataFrame:
+    """Archive summary and line rows from a ``binaryFile`` DataFrame
+    (batch or one streaming micro-batch).
 
     Adds ``feed, file_date`` parsed from the archive name (names that match
-    no feed are skipped) and ``txt_prefix`` used to pick the member.
+    no feed are skipped) and picks the member by the feed's TXT prefix.
     """
-    raw = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-           .option("recursiveFileLookup", "true").load(location))
     named = raw.withColumn("_name", basename(F.col("path")))
     named = named.select("path", "content", *archive_name_date(F.col("_name")))
     named = named.where(F.col("feed").isNotNull())
@@ -96,6 +98,13 @@ def scan_archives(spark: SparkSession, location: str, glob: str = "*.zip") -> Da
                         "content").mapInArrow(_read_archives, ARCHIVE_SCHEMA)
 
 
+def scan_archives(spark: SparkSession, location: str, glob: str = "*.zip") -> DataFrame:
+    """Archive summary and line rows for every ZIP under ``location``."""
+    raw = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+           .option("recursiveFileLookup", "true").load(location))
+    return scan_archive_frame(raw)
+
+
 def archive_problems(scan: DataFrame) -> DataFrame:
     """Archive-level verdicts: not a ZIP, no TXT member, or more than one."""
     s = scan.where(F.col("source_row") == 0)
