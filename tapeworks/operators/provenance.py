@@ -84,3 +84,23 @@ def unreadable_times(ticks: DataFrame, k: int = C.MAX_REPORTED_TIMES) -> DataFra
         F.min("source_row").alias("first_line"), F.count(F.lit(1)).alias("occurrences"))
     w = Window.partitionBy(*FILE_KEYS).orderBy("first_line")
     return firsts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
+def provenance_payload(prov: DataFrame) -> DataFrame:
+    """``(feed, file_date, payload)``: the provenance record as a JSON object (FN-14)."""
+    fields = [n for n, _ in C.PROVENANCE_FIELDS]
+    return prov.select("feed", "file_date", F.to_json(F.struct(*fields)).alias("payload"))
+
+
+def parse_payload(payloads: DataFrame, column: str = "payload") -> DataFrame:
+    """JSON payload -> typed provenance struct ``prov`` plus ``payload_problem``:
+    missing, not JSON, or incomplete (a required field is null)."""
+    parsed = payloads.withColumn("prov", F.from_json(F.col(column), C.PROVENANCE_DDL))
+    required = ["feed", "trade_date", "source_txt_row_count", "schema_version", "row_count"]
+    incomplete = F.lit(False)
+    for name in required:
+        incomplete = incomplete | F.col(f"prov.{name}").isNull()
+    problem = (F.when(F.col(column).isNull(), "missing")
+                .when(F.col("prov").isNull() | ~F.col(column).rlike(r"^\s*\{"), "not JSON")
+                .when(incomplete, "incomplete"))
+    return parsed.withColumn("payload_problem", problem)

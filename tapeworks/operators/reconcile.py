@@ -127,3 +127,13 @@ def fully_archived(feed_dates: DataFrame, archived: DataFrame, ticks: DataFrame)
 
 def status_histogram(plan: DataFrame) -> DataFrame:
     return plan.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+
+
+def verify_ok(problems: DataFrame) -> bool:
+    """Exit status of a verification run: True when there is no problem (VER-4)."""
+    return problems.isEmpty()
+
+
+def duplicate_keys(dim: DataFrame, *keys: str) -> DataFrame:
+    """Keys that appear more than once in a dimension (SET-4); empty when unique."""
+    return dim.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)

@@ -85,3 +85,31 @@ def catalog_fanout(spark: SparkSession, dates: DataFrame) -> DataFrame:
                               F.lit(sla if sla else None).cast("string").alias("sla_time"))
                      for n, s, _, _, sla in CATALOG if n not in DISABLED])
     return dates.select("*", F.inline(rows))
+
+
+# --- Fixed value: payloads shorter than this are "no report today" ---
+MIN_REPORT_BYTES = 10
+
+
+def availability(inventory: DataFrame) -> DataFrame:
+    """Report files too short to hold a report are UNAVAILABLE (FLT-8)."""
+    return inventory.withColumn(
+        "available", F.col("length") >= MIN_REPORT_BYTES).withColumn(
+        "status", F.when(F.col("length") < MIN_REPORT_BYTES, "UNAVAILABLE"))
+
+
+def lines_from_bytes(spark: SparkSession, payload: bytes, api_name: str, report_date,
+                     encoding: str = "utf-8-sig") -> DataFrame:
+    """Lines of one report given as bytes (e.g. just fetched), ready for parsing.
+
+    For a single user-supplied payload that is already on the driver; files
+    at rest go through :func:`report_lines_from_files`.
+    """
+    import datetime as _dt
+    text = payload.decode(encoding)
+    rows = text.split("\n")
+    if rows and rows[-1] == "":
+        rows.pop()
+    d = report_date if isinstance(report_date, _dt.date) else _dt.date.fromisoformat(str(report_date))
+    data = [(api_name, d, i + 1, r.rstrip("\r")) for i, r in enumerate(rows)]
+    return spark.createDataFrame(data, "api_name string, report_date date, line_no int, line string")

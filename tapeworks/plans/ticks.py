@@ -164,3 +164,14 @@ def process_text(spark: SparkSession, paths, build_id: str | None = None) -> Tic
         F.lit(None).cast("string").alias("source_zip_sha256"),
         F.regexp_extract("path", r"([^/]+)$", 1).alias("source_txt_name"))
     return process_lines(lines.drop("path"), sources=sources, build_id=build_id)
+
+
+def write_rebuild_report(report: DataFrame, path: str) -> None:
+    """Rebuild report as CSV with a header, one row per feed and date (SNK-5).
+
+    The report is one row per file, so a single output file is bounded.
+    """
+    cols = ["feed", "trade_date", "status", "row_count", "timestamp_null_count",
+            "other_session_row_count", "error"]
+    (report.select(*cols).orderBy("feed", "trade_date").coalesce(1)
+           .write.mode("overwrite").option("header", True).csv(path))
