@@ -78,9 +78,11 @@ def price_value(c: Column | str) -> Column:
 def iso_date_ok(c: Column | str) -> Column:
     """``YYYY-MM-DD`` that is a real calendar date of year >= 1."""
     c = _col(c)
+    # the anchored pattern fixes the layout, so the (fast) cast path can
+    # decide whether it is a real date; no formatter per row
     return (
         anchored(c, ISO_DATE_PATTERN)
-        & F.coalesce(F.try_to_date(c, "yyyy-MM-dd").isNotNull(), F.lit(False))
+        & F.coalesce(c.try_cast("date").isNotNull(), F.lit(False))
         & (F.substring(c, 1, 4) != F.lit("0000"))
     )
 
@@ -129,6 +131,25 @@ def local_time_invalid(date_text: Column | str, time_text: Column | str,
                       F.lit(False))
 
 
+def dst_transition_days(spark, tz: str = C.TIMEZONE, first_year: int = 1900,
+                        last_year: int = 2100):
+    """``(day DATE)`` of every local day whose UTC offset changes in ``tz``.
+
+    Bounded by construction (about two days a year over the range), so it
+    is a dimension that can be broadcast; wall-time checks for DST gaps and
+    overlaps only need to run on rows of these days.
+    """
+    days = spark.range(1).select(F.explode(F.sequence(
+        F.make_date(F.lit(first_year), F.lit(1), F.lit(1)),
+        F.make_date(F.lit(last_year), F.lit(12), F.lit(31)))).alias("day"))
+    start = F.col("day").cast("timestamp_ntz")
+    end = F.date_add("day", 1).cast("timestamp_ntz")
+    # offset = wall clock minus UTC, at the start and at the end of the day
+    off0 = F.unix_seconds(F.to_utc_timestamp(start, tz)) - F.unix_seconds(F.to_utc_timestamp(start, "UTC"))
+    off1 = F.unix_seconds(F.to_utc_timestamp(end, tz)) - F.unix_seconds(F.to_utc_timestamp(end, "UTC"))
+    return days.where(off0 != off1)
+
+
 def empty_to_null(c: Column | str) -> Column:
     c = _col(c)
     return F.when(c != F.lit(""), c)

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import strict as S
+from .validate import decide, offences, offending_values
 
 STRICT_KINDS = ("date_strict", "int", "bool", "percent")
 _SPARK_TYPE = {"string": "string", "double": "double", "date": "date", "date_strict": "date",
@@ -129,32 +130,19 @@ def parse_report(lines: DataFrame, layout: ReportLayout, keys: list[str]):
         typed.append(value.cast(_SPARK_TYPE[kind]).alias(name))
         if bad is not None:
             checks.append((f"{name}_invalid", name, bad, cells[name]))
-    # counts: hash aggregate over all rows; (line, value) of the first
-    # offence: aggregate over offending rows only (string buffers sort)
-    counts = body.groupBy(*keys).agg(F.count(F.lit(1)).alias("data_rows"),
-                                     *[F.count_if(bad).alias(f"n_{rule}")
-                                       for rule, _, bad, _ in checks])
-    if checks:
-        any_bad = F.lit(False)
-        for _, _, bad, _ in checks:
-            any_bad = any_bad | bad
-        firsts = body.where(any_bad).groupBy(*keys).agg(*[
-            F.min(F.when(bad, F.struct(F.col("line_no").alias("line"), value.alias("value"))))
-            .alias(f"f_{rule}") for rule, _, bad, value in checks])
-        per_file = counts.join(firsts, keys, "left")
-    else:
-        per_file = counts
-    cands = F.array(*[
-        F.struct(F.lit(rule).alias("rule"), F.lit(col).alias("column"),
-                 F.col(f"n_{rule}").cast("bigint").alias("n"),
-                 F.col(f"f_{rule}.line").alias("line"), F.col(f"f_{rule}.value").alias("value"))
-        for rule, col, _, _ in checks]) if checks else F.array()
-    verdicts = per_file.withColumn("_v", F.get(F.filter(cands, lambda r: r["n"] > 0), 0)).select(
+    # counts and first offending line: one hash aggregate; the offending text
+    # is then fetched by joining the lines on (file, first line)
+    per_file = offences(body, keys, [(rule, bad) for rule, _, bad, _ in checks],
+                        [F.count(F.lit(1)).alias("data_rows")], line_col="line_no")
+    decided = decide(per_file, [(rule, col) for rule, col, _, _ in checks])
+    vals = offending_values(body, decided, keys, {rule: value for rule, _, _, value in checks},
+                            line_col="line_no")
+    verdicts = decided.join(vals, keys, "left").select(
         *keys,
-        F.when(F.col("_v").isNull(), "OK").otherwise("REJECTED").alias("status"),
+        F.when(F.col("_v.rule").isNull(), "OK").otherwise("REJECTED").alias("status"),
         F.col("_v.rule").alias("rule"), F.col("_v.column").alias("source_column"),
         F.col("_v.n").alias("invalid_count"), F.col("_v.line").alias("first_line"),
-        F.col("_v.value").alias("first_value"),
+        F.col("_value").alias("first_value"),
         F.col("data_rows").cast("bigint").alias("data_rows"))
     ok = verdicts.where(F.col("status") == "OK").select(*keys)
     rows = body.join(ok, keys, "left_semi").select(*keys, "line_no", *typed)

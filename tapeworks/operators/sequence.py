@@ -38,6 +38,10 @@ def _number_chunks(df: DataFrame, group_cols: list[str], chunk_cols: list[str],
          .rowsBetween(Window.unboundedPreceding, -1))
     offsets = stats.withColumn("_tw_off", F.coalesce(F.sum("_tw_n").over(w), F.lit(0)))
     offsets = offsets.select(*group_cols, *chunk_cols, "_tw_first", "_tw_off")
+    # One row per (group, chunk): materialise it once, so every later use of
+    # the numbered rows is a scan plus a join with a small table (AQE
+    # broadcasts it when its size allows), not a re-run of the aggregate.
+    offsets = cut_lineage(offsets)
     joined = df.join(offsets, on=[*group_cols, *chunk_cols], how="inner")
     return joined.withColumn(
         out, (F.col("_tw_off") + (F.col(_POS) - F.col("_tw_first")) + 1).cast("int")
@@ -56,7 +60,11 @@ def sequence_within(df: DataFrame, group_cols: list[str], order_cols: list,
     :data:`POS`) runs after the sort, inside the materialising stage - put
     expensive per-row work there so the sort's sampling pass never pays it.
     """
-    ordered = df.repartitionByRange(*group_cols, *order_cols).sortWithinPartitions(
+    # An explicit count (the cluster's shuffle parallelism): AQE would
+    # otherwise coalesce small inputs into a couple of tasks, and the rows
+    # carry CPU-heavy work (rendering, validation) after this point.
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = df.repartitionByRange(n, *group_cols, *order_cols).sortWithinPartitions(
         *group_cols, *order_cols)
     tagged = ordered.withColumn(_POS, F.monotonically_increasing_id())
     if project is not None:

@@ -32,6 +32,17 @@ def with_fields(lines: DataFrame) -> DataFrame:
     return lines.withColumn("_parts", F.split(F.col("line"), C.FIELD_SEPARATOR, -1))
 
 
+def with_dst_flag(x: DataFrame) -> DataFrame:
+    """Adds ``_dst_day``: the file's calendar day is a DST transition day.
+
+    The transition-day table is bounded (a few hundred days over two
+    centuries), so broadcasting it is safe whatever the data size.
+    """
+    days = S.dst_transition_days(x.sparkSession).select(
+        F.col("day").alias("file_date"), F.lit(True).alias("_dst_day"))
+    return x.join(F.broadcast(days), "file_date", "left")
+
+
 def is_header() -> Column:
     return F.col("source_row") == 1
 
@@ -67,33 +78,51 @@ def rule_checks() -> list[tuple[str, Column, Column]]:
         *_uint_rules("session_type", "TipoSessaoPregao", C.UINT8_MAX),
         *_uint_rules("channel_type", "TipoDoCanal", C.UINT8_MAX),
         *_uint_rules("trade_id", "CodigoIdentificadorNegocio", C.INT64_MAX),
-        ("local_time_invalid", S.local_time_invalid(file_day, hora), hora),
+        # the full wall-time check runs only on rows of DST transition days
+        ("local_time_invalid", F.coalesce(F.col("_dst_day"), F.lit(False))
+         & S.local_time_invalid(file_day, hora), hora),
     ]
 
 
-def _first(pred: Column, value: Column) -> Column:
-    # min over (line, value) structs = the first offending line and its value.
-    return F.min(F.when(pred, F.struct(F.col("source_row").alias("line"),
-                                        value.alias("value"))))
+def offences(x: DataFrame, keys: list[str], checks: list[tuple[str, Column]],
+             base_aggs: list[Column], line_col: str = "source_row") -> DataFrame:
+    """Per-file ``n_<rule>`` counts and ``l_<rule>`` first offending line.
+
+    One hash aggregate with fixed-width buffers only (counts and minimum
+    line numbers), partially aggregated map-side.
+    """
+    aggs = list(base_aggs)
+    for rule, bad in checks:
+        aggs.append(F.count_if(bad).alias(f"n_{rule}"))
+        aggs.append(F.min(F.when(bad, F.col(line_col))).alias(f"l_{rule}"))
+    return x.groupBy(*keys).agg(*aggs)
+
+
+def decide(per_file: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
+    """Adds ``_v`` = (rule, column, n, line) of the first failing rule in order."""
+    cands = F.array(*[
+        F.struct(F.lit(rule).alias("rule"), F.lit(column).alias("column"),
+                 F.coalesce(F.col(f"n_{rule}"), F.lit(0)).cast("bigint").alias("n"),
+                 F.col(f"l_{rule}").cast("int").alias("line"))
+        for rule, column in rules])
+    return per_file.withColumn("_v", F.get(F.filter(cands, lambda r: r["n"] > 0), 0))
 
 
-def offences(x: DataFrame, keys: list[str], checks: list[tuple[str, Column, Column]],
-             base_aggs: list[Column]) -> DataFrame:
-    """Per-file ``n_<rule>`` counts and ``first_<rule>`` (line, value) structs.
+def offending_values(x: DataFrame, decided: DataFrame, keys: list[str],
+                     values: dict, line_col: str = "source_row") -> DataFrame:
+    """The text at the first offending line of each rejected file.
 
-    Two aggregates, so the big one stays a hash aggregate: counts over every
-    line use fixed-width buffers; the (line, value) structs carry strings,
-    which only a sort-based aggregate can hold, so they are computed over
-    the offending lines alone (rare), then joined per file.
+    A join of the lines with one row per rejected file on (file, line) -
+    AQE broadcasts that side when it is small - then the value expression
+    of the deciding rule.  No aggregate ever carries strings.
     """
-    counts = x.groupBy(*keys).agg(*base_aggs, *[F.count_if(bad).alias(f"n_{rule}")
-                                                for rule, bad, _ in checks])
-    any_bad = F.lit(False)
-    for _, bad, _ in checks:
-        any_bad = any_bad | bad
-    firsts = x.where(any_bad).groupBy(*keys).agg(
-        *[_first(bad, value).alias(f"first_{rule}") for rule, bad, value in checks])
-    return counts.join(firsts, keys, "left")
+    firsts = decided.where(F.col("_v").isNotNull() & F.col("_v.line").isNotNull()).select(
+        *keys, F.col("_v.line").alias(line_col), F.col("_v.rule").alias("_rule"))
+    hit = x.join(firsts, [*keys, line_col], "inner")
+    value = F.lit(None).cast("string")
+    for rule, expr in values.items():
+        value = F.when(F.col("_rule") == rule, expr).otherwise(value)
+    return hit.select(*keys, value.alias("_value"))
 
 
 def file_verdicts(lines: DataFrame, files: DataFrame | None = None) -> DataFrame:
@@ -102,10 +131,12 @@ def file_verdicts(lines: DataFrame, files: DataFrame | None = None) -> DataFrame
     ``files`` (``feed, file_date``) lists files that may have produced no
     line at all (an empty file has no header either, so it is rejected).
     """
-    x = with_fields(lines)
+    x = with_dst_flag(with_fields(lines))
     data, header = is_data(), is_header()
-    checks = [("header", header & (F.col("line") != F.lit(C.EXPECTED_HEADER)), F.col("line"))]
-    checks += [(rule, data & bad, value) for rule, bad, value in rule_checks()]
+    rule_list = rule_checks()
+    checks = [("header", header & (F.col("line") != F.lit(C.EXPECTED_HEADER)))]
+    checks += [(rule, data & bad) for rule, bad, _ in rule_list]
+    values = {"header": F.col("line"), **{rule: value for rule, _, value in rule_list}}
     base = [
         F.count_if(header).alias("_header_rows"),
         F.count_if(data).alias("data_lines"),
@@ -116,29 +147,23 @@ def file_verdicts(lines: DataFrame, files: DataFrame | None = None) -> DataFrame
         per_file = files.select(*FILE_KEYS).distinct().join(per_file, FILE_KEYS, "left")
         per_file = per_file.fillna(0, subset=["_header_rows", "n_header", "data_lines",
                                               "blank_lines"])
-    # An absent header line counts as a wrong (empty) header.
+    # An absent header line counts as a wrong (empty) header on line 1.
     missing = F.col("_header_rows") == 0
-    per_file = per_file.withColumn(
-        "n_header", F.col("n_header") + F.when(missing, 1).otherwise(0)
-    ).withColumn(
-        "first_header", F.when(missing, F.struct(F.lit(1).alias("line"), F.lit("").alias("value")))
-        .otherwise(F.col("first_header")))
-    per_file = per_file.withColumn("n_zero_rows", F.when(F.col("data_lines") == 0, 1).otherwise(0))
-    per_file = per_file.withColumn(
-        "first_zero_rows", F.struct(F.lit(None).cast("int").alias("line"),
-                                    F.lit(None).cast("string").alias("value")))
-    candidates = F.array(*[
-        F.struct(F.lit(rule).alias("rule"), F.lit(column).alias("column"),
-                 F.coalesce(F.col(f"n_{rule}"), F.lit(0)).cast("bigint").alias("n"),
-                 F.col(f"first_{rule}.line").alias("line"),
-                 F.col(f"first_{rule}.value").alias("value"))
-        for rule, column in C.RULES
-    ])
-    decided = F.get(F.filter(candidates, lambda r: r["n"] > 0), 0)
-    out = per_file.withColumn("_v", decided)
+    per_file = (per_file
+                .withColumn("n_header", F.col("n_header") + F.when(missing, 1).otherwise(0))
+                .withColumn("l_header", F.when(missing, F.lit(1)).otherwise(F.col("l_header")))
+                .withColumn("n_zero_rows", F.when(F.col("data_lines") == 0, 1).otherwise(0))
+                .withColumn("l_zero_rows", F.lit(None).cast("int")))
+    decided = decide(per_file, list(C.RULES))
+    vals = offending_values(x, decided, FILE_KEYS, values)
+    out = decided.join(vals, FILE_KEYS, "left")
+    first_value = F.when(missing & (F.col("_v.rule") == "header"), F.lit("")).otherwise(F.col("_value"))
+    out = out.withColumn("_v", F.struct(F.col("_v.rule").alias("rule"), F.col("_v.column").alias("column"),
+                                        F.col("_v.n").alias("n"), F.col("_v.line").alias("line"),
+                                        first_value.alias("value")))
     return out.select(
         *FILE_KEYS,
-        F.when(F.col("_v").isNull(), "OK").otherwise("REJECTED").alias("status"),
+        F.when(F.col("_v.rule").isNull(), "OK").otherwise("REJECTED").alias("status"),
         F.col("_v.rule").alias("rule"),
         F.col("_v.column").alias("source_column"),
         F.col("_v.n").alias("invalid_count"),
@@ -151,7 +176,7 @@ def file_verdicts(lines: DataFrame, files: DataFrame | None = None) -> DataFrame
 
 
 def violation_message(v: Column) -> Column:
-    return (F.when(v.isNull(), F.lit(None))
+    return (F.when(v["rule"].isNull(), F.lit(None))
             .when(v["rule"] == "zero_rows", F.lit("zero rows"))
             .when(v["rule"] == "header", F.format_string("unexpected header: %s", v["value"]))
             .when(v["rule"] == "field_count", F.format_string(

@@ -189,3 +189,21 @@ def test_write_and_read_back_by_dates(spark, tmp_path):
     # re-run with skip: nothing is rewritten; provenance has one row per date
     write_ticks(process_archives(spark, str(folder)), out, skip_existing=True)
     assert spark.read.parquet(f"{out}/provenance").count() == 2
+
+
+@pytest.mark.parametrize("day,time", [("2018-11-04", "003000000"), ("2018-02-17", "233000000")])
+def test_dst_gap_and_overlap_reject_the_file(spark, tmp_path, day, time):
+    loc = _one_zip(tmp_path, [tick_line(ref=day, time="120000000"), tick_line(ref=day, time=time)],
+                   day=day)
+    v = _verdict(process_archives(spark, loc), day=day)
+    assert (v.status, v.rule, v.first_line, v.first_value) == ("REJECTED", "local_time_invalid", 3, time)
+
+
+def test_dst_day_outside_the_gap_is_fine(spark, tmp_path):
+    day = "2018-11-04"
+    loc = _one_zip(tmp_path, [tick_line(ref=day, time="013000000")], day=day)
+    b = process_archives(spark, loc)
+    assert _verdict(b, day=day).status == "OK"
+    ms = b.ticks.select(F.unix_millis("timestamp").alias("ms")).first().ms
+    # 01:30 local on the first DST day is UTC-2
+    assert ms == int(dt.datetime(2018, 11, 4, 3, 30, tzinfo=dt.timezone.utc).timestamp() * 1000)
