@@ -97,13 +97,13 @@ FEEDS = (
     ("DERIV", "dd-MM-yyyy'_NEGOCIOSAVISTA_DRV.zip'", "dd-MM-yyyy'_NEGOCIOSAVISTA_DRV'",
      "b3/bdi/tick_by_tick_deriv/", "b3/tick_by_tick/deriv/ticks/", 1),
 )
-# Regexes a file name must match exactly, capturing the date text, and the
-# pattern that date text is parsed with - the inverse of the templates above.
+# Regexes a file name must match exactly, and where the year, month and day
+# sit in it as (start, length), 1-based - the inverse of the templates above.
 FEED_NAME_PATTERNS = {
-    "RV": (r"^([0-9]{8})_NEGOCIOSAVISTA\.zip$", "yyyyMMdd"),
-    "DERIV": (r"^([0-9]{2}-[0-9]{2}-[0-9]{4})_NEGOCIOSAVISTA_DRV\.zip$", "dd-MM-yyyy"),
+    "RV": (r"^[0-9]{8}_NEGOCIOSAVISTA\.zip$", ((1, 4), (5, 2), (7, 2))),
+    "DERIV": (r"^[0-9]{2}-[0-9]{2}-[0-9]{4}_NEGOCIOSAVISTA_DRV\.zip$", ((7, 4), (4, 2), (1, 2))),
 }
-TICKS_NAME_PATTERN = (r"^([0-9]{4}-[0-9]{2}-[0-9]{2})\.parquet$", "yyyy-MM-dd")
+TICKS_NAME_PATTERN = (r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\.parquet$", ((1, 4), (6, 2), (9, 2)))
 
 # --- Validation rules, in precedence order (the first failing rule wins) ---
 # (rule id, source column it reports)

@@ -1,7 +1,7 @@
 """File names and archive keys: formatting dates into names and back.
 
 Templates are Spark datetime patterns over the file date; parsing is the
-inverse, by anchored regex plus ``try_to_date``, so a name that does not
+inverse, by anchored regex plus a strict date cast, so a name that does not
 match the template exactly (or is not a real date) gives null.
 """
 
@@ -19,22 +19,24 @@ def basename(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/]+)$", 1)
 
 
-def _parse(name: Column, pattern: str, fmt: str) -> Column:
-    # The regex guard matters for speed: a failed date parse costs an
-    # exception inside Spark, a failed regex match does not.
-    return F.when(name.rlike(pattern), F.try_to_date(F.regexp_extract(name, pattern, 1), fmt))
+def _parse(name: Column, pattern: str, slices) -> Column:
+    # Anchored regex guard, then fixed-position slices and the cast path: no
+    # date formatter (a failed formatter parse costs an exception per row
+    # inside Spark; a failed cast does not).
+    y, m, d = (F.substring(name, pos, length) for pos, length in slices)
+    return F.when(name.rlike(pattern), F.concat_ws("-", y, m, d).try_cast("date"))
 
 
 def name_date(name: Column, feed: str) -> Column:
     """Date encoded in an archive name of ``feed``, or null."""
-    pattern, fmt = C.FEED_NAME_PATTERNS[feed]
-    return _parse(name, pattern, fmt)
+    pattern, groups = C.FEED_NAME_PATTERNS[feed]
+    return _parse(name, pattern, groups)
 
 
 def ticks_name_date(name: Column) -> Column:
     """Date of a ``YYYY-MM-DD.parquet`` ticks file name, or null."""
-    pattern, fmt = C.TICKS_NAME_PATTERN
-    return _parse(name, pattern, fmt)
+    pattern, groups = C.TICKS_NAME_PATTERN
+    return _parse(name, pattern, groups)
 
 
 def archive_name_date(name: Column) -> list[Column]:

@@ -25,15 +25,19 @@ STATUS_OK, STATUS_FAILED, STATUS_SKIPPED, STATUS_WOULD_RUN = "OK", "FAILED", "SK
 def archived_dates(inventory: DataFrame) -> DataFrame:
     """Distinct ``(feed, file_date)`` of archive names; strangers are ignored."""
     names = inventory.select(basename(F.col("path")).alias("_name"))
-    parsed = names.select(*archive_name_date(F.col("_name")))
-    return parsed.where(F.col("feed").isNotNull()).distinct()
+    feed, file_date = archive_name_date(F.col("_name"))
+    # strangers become an empty (null) array and vanish in the explode; a
+    # Generate, unlike a Filter, keeps the parse in one projection with
+    # common subexpressions computed once
+    keep = F.when(file_date.isNotNull(), F.array(F.struct(feed, file_date)))
+    return names.select(F.inline(keep)).distinct()
 
 
 def ticks_dates(inventory: DataFrame, feed_col: str = "feed") -> DataFrame:
     """Distinct ``(feed, file_date)`` of ``YYYY-MM-DD.parquet`` ticks files."""
-    d = inventory.select(feed_col, ticks_name_date(basename(F.col("path"))).alias("file_date"))
-    return d.where(F.col("file_date").isNotNull()).select(
-        F.col(feed_col).alias("feed"), "file_date").distinct()
+    d = ticks_name_date(basename(F.col("path")))
+    keep = F.when(d.isNotNull(), F.array(F.struct(F.col(feed_col).alias("feed"), d.alias("file_date"))))
+    return inventory.select(F.inline(keep)).distinct()
 
 
 def verify_problem(ticks_present: Column, prov_present: Column, schema_version: Column,

@@ -57,8 +57,12 @@ def tick_lines_from_text(spark: SparkSession, paths) -> DataFrame:
     year = F.regexp_extract(name, TXT_NAME_PATTERN, 3)
     suffix = F.regexp_extract(name, TXT_NAME_PATTERN, 4)
     file_date = F.when(name.rlike(TXT_NAME_PATTERN),
-                       F.try_to_date(F.concat_ws("-", year, month, day), "yyyy-MM-dd"))
+                       F.concat_ws("-", year, month, day).try_cast("date"))
     feed = F.when(suffix == "RV", "RV").when(suffix == "DRV", "DERIV")
-    out = lines.select(feed.alias("feed"), file_date.alias("file_date"),
-                       F.col("line_no").alias("source_row"), "line", "path")
-    return out.where(F.col("feed").isNotNull() & F.col("file_date").isNotNull())
+    # lines of non-tick files vanish in the explode of a null array: one
+    # projection computes the name parse once (a Filter would get the parse
+    # inlined again, without common-subexpression reuse)
+    keep = F.when(feed.isNotNull() & file_date.isNotNull(), F.array(F.struct(
+        feed.alias("feed"), file_date.alias("file_date"),
+        F.col("line_no").alias("source_row"), F.col("line"), F.col("path"))))
+    return lines.select(F.inline(keep))
