@@ -147,3 +147,80 @@ SELECT c.report_date,
 FROM chk c JOIN verdicts v ON c.report_date = v.report_date AND v.status = 'OK'
 GROUP BY c.report_date
 """
+
+DV_BASE = """
+WITH o AS (
+  SELECT *, DATE '2024-01-01' + CAST(o_orderkey % 10 AS INTEGER) AS report_date,
+    CAST(4 + row_number() OVER (PARTITION BY o_orderkey % 10 ORDER BY o_orderkey) AS INTEGER) AS line_no,
+    CAST(o_orderdate AS DATE) AS o_day,
+    CASE WHEN o_orderkey % 7919 = 3 THEN 'abc' ELSE CAST(o_orderkey % 250 AS VARCHAR) END AS c_working,
+    CASE WHEN o_orderkey % 4999 = 17 THEN 'N' WHEN o_orderstatus = 'O' THEN 'FALSE' END AS c_premium
+  FROM orders
+),
+chk AS (
+  SELECT *, NOT regexp_full_match(c_working, '[+-]?[0-9]+(,0*)?') AS b_working,
+    c_premium IS NOT NULL AND c_premium NOT IN ('True', 'TRUE', 'true', 'False', 'FALSE', 'false') AS b_premium
+  FROM o
+),
+agg AS (
+  SELECT report_date, CAST(count(*) AS BIGINT) AS data_rows,
+    count(*) FILTER (WHERE b_working) AS n1, min(line_no) FILTER (WHERE b_working) AS l1,
+    arg_min(c_working, line_no) FILTER (WHERE b_working) AS v1,
+    count(*) FILTER (WHERE b_premium) AS n2, min(line_no) FILTER (WHERE b_premium) AS l2,
+    arg_min(c_premium, line_no) FILTER (WHERE b_premium) AS v2
+  FROM chk GROUP BY report_date
+),
+verdicts AS (
+  SELECT report_date,
+    CASE WHEN n1 > 0 OR n2 > 0 THEN 'REJECTED' ELSE 'OK' END AS status,
+    CASE WHEN n1 > 0 THEN 'working_days_invalid' WHEN n2 > 0 THEN 'premium_upfront_indicator_invalid' END AS rule,
+    CASE WHEN n1 > 0 THEN 'working_days' WHEN n2 > 0 THEN 'premium_upfront_indicator' END AS source_column,
+    CAST(CASE WHEN n1 > 0 THEN n1 WHEN n2 > 0 THEN n2 END AS BIGINT) AS invalid_count,
+    CAST(CASE WHEN n1 > 0 THEN l1 WHEN n2 > 0 THEN l2 END AS INTEGER) AS first_line,
+    CASE WHEN n1 > 0 THEN v1 WHEN n2 > 0 THEN v2 END AS first_value,
+    data_rows
+  FROM agg
+)
+"""
+
+DV_VERDICTS = DV_BASE + "SELECT * FROM verdicts"
+
+DV_ROWS = DV_BASE + """
+SELECT c.report_date, c.line_no,
+  'FUT' || CAST(o_orderkey AS VARCHAR) AS ticker_symbol,
+  o_orderpriority AS asset_code,
+  'CONTRACT ' || CAST(o_custkey AS VARCHAR) AS asset_description,
+  'DERIVATIVES' AS segment,
+  CASE o_orderstatus WHEN 'F' THEN 'FUTURE' WHEN 'O' THEN 'OPTIONS' END AS market,
+  'FUT' AS category,
+  o_day AS expiration_date,
+  'F' || CAST(o_orderkey % 10 AS VARCHAR) AS expiration_code,
+  o_day - 30 AS trading_start_date,
+  CASE WHEN o_orderkey % 4 = 0 THEN DATE '9999-12-31' ELSE o_day END AS trading_end_date,
+  'DOL' AS base_code, CAST(NULL AS VARCHAR) AS conversion_criteria,
+  CAST(NULL AS DATE) AS maturity_date_target,
+  o_orderkey % 3 = 0 AS required_conversion_indicator,
+  'BRBMEF' || lpad(CAST(o_orderkey AS VARCHAR), 6, '0') AS isin_code,
+  'FFDCSX' AS cfi_code,
+  CAST(NULL AS DATE) AS delivery_notice_start_date, CAST(NULL AS DATE) AS delivery_notice_end_date,
+  CASE WHEN o_orderstatus = 'O' THEN 'CALL' END AS option_type,
+  CAST(printf('%.2f', (o_custkey % 50) / 10.0) AS DOUBLE) AS contract_multiplier,
+  CAST(1 AS BIGINT) AS asset_quotation_quantity,
+  CAST(CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_custkey % 100 + 1 END AS BIGINT) AS allocation_lot_size,
+  'BRL' AS trading_currency, 'FINANCIAL' AS delivery_type,
+  CAST(0 AS BIGINT) AS withdrawal_days,
+  CAST(o_orderkey % 250 AS BIGINT) AS working_days,
+  CAST(o_orderkey % 365 AS BIGINT) AS calendar_days,
+  CAST(NULL AS VARCHAR) AS rollover_base_price,
+  CAST(CASE WHEN o_orderkey % 7 = 0 THEN 1 ELSE 0 END AS BIGINT) AS opening_future_position_day,
+  CASE WHEN o_orderkey % 6 = 0 THEN 'C' END AS side_type_code_1,
+  CASE WHEN o_orderkey % 6 = 0 THEN 'DOLF' || CAST(o_orderkey % 10 AS VARCHAR) END AS underlying_ticker_symbol_1,
+  CASE WHEN o_orderkey % 6 = 0 THEN 'V' END AS side_type_code_2,
+  CASE WHEN o_orderkey % 6 = 0 THEN 'DOLG' || CAST(o_orderkey % 10 AS VARCHAR) END AS underlying_ticker_symbol_2,
+  CASE WHEN o_orderstatus = 'O' THEN CAST(printf('%.2f', (o_custkey % 1000) / 4.0) AS DOUBLE) END AS exercise_price,
+  CASE WHEN o_orderstatus = 'O' THEN 'EURO' END AS option_style,
+  'PRICE' AS value_type,
+  CASE WHEN o_orderstatus = 'O' THEN false END AS premium_upfront_indicator,
+  CAST(NULL AS DATE) AS opening_position_limit_date
+FROM chk c JOIN verdicts v ON c.report_date = v.report_date AND v.status = 'OK'
+"""

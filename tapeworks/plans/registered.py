@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from ..operators import convert, provenance, sessions, validate
 from ..sources.rendered import tick_lines_from_events
 from ..operators.layouts import is_perpetual
-from ..sources.rendered import btb_lines_from_lineitem, equities_lines_from_part
+from ..sources.rendered import (btb_lines_from_lineitem, derivatives_lines_from_orders,
+                                equities_lines_from_part)
 from ..functions.calendar import is_business_day
 from ..operators import reconcile, retention, runlog
 from ..sources import derived as D
@@ -113,6 +114,19 @@ def q_report_equities_verdicts(spark, sf_dir):
     return _equities(spark, sf_dir)[1]
 
 
+def _derivatives(spark, sf_dir):
+    return parse_layout(derivatives_lines_from_orders(_table(spark, sf_dir, "orders")),
+                        "InstrumentsDerivatives")
+
+
+def q_report_derivatives_rows(spark, sf_dir):
+    return _derivatives(spark, sf_dir)[0]
+
+
+def q_report_derivatives_verdicts(spark, sf_dir):
+    return _derivatives(spark, sf_dir)[1]
+
+
 def q_report_equities_perpetual(spark, sf_dir):
     rows = _equities(spark, sf_dir)[0]
     return rows.groupBy("report_date").agg(
@@ -232,6 +246,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "report_equities_rows": q_report_equities_rows,
     "report_equities_verdicts": q_report_equities_verdicts,
     "report_equities_perpetual": q_report_equities_perpetual,
+    "report_derivatives_rows": q_report_derivatives_rows,
+    "report_derivatives_verdicts": q_report_derivatives_verdicts,
     "archive_dates": q_archive_dates,
     "archive_verify": q_archive_verify,
     "archive_verify_counts": q_archive_verify_counts,
@@ -261,6 +277,8 @@ ORACLE_SQL: dict[str, str] = {
     "report_equities_rows": OR.EQ_ROWS,
     "report_equities_verdicts": OR.EQ_VERDICTS,
     "report_equities_perpetual": OR.EQ_PERPETUAL,
+    "report_derivatives_rows": OR.DV_ROWS,
+    "report_derivatives_verdicts": OR.DV_VERDICTS,
     "archive_dates": OO.ARCHIVE_DATES,
     "archive_verify": OO.ARCHIVE_VERIFY,
     "archive_verify_counts": OO.ARCHIVE_VERIFY_COUNTS,

@@ -304,3 +304,63 @@ def equities_lines_from_part(part: DataFrame) -> DataFrame:
     """Instruments report files (one per day): 4 preamble lines, rows, 1 footer line."""
     return _report_file(equities_raw(part), equities_line, EQUITIES_PREAMBLE, EQUITIES_FOOTER,
                         ["p_partkey"])
+
+
+DERIVATIVES_PREAMBLE = ["Cadastro de instrumentos (derivativos)", "Glossário: consulte o site", "",
+                        "Instrumento;Ativo;Descrição;Segmento;Mercado;Categoria;..."]
+DERIVATIVES_FOOTER = ["Informações sujeitas a alteração; consulte o site"]
+DERIVATIVES_DAYS = 10
+
+
+def derivatives_raw(orders: DataFrame) -> DataFrame:
+    rd = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("o_orderkey") % DERIVATIVES_DAYS).cast("int"))
+    return orders.select(rd.alias("report_date"), "o_orderkey", "o_custkey", "o_orderstatus",
+                         F.to_date("o_orderdate").alias("o_day"), "o_orderpriority")
+
+
+def derivatives_line():
+    k, cust, st = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderstatus")
+    dmy = lambda c: F.date_format(c, "dd/MM/yyyy")
+    roll = k % 6 == 0
+    is_opt = st == "O"
+    cells = [
+        F.concat(F.lit("FUT"), k.cast("string")),
+        F.col("o_orderpriority"),
+        F.concat(F.lit("CONTRACT "), cust.cast("string")),
+        F.lit("DERIVATIVES"),
+        F.when(st == "F", "FUTURE").when(is_opt, "OPTIONS").otherwise("-"),
+        F.lit("FUT"),
+        dmy(F.col("o_day")),
+        F.concat(F.lit("F"), (k % 10).cast("string")),
+        dmy(F.date_sub(F.col("o_day"), 30)),
+        F.when(k % 4 == 0, "31/12/9999").otherwise(dmy(F.col("o_day"))),
+        F.lit("DOL"), F.lit("-"), F.lit("-"),
+        F.when(k % 3 == 0, "TRUE").otherwise("false"),
+        F.concat(F.lit("BRBMEF"), F.lpad(k.cast("string"), 6, "0")),
+        F.lit("FFDCSX"), F.lit("-"), F.lit("-"),
+        F.when(is_opt, "CALL").otherwise("-"),
+        _comma2((cust % 50) / F.lit(10.0)),
+        F.lit("1"),
+        F.when(k % 5 == 0, "-").otherwise((cust % 100 + 1).cast("string")),
+        F.lit("BRL"), F.lit("FINANCIAL"), F.lit("0"),
+        F.when(k % 7919 == 3, "abc").otherwise((k % 250).cast("string")),
+        (k % 365).cast("string"),
+        F.lit("-"),
+        F.when(k % 7 == 0, "1,0").otherwise("0"),
+        F.when(roll, "C").otherwise("-"),
+        F.when(roll, F.concat(F.lit("DOLF"), (k % 10).cast("string"))).otherwise("-"),
+        F.when(roll, "V").otherwise("-"),
+        F.when(roll, F.concat(F.lit("DOLG"), (k % 10).cast("string"))).otherwise("-"),
+        F.when(is_opt, _comma2((cust % 1000) / F.lit(4.0))).otherwise("-"),
+        F.when(is_opt, "EURO").otherwise("-"),
+        F.lit("PRICE"),
+        F.when(k % 4999 == 17, "N").when(is_opt, "FALSE").otherwise("-"),
+        F.lit("-"),
+    ]
+    return F.concat_ws(";", *cells)
+
+
+def derivatives_lines_from_orders(orders: DataFrame) -> DataFrame:
+    """Derivatives instruments report files: 4 preamble lines, rows, 1 footer line."""
+    return _report_file(derivatives_raw(orders), derivatives_line, DERIVATIVES_PREAMBLE,
+                        DERIVATIVES_FOOTER, ["o_orderkey"])
