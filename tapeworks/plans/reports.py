@@ -39,8 +39,10 @@ def archive_raw_lines(lines: DataFrame, root: str) -> None:
 
     Dynamic overwrite: re-landing a report-date replaces only its partition.
     """
+    # one task per (report, date, block of lines) - never a whole report-year
+    block = F.floor(F.col("line_no") / F.lit(1_000_000))
     (lines.withColumn("year", F.year("report_date"))
-          .repartition("section", "api_name", "year")
+          .repartition("section", "api_name", "report_date", block)
           .sortWithinPartitions("report_date", "line_no")
           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
           .partitionBy("section", "api_name", "year").parquet(root))

@@ -18,6 +18,10 @@ from .. import contract as C
 from ..operators import convert, provenance, validate
 
 
+# Lines per output file inside one (feed, date) partition directory.
+ROWS_PER_FILE = 1_000_000
+
+
 @dataclass
 class TickBatch:
     verdicts: DataFrame
@@ -58,7 +62,8 @@ def write_ticks(batch: TickBatch, root: str, skip_existing: bool = False) -> Non
     """Write published ticks and their provenance under ``root``.
 
     Layout: ``ticks/feed=/year=/file_date=`` (``file_date`` copies
-    ``reference_date``, which stays inside the files) and
+    ``reference_date``, which stays inside the files; a day of more than
+    :data:`ROWS_PER_FILE` lines is written as several files) and
     ``provenance/feed=/year=``.  Overwrite is dynamic: only the (feed, date)
     partitions of this batch are replaced, so a date rejected now keeps its
     previous output.  ``skip_existing`` leaves already published dates
@@ -72,8 +77,12 @@ def write_ticks(batch: TickBatch, root: str, skip_existing: bool = False) -> Non
             done = existing.select("feed", "file_date").distinct()
             ticks = ticks.join(done, validate.FILE_KEYS, "left_anti")
             prov = prov.join(done, validate.FILE_KEYS, "left_anti")
+    # A hot day must not land in one writer task: each (feed, date) is cut
+    # into chunks of consecutive lines, written as separate files of the same
+    # partition directory, each in TXT order (source_row recovers the whole).
+    chunk = F.floor(F.col("source_row") / F.lit(ROWS_PER_FILE))
     out = (ticks.withColumn("year", F.year("file_date"))
-                .repartition("feed", "file_date")
+                .repartition("feed", "file_date", chunk)
                 .sortWithinPartitions("feed", "file_date", "source_row")
                 .select("feed", "year", "file_date", *C.CONTRACT_COLUMNS))
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -207,3 +207,23 @@ def test_dst_day_outside_the_gap_is_fine(spark, tmp_path):
     ms = b.ticks.select(F.unix_millis("timestamp").alias("ms")).first().ms
     # 01:30 local on the first DST day is UTC-2
     assert ms == int(dt.datetime(2018, 11, 4, 3, 30, tzinfo=dt.timezone.utc).timestamp() * 1000)
+
+
+def test_hot_day_is_written_by_several_tasks(spark, tmp_path, monkeypatch):
+    import glob
+
+    from tapeworks.plans import ticks as T
+    monkeypatch.setattr(T, "ROWS_PER_FILE", 10)
+    loc = _one_zip(tmp_path, [tick_line(trade_id=str(i)) for i in range(35)])
+    out = str(tmp_path / "lake")
+    # AQE would merge these tiny chunks into one task; at scale it merges
+    # only up to its advisory size, so a hot day stays spread out
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_ticks(process_archives(spark, loc), out)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = glob.glob(f"{out}/ticks/feed=RV/year=2026/file_date={DAY}/*.parquet")
+    assert len(files) >= 2
+    back = read_ticks(spark, out, "RV", [DAY]).orderBy("source_row").collect()
+    assert [r.source_row for r in back] == list(range(2, 37))
