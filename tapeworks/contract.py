@@ -79,8 +79,8 @@ PROVENANCE_FIELDS = (
 )
 PROVENANCE_SCHEMA = T.StructType([T.StructField(n, t, True) for n, t in PROVENANCE_FIELDS])
 PROVENANCE_DDL = ", ".join(f"{n} {t.simpleString()}" for n, t in PROVENANCE_FIELDS)
-# Footer key under which reference-layout Parquet files carry provenance.
-PROVENANCE_FOOTER_KEY = "b3_data_collector"
+# Footer metadata key under which externally written Parquet files carry
+# their provenance JSON is given by the caller (see sources.inventory).
 
 # Code meanings (unknown codes are published, never rejected).
 UPDATE_ACTION_NEW = 0

@@ -52,7 +52,15 @@ def _contract_arrow_schema() -> pa.Schema:
     return pa.schema([pa.field(n, types[n], nullable) for n, _, nullable in C.CONTRACT_FIELDS])
 
 
-def _read_footers(batches):
+def _footer_reader(footer_key: str):
+    key = footer_key.encode()
+
+    def read(batches):
+        return _read_footers(batches, key)
+    return read
+
+
+def _read_footers(batches, key: bytes):
     import pyarrow.fs as pafs
     import pyarrow.parquet as pq
     contract = _contract_arrow_schema()
@@ -65,7 +73,7 @@ def _read_footers(batches):
                 schema = pq.read_schema(inner, filesystem=fs)
                 readable = True
                 meta = schema.metadata or {}
-                raw = meta.get(C.PROVENANCE_FOOTER_KEY.encode())
+                raw = meta.get(key)
                 prov = raw.decode("utf-8") if raw is not None else None
                 matches = schema.remove_metadata().equals(contract)
             except Exception as exc:  # noqa: BLE001 - reported per file
@@ -78,16 +86,18 @@ def _read_footers(batches):
         yield pa.RecordBatch.from_pydict(out, schema=_FOOTER_OUT)
 
 
-def read_footers(paths: DataFrame) -> DataFrame:
-    """Footer facts of Parquet files written in the reference layout.
+def read_footers(paths: DataFrame, footer_key: str) -> DataFrame:
+    """Footer facts of externally written Parquet tick files.
 
-    ``paths`` has a ``path`` column (URIs).  The provenance JSON is parsed
+    ``paths`` has a ``path`` column (URIs); ``footer_key`` is the metadata key
+    that holds the provenance JSON in those files.  The JSON is parsed
     with :data:`contract.PROVENANCE_DDL`; a missing key gives null, a
     malformed payload gives a null struct.
     """
     spark = paths.sparkSession
     n = max(1, spark.sparkContext.defaultParallelism)
-    footers = paths.select("path").repartition(n).mapInArrow(_read_footers, FOOTER_SCHEMA)
+    footers = paths.select("path").repartition(n).mapInArrow(_footer_reader(footer_key),
+                                                             FOOTER_SCHEMA)
     return footers.withColumn("prov", F.from_json("provenance", C.PROVENANCE_DDL))
 
 

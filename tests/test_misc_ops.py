@@ -14,6 +14,9 @@ from tapeworks.sources.catalog import catalog, enabled_reports, unknown_reports
 from tapeworks.sources.inventory import _contract_arrow_schema, list_files, read_footers
 
 
+FOOTER_KEY = "collector_provenance"
+
+
 def test_footer_scan(spark, tmp_path):
     schema = _contract_arrow_schema()
     table = pa.Table.from_pylist([], schema=schema)
@@ -21,11 +24,12 @@ def test_footer_scan(spark, tmp_path):
             "source_txt_name": "t", "source_txt_row_count": 3, "schema_version": 1, "row_count": 3,
             "timestamp_null_count": 0, "timezone": C.TIMEZONE, "collector_version": "1",
             "collector_commit": None, "created_at_utc": "2026-07-01T00:00:00+00:00"}
-    pq.write_table(table.replace_schema_metadata({C.PROVENANCE_FOOTER_KEY: json.dumps(prov)}),
+    pq.write_table(table.replace_schema_metadata({FOOTER_KEY: json.dumps(prov)}),
                    tmp_path / "2026-06-30.parquet")
     pq.write_table(pa.table({"x": [1]}), tmp_path / "2026-06-29.parquet")
     (tmp_path / "2026-06-28.parquet").write_bytes(b"not parquet")
-    f = {r.path.rsplit("/", 1)[-1]: r for r in read_footers(list_files(spark, str(tmp_path))).collect()}
+    f = {r.path.rsplit("/", 1)[-1]: r for r in
+         read_footers(list_files(spark, str(tmp_path)), FOOTER_KEY).collect()}
     ok = f["2026-06-30.parquet"]
     assert ok.readable and ok.schema_matches and ok.prov.row_count == 3 and ok.prov.feed == "RV"
     assert f["2026-06-29.parquet"].provenance is None and f["2026-06-29.parquet"].schema_matches is False
