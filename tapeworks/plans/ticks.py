@@ -184,3 +184,29 @@ def write_rebuild_report(report: DataFrame, path: str) -> None:
             "other_session_row_count", "error"]
     (report.select(*cols).orderBy("feed", "trade_date").coalesce(1)
            .write.mode("overwrite").option("header", True).csv(path))
+
+
+def run_log(batch: TickBatch, started=None) -> DataFrame:
+    """Date-level run rows (RUN-2) for one batch: stage statuses, tick count, error.
+
+    ``download`` is SUCCESS for every file that was found (fetching is not
+    part of the library); ``extract``/``partition`` fail with the file's
+    verdict; ``tick_count`` is set only for published files.
+    """
+    from ..operators import runlog
+    facts = provenance.tick_facts(batch.ticks).select("feed", "file_date", "row_count")
+    v = batch.verdicts.join(facts, validate.FILE_KEYS, "left")
+    ok = F.col("status") == "OK"
+    t0 = started if started is not None else F.current_timestamp().cast("timestamp_ntz")
+    return v.select(
+        "feed", F.col("file_date").alias("trade_date"),
+        F.lit(runlog.SUCCESS).alias("download"),
+        F.when(ok, runlog.SUCCESS).otherwise(runlog.FAILED).alias("extract"),
+        F.when(ok, runlog.SUCCESS).otherwise(runlog.SKIPPED).alias("partition"),
+        F.lit(runlog.SKIPPED).alias("s3_upload"),
+        F.lit(runlog.SKIPPED).alias("ticks_s3_upload"),
+        F.when(ok, F.coalesce(F.col("row_count"), F.lit(0))).alias("tick_count"),
+        runlog.accumulate_errors(F.when(~ok, F.concat(F.lit("extract: "), F.col("message"))))
+        .alias("error"),
+        t0.alias("started"), t0.alias("finished"),
+    )

@@ -132,3 +132,18 @@ def test_read_by_dates_from_archive_files(spark, tmp_path):
         read_report_by_dates(spark, lines, "NoSuchReport", ["2026-06-30"])
     with pytest.raises(NotImplementedError):
         read_report_by_dates(spark, lines, "Trade", ["2026-06-30"])
+
+
+def test_spreadsheet_na_words_are_opt_in(spark):
+    from tapeworks.functions.strict import SPREADSHEET_NA
+    cols = (("ticker", "string"), ("qty", "int"))
+    plain = ReportLayout("T1", 0, 0, cols)
+    words = ReportLayout("T2", 0, 0, cols, na_values=SPREADSHEET_NA + ("-",))
+    lines = _lines(spark, ["NA;1", "-;NULL"])
+    rows, verdicts = parse_report(lines, plain, ["report_date"])
+    assert verdicts.first().rule == "qty_invalid"          # 'NULL' is not an integer by default
+    rows, verdicts = parse_report(lines, words, ["report_date"])
+    got = {(r.ticker, r.qty) for r in rows.collect()}
+    assert verdicts.first().status == "OK" and got == {(None, None), (None, 1)}
+    rows, _ = parse_report(_lines(spark, ["NA;1"]), plain, ["report_date"])
+    assert rows.first().ticker == "NA"                     # a ticker called NA survives

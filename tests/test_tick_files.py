@@ -227,3 +227,17 @@ def test_hot_day_is_written_by_several_tasks(spark, tmp_path, monkeypatch):
     assert len(files) >= 2
     back = read_ticks(spark, out, "RV", [DAY]).orderBy("source_row").collect()
     assert [r.source_row for r in back] == list(range(2, 37))
+
+
+def test_run_log_from_batch(spark, tmp_path):
+    from tapeworks.operators.runlog import date_summary
+    from tapeworks.plans.ticks import run_log
+    folder = tmp_path / "zips"
+    folder.mkdir()
+    write_zip(str(folder), "RV", DAY, {txt_name("RV", DAY): tick_text([tick_line()] * 3)})
+    write_zip(str(folder), "DERIV", DAY, {txt_name("DERIV", DAY): tick_text([tick_line(price="x")])})
+    log = {r.feed: r for r in run_log(process_archives(spark, str(folder))).collect()}
+    assert log["RV"].tick_count == 3 and log["RV"].error is None and log["RV"].extract == "SUCCESS"
+    assert log["DERIV"].extract == "FAILED" and log["DERIV"].error.startswith("extract: column PrecoNegocio")
+    s = date_summary(run_log(process_archives(spark, str(folder)))).first()
+    assert (s.total, s.succeeded, s.failed) == (2, 1, 1)
