@@ -7,8 +7,12 @@ produced, nothing is collected to the driver).  Every headline query is
 first run once on the smallest tables (``BENCH_WARM_DIR``, default sf0.001)
 so generated code is compiled and the JIT is warm: the timed runs measure
 steady-state throughput, as in a long-running job, not one-off compilation.
-``value`` is the sum of the query times; ``lines_per_sec`` is tick text
-lines rendered, validated and converted per second by the flagship job.
+``value`` is the sum of the query times.  The headline queries include
+rendering the driver tables into exchange text (the test fixture).  The
+ingest timings exclude it: text lines are rendered and materialised once,
+untimed, then only the library's work is timed - tick lines through
+validation, typed conversion and per-file facts (``tick_lines_per_sec``),
+and lending-report lines through layout parsing (``report_lines_per_sec``).
 """
 
 from __future__ import annotations
@@ -39,6 +43,32 @@ HEADLINE = [
 ]
 
 
+def ingest_timings(spark, sf_dir: str) -> dict:
+    from tapeworks.plans.reports import parse_layout
+    from tapeworks.plans.ticks import process_lines, rebuild_report
+    from tapeworks.sources.rendered import btb_lines_from_lineitem, tick_lines_from_events
+
+    def noop(df):
+        df.write.format("noop").mode("overwrite").save()
+
+    tick_lines = tick_lines_from_events(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    report_lines = btb_lines_from_lineitem(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
+    n_tick, n_report = tick_lines.count(), report_lines.count()
+    for _ in range(2):  # first round warms the code cache for these exact plans
+        t0 = time.perf_counter()
+        b = process_lines(tick_lines)
+        noop(rebuild_report(b.verdicts, b.ticks))
+        t_tick = time.perf_counter() - t0
+        t0 = time.perf_counter()
+        rows, verdicts = parse_layout(report_lines, "BTBLoanBalance")
+        noop(rows)
+        t_report = time.perf_counter() - t0
+    return {"tick_ingest_sec": round(t_tick, 3), "tick_lines": n_tick,
+            "tick_lines_per_sec": round(n_tick / t_tick, 1),
+            "report_parse_sec": round(t_report, 3), "report_lines": n_report,
+            "report_lines_per_sec": round(n_report / t_report, 1)}
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -55,8 +85,7 @@ def main() -> None:
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)
 
-    n_lines = spark.read.parquet(f"{sf_dir}/events.parquet").count()
-    lines_per_sec = round(n_lines / times["tick_rebuild_report"], 1)
+    ingest = ingest_timings(spark, sf_dir)
     sf = sf_dir.rstrip("/").rsplit("sf", 1)[-1]
     print(json.dumps({
         "metric": "headline_total_sec",
@@ -64,7 +93,9 @@ def main() -> None:
         "unit": "sec",
         "queries": times,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
-        "lines_per_sec": lines_per_sec,
+        "ingest": ingest,
+        "tick_lines_per_sec": ingest["tick_lines_per_sec"],
+        "report_lines_per_sec": ingest["report_lines_per_sec"],
         "cpus": cpus,
     }))
     spark.stop()

@@ -131,23 +131,32 @@ def local_time_invalid(date_text: Column | str, time_text: Column | str,
                       F.lit(False))
 
 
+_DST_DAYS: dict = {}
+
+
 def dst_transition_days(spark, tz: str = C.TIMEZONE, first_year: int = 1900,
                         last_year: int = 2100):
     """``(day DATE)`` of every local day whose UTC offset changes in ``tz``.
 
     Bounded by construction (about two days a year over the range), so it
     is a dimension that can be broadcast; wall-time checks for DST gaps and
-    overlaps only need to run on rows of these days.
+    overlaps only need to run on rows of these days.  Computed by Spark from
+    the JVM's zone rules once per zone, then kept as a small local table.
     """
-    days = spark.range(1).select(F.explode(F.sequence(
-        F.make_date(F.lit(first_year), F.lit(1), F.lit(1)),
-        F.make_date(F.lit(last_year), F.lit(12), F.lit(31)))).alias("day"))
-    start = F.col("day").cast("timestamp_ntz")
-    end = F.date_add("day", 1).cast("timestamp_ntz")
-    # offset = wall clock minus UTC, at the start and at the end of the day
-    off0 = F.unix_seconds(F.to_utc_timestamp(start, tz)) - F.unix_seconds(F.to_utc_timestamp(start, "UTC"))
-    off1 = F.unix_seconds(F.to_utc_timestamp(end, tz)) - F.unix_seconds(F.to_utc_timestamp(end, "UTC"))
-    return days.where(off0 != off1)
+    key = (tz, first_year, last_year)
+    if key not in _DST_DAYS:
+        days = spark.range(1).select(F.explode(F.sequence(
+            F.make_date(F.lit(first_year), F.lit(1), F.lit(1)),
+            F.make_date(F.lit(last_year), F.lit(12), F.lit(31)))).alias("day"))
+        start = F.col("day").cast("timestamp_ntz")
+        end = F.date_add("day", 1).cast("timestamp_ntz")
+        # offset = wall clock minus UTC, at the start and at the end of the day
+        off0 = (F.unix_seconds(F.to_utc_timestamp(start, tz))
+                - F.unix_seconds(F.to_utc_timestamp(start, "UTC")))
+        off1 = (F.unix_seconds(F.to_utc_timestamp(end, tz))
+                - F.unix_seconds(F.to_utc_timestamp(end, "UTC")))
+        _DST_DAYS[key] = [r.day for r in days.where(off0 != off1).collect()]
+    return spark.createDataFrame([(d,) for d in _DST_DAYS[key]], "day date")
 
 
 def empty_to_null(c: Column | str) -> Column:

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import strict as S
+from ..session import cut_lineage
 from .validate import decide, offences, offending_values
 
 STRICT_KINDS = ("date_strict", "int", "bool", "percent")
@@ -137,13 +138,13 @@ def parse_report(lines: DataFrame, layout: ReportLayout, keys: list[str]):
     decided = decide(per_file, [(rule, col) for rule, col, _, _ in checks])
     vals = offending_values(body, decided, keys, {rule: value for rule, _, _, value in checks},
                             line_col="line_no")
-    verdicts = decided.join(vals, keys, "left").select(
+    verdicts = cut_lineage(decided.join(vals, keys, "left").select(
         *keys,
         F.when(F.col("_v.rule").isNull(), "OK").otherwise("REJECTED").alias("status"),
         F.col("_v.rule").alias("rule"), F.col("_v.column").alias("source_column"),
         F.col("_v.n").alias("invalid_count"), F.col("_v.line").alias("first_line"),
         F.col("_value").alias("first_value"),
-        F.col("data_rows").cast("bigint").alias("data_rows"))
+        F.col("data_rows").cast("bigint").alias("data_rows")))
     ok = verdicts.where(F.col("status") == "OK").select(*keys)
     rows = body.join(ok, keys, "left_semi").select(*keys, "line_no", *typed)
     return rows, verdicts

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from .. import contract as C
 from ..operators import convert, provenance, validate
+from ..session import cut_lineage
 
 
 # Lines per output file inside one (feed, date) partition directory.
@@ -32,7 +33,13 @@ class TickBatch:
 def process_lines(lines: DataFrame, files: DataFrame | None = None,
                   sources: DataFrame | None = None, build_id: str | None = None,
                   collector_version: str = "0") -> TickBatch:
-    verdicts = validate.file_verdicts(lines, files)
+    """Verdicts, typed ticks and provenance for a lines DataFrame.
+
+    Verdicts (one row per file) are materialised once in the checkpoint
+    folder: the full pass over the lines that produces them runs once, and
+    every consumer (routing, provenance, reports) reads a small table.
+    """
+    verdicts = cut_lineage(validate.file_verdicts(lines, files))
     ticks = convert.typed_ticks(validate.accepted_lines(lines, verdicts))
     facts = provenance.tick_facts(ticks)
     prov = provenance.provenance_rows(facts, verdicts, sources, collector_version, build_id)
@@ -157,7 +164,7 @@ def process_archive_frame(raw: DataFrame, build_id: str | None = None,
     problems = archives.archive_problems(scan)
     lines = archives.archive_lines(scan)
     verdicts = validate.file_verdicts(lines, problems.select("feed", "file_date"))
-    verdicts = merge_archive_problems(verdicts, problems)
+    verdicts = cut_lineage(merge_archive_problems(verdicts, problems))
     ticks = convert.typed_ticks(validate.accepted_lines(lines, verdicts))
     facts = provenance.tick_facts(ticks)
     prov = provenance.provenance_rows(facts, verdicts, problems, collector_version, build_id)
