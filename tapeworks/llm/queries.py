@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import secrets
 from .common import documents
 from .pii import pii_report
 
@@ -12,8 +13,15 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_report(documents(spark, sf_dir))
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_report(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
+    "op2_secrets": op2_secrets,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_secrets": secrets.ORACLE,
+}
