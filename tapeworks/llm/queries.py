@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import secrets
+from . import secrets, simhash
 from .common import documents
 from .pii import pii_report
 
@@ -17,9 +17,14 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(documents(spark, sf_dir))
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_report(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_secrets": op2_secrets,
+    "op4_simhash": op4_simhash,
 }
 
 ORACLE_SQL: dict[str, str] = {
