@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import secrets, simhash
+from . import mixing, secrets, simhash
 from .common import documents
 from .pii import pii_report
 
@@ -21,10 +21,15 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_report(documents(spark, sf_dir))
 
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixing_report(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_secrets": op2_secrets,
     "op4_simhash": op4_simhash,
+    "op10_mixing": op10_mixing,
 }
 
 ORACLE_SQL: dict[str, str] = {
