@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, secrets, simhash
+from . import mixing, packing, secrets, simhash
 from .common import documents
 from .pii import pii_report
 
@@ -25,11 +25,16 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_report(documents(spark, sf_dir))
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packing_report(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_secrets": op2_secrets,
     "op4_simhash": op4_simhash,
     "op10_mixing": op10_mixing,
+    "op7_packing": op7_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {
