@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from .common import WorkTables, number_rows, tag_rows
 
-CHUNK = 20_000
+CHUNK = 2_000
 FAN_IN = 256
 MOST = 3  # times a document, and a source, is repeated at most
 EDGE = 1e-9
