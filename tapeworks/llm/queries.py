@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, secrets, simhash
+from . import mixing, packing, secrets, simhash, toxicity
 from .common import documents
 from .pii import pii_report
 
@@ -21,6 +21,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_report(documents(spark, sf_dir))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_report(documents(spark, sf_dir))
 
@@ -33,6 +37,7 @@ QUERIES = {
     "op1_pii": op1_pii,
     "op2_secrets": op2_secrets,
     "op4_simhash": op4_simhash,
+    "op9_toxicity": op9_toxicity,
     "op10_mixing": op10_mixing,
     "op7_packing": op7_packing,
 }
