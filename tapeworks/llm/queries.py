@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, secrets, simhash, toxicity
+from . import mixing, packing, secrets, sharding, simhash, toxicity
 from .common import documents
 from .pii import pii_report
 
@@ -29,6 +29,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_report(documents(spark, sf_dir))
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharding_report(documents(spark, sf_dir))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packing_report(documents(spark, sf_dir))
 
@@ -39,6 +43,7 @@ QUERIES = {
     "op4_simhash": op4_simhash,
     "op9_toxicity": op9_toxicity,
     "op10_mixing": op10_mixing,
+    "op6_sharding": op6_sharding,
     "op7_packing": op7_packing,
 }
 
