@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from .common import WorkTables, number_rows, tag_rows
 
 SHARDS = 16
-ROUNDS = 6
+ROUNDS = 8
 
 
 def capacities(total: int, shards: int) -> Column:
