@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, secrets, sharding, simhash, toxicity
-from .common import documents
+from . import mixing, packing, secrets, sharding, simhash, topk, toxicity
+from .common import documents, embeddings
 from .pii import pii_report
 
 
@@ -21,6 +21,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_report(documents(spark, sf_dir))
 
 
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.topk_report(embeddings(spark, sf_dir))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -41,6 +45,7 @@ QUERIES = {
     "op1_pii": op1_pii,
     "op2_secrets": op2_secrets,
     "op4_simhash": op4_simhash,
+    "op8_topk": op8_topk,
     "op9_toxicity": op9_toxicity,
     "op10_mixing": op10_mixing,
     "op6_sharding": op6_sharding,
@@ -48,5 +53,6 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op8_topk": topk.ORACLE,
     "op2_secrets": secrets.ORACLE,
 }
