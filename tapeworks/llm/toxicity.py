@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 from .common import WorkTables
 
 SIZES = (3, 4, 5, 6)
-FIT_ROWS = 6000
-FEATURES = 8192
+FIT_ROWS = 4000
+FEATURES = 2048
 LEAST_TEXTS = 3
 PENALTY = 1.0
 THRESHOLD = 0.7
@@ -121,17 +121,26 @@ def lookup(names: np.ndarray) -> np.ndarray:
 
 
 def regress(rows: list[np.ndarray], y: np.ndarray, scale: np.ndarray, penalty: float = PENALTY,
-            steps: int = 25, inner: int = 40) -> tuple[np.ndarray, float]:
+            steps: int = 20, inner: int = 30) -> tuple[np.ndarray, float]:
     """L2-regularised logistic regression on scaled presence features (Newton, conjugate gradients)."""
-    at = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    col = np.concatenate(rows)
-    value, n, f = scale[col], len(y), len(scale)
+    n, f = len(y), len(scale)
+    length = np.array([len(r) for r in rows], np.int64)
+    col, ends = np.concatenate(rows), np.append(0, np.cumsum(length))
+    cuts = np.unique(np.append(np.searchsorted(ends, np.arange(0, ends[-1], 1 << 20)), [0, n]))
+    parts = list(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))  # rows of about a million features
 
     def margin(v: np.ndarray) -> np.ndarray:
-        return np.bincount(at, value * v[col], n) + v[f]
+        weight, out = scale * v[:f], np.zeros(n)
+        for i, j in parts:
+            at = np.repeat(np.arange(j - i), length[i:j])
+            out[i:j] = np.bincount(at, weight[col[ends[i]:ends[j]]], j - i)
+        return out + v[f]
 
     def back(g: np.ndarray) -> np.ndarray:
-        return np.append(np.bincount(col, value * g[at], f), g.sum())
+        out = np.zeros(f)
+        for i, j in parts:
+            out += np.bincount(col[ends[i]:ends[j]], np.repeat(g[i:j], length[i:j]), f)
+        return np.append(scale * out, g.sum())
 
     ridge = np.append(np.full(f, penalty), 1e-6)  # the bias is free
 
@@ -146,17 +155,17 @@ def regress(rows: list[np.ndarray], y: np.ndarray, scale: np.ndarray, penalty: f
         step, rest = np.zeros(f + 1), -gradient
         way, size = rest, float(rest @ rest)
         for _ in range(inner):
-            if size < 1e-6 * float(gradient @ gradient):
+            if size < 1e-2 * float(gradient @ gradient):
                 break
             bent = back(curve * margin(way)) + ridge * way
             far = size / float(way @ bent)
             step, rest = step + far * way, rest - far * bent
             size, old = float(rest @ rest), size
             way = rest + size / old * way
-        length = 1.0
-        while loss(v + length * step) > now and length > 1e-4:
-            length /= 2
-        v = v + length * step
+        part = 1.0
+        while loss(v + part * step) > now and part > 1e-4:
+            part /= 2
+        v = v + part * step
         last, now = now, loss(v)
         if last - now < 1e-6 * n:
             break
@@ -196,13 +205,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
 
     def run(batches):
         for x in batches:
-            found = [present(t.as_py(), table, names).astype(np.int32).tolist() for t in x.column(1)]
-            yield pa.RecordBatch.from_arrays([x.column(0), pa.array(found, pa.list_(pa.int32()))],
-                                             names=["toxic", "found"])
+            found = [present(t.as_py(), table, names).astype("<u2").tobytes() for t in x.column(1)]
+            yield pa.RecordBatch.from_arrays([x.column(0), pa.array(found, pa.binary())], names=["toxic", "found"])
 
-    seen = train.select("toxic", "_text").mapInArrow(run, "toxic boolean, found array<int>").collect()
-    seen.sort(key=lambda r: (r.toxic, r.found))  # sums must not depend on the order of tasks
-    w, bias = regress([np.array(r.found, np.int64) for r in seen], np.array([r.toxic for r in seen], float), scale)
+    # at most 2 x ``rows`` rows of at most ``features`` two-byte numbers
+    seen = sorted(map(tuple, train.select("toxic", "_text").mapInArrow(run, "toxic boolean, found binary").collect()))
+    w, bias = regress([np.frombuffer(f, "<u2") for _, f in seen], np.array([y for y, _ in seen], float), scale)
     return Model(names, w * scale, bias)
 
 
