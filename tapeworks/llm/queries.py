@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, secrets, sharding, simhash, topk, toxicity
+from . import ann, mixing, packing, secrets, sharding, simhash, topk, toxicity
 from .common import documents, embeddings
 from .pii import pii_report
 
@@ -33,6 +33,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_report(documents(spark, sf_dir))
 
 
+def op5_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.ann_report(embeddings(spark, sf_dir))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharding_report(documents(spark, sf_dir))
 
@@ -48,6 +52,7 @@ QUERIES = {
     "op8_topk": op8_topk,
     "op9_toxicity": op9_toxicity,
     "op10_mixing": op10_mixing,
+    "op5_ann": op5_ann,
     "op6_sharding": op6_sharding,
     "op7_packing": op7_packing,
 }
