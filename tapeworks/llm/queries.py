@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, mixing, packing, secrets, sharding, simhash, topk, toxicity
+from . import ann, licenses, mixing, packing, secrets, sharding, simhash, topk, toxicity
 from .common import documents, embeddings
 from .pii import pii_report
 
@@ -17,6 +17,10 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(documents(spark, sf_dir))
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_report(documents(spark, sf_dir))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_report(documents(spark, sf_dir))
 
@@ -48,6 +52,7 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_secrets": op2_secrets,
+    "op3_licenses": op3_licenses,
     "op4_simhash": op4_simhash,
     "op8_topk": op8_topk,
     "op9_toxicity": op9_toxicity,
@@ -58,6 +63,7 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_licenses": licenses.ORACLE,
     "op8_topk": topk.ORACLE,
     "op2_secrets": secrets.ORACLE,
 }
