@@ -103,8 +103,8 @@ def allowed(value: Column) -> Column:
 
 
 def find_secrets(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
-    """``keep`` columns, the text as ``_text``, ``base``, ``found`` (all spans in
-    order of start, then kind) and ``suppressed`` (allow-listed candidates)."""
+    """``keep`` columns, the text (null: empty) as ``_text``, ``base``, ``found`` (all
+    spans in order of start, then kind) and ``suppressed`` (allow-listed candidates)."""
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
     raw = docs.select(*keep, t.alias("_text"))
     scanned = raw.select(

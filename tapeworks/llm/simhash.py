@@ -233,7 +233,7 @@ def _signature(edges: DataFrame):
 
 def near_duplicates(docs: DataFrame, keep: list[str], id_col: str = "doc_id", text: str = "text",
                     shingle: int = 3, bits: int = 2, leaf: int = LEAF) -> DataFrame:
-    """``keep`` columns (with ``id_col``), ``fp`` and ``component_id``."""
+    """``keep`` columns (with ``id_col``), ``fp``, ``root`` (the component's least fingerprint) and ``component_id``."""
     tables = WorkTables(docs.sparkSession, "simhash")
     rows = tables.keep(fingerprints(docs, keep, text, shingle), "rows")
     prints = tables.keep(rows.groupBy("fp").agg(F.min(id_col).alias("least")), "prints")
@@ -241,8 +241,24 @@ def near_duplicates(docs: DataFrame, keep: list[str], id_col: str = "doc_id", te
     linked = prints.join(roots, prints["fp"] == roots["node"], "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     label = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    final = tables.keep(linked.join(label, "root").select(F.col("fp").alias("_fp"), "component_id"), "labels")
-    return rows.join(final, rows["fp"] == final["_fp"]).select(*keep, "fp", "component_id")
+    final = tables.keep(linked.join(label, "root").select(F.col("fp").alias("_fp"), "root", "component_id"), "labels")
+    return rows.join(final, rows["fp"] == final["_fp"]).select(*keep, "fp", "root", "component_id")
+
+
+def representatives(docs: DataFrame, keep: list[str], id_col: str = "doc_id", text: str = "text",
+                    shingle: int = 3, bits: int = 2) -> DataFrame:
+    """``keep`` columns of one row per component: that with the smallest id (a null id last).
+
+    Only ids, fingerprints and row places are compared; texts are read once
+    more to take the chosen rows.
+    """
+    tables = WorkTables(docs.sparkSession, "simhash-kept")
+    tagged = tables.keep(docs.select(*keep, F.monotonically_increasing_id().alias("_row")), "docs")
+    near = near_duplicates(tagged, ["_row", id_col], id_col, text, shingle, bits)
+    # rows of a component by its root: partial aggregates, whatever its size
+    best = near.groupBy("root").agg(F.min(F.struct(F.col(id_col).isNull(), F.col(id_col), F.col("_row"))).alias("best"))
+    chosen = best.select(F.col("best._row").alias("_chosen"))
+    return tagged.join(chosen, F.col("_row") == F.col("_chosen"), "left_semi").select(*keep)
 
 
 def simhash_report(docs: DataFrame) -> DataFrame:
