@@ -50,6 +50,20 @@ def dates_frame(spark: SparkSession, dates) -> DataFrame:
                     f"got {type(dates).__name__}")
 
 
+def date_filter(column: Column, dates) -> Column:
+    """The date contract as a filter; on a partition column it prunes folders."""
+    if isinstance(dates, (str, _dt.date)):
+        return column == F.lit(parse_date(dates))
+    if isinstance(dates, tuple):
+        if len(dates) != 2:
+            raise ValueError(f"a date range is a (start, end) pair, got {len(dates)} items")
+        start, end = (parse_date(x) for x in dates)
+        return column.between(F.lit(start), F.lit(end)) & is_business_day(column)
+    if isinstance(dates, list):
+        return column.isin(*sorted({parse_date(x) for x in dates}))
+    raise TypeError(f"dates must be a date, text, list or (start, end) tuple, got {type(dates).__name__}")
+
+
 def resolve_dates(spark: SparkSession, dates) -> list[_dt.date]:
     """Driver-side list (only for small, user-given inputs and tests)."""
     return [r.d for r in dates_frame(spark, dates).orderBy("d").collect()]

@@ -13,9 +13,11 @@ rows the way ``zipWithIndex`` does, on DataFrames:
    gives each chunk's offset;
 4. the offsets are joined back (AQE broadcasts them when they are small).
 
-The positional ids must be stable across the two uses of the input, so the
-sorted input is checkpointed (reliably, to ``spark.checkpoint.dir``); a
-plain file scan is already deterministic.
+The positional ids must be the same in both uses of the input, so the tagged
+rows are materialised once (Parquet in ``spark.checkpoint.dir``).  This holds
+for a file scan too: its splits depend on settings, cores and neighbouring
+files at the moment it is planned, and may differ when it is planned again.
+A row whose chunk has no offset is an error, never a dropped row.
 """
 
 from __future__ import annotations
@@ -42,9 +44,10 @@ def _number_chunks(df: DataFrame, group_cols: list[str], chunk_cols: list[str],
     # the numbered rows is a scan plus a join with a small table (AQE
     # broadcasts it when its size allows), not a re-run of the aggregate.
     offsets = cut_lineage(offsets)
-    joined = df.join(offsets, on=[*group_cols, *chunk_cols], how="inner")
+    joined = df.join(offsets, on=[*group_cols, *chunk_cols], how="left")
+    known = F.coalesce(F.col("_tw_off"), F.raise_error(F.lit("a line's chunk has no offset")).cast("bigint"))
     return joined.withColumn(
-        out, (F.col("_tw_off") + (F.col(_POS) - F.col("_tw_first")) + 1).cast("int")
+        out, (known + (F.col(_POS) - F.col("_tw_first")) + 1).cast("int")
     ).drop(_POS, "_tw_first", "_tw_off", *[c for c in chunk_cols if c.startswith("_tw_")])
 
 
@@ -69,8 +72,8 @@ def sequence_within(df: DataFrame, group_cols: list[str], order_cols: list,
     tagged = ordered.withColumn(_POS, F.monotonically_increasing_id())
     if project is not None:
         tagged = project(tagged)
-    tagged = cut_lineage(tagged)
-    tagged = tagged.withColumn(_CHUNK, F.shiftright(F.col(_POS), 33))
+    # the projection runs in the sort's own tasks, so the task number still is the chunk
+    tagged = cut_lineage(tagged.withColumn(_CHUNK, F.spark_partition_id()))
     return _number_chunks(tagged, list(group_cols), [_CHUNK], out)
 
 
@@ -82,7 +85,8 @@ def physical_line_numbers(scan: DataFrame, file_col: str = "path",
     (``_metadata.file_block_start``).  Each split is one chunk: its rows are
     contiguous inside one Spark partition and splits are ordered by their
     start offset inside a file.  Blank lines are rows too, so they consume
-    a number.
+    a number.  The scan is materialised with its positions, so lines and
+    offsets come from one reading of the files.
     """
-    tagged = scan.withColumn(_POS, F.monotonically_increasing_id())
+    tagged = cut_lineage(scan.withColumn(_POS, F.monotonically_increasing_id()))
     return _number_chunks(tagged, [file_col], ["_tw_block"], out)

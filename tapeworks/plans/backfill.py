@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.keys import archive_name_date, basename
 from ..operators import reconcile
 from ..sources.inventory import list_files
-from .ticks import process_archive_frame, rebuild_report, write_ticks
+from .ticks import existing_provenance, process_archive_frame, rebuild_report, write_ticks
 
 REPORT_COLUMNS = ["feed", "file_date", "trade_date", "status", "row_count",
                   "timestamp_null_count", "other_session_row_count", "error"]
@@ -36,9 +36,8 @@ def plan_rebuild(spark: SparkSession, archive_root: str, lake: str, requested: D
     inv = archive_inventory(spark, archive_root)
     archived = inv.select("feed", "file_date").distinct()
     req = archived if requested is None else requested
-    try:
-        prov = spark.read.parquet(f"{lake}/provenance")
-    except Exception:  # noqa: BLE001 - nothing published yet
+    prov = existing_provenance(spark, lake)
+    if prov is None:
         prov = spark.createDataFrame([], "feed string, file_date date, collector_commit string, "
                                          "schema_version int")
     return reconcile.rebuild_plan(req, archived, prov, build_id, force=force, dry_run=dry_run)

@@ -12,9 +12,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.calendar import dates_frame
+from ..functions.calendar import date_filter, dates_frame
 from ..operators.layouts import LAYOUTS, parse_report
-from ..sources.catalog import catalog
+from ..sources.catalog import CATALOG
+from ..sources.inventory import path_missing
 from ..sources.text import scan_lines
 
 REPORT_NAME_PATTERN = r"/([^/]+)/([^/]+)/year=([0-9]{4})/([0-9]{4}-[0-9]{2}-[0-9]{2})\.csv$"
@@ -34,18 +35,38 @@ def report_lines_from_files(spark: SparkSession, root: str, api_name: str | None
         "line_no", "line")
 
 
-def archive_raw_lines(lines: DataFrame, root: str) -> None:
-    """Landing sink for raw report lines, partitioned by section/api/year (SNK-4).
+def landed_reports(spark: SparkSession, root: str) -> DataFrame | None:
+    """(section, api_name, report_date) already landed; None if nothing is."""
+    try:
+        return read_raw_lines(spark, root).select("section", "api_name", "report_date").distinct()
+    except Exception as exc:  # noqa: BLE001
+        if path_missing(exc):
+            return None
+        raise
 
-    Dynamic overwrite: re-landing a report-date replaces only its partition.
+
+def read_raw_lines(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema("line_no int, line string, section string, api_name string, year int, "
+                             "report_date date").parquet(root)
+
+
+def archive_raw_lines(lines: DataFrame, root: str, skip_existing: bool = False) -> None:
+    """Landing sink for raw report lines, partitioned down to the report date (SNK-4).
+
+    Dynamic overwrite: landing a report-date replaces only that date; reads by
+    date prune to its folder.  ``skip_existing`` leaves landed dates untouched.
     """
+    if skip_existing:
+        landed = landed_reports(lines.sparkSession, root)
+        if landed is not None:
+            lines = lines.join(landed, ["section", "api_name", "report_date"], "left_anti")
     # one task per (report, date, block of lines) - never a whole report-year
     block = F.floor(F.col("line_no") / F.lit(1_000_000))
     (lines.withColumn("year", F.year("report_date"))
           .repartition("section", "api_name", "report_date", block)
           .sortWithinPartitions("report_date", "line_no")
           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-          .partitionBy("section", "api_name", "year").parquet(root))
+          .partitionBy("section", "api_name", "year", "report_date").parquet(root))
 
 
 def parse_layout(lines: DataFrame, api_name: str, keys=("report_date",)):
@@ -63,15 +84,13 @@ def read_report_by_dates(spark: SparkSession, lines: DataFrame, api_name: str, d
     Missing dates are reported, never fatal; with nothing found the rows
     DataFrame is empty but keeps the declared schema.
     """
-    known = {r[0] for r in catalog(spark).select("api_name").collect()}  # 63 names
-    if api_name not in known:
+    if api_name not in {row[0] for row in CATALOG}:
         raise KeyError(f"unknown report {api_name!r}")
     layout = LAYOUTS.get(api_name)
     wanted = dates_frame(spark, dates).withColumnRenamed("d", "report_date")
-    mine = lines.where(F.col("api_name") == api_name)
-    present = mine.select("report_date").distinct()
-    missing = wanted.join(present, "report_date", "left_anti")
-    chosen = mine.join(wanted, "report_date", "left_semi")
+    # a filter on the dates themselves, so a partitioned landing table is pruned to them
+    chosen = lines.where((F.col("api_name") == api_name) & date_filter(F.col("report_date"), dates))
+    missing = wanted.join(chosen.select("report_date").distinct(), "report_date", "left_anti")
     rows, verdicts = parse_report(chosen, layout, ["report_date"])
     return rows, missing, verdicts
 

@@ -15,8 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import contract as C
+from ..functions.calendar import date_filter, dates_frame
 from ..operators import convert, provenance, validate
 from ..session import cut_lineage
+from ..sources.inventory import path_missing
 
 
 # Lines per output file inside one (feed, date) partition directory.
@@ -65,19 +67,27 @@ def rebuild_report(verdicts: DataFrame, ticks: DataFrame) -> DataFrame:
 
 # --- Sinks ---
 
-def write_ticks(batch: TickBatch, root: str, skip_existing: bool = False) -> None:
+def write_ticks(batch: TickBatch, root: str, skip_existing: bool = False) -> DataFrame:
     """Write published ticks and their provenance under ``root``.
 
     Layout: ``ticks/feed=/year=/file_date=`` (``file_date`` copies
     ``reference_date``, which stays inside the files; a day of more than
     :data:`ROWS_PER_FILE` lines is written as several files) and
-    ``provenance/feed=/year=``.  Overwrite is dynamic: only the (feed, date)
-    partitions of this batch are replaced, so a date rejected now keeps its
-    previous output.  ``skip_existing`` leaves already published dates
-    untouched (anti join against the existing provenance).
+    ``provenance/feed=/year=/file_date=``.  Overwrite is dynamic and both
+    tables are partitioned down to the date: only the (feed, date) partitions
+    of this batch are replaced, every other date stays, and a date rejected
+    now keeps its previous output.  ``skip_existing`` leaves already
+    published dates untouched (anti join against the existing provenance).
+
+    A file whose typed rows are not as many as its data lines, or none, is
+    not published; returns those files with the problem (VAL-8).
     """
     spark = batch.ticks.sparkSession
-    ticks, prov = batch.ticks, batch.provenance
+    ticks, prov = batch.ticks, cut_lineage(batch.provenance)
+    refused = cut_lineage(provenance.output_check(prov))
+    if not refused.isEmpty():
+        ticks = ticks.join(refused, validate.FILE_KEYS, "left_anti")
+        prov = prov.join(refused, validate.FILE_KEYS, "left_anti")
     if skip_existing:
         existing = existing_provenance(spark, root)
         if existing is not None:
@@ -95,34 +105,56 @@ def write_ticks(batch: TickBatch, root: str, skip_existing: bool = False) -> Non
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("feed", "year", "file_date").parquet(f"{root}/ticks"))
     (prov.withColumn("year", F.year("file_date"))
-         .repartition("feed", "year")
+         .repartition("feed", "file_date")
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("feed", "year").parquet(f"{root}/provenance"))
+         .partitionBy("feed", "year", "file_date").parquet(f"{root}/provenance"))
+    return refused
 
 
 def existing_provenance(spark: SparkSession, root: str) -> DataFrame | None:
+    """The published provenance; None if nothing is published yet.  Other failures are raised."""
     try:
-        return spark.read.parquet(f"{root}/provenance")
-    except Exception:  # noqa: BLE001 - nothing written yet
-        return None
+        return spark.read.schema(PROVENANCE_SCHEMA).parquet(f"{root}/provenance")
+    except Exception as exc:  # noqa: BLE001
+        if path_missing(exc):
+            return None
+        raise
+
+
+PROVENANCE_SCHEMA = ("trade_date string, source_zip_name string, source_zip_sha256 string, "
+                     "source_txt_name string, source_txt_row_count bigint, schema_version int, "
+                     "row_count bigint, timestamp_null_count bigint, timezone string, "
+                     "collector_version string, collector_commit string, created_at_utc string, "
+                     "feed string, year int, file_date date")
 
 
 def read_ticks(spark: SparkSession, root: str, feed: str, dates) -> DataFrame:
     """Ticks of ``feed`` for calendar *file* dates (not sessions), contract order.
 
-    ``dates`` is a list of dates/ISO strings; the filter lands on partition
-    columns, so only those directories are listed and read.
+    ``dates`` follows the date contract: a date or ISO text, a list, or a
+    (start, end) tuple of business days, ends included.  The filter lands on
+    partition columns, so only those directories are read.  Dates without
+    ticks are simply absent; :func:`missing_ticks` names them.
     """
-    wanted = [str(d) for d in dates]
     df = spark.read.option("basePath", f"{root}/ticks").parquet(f"{root}/ticks")
-    df = df.where((F.col("feed") == feed) & F.col("file_date").isin(*wanted))
+    df = df.where((F.col("feed") == feed) & date_filter(F.col("file_date"), dates))
     return df.select(*C.CONTRACT_COLUMNS)
 
 
+def missing_ticks(spark: SparkSession, root: str, feed: str, dates) -> DataFrame:
+    """``(file_date)``: requested dates of ``feed`` that are not published."""
+    wanted = dates_frame(spark, dates).withColumnRenamed("d", "file_date")
+    done = existing_provenance(spark, root)
+    if done is None:
+        return wanted
+    have = done.where((F.col("feed") == feed) & date_filter(F.col("file_date"), dates))
+    return wanted.join(have.select("file_date"), "file_date", "left_anti")
+
+
 # --- Archive and text entry points ---
 
 def merge_archive_problems(verdicts: DataFrame, problems: DataFrame) -> DataFrame:
-    """Archive-level problems (no/multiple TXT, unreadable ZIP) win over line rules."""
+    """Source-level problems (no/multiple TXT, unreadable or several archives) win over line rules."""
     p = problems.select("feed", "file_date", F.col("rule").alias("_arule"),
                         F.col("candidates").alias("_cands"))
     v = verdicts.join(p, validate.FILE_KEYS, "left")
@@ -154,14 +186,12 @@ def process_archive_frame(raw: DataFrame, build_id: str | None = None,
                           collector_version: str = "0") -> TickBatch:
     """Validate and convert the archives of a ``binaryFile`` DataFrame.
 
-    The archive scan is persisted (memory and disk) because three branches
-    read it; losing it only means re-reading the durable archives.
+    The archives are unpacked once, into a table in the shared checkpoint
+    folder that every branch reads; no executor holds a copy of its own.
     """
-    from pyspark import StorageLevel
-
     from ..sources import archives
-    scan = archives.scan_archive_frame(raw).persist(StorageLevel.MEMORY_AND_DISK)
-    problems = archives.archive_problems(scan)
+    scan = cut_lineage(archives.scan_archive_frame(raw))
+    problems = cut_lineage(archives.archive_problems(scan))
     lines = archives.archive_lines(scan)
     verdicts = validate.file_verdicts(lines, problems.select("feed", "file_date"))
     verdicts = cut_lineage(merge_archive_problems(verdicts, problems))
@@ -173,13 +203,15 @@ def process_archive_frame(raw: DataFrame, build_id: str | None = None,
 
 def process_text(spark: SparkSession, paths, build_id: str | None = None) -> TickBatch:
     """Validate and convert unzipped tick TXT files (splittable, numbered in parallel)."""
-    from ..sources.text import tick_lines_from_text
-    lines = tick_lines_from_text(spark, paths)
-    sources = lines.where(F.col("source_row") == 1).select(
-        "feed", "file_date", F.lit(None).cast("string").alias("source_zip_name"),
-        F.lit(None).cast("string").alias("source_zip_sha256"),
-        F.regexp_extract("path", r"([^/]+)$", 1).alias("source_txt_name"))
-    return process_lines(lines.drop("path"), sources=sources, build_id=build_id)
+    from ..sources.text import tick_files, tick_lines_from_text
+    lines = tick_lines_from_text(spark, paths).drop("path")
+    files = cut_lineage(tick_files(spark, paths))
+    verdicts = validate.file_verdicts(lines, files)
+    verdicts = cut_lineage(merge_archive_problems(verdicts, files))
+    ticks = convert.typed_ticks(validate.accepted_lines(lines, verdicts))
+    facts = provenance.tick_facts(ticks)
+    prov = provenance.provenance_rows(facts, verdicts, files, collector_version="0", build_id=build_id)
+    return TickBatch(verdicts, ticks, prov)
 
 
 def write_rebuild_report(report: DataFrame, path: str) -> None:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -68,8 +70,45 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     One job writes it (columnar, compressed); the returned DataFrame reads
     it back, so later uses neither recompute nor re-shuffle the input and a
     lost executor only costs re-reading files.  Never a machine-local folder.
+    The table lives until the program ends or the enclosing
+    :func:`temporary_tables` block does.
     """
     spark = df.sparkSession
     target = f"{checkpoint_dir(spark).rstrip('/')}/tw-{uuid.uuid4().hex}"
+    _TABLES.append((spark, target))
     df.write.parquet(target)
     return spark.read.parquet(target)
+
+
+# Materialised tables of this program that have not been deleted yet.
+_TABLES: list[tuple[SparkSession, str]] = []
+
+
+def _delete(tables: list[tuple[SparkSession, str]]) -> None:
+    for spark, target in tables:
+        path = spark._jvm.org.apache.hadoop.fs.Path(target)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def temporary_tables():
+    """Tables that :func:`cut_lineage` writes inside the block are deleted after it.
+
+    For jobs that run again and again (a stream's micro-batches) and have
+    written their results when the block ends.
+    """
+    start = len(_TABLES)
+    try:
+        yield
+    finally:
+        mine = _TABLES[start:]
+        del _TABLES[start:]
+        _delete(mine)
+
+
+@atexit.register
+def _release() -> None:
+    """At the end of the program; a session that is already stopped keeps its tables."""
+    live = [(s, t) for s, t in _TABLES if getattr(s.sparkContext, "_jsc", None) is not None]
+    _TABLES.clear()
+    _delete(live)

@@ -19,6 +19,8 @@ from __future__ import annotations
 import hashlib
 import io
 import zipfile
+import zlib
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -37,14 +39,11 @@ _OUT = pa.schema([
 ])
 
 
-def _lines_batches(path: str, feed: str, file_date, member: str, data: bytes):
-    chunks = data.split(b"\n")
-    if chunks and chunks[-1] == b"":
-        chunks.pop()  # a final newline ends the last line, it does not open one
-    n = len(chunks)
-    for start in range(0, n, _BATCH_LINES):
-        part = chunks[start:start + _BATCH_LINES]
-        lines = [c.rstrip(b"\r").decode("latin-1") for c in part]
+def _lines_batches(path: str, feed: str, file_date, member: str, stream):
+    """Lines of an open member in batches; only one batch is held at a time."""
+    start = 0
+    while part := list(islice(stream, _BATCH_LINES)):
+        lines = [c.rstrip(b"\r\n").decode("latin-1") for c in part]
         k = len(lines)
         yield pa.RecordBatch.from_arrays([
             pa.array([path] * k, pa.string()), pa.array([feed] * k, pa.string()),
@@ -52,6 +51,12 @@ def _lines_batches(path: str, feed: str, file_date, member: str, data: bytes):
             pa.nulls(k, pa.int32()), pa.nulls(k, pa.string()), pa.nulls(k, pa.string()),
             pa.array(range(start + 1, start + k + 1), pa.int32()), pa.array(lines, pa.string()),
         ], schema=_OUT)
+        start += k
+
+
+# What opening or unpacking a damaged, encrypted or oddly packed archive raises.
+_DAMAGED = (zipfile.BadZipFile, zipfile.LargeZipFile, zlib.error, EOFError, RuntimeError,
+            NotImplementedError, ValueError, OSError)
 
 
 def _read_archives(batches):
@@ -60,24 +65,24 @@ def _read_archives(batches):
         for path, feed, file_date, prefix, content in zip(
                 cols["path"], cols["feed"], cols["file_date"], cols["txt_prefix"], cols["content"]):
             digest = hashlib.sha256(content).hexdigest()
+            readable, candidates = True, []
             try:
                 archive = zipfile.ZipFile(io.BytesIO(content))
-                names = archive.namelist()
-            except zipfile.BadZipFile:
-                archive, names = None, []
-            candidates = [n for n in names
-                          if prefix is not None and n.startswith(prefix) and n.endswith(".txt")]
+                candidates = [n for n in archive.namelist()
+                              if prefix is not None and n.startswith(prefix) and n.endswith(".txt")]
+                if len(candidates) == 1:
+                    with archive.open(candidates[0]) as stream:
+                        yield from _lines_batches(path, feed, file_date, candidates[0], stream)
+            except _DAMAGED:
+                readable = False  # lines before the damage carry this archive's rejection
             yield pa.RecordBatch.from_arrays([
                 pa.array([path]), pa.array([feed], pa.string()), pa.array([file_date], pa.date32()),
                 pa.array([candidates[0] if len(candidates) == 1 else None],
                                            pa.string()),
-                pa.array([len(candidates) if archive is not None else -1], pa.int32()),
+                pa.array([len(candidates) if readable else -1], pa.int32()),
                 pa.array(["|".join(candidates)]), pa.array([digest]),
                 pa.array([0], pa.int32()), pa.nulls(1, pa.string()),
             ], schema=_OUT)
-            if len(candidates) == 1:
-                yield from _lines_batches(path, feed, file_date, candidates[0],
-                                          archive.read(candidates[0]))
 
 
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
@@ -106,14 +111,25 @@ def scan_archives(spark: SparkSession, location: str, glob: str = "*.zip") -> Da
 
 
 def archive_problems(scan: DataFrame) -> DataFrame:
-    """Archive-level verdicts: not a ZIP, no TXT member, or more than one."""
-    s = scan.where(F.col("source_row") == 0)
-    rule = (F.when(F.col("n_candidates") < 0, "archive_unreadable")
+    """One row per feed and date with its archive-level rule, null when there is none.
+
+    ``archive_ambiguous``: more than one archive claims the date (their lines
+    must not be read as one file); ``archive_unreadable``: not a ZIP, or
+    damaged; ``txt_missing`` and ``txt_ambiguous``: no TXT member, or several.
+    """
+    s = scan.where(F.col("source_row") == 0).groupBy("feed", "file_date").agg(
+        F.count(F.lit(1)).alias("n"), F.array_join(F.array_sort(F.collect_list("path")), "|").alias("paths"),
+        *[F.min(c).alias(c) for c in ("path", "sha256", "member", "n_candidates", "candidates")])
+    many = F.col("n") > 1
+    rule = (F.when(many, "archive_ambiguous")
+             .when(F.col("n_candidates") < 0, "archive_unreadable")
              .when(F.col("n_candidates") == 0, "txt_missing")
              .when(F.col("n_candidates") > 1, "txt_ambiguous"))
     return s.select("feed", "file_date", basename(F.col("path")).alias("source_zip_name"),
                     F.col("sha256").alias("source_zip_sha256"),
-                    F.col("member").alias("source_txt_name"), "candidates", rule.alias("rule"))
+                    F.col("member").alias("source_txt_name"),
+                    F.when(many, F.col("paths")).otherwise(F.col("candidates")).alias("candidates"),
+                    rule.alias("rule"))
 
 
 def archive_lines(scan: DataFrame) -> DataFrame:

@@ -19,13 +19,18 @@ from ..functions.keys import basename
 INVENTORY_SCHEMA = "path string, name string, length bigint, modification_time timestamp"
 
 
+def path_missing(exc: Exception) -> bool:
+    """True when a read failed because its folder is not there (yet)."""
+    return "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc)
+
+
 def list_files(spark: SparkSession, location: str, glob: str = "*") -> DataFrame:
     """Every file under ``location`` (recursively); empty if it does not exist."""
     try:
         raw = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
                .option("recursiveFileLookup", "true").load(location))
     except Exception as exc:  # noqa: BLE001
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
+        if path_missing(exc):
             return spark.createDataFrame([], INVENTORY_SCHEMA)
         raise
     return raw.select("path", basename(F.col("path")).alias("name"), "length",
@@ -60,8 +65,20 @@ def _footer_reader(footer_key: str):
     return read
 
 
-def _read_footers(batches, key: bytes):
+# Schemes of object stores that Spark and Arrow spell differently.
+_ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3", "gs": "gs", "abfs": "abfs", "abfss": "abfs"}
+
+
+def arrow_file(uri: str):
+    """``(filesystem, path)`` Arrow needs for a URI as Spark writes it."""
     import pyarrow.fs as pafs
+    scheme, mark, rest = uri.partition("://")
+    if mark and scheme in _ARROW_SCHEMES:
+        uri = f"{_ARROW_SCHEMES[scheme]}://{rest}"
+    return pafs.FileSystem.from_uri(uri)
+
+
+def _read_footers(batches, key: bytes):
     import pyarrow.parquet as pq
     contract = _contract_arrow_schema()
     for batch in batches:
@@ -69,7 +86,7 @@ def _read_footers(batches, key: bytes):
         for path in batch.column("path").to_pylist():
             readable, prov, matches, error = False, None, None, None
             try:
-                fs, inner = pafs.FileSystem.from_uri(path)
+                fs, inner = arrow_file(path)
                 schema = pq.read_schema(inner, filesystem=fs)
                 readable = True
                 meta = schema.metadata or {}

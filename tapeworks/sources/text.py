@@ -44,6 +44,35 @@ def scan_lines(spark: SparkSession, paths, encoding: str = C.TEXT_ENCODING,
 TXT_NAME_PATTERN = r"([0-9]{2})-([0-9]{2})-([0-9]{4})_NEGOCIOSAVISTA_(RV|DRV)[^/]*\.txt$"
 
 
+def _tick_name(path: Column) -> tuple[Column, Column]:
+    """(feed, file_date) of a TXT path; null when the name is not a tick file's."""
+    name = F.regexp_extract(path, r"([^/]+)$", 1)
+    day, month, year, suffix = (F.regexp_extract(name, TXT_NAME_PATTERN, i) for i in (1, 2, 3, 4))
+    file_date = F.when(name.rlike(TXT_NAME_PATTERN),
+                       F.concat_ws("-", year, month, day).try_cast("date"))
+    return F.when(suffix == "RV", "RV").when(suffix == "DRV", "DERIV"), file_date
+
+
+def tick_files(spark: SparkSession, paths) -> DataFrame:
+    """One row per (feed, file_date) that has a TXT file, empty files included.
+
+    A day with more than one TXT has the rule ``txt_ambiguous``: two files
+    must not be read as one.  The listing reads no file bodies.
+    """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    feed, file_date = _tick_name(F.col("path"))
+    listed = spark.read.format("binaryFile").load(paths).select("path").select("path", feed.alias("feed"),
+                                                                              file_date.alias("file_date"))
+    grouped = (listed.where(F.col("feed").isNotNull() & F.col("file_date").isNotNull())
+               .groupBy("feed", "file_date").agg(F.count(F.lit(1)).alias("n"), F.array_join(F.array_sort(
+                   F.collect_set(F.regexp_extract("path", r"([^/]+)$", 1))), "|").alias("candidates")))
+    none = F.lit(None).cast("string")
+    return grouped.select(
+        "feed", "file_date", none.alias("source_zip_name"), none.alias("source_zip_sha256"),
+        F.when(F.col("n") == 1, F.col("candidates")).alias("source_txt_name"), "candidates",
+        F.when(F.col("n") > 1, "txt_ambiguous").alias("rule"))
+
+
 def tick_lines_from_text(spark: SparkSession, paths) -> DataFrame:
     """Tick lines ``(feed, file_date, source_row, line, path)`` from unzipped TXT files.
 
@@ -51,14 +80,7 @@ def tick_lines_from_text(spark: SparkSession, paths) -> DataFrame:
     dropped (they are not tick files).
     """
     lines = scan_lines(spark, paths, C.TEXT_ENCODING)
-    name = F.regexp_extract("path", r"([^/]+)$", 1)
-    day = F.regexp_extract(name, TXT_NAME_PATTERN, 1)
-    month = F.regexp_extract(name, TXT_NAME_PATTERN, 2)
-    year = F.regexp_extract(name, TXT_NAME_PATTERN, 3)
-    suffix = F.regexp_extract(name, TXT_NAME_PATTERN, 4)
-    file_date = F.when(name.rlike(TXT_NAME_PATTERN),
-                       F.concat_ws("-", year, month, day).try_cast("date"))
-    feed = F.when(suffix == "RV", "RV").when(suffix == "DRV", "DERIV")
+    feed, file_date = _tick_name(F.col("path"))
     # lines of non-tick files vanish in the explode of a null array: one
     # projection computes the name parse once (a Filter would get the parse
     # inlined again, without common-subexpression reuse)

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.ticks import process_archive_frame, write_ticks
+from ..session import temporary_tables
 from ..sources.archives import BINARY_FILE_SCHEMA
 
 
@@ -36,13 +37,14 @@ def ingest_new_archives(spark: SparkSession, landing: str, lake: str, checkpoint
     """
 
     def each_batch(batch: DataFrame, epoch_id: int) -> None:
-        b = process_archive_frame(batch, build_id=build_id)
-        write_ticks(b, lake)
-        # keyed by (feed, date) with dynamic overwrite: a replayed batch
-        # rewrites the same verdict partitions instead of duplicating them
-        (b.verdicts.withColumn("epoch_id", F.lit(epoch_id))
-          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-          .partitionBy("feed", "file_date").parquet(f"{lake}/verdicts"))
+        with temporary_tables():  # a micro-batch leaves no working tables behind
+            b = process_archive_frame(batch, build_id=build_id)
+            write_ticks(b, lake)
+            # keyed by (feed, date) with dynamic overwrite: a replayed batch
+            # rewrites the same verdict partitions instead of duplicating them
+            (b.verdicts.withColumn("epoch_id", F.lit(epoch_id))
+              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+              .partitionBy("feed", "file_date").parquet(f"{lake}/verdicts"))
 
     writer = (archive_stream(spark, landing, max_files_per_trigger).writeStream
               .foreachBatch(each_batch).option("checkpointLocation", checkpoint))
