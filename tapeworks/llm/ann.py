@@ -50,6 +50,7 @@ ENTRIES = 16  # longest vectors, and as many others, where every search starts b
 TASK_NODES = 2048
 SHORTEST = np.float32(-3e38)
 
+LINKS_DDL = "u long, v long, s float"
 LISTS = "u long, v array<long>, s array<float>, old boolean"
 GRAPH = "u long, v array<long>, s array<float>, fresh array<boolean>"
 
@@ -128,6 +129,14 @@ def lists(u: np.ndarray, v: np.ndarray, s: np.ndarray, **more: np.ndarray) -> pa
     return pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
 
 
+def links_of(u: np.ndarray, v: np.ndarray, s: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), pa.array(s.astype(np.float32))], names=["u", "v", "s"])
+
+
+def as_lists(links: DataFrame) -> DataFrame:
+    return links.select("u", F.array("v").alias("v"), F.array("s").alias("s"), F.lit(False).alias("old"))
+
+
 def first_of(key: np.ndarray) -> np.ndarray:
     """Place of each row among the rows of its key; ``key`` is in order."""
     return np.arange(len(key)) - np.searchsorted(key, key)
@@ -233,11 +242,11 @@ def descend(graph: DataFrame, nodes: DataFrame, width: int, tasks: int) -> DataF
         u, v, s = u[o], v[o], s[o]
         if len(u):
             single = np.append(True, (u[1:] != u[:-1]) | (v[1:] != v[:-1]))
-            yield lists(u[single], v[single], s[single], old=False)
+            yield links_of(u[single], v[single], s[single])
 
     near = both.join(members, both["member"] == members["node"]).select(
         "centre", "node", "fresh", "b", "scale", "more", "worst")
-    return near.repartition(tasks, "centre").mapInArrow(local, LISTS)
+    return as_lists(near.repartition(tasks, "centre").mapInArrow(local, LINKS_DDL))
 
 
 def neighbour_graph(nodes: DataFrame, sample: np.ndarray, count: int, width: int, tables: WorkTables,
@@ -271,13 +280,11 @@ def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, width: int, t
                 x = unpacked(t, width)[:, :-1]
                 q = np.frombuffer(b"".join(t.column("qb").to_pylist()), np.int8).reshape(-1, width)
                 s = (x * q).sum(1) * t.column("qs").to_numpy()
-                u = t.column("q").to_numpy()
-                o = np.argsort(u, kind="stable")
-                yield lists(u[o], t.column("node").to_numpy()[o], s[o], old=False)
+                yield links_of(t.column("q").to_numpy(), t.column("node").to_numpy(), s)
 
     def step(pairs: DataFrame) -> DataFrame:
-        return (pairs.join(nodes, "node").join(asked, "q").select("q", "node", "b", "scale", "more", "qb", "qs")
-                .mapInArrow(scored, LISTS))
+        return as_lists(pairs.join(nodes, "node").join(asked, "q").select(
+            "q", "node", "b", "scale", "more", "qb", "qs").mapInArrow(scored, LINKS_DDL))
 
     def keep_best(rows: DataFrame) -> DataFrame:
         return tables.keep(merged(rows.withColumn("u", -F.col("u") - 1), beam, tasks)  # a query may be its own candidate
