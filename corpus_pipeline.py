@@ -40,9 +40,20 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it: not at all, or up to three times."""
-    mixed = mixing.mix(docs, COLUMNS)
-    return mixed.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).select(*COLUMNS)
+    """Each document as often as the mix takes it: not at all, or up to three times.
+
+    The mix is worked out on narrow rows, named by id, source and a hash of
+    the text; texts move once, to the names that are taken.  Rows that repeat
+    a name are alike, so the name is written as often as all of them are taken.
+    """
+    name = F.xxhash64("text").alias("_h")
+    taken = (mixing.mix(docs.select("doc_id", "source", "text", name), ["doc_id", "source", "_h"])
+             .groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_from"), F.col("_h").alias("_name"))
+             .agg(F.sum("copies").cast("int").alias("_times")).where("_times > 0"))
+    same = (F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_from"))
+            & (F.col("_h") == F.col("_name")))
+    named = docs.withColumn("_h", name).join(taken, same).dropDuplicates(["doc_id", "source", "_h"])
+    return named.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*COLUMNS)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -249,16 +249,19 @@ def representatives(docs: DataFrame, keep: list[str], id_col: str = "doc_id", te
                     shingle: int = 3, bits: int = 2) -> DataFrame:
     """``keep`` columns of one row per component: that with the smallest id (a null id last).
 
-    Only ids, fingerprints and row places are compared; texts are read once
-    more to take the chosen rows.
+    A row is named by its id and a hash of its text, so the groups are worked
+    out on narrow rows; texts move once, to the chosen names.  Rows that
+    repeat id and text are one document.
     """
-    tables = WorkTables(docs.sparkSession, "simhash-kept")
-    tagged = tables.keep(docs.select(*keep, F.monotonically_increasing_id().alias("_row")), "docs")
-    near = near_duplicates(tagged, ["_row", id_col], id_col, text, shingle, bits)
+    name = F.xxhash64(F.col(text)).alias("_h")
+    near = near_duplicates(docs.select(id_col, text, name), [id_col, "_h"], id_col, text, shingle, bits)
     # rows of a component by its root: partial aggregates, whatever its size
-    best = near.groupBy("root").agg(F.min(F.struct(F.col(id_col).isNull(), F.col(id_col), F.col("_row"))).alias("best"))
-    chosen = best.select(F.col("best._row").alias("_chosen"))
-    return tagged.join(chosen, F.col("_row") == F.col("_chosen"), "left_semi").select(*keep)
+    best = near.groupBy("root").agg(F.min(F.struct(F.col(id_col).isNull().alias("_none"), F.col(id_col).alias("_id"),
+                                                   F.col("_h").alias("_name"))).alias("best"))
+    chosen = best.select("best._id", "best._name")
+    return (docs.withColumn("_h", name)
+            .join(chosen, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_name")), "left_semi")
+            .dropDuplicates([id_col, "_h"]).select(*keep))
 
 
 def simhash_report(docs: DataFrame) -> DataFrame:
