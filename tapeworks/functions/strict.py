@@ -132,10 +132,12 @@ def local_time_invalid(date_text: Column | str, time_text: Column | str,
 
 
 _DST_DAYS: dict = {}
+# Years whose transition days are tabled; other days take the full check.
+FIRST_DST_YEAR, LAST_DST_YEAR = 1900, 2100
 
 
-def dst_transition_days(spark, tz: str = C.TIMEZONE, first_year: int = 1900,
-                        last_year: int = 2100):
+def dst_transition_days(spark, tz: str = C.TIMEZONE, first_year: int = FIRST_DST_YEAR,
+                        last_year: int = LAST_DST_YEAR):
     """``(day DATE)`` of every local day whose UTC offset changes in ``tz``.
 
     Bounded by construction (about two days a year over the range), so it

@@ -6,14 +6,16 @@ kind of every positional column.  Parsing a layout is one projection plus
 one per-file aggregate (for the footer position and the violations) - no
 Python in the hot path.
 
-Kinds: ``string``; ``double`` (decimal comma, unparseable -> null);
-``date`` (``dd/MM/yyyy``, unparseable -> null); and the strict kinds that
-fail the whole file when a present value does not convert: ``date_strict``,
-``int``, ``bool``, ``percent``.
+Kinds: ``string``; ``date`` (``dd/MM/yyyy``, unparseable -> null, counted
+in the verdict's ``unparsed_cells``); and the strict kinds that fail the whole
+file when a present value does not convert: ``double`` (decimal comma),
+``date_strict``, ``int``, ``bool``, ``percent``.  Cells may be quoted: a
+separator inside quotes belongs to the cell and a doubled quote is one quote.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -23,7 +25,7 @@ from ..functions import strict as S
 from ..session import cut_lineage
 from .validate import decide, offences, offending_values
 
-STRICT_KINDS = ("date_strict", "int", "bool", "percent")
+STRICT_KINDS = ("double", "date_strict", "int", "bool", "percent")
 _SPARK_TYPE = {"string": "string", "double": "double", "date": "date", "date_strict": "date",
                "int": "bigint", "bool": "boolean", "percent": "double"}
 
@@ -69,7 +71,7 @@ def _convert(cell: Column, kind: str) -> tuple[Column, Column | None]:
     if kind == "string":
         return cell, None
     if kind == "double":
-        return S.comma_double(cell), None
+        return S.comma_double(cell), ~S.comma_double_ok(cell)
     if kind == "date":
         return S.dmy_date(cell), None
     if kind == "date_strict":
@@ -84,18 +86,30 @@ def _convert(cell: Column, kind: str) -> tuple[Column, Column | None]:
     raise ValueError(f"unknown column kind {kind!r}")
 
 
+def split_cells(line: Column, sep: str) -> Column:
+    """Cells of a report line; only lines that hold a quote take the quote-aware split."""
+    plain = F.split(line, re.escape(sep), -1)
+    # every match starts with a separator, so no match is empty and none is lost
+    cell = re.escape(sep) + r'(?:"(?:[^"]|"")*"[^' + re.escape(sep) + r']*|[^' + re.escape(sep) + r']*)'
+    found = F.regexp_extract_all(F.concat(F.lit(sep), line), F.lit(cell), F.lit(0))
+    quoted = F.transform(found, lambda c: F.replace(
+        F.regexp_replace(F.substring(c, 2, 1 << 30), r'\A"((?:[^"]|"")*)"', "$1"), F.lit('""'), F.lit('"')))
+    return F.when(F.contains(line, F.lit('"')), quoted).otherwise(plain)
+
+
 def data_lines(lines: DataFrame, layout: ReportLayout, keys: list[str]) -> DataFrame:
     """Lines after the preamble and before the footer, blank lines dropped.
 
     The footer is positional: the last ``footer_lines`` non-blank lines of
     each file, whatever they say.  Their position comes from a per-file
-    aggregate joined back (one row per file; AQE broadcasts it).
+    aggregate, materialised so that the join with the lines is planned with
+    its size: one row per file, and the lines are not shuffled for it.
     """
     body = lines.where((F.col("line_no") > layout.skip_lines) & (F.col("line") != F.lit("")))
     if layout.footer_lines <= 0:
         return body
-    last = (body.groupBy(*keys).agg(F.max("line_no").alias("_last"),
-                                    F.count(F.lit(1)).alias("_n")))
+    last = cut_lineage(body.groupBy(*keys).agg(F.max("line_no").alias("_last"),
+                                               F.count(F.lit(1)).alias("_n")))
     # the k-th last non-blank line: with k = 1 it is simply the maximum
     if layout.footer_lines == 1:
         cut = body.join(last, keys, "inner").where(F.col("line_no") < F.col("_last"))
@@ -113,15 +127,15 @@ def parse_report(lines: DataFrame, layout: ReportLayout, keys: list[str]):
     ``lines``: ``(*keys, line_no, line)``.  Returns ``(rows, verdicts)``:
     rows of files whose verdict is OK, with ``keys + line_no + columns``;
     verdicts with ``status, rule, source_column, invalid_count, first_line,
-    first_value, data_rows`` per file.
+    first_value, data_rows, unparsed_cells`` per file.
     """
     body = data_lines(lines, layout, keys)
-    parts = F.split(F.col("line"), layout.sep, -1)
+    parts = split_cells(F.col("line"), layout.sep)
     body = body.withColumn("_parts", parts)
     cells = {}
     for i, (name, _) in enumerate(layout.columns):
         cells[name] = S.na_to_null(F.get(F.col("_parts"), i), layout.na_values)
-    typed, checks = [], []
+    typed, checks, unparsed = [], [], F.lit(0)
     n = len(layout.columns)
     if layout.extra_fields == "reject":
         checks.append(("too_many_fields", "line", F.size("_parts") > n,
@@ -129,13 +143,16 @@ def parse_report(lines: DataFrame, layout: ReportLayout, keys: list[str]):
     for name, kind in layout.columns:
         value, bad = _convert(cells[name], kind)
         typed.append(value.cast(_SPARK_TYPE[kind]).alias(name))
+        if kind == "date":
+            unparsed = unparsed + F.when(cells[name].isNotNull() & value.isNull(), 1).otherwise(0)
         if bad is not None:
             checks.append((f"{name}_invalid", name, bad, cells[name]))
     # counts and first offending line: one hash aggregate; the offending text
     # is then fetched by joining the lines on (file, first line)
     per_file = offences(body, keys, [(rule, bad) for rule, _, bad, _ in checks],
-                        [F.count(F.lit(1)).alias("data_rows")], line_col="line_no")
-    decided = decide(per_file, [(rule, col) for rule, col, _, _ in checks])
+                        [F.count(F.lit(1)).alias("data_rows"), F.sum(unparsed).alias("unparsed_cells")],
+                        line_col="line_no")
+    decided = cut_lineage(decide(per_file, [(rule, col) for rule, col, _, _ in checks]))
     vals = offending_values(body, decided, keys, {rule: value for rule, _, _, value in checks},
                             line_col="line_no")
     verdicts = cut_lineage(decided.join(vals, keys, "left").select(
@@ -144,7 +161,8 @@ def parse_report(lines: DataFrame, layout: ReportLayout, keys: list[str]):
         F.col("_v.rule").alias("rule"), F.col("_v.column").alias("source_column"),
         F.col("_v.n").alias("invalid_count"), F.col("_v.line").alias("first_line"),
         F.col("_value").alias("first_value"),
-        F.col("data_rows").cast("bigint").alias("data_rows")))
+        F.col("data_rows").cast("bigint").alias("data_rows"),
+        F.col("unparsed_cells").cast("bigint").alias("unparsed_cells")))
     ok = verdicts.where(F.col("status") == "OK").select(*keys)
     rows = body.join(ok, keys, "left_semi").select(*keys, "line_no", *typed)
     return rows, verdicts

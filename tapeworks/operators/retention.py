@@ -43,12 +43,16 @@ def decide(files: DataFrame, archive_keys: DataFrame, today: Column, retention_d
 
 def summary(decisions: DataFrame) -> DataFrame:
     """Counters per feed: deleted, kept missing in archive, ignored, errors, freed bytes/MB."""
-    d = F.col("decision")
-    freed = F.sum(F.when(d == "delete", F.col("length")).otherwise(F.lit(0))).cast("bigint")
-    return decisions.groupBy("feed").agg(
-        F.count_if(d == "delete").alias("deleted"),
-        F.count_if(d == "kept_missing_in_archive").alias("kept_missing_in_archive"),
-        F.count_if(d == "ignored").alias("ignored"),
-        F.count_if(d == "error").alias("errors"),
-        freed.alias("freed_bytes"),
+    # by decision first: the decision is computed once per file, not once per counter
+    per = decisions.groupBy("feed", "decision").agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("bytes"))
+
+    def total(value: str, column: str = "n") -> Column:
+        return F.sum(F.when(F.col("decision") == value, F.col(column)).otherwise(F.lit(0))).cast("bigint")
+
+    return per.groupBy("feed").agg(
+        total("delete").alias("deleted"),
+        total("kept_missing_in_archive").alias("kept_missing_in_archive"),
+        total("ignored").alias("ignored"),
+        total("error").alias("errors"),
+        total("delete", "bytes").alias("freed_bytes"),
     ).withColumn("freed_mb", F.round(F.col("freed_bytes") / F.lit(1048576.0), 1))

@@ -40,19 +40,25 @@ def files_for_sessions(calendar: DataFrame, sessions: DataFrame) -> DataFrame:
 
 
 def session_trades(ticks: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Every trade with the session it belongs to, limited to the three-file window.
+    """Every trade with the session it belongs to and the file it came from.
 
-    ``ticks`` needs ``feed, file_date, trade_date``.  The calendar side is
-    bounded by the number of archive dates, so AQE broadcasts it.
+    ``from_file`` is ``own``, ``previous`` or ``next`` inside the three-file
+    window, else ``outside``: the session has no file of its own, or lies
+    further away.  No trade is left out.  ``ticks`` needs ``feed, file_date,
+    trade_date``.  The calendar side is bounded by the number of archive
+    dates, so AQE broadcasts it.
     """
     c = calendar.select("feed", F.col("file_date").alias("session_date"),
-                        "prev_file_date", "next_file_date")
+                        "prev_file_date", "next_file_date", F.lit(True).alias("_known"))
     t = ticks.withColumn("session_date", F.try_to_date("trade_date", "yyyy-MM-dd"))
-    j = t.join(c, ["feed", "session_date"], "inner")
+    j = t.join(c, ["feed", "session_date"], "left")
     where = (F.when(F.col("file_date") == F.col("session_date"), "own")
               .when(F.col("file_date") == F.col("prev_file_date"), "previous")
               .when(F.col("file_date") == F.col("next_file_date"), "next"))
-    return j.withColumn("from_file", where).where(F.col("from_file").isNotNull())
+    # the own file needs a calendar row as well: a session date without one is outside
+    known = F.col("prev_file_date").isNotNull() | F.col("next_file_date").isNotNull() | F.col("_known")
+    return j.withColumn("from_file", F.when(known, where)).withColumn(
+        "from_file", F.coalesce("from_file", F.lit("outside"))).drop("_known")
 
 
 def session_summary(ticks: DataFrame, calendar: DataFrame) -> DataFrame:
@@ -62,6 +68,7 @@ def session_summary(ticks: DataFrame, calendar: DataFrame) -> DataFrame:
         F.count_if(F.col("from_file") == "previous").alias("from_previous_file"),
         F.count_if(F.col("from_file") == "own").alias("from_own_file"),
         F.count_if(F.col("from_file") == "next").alias("from_next_file"),
+        F.count_if(F.col("from_file") == "outside").alias("outside_window"),
         F.sum("quantity").alias("volume"),
     )
 
@@ -91,21 +98,34 @@ def daily_code_counts(ticks: DataFrame) -> DataFrame:
     )
 
 
+# Bar units and their length on the wall clock.
+BAR_MILLIS = {"minute": 60_000, "hour": 3_600_000, "day": 86_400_000}
+
+
 def bars(ticks: DataFrame, unit: str = "minute") -> DataFrame:
     """OHLCV bars per (feed, symbol, bar start), valid timestamps only.
 
     Ties within one millisecond are broken by ``source_row`` (TXT order),
-    never by ``trade_id``.  Cancelled trades are excluded.  A pure partial
-    aggregate: no window, no per-symbol collection.
+    never by ``trade_id``.  Cancelled trades are excluded.  Bars start on
+    whole minutes, hours or days of the exchange's local time, whatever the
+    session zone is.  A pure partial aggregate: no window, no per-symbol
+    collection.
     """
+    if unit not in BAR_MILLIS:
+        raise ValueError(f"bars are by {sorted(BAR_MILLIS)}, got {unit!r}")
     t = ticks.where(F.col("timestamp").isNotNull()
                     & (F.col("update_action") != C.UPDATE_ACTION_CANCELLED))
-    t = t.withColumn("bar_start", F.date_trunc(unit, "timestamp"))
-    # Order inside a bar = (time, TXT line).  The offset from the bar start
-    # (< 2^24 ms for bars up to a few hours) and the line (< 2^39) pack into
-    # one BIGINT, so min_by/max_by keep fixed-width buffers (hash aggregate).
-    offset = F.unix_millis("timestamp") - F.unix_millis("bar_start")
-    order = F.shiftleft(offset, 39) + F.col("source_row").cast("bigint")
+    # from_utc_timestamp shifts an instant by the zone's offset, so the shifted
+    # millis are wall-clock millis and their whole units are local ones
+    wall = F.unix_millis(F.from_utc_timestamp("timestamp", C.TIMEZONE))
+    offset = F.pmod(wall, F.lit(BAR_MILLIS[unit]))
+    start = F.to_utc_timestamp(F.timestamp_millis(wall - offset), C.TIMEZONE)
+    t = t.withColumn("bar_start", start)
+    # Order inside a bar = (time, TXT line).  The wall offset (< 2^27 ms in a
+    # day) and the line (an int, < 2^31) pack into one BIGINT, so
+    # min_by/max_by keep fixed-width buffers (hash aggregate).  On a day whose
+    # clock is set back, the repeated hour is ordered by TXT line.
+    order = F.shiftleft(offset, 32) + F.col("source_row").cast("bigint")
     return t.groupBy("feed", "symbol", "bar_start").agg(
         F.min_by("price", order).alias("open"),
         F.max("price").alias("high"),

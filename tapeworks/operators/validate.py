@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from .. import contract as C
 from ..functions import strict as S
+from ..session import cut_lineage
 
 FILE_KEYS = ["feed", "file_date"]
 N_FIELDS = len(C.SOURCE_COLUMNS)
@@ -33,14 +34,17 @@ def with_fields(lines: DataFrame) -> DataFrame:
 
 
 def with_dst_flag(x: DataFrame) -> DataFrame:
-    """Adds ``_dst_day``: the file's calendar day is a DST transition day.
+    """Adds ``_dst_day``: the file's calendar day may be a DST transition day.
 
-    The transition-day table is bounded (a few hundred days over two
-    centuries), so broadcasting it is safe whatever the data size.
+    The transition-day table is bounded (a few hundred days over its years),
+    so broadcasting it is safe whatever the data size.  Days outside its
+    years are flagged too: their lines take the full check.
     """
     days = S.dst_transition_days(x.sparkSession).select(
         F.col("day").alias("file_date"), F.lit(True).alias("_dst_day"))
-    return x.join(F.broadcast(days), "file_date", "left")
+    outside = ~F.year("file_date").between(S.FIRST_DST_YEAR, S.LAST_DST_YEAR)
+    return x.join(F.broadcast(days), "file_date", "left").withColumn(
+        "_dst_day", F.coalesce(F.col("_dst_day"), outside))
 
 
 def is_header() -> Column:
@@ -112,9 +116,11 @@ def offending_values(x: DataFrame, decided: DataFrame, keys: list[str],
                      values: dict, line_col: str = "source_row") -> DataFrame:
     """The text at the first offending line of each rejected file.
 
-    A join of the lines with one row per rejected file on (file, line) -
-    AQE broadcasts that side when it is small - then the value expression
-    of the deciding rule.  No aggregate ever carries strings.
+    A join of the lines with one row per rejected file on (file, line), then
+    the value expression of the deciding rule.  ``decided`` is a materialised
+    table, so its size is known when the join is planned: a small one is
+    broadcast and the lines stay where they are.  No aggregate ever carries
+    strings.
     """
     firsts = decided.where(F.col("_v").isNotNull() & F.col("_v.line").isNotNull()).select(
         *keys, F.col("_v.line").alias(line_col), F.col("_v.rule").alias("_rule"))
@@ -154,7 +160,7 @@ def file_verdicts(lines: DataFrame, files: DataFrame | None = None) -> DataFrame
                 .withColumn("l_header", F.when(missing, F.lit(1)).otherwise(F.col("l_header")))
                 .withColumn("n_zero_rows", F.when(F.col("data_lines") == 0, 1).otherwise(0))
                 .withColumn("l_zero_rows", F.lit(None).cast("int")))
-    decided = decide(per_file, list(C.RULES))
+    decided = cut_lineage(decide(per_file, list(C.RULES)))
     vals = offending_values(x, decided, FILE_KEYS, values)
     out = decided.join(vals, FILE_KEYS, "left")
     first_value = F.when(missing & (F.col("_v.rule") == "header"), F.lit("")).otherwise(F.col("_value"))

@@ -78,7 +78,7 @@ LEFT JOIN (SELECT feed, count(*) AS n FROM tf GROUP BY feed) t ON f.feed = t.fee
 LEFT JOIN (SELECT feed, count(*) AS n FROM p WHERE problem IS NOT NULL GROUP BY feed) q ON f.feed = q.feed"""
 
 PLAN = ARCHIVE_BASE + """,
-req AS (SELECT feed, file_date FROM tf WHERE isodow(file_date) < 6),
+req AS (SELECT feed, file_date FROM tf),
 plan AS (
   SELECT r.feed, r.file_date,
     CASE WHEN a.feed IS NULL THEN 'FAILED'

@@ -19,7 +19,9 @@ WITH li AS (
          ELSE strftime(CAST(l_shipdate AS DATE), '%d/%m/%Y') END AS c_trade_date,
     CASE WHEN l_orderkey % 1009 = 7 AND l_linenumber = 1 THEN '2,5'
          WHEN l_linenumber = 3 THEN NULL ELSE CAST(l_linenumber AS VARCHAR) END AS c_contracts,
-    CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS c_assets
+    CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS c_assets,
+    CASE WHEN l_orderkey % 1499 = 11 THEN '1.' ELSE '' END
+      || replace(printf('%.2f', l_extendedprice), '.', ',') AS c_value
   FROM lineitem
 ),
 chk AS (
@@ -27,7 +29,8 @@ chk AS (
     NOT (regexp_full_match(c_trade_date, '[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}')
          AND try_strptime(c_trade_date, '%d/%m/%Y') IS NOT NULL) AS b_trade_date,
     c_contracts IS NOT NULL AND NOT regexp_full_match(c_contracts, '[+-]?[0-9]+(,0*)?') AS b_contracts,
-    NOT regexp_full_match(c_assets, '[+-]?[0-9]+(,0*)?') AS b_assets
+    NOT regexp_full_match(c_assets, '[+-]?[0-9]+(,0*)?') AS b_assets,
+    NOT regexp_full_match(c_value, '[0-9]+,[0-9]+') AS b_value
   FROM li
 ),
 agg AS (
@@ -37,20 +40,24 @@ agg AS (
     count(*) FILTER (WHERE b_contracts) AS n2, min(line_no) FILTER (WHERE b_contracts) AS l2,
     arg_min(c_contracts, line_no) FILTER (WHERE b_contracts) AS v2,
     count(*) FILTER (WHERE b_assets) AS n3, min(line_no) FILTER (WHERE b_assets) AS l3,
-    arg_min(c_assets, line_no) FILTER (WHERE b_assets) AS v3
+    arg_min(c_assets, line_no) FILTER (WHERE b_assets) AS v3,
+    count(*) FILTER (WHERE b_value) AS n4, min(line_no) FILTER (WHERE b_value) AS l4,
+    arg_min(c_value, line_no) FILTER (WHERE b_value) AS v4
   FROM chk GROUP BY report_date
 ),
 verdicts AS (
   SELECT report_date,
-    CASE WHEN n1 > 0 OR n2 > 0 OR n3 > 0 THEN 'REJECTED' ELSE 'OK' END AS status,
+    CASE WHEN n1 > 0 OR n2 > 0 OR n3 > 0 OR n4 > 0 THEN 'REJECTED' ELSE 'OK' END AS status,
     CASE WHEN n1 > 0 THEN 'trade_date_invalid' WHEN n2 > 0 THEN 'contracts_count_invalid'
-         WHEN n3 > 0 THEN 'assets_quantity_invalid' END AS rule,
+         WHEN n3 > 0 THEN 'assets_quantity_invalid' WHEN n4 > 0 THEN 'value_brl_invalid' END AS rule,
     CASE WHEN n1 > 0 THEN 'trade_date' WHEN n2 > 0 THEN 'contracts_count'
-         WHEN n3 > 0 THEN 'assets_quantity' END AS source_column,
-    CAST(CASE WHEN n1 > 0 THEN n1 WHEN n2 > 0 THEN n2 WHEN n3 > 0 THEN n3 END AS BIGINT) AS invalid_count,
-    CAST(CASE WHEN n1 > 0 THEN l1 WHEN n2 > 0 THEN l2 WHEN n3 > 0 THEN l3 END AS INTEGER) AS first_line,
-    CASE WHEN n1 > 0 THEN v1 WHEN n2 > 0 THEN v2 WHEN n3 > 0 THEN v3 END AS first_value,
-    data_rows
+         WHEN n3 > 0 THEN 'assets_quantity' WHEN n4 > 0 THEN 'value_brl' END AS source_column,
+    CAST(CASE WHEN n1 > 0 THEN n1 WHEN n2 > 0 THEN n2 WHEN n3 > 0 THEN n3 WHEN n4 > 0 THEN n4 END AS BIGINT)
+      AS invalid_count,
+    CAST(CASE WHEN n1 > 0 THEN l1 WHEN n2 > 0 THEN l2 WHEN n3 > 0 THEN l3 WHEN n4 > 0 THEN l4 END AS INTEGER)
+      AS first_line,
+    CASE WHEN n1 > 0 THEN v1 WHEN n2 > 0 THEN v2 WHEN n3 > 0 THEN v3 WHEN n4 > 0 THEN v4 END AS first_value,
+    data_rows, CAST(0 AS BIGINT) AS unparsed_cells
   FROM agg
 )
 """
@@ -67,7 +74,7 @@ SELECT c.report_date, c.line_no,
   CAST(c.l_shipdate AS DATE) AS trade_date,
   CAST(l_suppkey AS VARCHAR) AS if_code,
   'BRL' || lpad(CAST(l_partkey AS VARCHAR), 9, '0') AS isin_code,
-  'COMPANY ' || CAST(l_partkey AS VARCHAR) AS company_name,
+  'COMPANY ' || CAST(l_partkey AS VARCHAR) || CASE WHEN l_partkey % 17 = 0 THEN '; "SA"' ELSE '' END AS company_name,
   CASE WHEN l_returnflag = 'R' THEN 'Balcão' ELSE 'Bolsa' END AS market,
   CAST(CASE WHEN l_linenumber = 3 THEN NULL ELSE l_linenumber END AS BIGINT) AS contracts_count,
   CAST(l_quantity AS BIGINT) AS assets_quantity,
@@ -101,7 +108,8 @@ verdicts AS (
       AS invalid_count,
     CAST(min(line_no) FILTER (WHERE b_premium) AS INTEGER) AS first_line,
     arg_min(c_premium, line_no) FILTER (WHERE b_premium) AS first_value,
-    CAST(count(*) AS BIGINT) AS data_rows
+    CAST(count(*) AS BIGINT) AS data_rows,
+    CAST(count(*) FILTER (WHERE p_partkey % 97 = 5) AS BIGINT) AS unparsed_cells
   FROM chk GROUP BY report_date
 )
 """
@@ -178,7 +186,7 @@ verdicts AS (
     CAST(CASE WHEN n1 > 0 THEN n1 WHEN n2 > 0 THEN n2 END AS BIGINT) AS invalid_count,
     CAST(CASE WHEN n1 > 0 THEN l1 WHEN n2 > 0 THEN l2 END AS INTEGER) AS first_line,
     CASE WHEN n1 > 0 THEN v1 WHEN n2 > 0 THEN v2 END AS first_value,
-    data_rows
+    data_rows, CAST(0 AS BIGINT) AS unparsed_cells
   FROM agg
 )
 """
@@ -224,3 +232,24 @@ SELECT c.report_date, c.line_no,
   CAST(NULL AS DATE) AS opening_position_limit_date
 FROM chk c JOIN verdicts v ON c.report_date = v.report_date AND v.status = 'OK'
 """
+
+
+# Lending lines landed in two batches and read back over a range of business days.
+BTB_LAKE_ROWS = BTB_BASE + """
+SELECT CAST(c.report_date AS DATE) AS report_date, CAST(count(*) AS BIGINT) AS n_rows,
+       CAST(sum(l_quantity) AS BIGINT) AS assets, CAST(max(line_no) AS INTEGER) AS last_line
+FROM chk c JOIN verdicts v ON c.report_date = v.report_date AND v.status = 'OK'
+WHERE c.report_date BETWEEN DATE '1995-03-01' AND DATE '1996-08-30' AND isodow(c.report_date) < 6
+GROUP BY c.report_date"""
+
+BTB_LAKE_MISSING = BTB_BASE + """
+SELECT CAST(d.d AS DATE) AS report_date
+FROM range(DATE '1995-03-01', DATE '1996-08-31', INTERVAL 1 DAY) AS d(d)
+WHERE isodow(d.d) < 6 AND CAST(d.d AS DATE) NOT IN (SELECT report_date FROM li)"""
+
+# Physical line numbers of text files, one per order year.
+TEXT_LINE_NUMBERS = """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS file_year,
+       CAST(row_number() OVER (PARTITION BY year(o_orderdate) ORDER BY o_orderkey) AS INTEGER) AS line_no,
+       CASE WHEN o_orderkey % 37 = 0 THEN '' ELSE CAST(o_orderkey AS VARCHAR) || '|' || o_orderstatus END AS line
+FROM orders"""

@@ -274,25 +274,48 @@ TICK_SESSIONS = with_ticks("""
          lead(file_date) OVER (PARTITION BY feed ORDER BY file_date) AS next_file_date
   FROM verdicts WHERE status = 'OK'
 ), st AS (
-  SELECT t.feed, c.file_date AS session_date, t.quantity,
+  SELECT t.feed, CAST(t.trade_date AS DATE) AS session_date, t.quantity,
     CASE WHEN t.file_date = c.file_date THEN 'own'
          WHEN t.file_date = c.prev_file_date THEN 'previous'
-         WHEN t.file_date = c.next_file_date THEN 'next' END AS from_file
-  FROM ticks t JOIN cal c ON t.feed = c.feed AND CAST(t.trade_date AS DATE) = c.file_date
+         WHEN t.file_date = c.next_file_date THEN 'next' ELSE 'outside' END AS from_file
+  FROM ticks t LEFT JOIN cal c ON t.feed = c.feed AND CAST(t.trade_date AS DATE) = c.file_date
 )
 SELECT feed, session_date,
   CAST(count(*) AS BIGINT) AS n_trades,
   CAST(count(*) FILTER (WHERE from_file = 'previous') AS BIGINT) AS from_previous_file,
   CAST(count(*) FILTER (WHERE from_file = 'own') AS BIGINT) AS from_own_file,
   CAST(count(*) FILTER (WHERE from_file = 'next') AS BIGINT) AS from_next_file,
+  CAST(count(*) FILTER (WHERE from_file = 'outside') AS BIGINT) AS outside_window,
   CAST(sum(quantity) AS BIGINT) AS volume
-FROM st WHERE from_file IS NOT NULL GROUP BY feed, session_date""")
+FROM st GROUP BY feed, session_date""")
 
-TICK_BARS = with_ticks("""
-SELECT feed, symbol, timestamp_ms // 60000 * 60000 AS bar_start_ms,
-  arg_min(price, {'t': timestamp_ms, 'r': source_row}) AS open,
+
+def _bars(millis: int) -> str:
+    """Bars of ``millis`` on the local clock, three hours behind UTC all through the data."""
+    start = f"(timestamp_ms - 10800000) // {millis} * {millis} + 10800000"
+    return with_ticks(f"""
+SELECT feed, symbol, {start} AS bar_start_ms,
+  arg_min(price, {{'t': timestamp_ms, 'r': source_row}}) AS open,
   max(price) AS high, min(price) AS low,
-  arg_max(price, {'t': timestamp_ms, 'r': source_row}) AS close,
+  arg_max(price, {{'t': timestamp_ms, 'r': source_row}}) AS close,
   CAST(sum(quantity) AS BIGINT) AS volume, CAST(count(*) AS BIGINT) AS n_trades
 FROM ticks WHERE timestamp_ms IS NOT NULL AND update_action <> 2
-GROUP BY feed, symbol, timestamp_ms // 60000 * 60000""")
+GROUP BY feed, symbol, {start}""")
+
+
+TICK_BARS = _bars(60000)
+TICK_BARS_HOUR = _bars(3600000)
+TICK_BARS_DAY = _bars(86400000)
+
+# Ticks written in two batches and read back over a range of business days.
+TICK_LAKE_RANGE = with_ticks("""
+SELECT feed, file_date, CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(quantity) AS BIGINT) AS volume,
+       CAST(max(source_row) AS INTEGER) AS last_row
+FROM ticks WHERE file_date BETWEEN DATE '2024-01-08' AND DATE '2024-01-26' AND isodow(file_date) < 6
+GROUP BY feed, file_date""")
+
+TICK_LAKE_MISSING = with_ticks("""
+SELECT f.feed, CAST(d.d AS DATE) AS file_date
+FROM (VALUES ('RV'), ('DERIV')) AS f(feed), range(DATE '2024-01-08', DATE '2024-01-27', INTERVAL 1 DAY) AS d(d)
+WHERE isodow(d.d) < 6 AND NOT EXISTS (
+  SELECT 1 FROM verdicts v WHERE v.status = 'OK' AND v.feed = f.feed AND v.file_date = CAST(d.d AS DATE))""")

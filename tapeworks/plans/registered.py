@@ -8,6 +8,7 @@ unreadable times).  Column names are aliased identically on both sides.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,12 +22,14 @@ from ..sources.rendered import (btb_lines_from_lineitem, derivatives_lines_from_
 from ..functions.calendar import is_business_day
 from ..operators import reconcile, retention, runlog
 from ..sources import derived as D
+from ..session import checkpoint_dir
 from ..sources.catalog import catalog
+from ..sources.text import scan_lines
 from . import oracle_ops as OO
 from . import oracle_reports as OR
 from . import oracle_ticks as OT
-from .reports import parse_layout
-from .ticks import process_lines, rebuild_report
+from .reports import archive_raw_lines, parse_layout, read_raw_lines, read_report_by_dates
+from .ticks import missing_ticks, process_lines, read_ticks, rebuild_report, write_ticks
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -90,6 +93,80 @@ def q_tick_bars(spark, sf_dir):
                        "open", "high", "low", "close", "volume", "n_trades")
 
 
+def _bars(unit: str):
+    def query(spark, sf_dir):
+        _, b = _tick_batch(spark, sf_dir)
+        return sessions.bars(b.ticks, unit).select(
+            "feed", "symbol", F.unix_millis("bar_start").alias("bar_start_ms"),
+            "open", "high", "low", "close", "volume", "n_trades")
+    return query
+
+
+# Business days that the lake queries read back.
+TICK_RANGE = ("2024-01-08", "2024-01-26")
+REPORT_RANGE = ("1995-03-01", "1996-08-30")
+
+
+def _scratch(spark, name: str) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _tick_lake(spark, sf_dir) -> str:
+    """A lake written in two batches (odd, then even days), the second one twice."""
+    lake = _scratch(spark, "tick-lake")
+    lines = tick_lines_from_events(_table(spark, sf_dir, "events"))
+    for parity, skip in ((1, False), (0, False), (0, True)):
+        batch = process_lines(lines.where(F.dayofmonth("file_date") % 2 == parity))
+        write_ticks(batch, lake, skip_existing=skip)
+    return lake
+
+
+def q_tick_lake_range(spark, sf_dir):
+    lake = _tick_lake(spark, sf_dir)
+    back = [read_ticks(spark, lake, feed, TICK_RANGE).withColumn("feed", F.lit(feed)) for feed in ("RV", "DERIV")]
+    return back[0].union(back[1]).groupBy("feed", F.to_date("reference_date").alias("file_date")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("quantity").cast("bigint").alias("volume"),
+        F.max("source_row").alias("last_row"))
+
+
+def q_tick_lake_missing(spark, sf_dir):
+    lake = _tick_lake(spark, sf_dir)
+    gone = [missing_ticks(spark, lake, feed, TICK_RANGE).select(F.lit(feed).alias("feed"), "file_date")
+            for feed in ("RV", "DERIV")]
+    return gone[0].union(gone[1])
+
+
+def _report_lake(spark, sf_dir):
+    """The lending report's rows and missing dates, read from lines landed in two batches."""
+    root = _scratch(spark, "report-lake")
+    lines = btb_lines_from_lineitem(_table(spark, sf_dir, "lineitem")).withColumns(
+        {"section": F.lit("lending"), "api_name": F.lit("BTBLoanBalance")})
+    for parity, skip in ((1, False), (0, False), (0, True)):
+        archive_raw_lines(lines.where(F.dayofmonth("report_date") % 2 == parity), root, skip_existing=skip)
+    return read_report_by_dates(spark, read_raw_lines(spark, root), "BTBLoanBalance", REPORT_RANGE)
+
+
+def q_report_lake_rows(spark, sf_dir):
+    return _report_lake(spark, sf_dir)[0].groupBy("report_date").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("assets_quantity").alias("assets"), F.max("line_no").alias("last_line"))
+
+
+def q_report_lake_missing(spark, sf_dir):
+    return _report_lake(spark, sf_dir)[1]
+
+
+def q_text_line_numbers(spark, sf_dir):
+    """Text files written from ``orders``, a blank line here and there, numbered by the text source."""
+    root = _scratch(spark, "text-lines")
+    line = F.when(F.col("o_orderkey") % 37 == 0, "").otherwise(
+        F.concat_ws("|", F.col("o_orderkey").cast("string"), "o_orderstatus"))
+    (_table(spark, sf_dir, "orders").withColumn("file_year", F.year("o_orderdate"))
+     .repartition("file_year").sortWithinPartitions("file_year", "o_orderkey").select("file_year", line.alias("value"))
+     .write.partitionBy("file_year").text(root))
+    return scan_lines(spark, root, "UTF-8").select(
+        F.regexp_extract("path", "file_year=([0-9]+)", 1).cast("int").alias("file_year"), "line_no", "line")
+
+
 def _btb(spark, sf_dir):
     return parse_layout(btb_lines_from_lineitem(_table(spark, sf_dir, "lineitem")), "BTBLoanBalance")
 
@@ -158,7 +235,7 @@ def q_archive_verify_counts(spark, sf_dir):
 
 def _plan(spark, sf_dir):
     archived, ticks = _archive(spark, sf_dir)
-    requested = ticks.where(is_business_day(F.col("file_date"))).select("feed", "file_date")
+    requested = ticks.select("feed", "file_date")
     prov = ticks.where(F.col("has_provenance"))
     return reconcile.rebuild_plan(requested, archived, prov, D.CURRENT_BUILD, dry_run=True)
 
@@ -241,6 +318,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tick_code_counts": q_tick_code_counts,
     "tick_sessions": q_tick_sessions,
     "tick_bars": q_tick_bars,
+    "tick_bars_hour": _bars("hour"),
+    "tick_bars_day": _bars("day"),
+    "tick_lake_range": q_tick_lake_range,
+    "tick_lake_missing": q_tick_lake_missing,
+    "report_lake_rows": q_report_lake_rows,
+    "report_lake_missing": q_report_lake_missing,
+    "text_line_numbers": q_text_line_numbers,
     "report_btb_rows": q_report_btb_rows,
     "report_btb_verdicts": q_report_btb_verdicts,
     "report_equities_rows": q_report_equities_rows,
@@ -272,6 +356,13 @@ ORACLE_SQL: dict[str, str] = {
     "tick_code_counts": OT.TICK_CODE_COUNTS,
     "tick_sessions": OT.TICK_SESSIONS,
     "tick_bars": OT.TICK_BARS,
+    "tick_bars_hour": OT.TICK_BARS_HOUR,
+    "tick_bars_day": OT.TICK_BARS_DAY,
+    "tick_lake_range": OT.TICK_LAKE_RANGE,
+    "tick_lake_missing": OT.TICK_LAKE_MISSING,
+    "report_lake_rows": OR.BTB_LAKE_ROWS,
+    "report_lake_missing": OR.BTB_LAKE_MISSING,
+    "text_line_numbers": OR.TEXT_LINE_NUMBERS,
     "report_btb_rows": OR.BTB_ROWS,
     "report_btb_verdicts": OR.BTB_VERDICTS,
     "report_equities_rows": OR.EQ_ROWS,

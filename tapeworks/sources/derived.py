@@ -68,11 +68,16 @@ def local_files_from_documents(documents: DataFrame) -> DataFrame:
     parsed = (F.when(F.col("kind") == "zip",
                      F.coalesce(K.name_date(F.col("name"), "RV"), K.name_date(F.col("name"), "DERIV")))
                .otherwise(K.ticks_name_date(F.col("name"))))
-    f = f.withColumn("file_date", parsed)
+    f = _once(_once(f).withColumn("file_date", parsed))
     key = (F.when(F.col("file_date").isNull() | (F.col("kind") == "raw"), F.lit(None))
             .when(F.col("kind") == "zip", K.archive_key(F.col("feed"), F.col("file_date")))
             .otherwise(K.ticks_key(F.col("feed"), F.col("file_date"))))
-    return f.withColumn("archive_key", key)
+    return _once(f.withColumn("archive_key", key))
+
+
+def _once(df: DataFrame) -> DataFrame:
+    """A step whose columns are computed once: nothing above an explode is inlined below it."""
+    return df.select(F.inline(F.array(F.struct(*df.columns))))
 
 
 def archive_keys_from_files(files: DataFrame) -> DataFrame:

@@ -235,11 +235,14 @@ def btb_line():
         trade_date,
         F.col("l_suppkey").cast("string"),
         F.concat(F.lit("BRL"), F.lpad(F.col("l_partkey").cast("string"), 9, "0")),
-        F.concat(F.lit("COMPANY "), F.col("l_partkey").cast("string")),
+        F.when(F.col("l_partkey") % 17 == 0, F.concat(F.lit('"COMPANY '), F.col("l_partkey").cast("string"),
+                                                      F.lit('; ""SA"""')))
+         .otherwise(F.concat(F.lit("COMPANY "), F.col("l_partkey").cast("string"))),
         F.when(F.col("l_returnflag") == "R", "Balcão").otherwise("Bolsa"),
         contracts,
         F.col("l_quantity").cast("bigint").cast("string"),
-        _comma2(F.col("l_extendedprice")),
+        F.when(F.col("l_orderkey") % 1499 == 11, F.concat(F.lit("1."), _comma2(F.col("l_extendedprice"))))
+         .otherwise(_comma2(F.col("l_extendedprice"))),
         F.concat(_comma2(F.col("l_discount") * 100), F.lit("%")),
         F.concat(_comma2(F.col("l_tax") * 100), F.lit("%")),
         F.concat(_comma2((F.col("l_discount") + F.col("l_tax")) * 100), F.lit("%")),
@@ -293,7 +296,7 @@ def equities_line():
         F.when(size % 2 == 0, "False").otherwise("True"),
         F.lit("FALSE"), F.lit("ON NM"),
         F.concat(F.lit("CORP "), F.col("p_brand")),
-        F.lit("-"), F.lit("FUNGIBLE"),
+        F.when(F.col("p_partkey") % 97 == 5, "30/02/2024").otherwise("-"), F.lit("FUNGIBLE"),
         (F.col("p_partkey") * 1000).cast("string"),
         F.lit("NM"),
     ]

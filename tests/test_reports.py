@@ -147,3 +147,39 @@ def test_spreadsheet_na_words_are_opt_in(spark):
     assert verdicts.first().status == "OK" and got == {(None, None), (None, 1)}
     rows, _ = parse_report(_lines(spark, ["NA;1"]), plain, ["report_date"])
     assert rows.first().ticker == "NA"                     # a ticker called NA survives
+
+
+def test_landing_two_days_keeps_both_and_skips_present_ones(spark, tmp_path):
+    import datetime as dt
+
+    from tapeworks.plans.reports import archive_raw_lines, read_raw_lines
+    root = str(tmp_path / "raw")
+
+    def lines(day, text):
+        return spark.createDataFrame([("lending", "BTBLoanBalance", dt.date(2026, 6, day), 1, text)],
+                                     "section string, api_name string, report_date date, line_no int, line string")
+
+    archive_raw_lines(lines(29, "a"), root)
+    archive_raw_lines(lines(30, "b"), root)
+    archive_raw_lines(lines(30, "c"), root, skip_existing=True)
+    assert sorted((r.report_date.day, r.line) for r in read_raw_lines(spark, root).collect()) == [(29, "a"), (30, "b")]
+    archive_raw_lines(lines(30, "c"), root)
+    assert sorted((r.report_date.day, r.line) for r in read_raw_lines(spark, root).collect()) == [(29, "a"), (30, "c")]
+
+
+def test_quoted_cells_and_bad_numbers(spark):
+    from pyspark.sql import functions as F
+
+    from tapeworks.operators.layouts import ReportLayout, parse_report, split_cells
+    rows = [('"EMPRESA; SA";1', ["EMPRESA; SA", "1"]), ('"ABCD";2', ["ABCD", "2"]), ('a"b;3', ['a"b', "3"]),
+            ('"say ""hi""";', ['say "hi"', ""]), (';"x;y;z"', ["", "x;y;z"]), ('"";""', ["", ""]), ("p;q", ["p", "q"])]
+    df = spark.createDataFrame([(r[0],) for r in rows], "line string")
+    assert [r.c for r in df.select(split_cells(F.col("line"), ";").alias("c")).collect()] == [r[1] for r in rows]
+    layout = ReportLayout("t", 0, 0, (("name", "string"), ("value", "double"), ("day", "date")))
+    lines = spark.createDataFrame([(1, 1, '"A; B";1,5;31/12/2024'), (1, 2, "C;;31/02/2024"), (2, 1, "D;1.234,56;-")],
+                                  "k int, line_no int, line string")
+    got, verdicts = parse_report(lines, layout, ["k"])
+    v = {r.k: r for r in verdicts.collect()}
+    assert (v[1].status, v[1].unparsed_cells) == ("OK", 1)
+    assert (v[2].rule, v[2].first_value) == ("value_invalid", "1.234,56")
+    assert sorted((r.name, r.value) for r in got.collect()) == [("A; B", 1.5), ("C", None)]

@@ -60,3 +60,33 @@ def test_output_check_and_report_csv(spark, tmp_path):
     write_rebuild_report(report, str(tmp_path / "report"))
     back = spark.read.option("header", True).csv(str(tmp_path / "report"))
     assert back.columns[0] == "feed" and back.count() == 2
+
+
+def test_hour_and_day_bars_in_exchange_time(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        # 02:30 and 02:59 UTC are the evening before in the exchange's zone
+        rows = [(2, "2026-06-30 02:30:00", 5.0), (3, "2026-06-30 02:59:59.999", 6.0), (4, "2026-06-30 03:00:00", 0.0),
+                (5, "2026-06-30 20:00:00", 9.0), (6, "2026-06-30 15:00:00", 7.0), (7, "2026-07-01 02:59:59", 3.0)]
+        df = spark.createDataFrame([("RV", D(2026, 6, 30), n, "A", t, p, 1, 0, "2026-06-30", "2026-06-30") for n, t, p in rows],
+                                   "feed string, file_date date, source_row int, symbol string, ts string, price double, "
+                                   "quantity bigint, update_action smallint, trade_date string, reference_date string")
+        t = df.withColumn("timestamp", F.to_utc_timestamp(F.to_timestamp("ts"), "UTC")
+                          + F.expr("INTERVAL 9 HOURS")).drop("ts")
+        got = {r.ms: (r.open, r.close) for r in sessions.bars(t, "day").select(
+            F.unix_millis("bar_start").alias("ms"), "open", "close").collect()}
+        utc = lambda *a: int(dt.datetime(*a, tzinfo=dt.timezone.utc).timestamp() * 1000)
+        assert got == {utc(2026, 6, 29, 3): (5.0, 6.0), utc(2026, 6, 30, 3): (0.0, 3.0)}
+        assert sessions.bars(t, "hour").count() == 5
+    finally:
+        spark.conf.unset("spark.sql.session.timeZone")
+
+
+def test_every_trade_is_in_a_session_or_outside(spark):
+    cal = sessions.file_calendar(spark.createDataFrame([("RV", D(2026, 6, 30))], "feed string, file_date date"))
+    t = _ticks(spark, [
+        ("RV", D(2026, 6, 30), 2, "A", "2026-06-30 13:00:00", 1.0, 1, 0, "2026-06-30", "2026-06-30"),
+        ("RV", D(2026, 6, 30), 3, "A", "2026-06-30 13:00:00", 1.0, 1, 0, "2026-07-15", "2026-06-30")])
+    s = {r.session_date: r for r in sessions.session_summary(t, cal).collect()}
+    assert s[D(2026, 6, 30)].from_own_file == 1 and s[D(2026, 6, 30)].outside_window == 0
+    assert s[D(2026, 7, 15)].outside_window == 1

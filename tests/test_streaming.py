@@ -25,3 +25,14 @@ def test_available_now_processes_only_new_files(spark, tmp_path):
     assert [(r.feed, str(r.file_date), r.status) for r in new] == [("DERIV", bad_day, "REJECTED")]
     assert spark.read.parquet(f"{lake}/provenance").count() == 2   # rejected date not published
     assert spark.read.parquet(f"{lake}/ticks").count() == 4
+
+
+def test_second_run_keeps_the_first_days_provenance(spark, tmp_path):
+    landing, lake, ckpt = (str(tmp_path / d) for d in ("landing", "lake", "ckpt"))
+    (tmp_path / "landing").mkdir()
+    for day in ("2026-06-29", "2026-06-30"):
+        write_zip(landing, "RV", day, {txt_name("RV", day): tick_text([tick_line(ref=day)] * 2)})
+        ingest_new_archives(spark, landing, lake, ckpt, build_id="b1")
+    prov = spark.read.parquet(f"{lake}/provenance")
+    assert sorted(str(r.file_date) for r in prov.collect()) == ["2026-06-29", "2026-06-30"]
+    assert spark.read.parquet(f"{lake}/ticks").count() == 4

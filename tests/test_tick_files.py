@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from tapeworks.plans.ticks import process_archives, process_text, read_ticks, write_ticks
+from tapeworks.plans.ticks import missing_ticks, process_archives, process_text, read_ticks, write_ticks
 from tests.conftest import tick_line, tick_text, txt_name, write_zip
 
 DAY = "2026-06-30"
@@ -241,3 +241,114 @@ def test_run_log_from_batch(spark, tmp_path):
     assert log["DERIV"].extract == "FAILED" and log["DERIV"].error.startswith("extract: column PrecoNegocio")
     s = date_summary(run_log(process_archives(spark, str(folder)))).first()
     assert (s.total, s.succeeded, s.failed) == (2, 1, 1)
+
+
+def _days_zip(folder, days, feed="RV", rows=3):
+    for day in days:
+        write_zip(str(folder), feed, day, {txt_name(feed, day): tick_text([tick_line(ref=day)] * rows)})
+    return str(folder)
+
+
+@pytest.mark.parametrize("skip", [False, True])
+def test_two_batches_of_one_year_keep_each_other(spark, tmp_path, skip):
+    out = str(tmp_path / "lake")
+    for day in ("2026-06-29", "2026-06-30"):
+        folder = tmp_path / day
+        folder.mkdir()
+        write_ticks(process_archives(spark, _days_zip(folder, [day])), out, skip_existing=skip)
+    prov = spark.read.parquet(f"{out}/provenance")
+    assert sorted(str(r.file_date) for r in prov.collect()) == ["2026-06-29", "2026-06-30"]
+    assert spark.read.parquet(f"{out}/ticks").count() == 6
+
+
+def test_read_by_every_kind_of_date_input(spark, tmp_path):
+    folder = tmp_path / "zips"
+    folder.mkdir()
+    days = ["2026-06-25", "2026-06-26", "2026-06-27", "2026-06-29", "2026-06-30"]  # the 27th is a Saturday
+    out = str(tmp_path / "lake")
+    write_ticks(process_archives(spark, _days_zip(folder, days, rows=1)), out)
+
+    def days_of(dates):
+        df = read_ticks(spark, out, "RV", dates)
+        assert "PartitionFilters: [isnotnull(feed" in df._jdf.queryExecution().executedPlan().toString()
+        return sorted(r.reference_date for r in df.collect())
+
+    assert days_of("2026-06-26") == ["2026-06-26"] == days_of(dt.date(2026, 6, 26))
+    assert days_of(["2026-06-30", "2026-06-27", "2026-06-30"]) == ["2026-06-27", "2026-06-30"]
+    assert days_of(("2026-06-25", "2026-06-30")) == ["2026-06-25", "2026-06-26", "2026-06-29", "2026-06-30"]
+    gone = missing_ticks(spark, out, "RV", ("2026-06-24", "2026-07-01")).collect()
+    assert sorted(str(r.file_date) for r in gone) == ["2026-06-24", "2026-07-01"]
+    assert missing_ticks(spark, str(tmp_path / "nowhere"), "RV", "2026-06-24").count() == 1
+    with pytest.raises(ValueError):
+        read_ticks(spark, out, "RV", ("2026-06-24",))
+
+
+def test_damaged_and_duplicate_archives_reject_only_their_dates(spark, tmp_path):
+    folder = tmp_path / "zips"
+    (folder / "again").mkdir(parents=True)
+    good, broken, double = "2026-06-26", "2026-06-29", "2026-06-30"
+    _days_zip(folder, [good, double])
+    _days_zip(folder / "again", [double])
+    lines = [tick_line(ref=broken, trade_id=str(i)) for i in range(5000)]
+    path = write_zip(str(folder), "RV", broken, {txt_name("RV", broken): tick_text(lines)})
+    data = bytearray(open(path, "rb").read())
+    data[len(data) // 2] ^= 0xFF  # inside the member's bytes: only reading it finds out
+    open(path, "wb").write(bytes(data))
+    (folder / "20260701_NEGOCIOSAVISTA.zip").write_bytes(b"not a zip")
+    b = process_archives(spark, str(folder))
+    got = {str(r.file_date): (r.status, r.rule) for r in b.verdicts.collect()}
+    assert got == {good: ("OK", None), broken: ("REJECTED", "archive_unreadable"),
+                   double: ("REJECTED", "archive_ambiguous"), "2026-07-01": ("REJECTED", "archive_unreadable")}
+    assert b.ticks.count() == 3 and b.provenance.count() == 1
+
+
+def test_second_and_empty_txt(spark, tmp_path):
+    for sub in ("a", "b"):
+        (tmp_path / "txt" / sub).mkdir(parents=True)
+        (tmp_path / "txt" / sub / txt_name("RV", DAY)).write_bytes(tick_text([tick_line()]))
+    (tmp_path / "txt" / "a" / txt_name("DERIV", DAY)).write_bytes(b"")
+    (tmp_path / "txt" / "a" / txt_name("RV", "2026-06-29")).write_bytes(tick_text([tick_line(ref="2026-06-29")]))
+    b = process_text(spark, [str(tmp_path / "txt" / s) for s in ("a", "b")])
+    got = {(r.feed, str(r.file_date)): (r.status, r.rule) for r in b.verdicts.collect()}
+    assert got == {("RV", DAY): ("REJECTED", "txt_ambiguous"), ("DERIV", DAY): ("REJECTED", "header"),
+                   ("RV", "2026-06-29"): ("OK", None)}
+    assert b.ticks.count() == 1
+
+
+def test_numbering_survives_a_change_of_splits(spark, tmp_path):
+    from tapeworks.sources.text import scan_lines
+    (tmp_path / "t.txt").write_bytes(b"".join(b"line %d\n" % i for i in range(1, 5002)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+    try:
+        df = scan_lines(spark, str(tmp_path / "t.txt"))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    got = {r.line_no: r.line for r in df.collect()}
+    assert got == {i: f"line {i}" for i in range(1, 5002)}
+
+
+def test_sink_refuses_files_with_too_few_rows(spark, tmp_path):
+    folder = tmp_path / "zips"
+    folder.mkdir()
+    b = process_archives(spark, _days_zip(folder, ["2026-06-29", "2026-06-30"]))
+    b.provenance = b.provenance.withColumn("row_count", F.when(
+        F.col("file_date") == "2026-06-30", 2).otherwise(F.col("row_count")).cast("bigint"))
+    out = str(tmp_path / "lake")
+    refused = write_ticks(b, out).collect()
+    assert [(str(r.file_date), r.problem) for r in refused] == [("2026-06-30", "row_count 2 != source_txt_row_count 3")]
+    assert spark.read.parquet(f"{out}/ticks").count() == 3
+
+
+@pytest.mark.parametrize("day,ok", [("1850-03-05", True), ("2150-03-05", True)])
+def test_days_outside_the_transition_table_take_the_full_check(spark, tmp_path, day, ok):
+    loc = _one_zip(tmp_path, [tick_line(ref=day, time="120000000")], day=day)
+    assert (_verdict(process_archives(spark, loc), day=day).status == "OK") == ok
+
+
+def test_verdict_plan_leaves_the_lines_in_place(spark, tmp_path):
+    from tapeworks.operators import validate
+    loc = _one_zip(tmp_path, [tick_line(), tick_line(price="x")])
+    b = process_archives(spark, loc)
+    lines = spark.createDataFrame([("RV", dt.date(2026, 6, 30), 2, "a;b")], "feed string, file_date date, source_row int, line string")
+    plan = validate.file_verdicts(lines)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and b.verdicts.count() == 1
