@@ -57,12 +57,13 @@ def tick_files(spark: SparkSession, paths) -> DataFrame:
     """One row per (feed, file_date) that has a TXT file, empty files included.
 
     A day with more than one TXT has the rule ``txt_ambiguous``: two files
-    must not be read as one.  The listing reads no file bodies.
+    must not be read as one.  The names come from the scan's own
+    listing (its tasks never see empty files); no file body is read.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     feed, file_date = _tick_name(F.col("path"))
-    listed = spark.read.format("binaryFile").load(paths).select("path").select("path", feed.alias("feed"),
-                                                                              file_date.alias("file_date"))
+    names = [(p,) for p in spark.read.text(paths).inputFiles()]
+    listed = spark.createDataFrame(names, "path string").select("path", feed.alias("feed"), file_date.alias("file_date"))
     grouped = (listed.where(F.col("feed").isNotNull() & F.col("file_date").isNotNull())
                .groupBy("feed", "file_date").agg(F.count(F.lit(1)).alias("n"), F.array_join(F.array_sort(
                    F.collect_set(F.regexp_extract("path", r"([^/]+)$", 1))), "|").alias("candidates")))
