@@ -76,6 +76,32 @@ def summary_line(total: Column, succeeded: Column, failed: Column) -> Column:
                            F.format_number(succeeded, 0), F.format_number(failed, 0))
 
 
+def summary_lines(results: DataFrame) -> DataFrame:
+    """The run's report as rows ``(part, feed, trade_date, line)`` (FN-20).
+
+    Part 1 counts the outcomes, part 2 has a line per date (stages and
+    ticks), part 3 a line per failure; ordered by part, feed and date they
+    are the text of a run summary.  Nothing is gathered: a row per line.
+    """
+    s = date_summary(results)
+    heads = F.array(*[F.struct(F.lit(i).alias("_n"), line.alias("line")) for i, line in enumerate((
+        F.format_string("Dates processed : %d", "total"), F.format_string("Succeeded       : %d", "succeeded"),
+        F.format_string("Failed          : %d", "failed"), F.format_string("Unavailable     : %d", "unavailable")))])
+    none = F.lit(None)
+    head = s.select(F.inline(heads)).select(
+        F.lit(1).alias("part"), none.cast("string").alias("feed"), none.cast("date").alias("trade_date"),
+        F.concat(F.lit("  "), F.col("line")).alias("line"))
+    stages = F.concat_ws(" ", *[F.rpad(F.concat(F.lit(f"{name}="), F.col(name)), len(name) + 12, " ") for name in STAGES])
+    per = results.select(
+        F.lit(2).alias("part"), "feed", "trade_date",
+        F.concat(F.date_format("trade_date", "yyyy-MM-dd"), F.lit("  "), stages, F.lit(" ticks="),
+                 F.coalesce(F.format_number("tick_count", 0), F.lit("-"))).alias("line"))
+    bad = failures(results).select(
+        F.lit(3).alias("part"), "feed", "trade_date",
+        F.concat(F.lit("    "), F.date_format("trade_date", "yyyy-MM-dd"), F.lit(": "), "error").alias("line"))
+    return head.union(per).union(bad)
+
+
 def late_reports(arrivals: DataFrame, catalog: DataFrame) -> DataFrame:
     """Arrivals later than the catalog SLA (RUN-5); blank SLA is never late.
 

@@ -10,16 +10,22 @@ requested (feed, date).  A date that fails only yields a FAILED row.
 
 from __future__ import annotations
 
+import datetime as dt
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.keys import archive_name_date, basename
+from .. import contract as C
+from ..functions.keys import archive_name_date, basename, ticks_name_date
 from ..operators import reconcile
-from ..sources.inventory import list_files
-from .ticks import existing_provenance, process_archive_frame, rebuild_report, write_ticks
+from ..session import cut_lineage
+from ..sources.inventory import list_files, read_footers
+from .ticks import (empty_batch, existing_provenance, process_archive_frame, rebuild_report, run_log,
+                    write_ticks)
 
 REPORT_COLUMNS = ["feed", "file_date", "trade_date", "status", "row_count",
-                  "timestamp_null_count", "other_session_row_count", "error"]
+                  "timestamp_null_count", "other_session_row_count", "seconds", "error"]
 
 
 def archive_inventory(spark: SparkSession, archive_root: str) -> DataFrame:
@@ -54,11 +60,110 @@ def execute_rebuild(spark: SparkSession, archive_root: str, lake: str, plan: Dat
         "feed", "file_date", F.date_format("file_date", "yyyy-MM-dd").alias("trade_date"),
         "status", F.lit(None).cast("bigint").alias("row_count"),
         F.lit(None).cast("bigint").alias("timestamp_null_count"),
-        F.lit(None).cast("bigint").alias("other_session_row_count"), "error")
+        F.lit(None).cast("bigint").alias("other_session_row_count"),
+        F.lit(0.0).alias("seconds"), "error")
     if not paths:
         return not_run
     raw = spark.read.format("binaryFile").load(paths)
+    began = time.monotonic()
     batch = process_archive_frame(raw, build_id=build_id)
-    write_ticks(batch, lake)
-    ran = rebuild_report(batch.verdicts, batch.ticks).select(*REPORT_COLUMNS)
-    return ran.unionByName(not_run)
+    refused = write_ticks(batch, lake)
+    seconds = round(time.monotonic() - began, 1)  # all dates of a run are done by the same jobs
+    ran = rebuild_report(batch.verdicts, batch.ticks).join(
+        refused.select("feed", "file_date", "problem"), ["feed", "file_date"], "left")
+    ran = ran.withColumns({
+        "status": F.when(F.col("problem").isNotNull(), "FAILED").otherwise(F.col("status")),
+        "error": F.coalesce("problem", "error"), "seconds": F.lit(seconds)})
+    return ran.select(*REPORT_COLUMNS).unionByName(not_run)
+
+
+def run_dates(spark: SparkSession, archive_root: str, lake: str, requested: DataFrame,
+              build_id: str | None = None, overwrite: bool = False) -> DataFrame:
+    """A daily run over ``requested`` (feed, file_date): the run log, one row per date.
+
+    Stage 0 skips dates that have both the archive and published ticks
+    (unless ``overwrite``); dates without an archive are UNAVAILABLE; the rest
+    is read, validated, converted and written in one job each.
+    """
+    started = dt.datetime.now()
+    inv = cut_lineage(archive_inventory(spark, archive_root))
+    archived = inv.select("feed", "file_date").distinct()
+    req = requested.select("feed", "file_date").distinct()
+    done = existing_provenance(spark, lake)
+    if done is None or overwrite:
+        skipped = req.limit(0)
+    else:  # materialised: the run below changes what is published
+        skipped = cut_lineage(reconcile.fully_archived(req, archived, done))
+    todo = req.join(skipped, ["feed", "file_date"], "left_anti")
+    missing = cut_lineage(todo.join(archived, ["feed", "file_date"], "left_anti"))
+    chosen = inv.join(todo, ["feed", "file_date"], "left_semi")
+    paths = [r.path for r in chosen.select("path").collect()]  # one per date to do; Spark's reader lists them on the driver too
+    if paths:
+        batch = process_archive_frame(spark.read.format("binaryFile").load(paths), build_id=build_id)
+        refused = write_ticks(batch, lake)
+    else:
+        batch, refused = empty_batch(spark), None
+    return run_log(batch, started, dt.datetime.now(), refused, missing, skipped)
+
+
+# --- Verification of what is published ---
+
+def ticks_files(spark: SparkSession, ticks_root: str) -> DataFrame:
+    """``(path, feed, file_date)`` of every ticks file, in either layout.
+
+    Our own sink writes ``feed=F/year=Y/file_date=D/part-*.parquet``; the flat
+    layout has ``{feed}/ticks/year=Y/YYYY-MM-DD.parquet`` with the feed in
+    lower case above it.  A listing, no file is opened.
+    """
+    inv = list_files(spark, ticks_root, "*.parquet")
+    own = F.regexp_extract("path", r"/feed=([A-Z]+)/year=[0-9]+/file_date=([0-9-]{10})/[^/]+$", 1)
+    own_day = F.regexp_extract("path", r"/feed=[A-Z]+/year=[0-9]+/file_date=([0-9-]{10})/[^/]+$", 1)
+    flat = F.upper(F.regexp_extract("path", r"/([a-z]+)/ticks/year=[0-9]+/[^/]+$", 1))
+    day = F.coalesce(F.when(own != "", own_day.try_cast("date")), ticks_name_date(F.col("name")))
+    feed = F.when(own != "", own).when(flat != "", flat)
+    keep = F.when(day.isNotNull() & feed.isNotNull(), F.array(F.struct(
+        F.col("path"), feed.alias("feed"), day.alias("file_date"))))
+    return inv.select(F.inline(keep))
+
+
+def lake_facts(spark: SparkSession, lake: str) -> DataFrame:
+    """Per published date what ``reconcile.verify`` checks: provenance, schema, counts.
+
+    A date's schema conforms when all its files hold the contract columns in
+    order; footers are read in tasks, file bodies are not.
+    """
+    files = cut_lineage(ticks_files(spark, f"{lake}/ticks"))
+    good = F.col("names") == F.lit(",".join(C.CONTRACT_COLUMNS))
+    schema = files.join(read_footers(files, ""), "path").groupBy("feed", "file_date").agg(
+        F.every(F.coalesce(good, F.lit(False))).alias("schema_matches"))
+    prov = existing_provenance(spark, lake)
+    if prov is None:
+        return schema.select("feed", "file_date", F.lit(False).alias("has_provenance"),
+                             F.lit(None).cast("int").alias("schema_version"), "schema_matches",
+                             F.lit(None).cast("bigint").alias("row_count"),
+                             F.lit(None).cast("bigint").alias("source_txt_row_count"))
+    facts = prov.select("feed", "file_date", F.lit(True).alias("_p"), "schema_version", "row_count",
+                        "source_txt_row_count")
+    return schema.join(facts, ["feed", "file_date"], "left").select(
+        "feed", "file_date", F.coalesce("_p", F.lit(False)).alias("has_provenance"), "schema_version",
+        "schema_matches", "row_count", "source_txt_row_count")
+
+
+def footer_facts(spark: SparkSession, ticks_root: str, footer_key: str) -> DataFrame:
+    """The same facts from files of the flat layout, whose footers carry their provenance."""
+    files = cut_lineage(ticks_files(spark, ticks_root))
+    f = files.join(read_footers(files, footer_key), "path")
+    return f.select(
+        "feed", "file_date", F.col("prov").isNotNull().alias("has_provenance"),
+        F.col("prov.schema_version").alias("schema_version"),
+        F.coalesce("schema_matches", F.lit(False)).alias("schema_matches"),
+        F.col("prov.row_count").alias("row_count"),
+        F.col("prov.source_txt_row_count").alias("source_txt_row_count"))
+
+
+def verify_archive(spark: SparkSession, archive_root: str, facts: DataFrame) -> DataFrame:
+    """Ordered problems of an archive against ``facts`` (VER-2); empty when all conforms."""
+    archived = archive_inventory(spark, archive_root).select("feed", "file_date").distinct()
+    problems = reconcile.verify(archived, facts)
+    return problems.withColumn("message", F.format_string(
+        "%s %s: %s", "feed", F.date_format("file_date", "yyyy-MM-dd"), "problem"))

@@ -94,6 +94,8 @@ plan AS (
 """
 
 REBUILD_PLAN = PLAN + "SELECT * FROM plan"
+REBUILD_PLAN_BUSINESS = REBUILD_PLAN.replace(
+    "req AS (SELECT feed, file_date FROM tf)", "req AS (SELECT feed, file_date FROM tf WHERE isodow(file_date) < 6)")
 REBUILD_HISTOGRAM = PLAN + "SELECT status, CAST(count(*) AS BIGINT) AS n FROM plan GROUP BY status"
 
 RETENTION_BASE = f"""
@@ -200,3 +202,22 @@ WITH d AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders WHERE isod
 SELECT CAST(year(d.d) AS INTEGER) AS run_year, cat.section, CAST(count(*) AS BIGINT) AS n_tasks
 FROM d JOIN {CATALOG_VALUES} ON true
 GROUP BY year(d.d), cat.section"""
+
+
+OUTPUT_CHECK = ARCHIVE_BASE + """
+SELECT feed, file_date, CAST(row_count AS BIGINT) AS row_count, CAST(src AS BIGINT) AS source_txt_row_count,
+       CASE WHEN row_count = 0 THEN 'zero rows'
+            ELSE printf('row_count %d != source_txt_row_count %d', row_count, src) END AS problem
+FROM tf WHERE row_count <> src OR row_count = 0"""
+
+FULLY_ARCHIVED = ARCHIVE_BASE + "SELECT feed, file_date FROM archived SEMI JOIN tf USING (feed, file_date)"
+
+DUPLICATE_KEYS = """
+SELECT CAST(l_shipdate AS DATE) AS ship_date, l_partkey, CAST(count(*) AS BIGINT) AS n
+FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1"""
+
+REPORT_AVAILABILITY = """
+SELECT source, CAST(count(*) AS BIGINT) AS n_files,
+       CAST(count(*) FILTER (WHERE strlen(text) >= 10) AS BIGINT) AS n_available,
+       CAST(count(*) FILTER (WHERE strlen(text) < 10) AS BIGINT) AS n_unavailable
+FROM documents GROUP BY source"""

@@ -319,3 +319,34 @@ SELECT f.feed, CAST(d.d AS DATE) AS file_date
 FROM (VALUES ('RV'), ('DERIV')) AS f(feed), range(DATE '2024-01-08', DATE '2024-01-27', INTERVAL 1 DAY) AS d(d)
 WHERE isodow(d.d) < 6 AND NOT EXISTS (
   SELECT 1 FROM verdicts v WHERE v.status = 'OK' AND v.feed = f.feed AND v.file_date = CAST(d.d AS DATE))""")
+
+
+TICK_PAYLOAD_ROUNDTRIP = with_ticks("""
+SELECT v.feed, v.file_date, strftime(v.file_date, '%Y-%m-%d') AS trade_date,
+       v.data_lines AS source_txt_row_count, CAST(count(t.source_row) AS BIGINT) AS row_count,
+       'America/Sao_Paulo' AS timezone, '' AS payload_problem
+FROM verdicts v LEFT JOIN ticks t ON v.feed = t.feed AND v.file_date = t.file_date
+WHERE v.status = 'OK' GROUP BY v.feed, v.file_date, v.data_lines""")
+
+
+def _stage(name: str, value: str) -> str:
+    return f"rpad('{name}=' || {value}, {len(name) + 12}, ' ')"
+
+
+TICK_RUN_LINES = with_ticks(f"""
+, n AS (SELECT feed, file_date, count(*) AS n FROM ticks GROUP BY feed, file_date),
+r AS (SELECT v.feed, v.file_date, v.status = 'OK' AS ok, v.message, coalesce(n.n, 0) AS n
+      FROM verdicts v LEFT JOIN n ON n.feed = v.feed AND n.file_date = v.file_date),
+s AS (SELECT count(*) AS total, count(*) FILTER (WHERE ok) AS good, count(*) FILTER (WHERE NOT ok) AS bad FROM r)
+SELECT 1 AS part, CAST(NULL AS VARCHAR) AS feed, CAST(NULL AS DATE) AS trade_date, unnest([
+  printf('  Dates processed : %d', total), printf('  Succeeded       : %d', good),
+  printf('  Failed          : %d', bad), '  Unavailable     : 0']) AS line FROM s
+UNION ALL
+SELECT 2, feed, file_date, strftime(file_date, '%Y-%m-%d') || '  ' || {_stage('download', "'SUCCESS'")} || ' '
+  || {_stage('extract', "CASE WHEN ok THEN 'SUCCESS' ELSE 'FAILED' END")} || ' '
+  || {_stage('partition', "CASE WHEN ok THEN 'SUCCESS' ELSE 'SKIPPED' END")} || ' '
+  || {_stage('s3_upload', "CASE WHEN ok THEN 'SUCCESS' ELSE 'SKIPPED' END")} || ' '
+  || {_stage('ticks_s3_upload', "CASE WHEN ok THEN 'SUCCESS' ELSE 'SKIPPED' END")}
+  || ' ticks=' || CASE WHEN ok THEN format('{{:,}}', n) ELSE '-' END FROM r
+UNION ALL
+SELECT 3, feed, file_date, '    ' || strftime(file_date, '%Y-%m-%d') || ': extract: ' || message FROM r WHERE NOT ok""")

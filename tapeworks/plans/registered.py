@@ -28,8 +28,8 @@ from ..sources.text import scan_lines
 from . import oracle_ops as OO
 from . import oracle_reports as OR
 from . import oracle_ticks as OT
-from .reports import archive_raw_lines, parse_layout, read_raw_lines, read_report_by_dates
-from .ticks import missing_ticks, process_lines, read_ticks, rebuild_report, write_ticks
+from .reports import archive_raw_lines, availability, parse_layout, read_raw_lines, read_report_by_dates
+from .ticks import missing_ticks, process_lines, read_ticks, rebuild_report, run_log, write_ticks
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -167,6 +167,47 @@ def q_text_line_numbers(spark, sf_dir):
         F.regexp_extract("path", "file_year=([0-9]+)", 1).cast("int").alias("file_year"), "line_no", "line")
 
 
+def q_tick_run_lines(spark, sf_dir):
+    """The run summary of a batch, from its own run log."""
+    _, b = _tick_batch(spark, sf_dir)
+    return runlog.summary_lines(run_log(b)).select("part", "feed", "trade_date", "line")
+
+
+def q_tick_payload_roundtrip(spark, sf_dir):
+    _, b = _tick_batch(spark, sf_dir)
+    parsed = provenance.parse_payload(provenance.provenance_payload(b.provenance))
+    return parsed.select("feed", "file_date", "prov.trade_date", "prov.source_txt_row_count", "prov.row_count",
+                         "prov.timezone", F.coalesce("payload_problem", F.lit("")).alias("payload_problem"))
+
+
+def q_output_check(spark, sf_dir):
+    facts = D.ticks_facts_from_lineitem(_table(spark, sf_dir, "lineitem"))
+    return provenance.output_check(facts)
+
+
+def q_fully_archived(spark, sf_dir):
+    archived, ticks = _archive(spark, sf_dir)
+    return reconcile.fully_archived(archived, archived, ticks)
+
+
+def q_rebuild_plan_business(spark, sf_dir):
+    archived, ticks = _archive(spark, sf_dir)
+    requested = ticks.where(is_business_day(F.col("file_date"))).select("feed", "file_date")
+    return reconcile.rebuild_plan(requested, archived, ticks.where("has_provenance"), D.CURRENT_BUILD, dry_run=True)
+
+
+def q_duplicate_events(spark, sf_dir):
+    keyed = _table(spark, sf_dir, "lineitem").select(F.to_date("l_shipdate").alias("ship_date"), "l_partkey")
+    return reconcile.duplicate_keys(keyed, "ship_date", "l_partkey")
+
+
+def q_report_availability(spark, sf_dir):
+    inv = _table(spark, sf_dir, "documents").select("source", F.octet_length("text").cast("bigint").alias("length"))
+    return availability(inv).groupBy("source").agg(
+        F.count(F.lit(1)).alias("n_files"), F.count_if("available").alias("n_available"),
+        F.count_if(F.col("status") == runlog.UNAVAILABLE).alias("n_unavailable"))
+
+
 def _btb(spark, sf_dir):
     return parse_layout(btb_lines_from_lineitem(_table(spark, sf_dir, "lineitem")), "BTBLoanBalance")
 
@@ -325,6 +366,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "report_lake_rows": q_report_lake_rows,
     "report_lake_missing": q_report_lake_missing,
     "text_line_numbers": q_text_line_numbers,
+    "tick_run_lines": q_tick_run_lines,
+    "tick_payload_roundtrip": q_tick_payload_roundtrip,
+    "output_check": q_output_check,
+    "fully_archived": q_fully_archived,
+    "rebuild_plan_business": q_rebuild_plan_business,
+    "duplicate_keys": q_duplicate_events,
+    "report_availability": q_report_availability,
     "report_btb_rows": q_report_btb_rows,
     "report_btb_verdicts": q_report_btb_verdicts,
     "report_equities_rows": q_report_equities_rows,
@@ -363,6 +411,13 @@ ORACLE_SQL: dict[str, str] = {
     "report_lake_rows": OR.BTB_LAKE_ROWS,
     "report_lake_missing": OR.BTB_LAKE_MISSING,
     "text_line_numbers": OR.TEXT_LINE_NUMBERS,
+    "tick_run_lines": OT.TICK_RUN_LINES,
+    "tick_payload_roundtrip": OT.TICK_PAYLOAD_ROUNDTRIP,
+    "output_check": OO.OUTPUT_CHECK,
+    "fully_archived": OO.FULLY_ARCHIVED,
+    "rebuild_plan_business": OO.REBUILD_PLAN_BUSINESS,
+    "duplicate_keys": OO.DUPLICATE_KEYS,
+    "report_availability": OO.REPORT_AVAILABILITY,
     "report_btb_rows": OR.BTB_ROWS,
     "report_btb_verdicts": OR.BTB_VERDICTS,
     "report_equities_rows": OR.EQ_ROWS,

@@ -48,6 +48,12 @@ def process_lines(lines: DataFrame, files: DataFrame | None = None,
     return TickBatch(verdicts, ticks, prov)
 
 
+def empty_batch(spark: SparkSession) -> TickBatch:
+    """A batch without files (a run with nothing to do)."""
+    none = spark.createDataFrame([], "feed string, file_date date, source_row int, line string")
+    return process_lines(none)
+
+
 def rebuild_report(verdicts: DataFrame, ticks: DataFrame) -> DataFrame:
     """One row per file: OK with counts, or FAILED with the violation."""
     facts = provenance.tick_facts(ticks)
@@ -218,34 +224,59 @@ def write_rebuild_report(report: DataFrame, path: str) -> None:
     """Rebuild report as CSV with a header, one row per feed and date (SNK-5).
 
     The report is one row per file, so a single output file is bounded.
+    ``seconds`` is the wall time of the run that did the date; a report
+    without it gets 0.
     """
     cols = ["feed", "trade_date", "status", "row_count", "timestamp_null_count",
-            "other_session_row_count", "error"]
+            "other_session_row_count", "seconds", "error"]
+    if "seconds" not in report.columns:
+        report = report.withColumn("seconds", F.lit(0.0))
     (report.select(*cols).orderBy("feed", "trade_date").coalesce(1)
            .write.mode("overwrite").option("header", True).csv(path))
 
 
-def run_log(batch: TickBatch, started=None) -> DataFrame:
-    """Date-level run rows (RUN-2) for one batch: stage statuses, tick count, error.
+def run_log(batch: TickBatch, started=None, finished=None, refused: DataFrame | None = None,
+            missing: DataFrame | None = None, skipped: DataFrame | None = None) -> DataFrame:
+    """Date-level run rows (RUN-2): stage statuses, tick count, error and times.
+
+    * a file that was read: ``download`` SUCCESS, ``extract`` by its verdict,
+      ``partition`` SUCCESS unless the sink refused it (``refused``, as
+      :func:`write_ticks` returns it), upload stages as the write went;
+    * ``missing`` (feed, file_date): no archive - ``download`` UNAVAILABLE;
+    * ``skipped`` (feed, file_date): both artifacts were there - all stages SKIPPED.
 
-    ``download`` is SUCCESS for every file that was found (fetching is not
-    part of the library); ``extract``/``partition`` fail with the file's
-    verdict; ``tick_count`` is set only for published files.
+    ``started`` and ``finished`` are the run's wall-clock times.
     """
     from ..operators import runlog
     facts = provenance.tick_facts(batch.ticks).select("feed", "file_date", "row_count")
     v = batch.verdicts.join(facts, validate.FILE_KEYS, "left")
+    if refused is None:
+        v = v.withColumn("problem", F.lit(None).cast("string"))
+    else:
+        v = v.join(refused.select(*validate.FILE_KEYS, "problem"), validate.FILE_KEYS, "left")
     ok = F.col("status") == "OK"
-    t0 = started if started is not None else F.current_timestamp().cast("timestamp_ntz")
-    return v.select(
-        "feed", F.col("file_date").alias("trade_date"),
-        F.lit(runlog.SUCCESS).alias("download"),
-        F.when(ok, runlog.SUCCESS).otherwise(runlog.FAILED).alias("extract"),
-        F.when(ok, runlog.SUCCESS).otherwise(runlog.SKIPPED).alias("partition"),
-        F.lit(runlog.SKIPPED).alias("s3_upload"),
-        F.lit(runlog.SKIPPED).alias("ticks_s3_upload"),
-        F.when(ok, F.coalesce(F.col("row_count"), F.lit(0))).alias("tick_count"),
-        runlog.accumulate_errors(F.when(~ok, F.concat(F.lit("extract: "), F.col("message"))))
-        .alias("error"),
-        t0.alias("started"), t0.alias("finished"),
-    )
+    written = ok & F.col("problem").isNull()
+    now = F.current_timestamp().cast("timestamp_ntz")
+    t0 = now if started is None else F.lit(started).cast("timestamp_ntz")
+    t1 = t0 if finished is None else F.lit(finished).cast("timestamp_ntz")
+
+    def row(df: DataFrame, download, extract, partition, upload, ticks, error) -> DataFrame:
+        return df.select(
+            "feed", F.col("file_date").alias("trade_date"), download.alias("download"),
+            extract.alias("extract"), partition.alias("partition"), upload.alias("s3_upload"),
+            upload.alias("ticks_s3_upload"), ticks.cast("bigint").alias("tick_count"),
+            error.alias("error"), t0.alias("started"), t1.alias("finished"))
+
+    success, failed, skip, none = (F.lit(x) for x in (runlog.SUCCESS, runlog.FAILED, runlog.SKIPPED, None))
+    out = row(v, success, F.when(ok, success).otherwise(failed),
+              F.when(written, success).when(ok, failed).otherwise(skip),
+              F.when(written, success).otherwise(skip),
+              F.when(written, F.coalesce(F.col("row_count"), F.lit(0))),
+              runlog.accumulate_errors(F.when(~ok, F.concat(F.lit("extract: "), F.col("message"))),
+                                       F.when(ok & ~written, F.concat(F.lit("partition: "), F.col("problem")))))
+    if missing is not None:
+        out = out.unionByName(row(missing, F.lit(runlog.UNAVAILABLE), skip, skip, skip, none,
+                                  F.lit("download: no archive for the date")))
+    if skipped is not None:
+        out = out.unionByName(row(skipped, skip, skip, skip, skip, none, none.cast("string")))
+    return out

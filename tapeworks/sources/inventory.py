@@ -40,10 +40,10 @@ def list_files(spark: SparkSession, location: str, glob: str = "*") -> DataFrame
 # --- Footer reader (runs in tasks) ---
 
 FOOTER_SCHEMA = ("path string, readable boolean, provenance string, "
-                 "schema_matches boolean, error string")
+                 "schema_matches boolean, names string, error string")
 _FOOTER_OUT = pa.schema([("path", pa.string()), ("readable", pa.bool_()),
                          ("provenance", pa.string()), ("schema_matches", pa.bool_()),
-                         ("error", pa.string())])
+                         ("names", pa.string()), ("error", pa.string())])
 
 
 def _contract_arrow_schema() -> pa.Schema:
@@ -84,7 +84,7 @@ def _read_footers(batches, key: bytes):
     for batch in batches:
         out = {k: [] for k in _FOOTER_OUT.names}
         for path in batch.column("path").to_pylist():
-            readable, prov, matches, error = False, None, None, None
+            readable, prov, matches, names, error = False, None, None, None, None
             try:
                 fs, inner = arrow_file(path)
                 schema = pq.read_schema(inner, filesystem=fs)
@@ -93,12 +93,14 @@ def _read_footers(batches, key: bytes):
                 raw = meta.get(key)
                 prov = raw.decode("utf-8") if raw is not None else None
                 matches = schema.remove_metadata().equals(contract)
+                names = ",".join(schema.names)
             except Exception as exc:  # noqa: BLE001 - reported per file
                 error = f"{type(exc).__name__}: {exc}"
             out["path"].append(path)
             out["readable"].append(readable)
             out["provenance"].append(prov)
             out["schema_matches"].append(matches)
+            out["names"].append(names)
             out["error"].append(error)
         yield pa.RecordBatch.from_pydict(out, schema=_FOOTER_OUT)
 
