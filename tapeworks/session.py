@@ -84,6 +84,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 _TABLES: list[tuple[SparkSession, str]] = []
 
 
+def delete_at_end(spark: SparkSession, folder: str) -> None:
+    """A working folder that goes when the program, or the enclosing block, ends."""
+    _TABLES.append((spark, folder))
+
+
 def _delete(tables: list[tuple[SparkSession, str]]) -> None:
     for spark, target in tables:
         path = spark._jvm.org.apache.hadoop.fs.Path(target)
