@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WorkTables, number_rows, tag_rows
+from .common import WorkTables, number_rows, partitions, tag_rows
 
 CAPACITY = 1024
 END_ID = 2
@@ -201,7 +201,7 @@ ISLAND = "chunk long, island int, rank int, fitness double, places binary"
 
 
 def evolved(problems: DataFrame, people: DataFrame | None, epoch: int, capacity: int, islands: int,
-            seed: int) -> DataFrame:
+            chunks: int, seed: int) -> DataFrame:
     """One epoch on every island; ``problems``: chunk, lengths (of its pieces, in order)."""
     def run(key, own: pd.DataFrame, pop: pd.DataFrame | None) -> pd.DataFrame:
         chunk, island = int(key[0]), int(key[1])
@@ -217,12 +217,16 @@ def evolved(problems: DataFrame, people: DataFrame | None, epoch: int, capacity:
                              "fitness": [fitness(p, length, capacity) for p in end],
                              "places": [p.astype(np.int32).tobytes() for p in end]})
 
-    spread = problems.withColumn("island", F.explode(F.sequence(F.lit(0), F.lit(islands - 1))))
+    # tasks by their work, which is the same for every island, and not by bytes
+    tasks = max(partitions(problems.sparkSession), chunks * islands // 64)
+    spread = (problems.withColumn("island", F.explode(F.sequence(F.lit(0), F.lit(islands - 1))))
+              .repartition(tasks, "chunk", "island"))
     if people is None:
         return spread.groupBy("chunk", "island").applyInPandas(lambda key, own: run(key, own, None), ISLAND)
     moved = people.where("rank = 0").withColumn(  # elites visit the next island, and stay at home
         "island", ((F.col("island") + 1) % islands).cast("int"))
-    return (spread.groupBy("chunk", "island").cogroup(people.union(moved).groupBy("chunk", "island"))
+    people = people.union(moved).repartition(tasks, "chunk", "island")
+    return (spread.groupBy("chunk", "island").cogroup(people.groupBy("chunk", "island"))
             .applyInPandas(run, ISLAND))
 
 
@@ -244,7 +248,7 @@ def pack(docs: DataFrame, keep: list[str], text: str = "text", capacity: int = C
         F.struct("item", "length"))).alias("items")).select("chunk", F.col("items.length").alias("lengths")), "problems")
     people = None
     for epoch in range(epochs):
-        people = tables.keep(evolved(problems, people, epoch, capacity, islands, seed), "islands")
+        people = tables.keep(evolved(problems, people, epoch, capacity, islands, chunks, seed), "islands")
 
     def placed(pdf: pd.DataFrame) -> pd.DataFrame:
         best = pdf.sort_values(["fitness", "island", "rank"], ascending=[False, True, True]).iloc[0]
