@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, delete_at_end
 
 #: Rows an Arrow batch may carry into Python; texts can be 100 KB each.
 TEXT_BATCH_ROWS = 1000
@@ -25,6 +25,7 @@ class WorkTables:
         self.spark = spark
         self.root = f"{checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
         self.step = 0
+        delete_at_end(spark, self.root)
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         self.step += 1
