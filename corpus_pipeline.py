@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeworks.llm import mixing, packing, secrets, simhash, toxicity
-from tapeworks.llm.common import WorkTables, documents
+from tapeworks.llm.common import WorkTables, documents, one_of_each
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -47,13 +47,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     a name are alike, so the name is written as often as all of them are taken.
     """
     name = F.xxhash64("text").alias("_h")
-    taken = (mixing.mix(docs.select("doc_id", "source", "text", name), ["doc_id", "source", "_h"])
-             .groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_from"), F.col("_h").alias("_name"))
+    key = ["doc_id", "source", "_h"]
+    taken = (mixing.mix(docs.select("doc_id", "source", "text", name), key).groupBy(*key)
              .agg(F.sum("copies").cast("int").alias("_times")).where("_times > 0"))
-    same = (F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_from"))
-            & (F.col("_h") == F.col("_name")))
-    named = docs.withColumn("_h", name).join(taken, same).dropDuplicates(["doc_id", "source", "_h"])
-    return named.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*COLUMNS)
+    chosen = one_of_each(docs.withColumn("_h", name), taken, key)
+    return chosen.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*COLUMNS)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

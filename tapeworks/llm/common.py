@@ -78,6 +78,20 @@ def number_rows(df: DataFrame, groups: list[str], out: str, chunk: str = "_chunk
             .drop("_rank", "_oc", "_off", *[f"_g{i}" for i in range(len(groups))]))
 
 
+def one_of_each(docs: DataFrame, named: DataFrame, columns: list[str]) -> DataFrame:
+    """One row of ``docs`` per name in ``named``, with ``named``'s further columns.
+
+    ``columns`` make the name and may be null.  They become plain keys with a
+    null flag, so the join and the choice of one row share one shuffle.
+    """
+    def keyed(df: DataFrame) -> DataFrame:
+        return df.withColumns({f"_k{i}": F.coalesce(F.col(c).cast("string"), F.lit("")) for i, c in enumerate(columns)}
+                              | {f"_z{i}": F.col(c).isNull() for i, c in enumerate(columns)})
+
+    keys = [f"{x}{i}" for i in range(len(columns)) for x in ("_k", "_z")]
+    return keyed(docs).join(keyed(named).drop(*columns), keys).dropDuplicates(keys).drop(*keys)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WorkTables
+from .common import WorkTables, one_of_each
 
 STEP = 4
 LEAF = 16_384
@@ -258,10 +258,8 @@ def representatives(docs: DataFrame, keep: list[str], id_col: str = "doc_id", te
     # rows of a component by its root: partial aggregates, whatever its size
     best = near.groupBy("root").agg(F.min(F.struct(F.col(id_col).isNull().alias("_none"), F.col(id_col).alias("_id"),
                                                    F.col("_h").alias("_name"))).alias("best"))
-    chosen = best.select("best._id", "best._name")
-    return (docs.withColumn("_h", name)
-            .join(chosen, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_name")), "left_semi")
-            .dropDuplicates([id_col, "_h"]).select(*keep))
+    chosen = best.select(F.col("best._id").alias(id_col), F.col("best._name").alias("_h"))
+    return one_of_each(docs.withColumn("_h", name), chosen, [id_col, "_h"]).select(*keep)
 
 
 def simhash_report(docs: DataFrame) -> DataFrame:
