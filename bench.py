@@ -46,7 +46,7 @@ HEADLINE = [
 def ingest_timings(spark, sf_dir: str) -> dict:
     from tapeworks.plans.reports import parse_layout
     from tapeworks.plans.ticks import process_lines, rebuild_report
-    from tapeworks.sources.rendered import btb_lines_from_lineitem, tick_lines_from_events
+    from tapeworks.fixtures.rendered import btb_lines_from_lineitem, tick_lines_from_events
 
     def noop(df):
         df.write.format("noop").mode("overwrite").save()

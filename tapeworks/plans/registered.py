@@ -15,13 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import convert, provenance, sessions, validate
-from ..sources.rendered import tick_lines_from_events
+from ..fixtures.rendered import tick_lines_from_events
 from ..operators.layouts import is_perpetual
-from ..sources.rendered import (btb_lines_from_lineitem, derivatives_lines_from_orders,
+from ..fixtures.rendered import (btb_lines_from_lineitem, derivatives_lines_from_orders,
                                 equities_lines_from_part)
 from ..functions.calendar import is_business_day
 from ..operators import reconcile, retention, runlog
-from ..sources import derived as D
+from ..fixtures import derived as D
 from ..session import checkpoint_dir
 from ..sources.catalog import catalog
 from ..sources.text import scan_lines
