@@ -47,7 +47,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     a name are alike, so the name is written as often as all of them are taken.
     """
     name = F.xxhash64("text").alias("_h")
-    key = ["doc_id", "source", "_h"]
+    docs, key = docs.select(*COLUMNS), ["doc_id", "source", "_h"]
     taken = (mixing.mix(docs.select("doc_id", "source", "text", name), key).groupBy(*key)
              .agg(F.sum("copies").cast("int").alias("_times")).where("_times > 0"))
     chosen = one_of_each(docs.withColumn("_h", name), taken, key)

@@ -253,6 +253,7 @@ def representatives(docs: DataFrame, keep: list[str], id_col: str = "doc_id", te
     out on narrow rows; texts move once, to the chosen names.  Rows that
     repeat id and text are one document.
     """
+    docs = docs.select(*dict.fromkeys([*keep, id_col, text]))
     name = F.xxhash64(F.col(text)).alias("_h")
     near = near_duplicates(docs.select(id_col, text, name), [id_col, "_h"], id_col, text, shingle, bits)
     # rows of a component by its root: partial aggregates, whatever its size

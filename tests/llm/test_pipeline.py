@@ -88,7 +88,8 @@ def test_packing_holds_every_mixed_document(stages):
 def test_odd_documents(spark, tmp_path):
     rows = [(None, None, None, None, None), (1, "", "en", "a", 0), (1, "", "en", "a", 0), (2, "token=abcdef123 é", "en", None, 17),
             (3, "w " * 50000, "en", "a", 100000), (None, "x y z", "en", "b", 5)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").withColumns(
+        {c: F.lit(1) for c in ("_h", "_k0", "_times", "_text", "size", "found", "score", "root", "copies")})
     kept = corpus_pipeline.drop_near_copies(spark, docs, SF_DIR).collect()
     assert len(kept) == 4 and sum(r.doc_id == 1 for r in kept) == 1
     marked = {r.doc_id: r for r in corpus_pipeline.redact_secrets(spark, docs.where("doc_id in (2, 3)"), SF_DIR).collect()}
