@@ -33,6 +33,9 @@ KINDS = BASE_KINDS + ["email_obfuscated", "phone_national", "national_id", "iban
 RANK = {k: i for i, k in enumerate(KINDS)}
 LABELERS = ["shape", "gazetteer", "cue", "contrary", "edges"]
 
+WEIGHT = 10.0  # of the opinion about labelers and shares before any vote
+THRESHOLD = 0.7  # a span without any vote stays out
+
 CANDIDATES = ("array<struct<kind:string,start:int,end:int,base:boolean,votes:string,"
               "form:string>>")
 
@@ -199,7 +202,7 @@ def votes(text: str, kind: str, s: int, e: int) -> tuple[str, str]:
     edge = (s and text[s - 1].isalnum()) or (e < len(text) and text[e].isalnum())
     cast = (shape_vote(kind, span), gazetteer_vote(kind, span),
             1 if any(c in before or c + "s" in before for c in cues) else 0,
-            -1 if any(c in before for c in CONTRARY) else 0, -1 if edge else 1)
+            -1 if any(c in before for c in CONTRARY) else 0, -1 if edge else 0)
     share = sum(map(str.isdigit, span)) / (e - s)
     return "".join("-0+"[v + 1] for v in cast), f"{min(3, (e - s) // 8)}{int(share * 2.99)}"
 
@@ -237,30 +240,33 @@ def find_candidates(docs: DataFrame, keep: list[str], text: str = "text") -> Dat
 def estimate(patterns: list[tuple[str, str, int]], rounds: int = 60) -> tuple[dict, dict]:
     """Expectation-maximisation over counted (kind, votes) patterns.
 
-    Returns the probability of each pattern and each labeler's reliability
-    per kind.  A labeler is better than chance to begin with (0.8 against
-    0.2); counts are smoothed by one vote.
+    Each labeler has one reliability for all kinds, so a kind whose candidates
+    only ever draw contrary votes is judged by what such votes mean elsewhere;
+    each kind has its own share of personal data.  Returns the probability of
+    each pattern and each labeler's reliability.  Labelers are better than
+    chance to begin with; that opinion weighs as much as ``WEIGHT`` votes.
     """
-    prob, reliable = {}, {}
-    for kind in {p[0] for p in patterns}:
-        own = [(v, n) for k, v, n in patterns if k == kind]
-        n = np.array([x for _, x in own], float)
-        cast = np.array([["-0+".index(c) for c in v] for v, _ in own])
-        m = cast.shape[1]
-        given = np.tile(np.array([[[.5, .3, .2]], [[.2, .3, .5]]]), (1, m, 1))  # class, labeler, vote
-        prior = 0.5
-        for _ in range(rounds):
-            log = [np.log(given[c][np.arange(m), cast]).sum(1) for c in (0, 1)]
-            yes = 1 / (1 + np.exp(np.clip(log[0] - log[1] + np.log((1 - prior) / prior), -50, 50)))
-            prior = float(np.clip((n @ yes + 1) / (n.sum() + 2), .02, .98))
-            for c, w in ((0, n * (1 - yes)), (1, n * yes)):
-                for v in range(3):
-                    given[c, :, v] = ((cast == v) * w[:, None]).sum(0) + (.5, .3, .2)[v if c == 0 else 2 - v] * 4
-                given[c] /= given[c].sum(1, keepdims=True)
-        prob |= {(kind, v): float(p) for (v, _), p in zip(own, yes, strict=True)}
-        reliable[kind] = {name: float(given[1, i, 2] / (given[1, i, 2] + given[0, i, 2]))
-                          for i, name in enumerate(LABELERS)}
-    return prob, reliable
+    if not patterns:
+        return {}, {}
+    kinds = sorted({k for k, _, _ in patterns})
+    kind = np.array([kinds.index(k) for k, _, _ in patterns])
+    n = np.array([x for _, _, x in patterns], float)
+    cast = np.array([["-0+".index(c) - 1 for c in v] for _, v, _ in patterns])
+    voted, favour = cast != 0, cast > 0
+    opinion = np.array([.2, .8])  # how often a labeler that votes is in favour, of class no and of class yes
+    given = np.repeat(opinion[:, None], cast.shape[1], 1)
+    prior = np.full(len(kinds), .5)
+    # a kind's count of patterns must not drown the others': each kind weighs by its square root
+    weight = n * (1 / np.sqrt(np.bincount(kind, n)))[kind]
+    for _ in range(rounds):
+        # silence says nothing; a vote counts by how much likelier it is in one class
+        lean = np.where(voted, np.where(favour, np.log(given[1] / given[0]), np.log((1 - given[1]) / (1 - given[0]))), 0)
+        yes = 1 / (1 + np.exp(-np.clip(np.log(prior / (1 - prior))[kind] + lean.sum(1), -50, 50)))
+        prior = np.clip((np.bincount(kind, n * yes) + WEIGHT / 2) / (np.bincount(kind, n) + WEIGHT), .05, .95)
+        for c, w in ((0, weight * (1 - yes)), (1, weight * yes)):
+            given[c] = (((voted & favour) * w[:, None]).sum(0) + opinion[c] * WEIGHT) / ((voted * w[:, None]).sum(0) + WEIGHT)
+    prob = {(k, v): float(p) for (k, v, _), p in zip(patterns, yes, strict=True)}
+    return prob, {name: float(given[1, i] / (given[1, i] + given[0, i])) for i, name in enumerate(LABELERS)}
 
 
 def feature_names(kind: str, cast: str, form: str) -> list[str]:
@@ -309,7 +315,7 @@ def joined(spans: Column) -> Column:
 
 
 def find_pii(docs: DataFrame, keep: list[str], text: str = "text",
-             threshold: float = 0.5) -> DataFrame:
+             threshold: float = THRESHOLD) -> DataFrame:
     """``keep`` columns, ``base`` and ``found`` (all spans, by start then kind)."""
     tables = WorkTables(docs.sparkSession, "pii")
     kept = tables.keep(find_candidates(docs, keep, text), "candidates")

@@ -51,13 +51,23 @@ def test_empty_table(spark):
     assert pii.pii_report(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
 
-def test_reliabilities_separate_good_from_bad_votes():
-    good = [("name", "0++0+", 90), ("name", "0-00+", 5), ("name", "0-00-", 200), ("name", "0+00+", 30)]
-    prob, reliable = pii.estimate(good)
-    assert prob["name", "0++0+"] > 0.9 > 0.1 > prob["name", "0-00-"]
-    assert reliable["name"]["gazetteer"] > 0.5
-    w = pii.train([(k, v, "00", n) for k, v, n in good], prob)
-    assert w["gazetteer+"] > w["gazetteer-"]
+def test_reliabilities_and_unsupported_kinds():
+    counts = [("email", "++000", 200), ("email", "-+00-", 10), ("name", "0++00", 90), ("name", "0-000", 9000),
+              ("name", "0-00-", 200), ("iban", "-000-", 10), ("phone_national", "00000", 2), ("phone_national", "00+00", 3)]
+    prob, reliable = pii.estimate(counts)
+    assert prob["name", "0++00"] > 0.8 > 0.1 > prob["name", "0-000"] and prob["iban", "-000-"] < 0.3
+    assert reliable["gazetteer"] > 0.7 and reliable["cue"] > 0.7
+    w = pii.train([(k, v, "00", n) for k, v, n in counts], prob)
+    assert w["gazetteer+"] > w["gazetteer-"] and w["cue+"] > 0
+
+
+def test_texts_without_personal_data_stay_clean(spark):
+    """Capitalised word pairs are no names, whatever their number; names with support are found."""
+    rows = [(i, f"At Once The Apache License says so in part {i}. Under General Public terms.") for i in range(300)]
+    rows += [(1000 + i, f"Please write to mr Thomas Keller or mail user{i}@example.com, tel +49 30 1234567{i % 10}") for i in range(60)]
+    got = {r.doc_id: r for r in pii.pii_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i].spans == "" for i in range(300))
+    assert all("name:19:32" in got[i].spans for i in got if i >= 1000)
 
 
 def test_added_spans_do_not_overlap_base(spark):
