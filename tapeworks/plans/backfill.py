@@ -69,7 +69,7 @@ def execute_rebuild(spark: SparkSession, archive_root: str, lake: str, plan: Dat
     batch = process_archive_frame(raw, build_id=build_id)
     refused = write_ticks(batch, lake)
     seconds = round(time.monotonic() - began, 1)  # all dates of a run are done by the same jobs
-    ran = rebuild_report(batch.verdicts, batch.ticks).join(
+    ran = rebuild_report(batch.verdicts, batch.ticks, batch.facts).join(
         refused.select("feed", "file_date", "problem"), ["feed", "file_date"], "left")
     ran = ran.withColumns({
         "status": F.when(F.col("problem").isNotNull(), "FAILED").otherwise(F.col("status")),

@@ -10,6 +10,7 @@ by (feed, file_date) to lay files out on write.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,9 +28,27 @@ ROWS_PER_FILE = 1_000_000
 
 @dataclass
 class TickBatch:
+    """Verdicts and typed ticks of a set of files, and what is derived from them.
+
+    ``facts`` (counts per file) is one pass over the typed ticks, done when it
+    is first asked for and materialised: provenance, reports and the run log
+    share it.
+    """
+
     verdicts: DataFrame
     ticks: DataFrame  # feed, file_date + 14 contract columns
-    provenance: DataFrame
+    sources: DataFrame | None = None
+    collector_version: str = "0"
+    build_id: str | None = None
+
+    @cached_property
+    def facts(self) -> DataFrame:
+        return cut_lineage(provenance.tick_facts(self.ticks))
+
+    @cached_property
+    def provenance(self) -> DataFrame:
+        return provenance.provenance_rows(self.facts, self.verdicts, self.sources,
+                                          self.collector_version, self.build_id)
 
 
 def process_lines(lines: DataFrame, files: DataFrame | None = None,
@@ -43,9 +62,7 @@ def process_lines(lines: DataFrame, files: DataFrame | None = None,
     """
     verdicts = cut_lineage(validate.file_verdicts(lines, files))
     ticks = convert.typed_ticks(validate.accepted_lines(lines, verdicts))
-    facts = provenance.tick_facts(ticks)
-    prov = provenance.provenance_rows(facts, verdicts, sources, collector_version, build_id)
-    return TickBatch(verdicts, ticks, prov)
+    return TickBatch(verdicts, ticks, sources, collector_version, build_id)
 
 
 def empty_batch(spark: SparkSession) -> TickBatch:
@@ -54,9 +71,12 @@ def empty_batch(spark: SparkSession) -> TickBatch:
     return process_lines(none)
 
 
-def rebuild_report(verdicts: DataFrame, ticks: DataFrame) -> DataFrame:
-    """One row per file: OK with counts, or FAILED with the violation."""
-    facts = provenance.tick_facts(ticks)
+def rebuild_report(verdicts: DataFrame, ticks: DataFrame, facts: DataFrame | None = None) -> DataFrame:
+    """One row per file: OK with counts, or FAILED with the violation.
+
+    ``facts``: a batch's counts if it has them already.
+    """
+    facts = provenance.tick_facts(ticks) if facts is None else facts
     r = verdicts.join(facts, validate.FILE_KEYS, "left")
     ok = F.col("status") == "OK"
     return r.select(
@@ -202,9 +222,7 @@ def process_archive_frame(raw: DataFrame, build_id: str | None = None,
     verdicts = validate.file_verdicts(lines, problems.select("feed", "file_date"))
     verdicts = cut_lineage(merge_archive_problems(verdicts, problems))
     ticks = convert.typed_ticks(validate.accepted_lines(lines, verdicts))
-    facts = provenance.tick_facts(ticks)
-    prov = provenance.provenance_rows(facts, verdicts, problems, collector_version, build_id)
-    return TickBatch(verdicts, ticks, prov)
+    return TickBatch(verdicts, ticks, problems, collector_version, build_id)
 
 
 def process_text(spark: SparkSession, paths, build_id: str | None = None) -> TickBatch:
@@ -215,9 +233,7 @@ def process_text(spark: SparkSession, paths, build_id: str | None = None) -> Tic
     verdicts = validate.file_verdicts(lines, files)
     verdicts = cut_lineage(merge_archive_problems(verdicts, files))
     ticks = convert.typed_ticks(validate.accepted_lines(lines, verdicts))
-    facts = provenance.tick_facts(ticks)
-    prov = provenance.provenance_rows(facts, verdicts, files, collector_version="0", build_id=build_id)
-    return TickBatch(verdicts, ticks, prov)
+    return TickBatch(verdicts, ticks, files, build_id=build_id)
 
 
 def write_rebuild_report(report: DataFrame, path: str) -> None:
@@ -248,7 +264,7 @@ def run_log(batch: TickBatch, started=None, finished=None, refused: DataFrame |
     ``started`` and ``finished`` are the run's wall-clock times.
     """
     from ..operators import runlog
-    facts = provenance.tick_facts(batch.ticks).select("feed", "file_date", "row_count")
+    facts = batch.facts.select("feed", "file_date", "row_count")
     v = batch.verdicts.join(facts, validate.FILE_KEYS, "left")
     if refused is None:
         v = v.withColumn("problem", F.lit(None).cast("string"))
