@@ -35,6 +35,24 @@ def report_lines_from_files(spark: SparkSession, root: str, api_name: str | None
         "line_no", "line")
 
 
+def report_lines_from_binary(raw: DataFrame) -> DataFrame:
+    """Lines of whole report files (a ``binaryFile`` batch, as a stream delivers them).
+
+    One file is one row, so this is for files of a report-day (tens of MB);
+    larger ones go through :func:`report_lines_from_files`, which splits them.
+    """
+    name = [F.regexp_extract("path", REPORT_NAME_PATTERN, i) for i in (1, 2, 4)]
+    text = F.regexp_replace(F.decode("content", "UTF-8"), "\\A\uFEFF", "")
+    keyed = raw.select(name[0].alias("section"), name[1].alias("api_name"),
+                       F.try_to_date(name[2], "yyyy-MM-dd").alias("report_date"), text.alias("_text"))
+    # a final newline ends the last line, it does not open one
+    lines = F.split(F.regexp_replace("_text", "\n\\z", ""), "\n", -1)
+    return keyed.where(F.col("report_date").isNotNull() & (F.col("_text") != "")).select(
+        "section", "api_name", "report_date", F.posexplode(lines).alias("_pos", "_line")).select(
+        "section", "api_name", "report_date", (F.col("_pos") + 1).cast("int").alias("line_no"),
+        F.regexp_replace("_line", "\\r+\\z", "").alias("line"))
+
+
 def landed_reports(spark: SparkSession, root: str) -> DataFrame | None:
     """(section, api_name, report_date) already landed; None if nothing is."""
     try:

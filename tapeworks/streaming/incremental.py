@@ -15,8 +15,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.reports import archive_raw_lines, availability, report_lines_from_binary
 from ..plans.ticks import process_archive_frame, write_ticks
-from ..session import temporary_tables
+from ..session import cut_lineage, temporary_tables
 from ..sources.archives import BINARY_FILE_SCHEMA
 
 
@@ -53,3 +54,28 @@ def ingest_new_archives(spark: SparkSession, landing: str, lake: str, checkpoint
     if available_now:
         query.awaitTermination()
     return query
+
+
+def ingest_new_reports(spark: SparkSession, landing: str, lake: str, checkpoint: str,
+                       skip_existing: bool = True, available_now: bool = True):
+    """Land the raw lines of report files that arrived since the last run.
+
+    ``landing`` holds ``{section}/{api}/year=Y/Y-M-D.csv``.  Payloads too
+    short to be a report are left out (they are "no report today").  A
+    report-date that is already landed is kept unless ``skip_existing`` is
+    off; either way a replayed batch ends in the same lines.
+    """
+
+    def each_batch(batch: DataFrame, epoch_id: int) -> None:
+        real = availability(batch).where("available")
+        with temporary_tables():
+            lines = cut_lineage(report_lines_from_binary(real))
+            archive_raw_lines(lines, f"{lake}/reports", skip_existing=skip_existing)
+
+    query = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
+             .option("pathGlobFilter", "*.csv").option("recursiveFileLookup", "true").load(landing)
+             .writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
+             .trigger(**({"availableNow": True} if available_now else {"processingTime": "1 minute"})).start())
+    if available_now:
+        query.awaitTermination()
+    return query

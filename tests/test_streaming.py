@@ -36,3 +36,28 @@ def test_second_run_keeps_the_first_days_provenance(spark, tmp_path):
     prov = spark.read.parquet(f"{lake}/provenance")
     assert sorted(str(r.file_date) for r in prov.collect()) == ["2026-06-29", "2026-06-30"]
     assert spark.read.parquet(f"{lake}/ticks").count() == 4
+
+
+def test_reports_land_once_and_keep_other_days(spark, tmp_path):
+    from tapeworks.plans.reports import read_raw_lines
+    from tapeworks.streaming.incremental import ingest_new_reports
+    landing, lake, ckpt = (str(tmp_path / d) for d in ("landing", "lake", "ckpt"))
+    folder = tmp_path / "landing" / "lending" / "BTBLoanBalance" / "year=2026"
+    folder.mkdir(parents=True)
+
+    def land(day, data, name=None):
+        (folder / (name or f"2026-06-{day}.csv")).write_bytes(data)
+        ingest_new_reports(spark, landing, lake, ckpt)
+        return sorted((r.report_date.day, r.line_no, r.line) for r in read_raw_lines(spark, f"{lake}/reports").collect())
+
+    first = [(29, 1, "título;x"), (29, 2, ""), (29, 3, "a;b")]
+    assert land(29, "\ufefftítulo;x\r\n\r\na;b\r\n".encode()) == first
+    both = first + [(30, 1, "next;day"), (30, 2, "c;d;e")]
+    assert land(30, b"next;day\nc;d;e") == both
+    assert land(31, b"short") == both  # no report today
+    (folder / "2026-06-29.csv").unlink()
+    again = tmp_path / "landing" / "again" / "lending" / "BTBLoanBalance" / "year=2026"
+    again.mkdir(parents=True)
+    (again / "2026-06-30.csv").write_bytes(b"another version of the day")
+    ingest_new_reports(spark, landing, lake, ckpt)
+    assert sorted((r.report_date.day, r.line_no, r.line) for r in read_raw_lines(spark, f"{lake}/reports").collect()) == both
