@@ -25,6 +25,8 @@ asked columns pass through.
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -97,20 +99,20 @@ def propagate(nodes: DataFrame, links: DataFrame, capacity: DataFrame, tables: W
 
 
 def fill_up(singles: DataFrame, linked: DataFrame, capacity: DataFrame) -> DataFrame:
-    """Gives documents without links (node, chunk) the room that the linked ones left."""
+    """Gives documents without links (node, chunk) the room that the linked ones left.
+
+    Returns node, shard and slot.  A document's number among all of them says
+    which shard's room it falls into and its place there, after the linked ones.
+    """
     held = linked.groupBy("shard").agg(F.count(F.lit(1)).alias("held"))
-    room = capacity.join(held, "shard", "left").select(
-        "shard", (F.col("capacity") - F.coalesce("held", F.lit(0))).alias("room"))
-    # one row: the shards' rooms as an array, whose running sums bound each shard's numbers
-    rooms = room.agg(F.transform(F.array_sort(F.collect_list(F.struct("shard", "room"))), lambda x: x["room"]).alias("rooms"))
-    ends = rooms.select(F.aggregate(
-        "rooms", F.array().cast("array<long>"),
-        lambda acc, x: F.array_append(acc, F.coalesce(F.element_at(acc, F.when(F.size(acc) > 0, -1).otherwise(F.lit(None))), F.lit(0)) + x)).alias("ends"))
-    bounds = ends.first()[0] or []  # as many numbers as shards
-    numbered = number_rows(singles, [], "_n", "chunk", "node")
-    shard = F.aggregate(F.array(*[F.lit(b) for b in bounds]).cast("array<long>"), F.lit(0),
-                        lambda acc, b: acc + F.when(F.col("_n") >= b, 1).otherwise(0))
-    return numbered.select("node", "chunk", shard.cast("int").alias("shard"))
+    sizes = capacity.join(held, "shard", "left").orderBy("shard").select(
+        "capacity", F.coalesce("held", F.lit(0)).alias("held")).collect()  # a row per shard
+    ends = list(accumulate(r.capacity - r.held for r in sizes))
+    shard = F.aggregate(F.array(*map(F.lit, ends)).cast("array<long>"), F.lit(0),
+                        lambda acc, end: acc + F.when(F.col("_n") >= end, 1).otherwise(0))
+    before = F.array(*[F.lit(r.held - start) for r, start in zip(sizes, [0, *ends], strict=False)]).cast("array<long>")
+    numbered = number_rows(singles, [], "_n", "chunk", "node").withColumn("shard", shard.cast("int"))
+    return numbered.select("node", "shard", (F.col("_n") + F.get(before, F.col("shard"))).alias("slot"))
 
 
 def shard_documents(docs: DataFrame, keep: list[str], text: str = "text", shards: int = SHARDS,
@@ -136,9 +138,8 @@ def shard_documents(docs: DataFrame, keep: list[str], text: str = "text", shards
                                            F.lit(1).cast("long").alias("weight"))), "links")
     linked = propagate(grouped.where("head is not null").select("node", "chunk"), links, capacity, tables, rounds, shards)
     singles = fill_up(grouped.where("head is null").select("node", "chunk"), linked, capacity)
-    placed = tables.keep(linked.union(singles), "placed")
-    slots = number_rows(placed, ["shard"], "slot", "chunk", "node").select(
-        F.col("node").alias("_node"), "shard", "slot")
+    first = number_rows(linked, ["shard"], "slot", "chunk", "node").select("node", "shard", "slot")
+    slots = tables.keep(first.union(singles), "slots").withColumnRenamed("node", "_node")
     return rows.join(slots, F.col("node") == F.col("_node")).select(*keep, "size", "text_crc32", "shard", "slot")
 
 
