@@ -2,6 +2,8 @@
 
 A text's canonical form has lower case, no copyright lines, one spelling of
 words that licences spell two ways, and only letters and digits, single-spaced.
+A copyright line names a year, a mark or a holder and stands on a line of its
+own; sentences of a licence stay wherever its lines are broken.
 Its digest is joined by hash with the digests of known licence texts; a
 document whose entire text is a known licence gets the licence's id.  Each
 line of a document is an entire text too: lines that are known notices
@@ -92,6 +94,20 @@ language governing permissions and limitations under the License.""",
     "BSD-3-notice": "Licensed under the BSD 3-Clause License.",
 }
 
+#: Words that follow "copyright" inside a licence's sentences, not in a copyright line.
+BODY = ("holders?|owners?|ownership|notices?|laws?|licen[cs]es?|interests?|statements?|disclaimers?|infringements?|"
+        "permissions?|protections?|treat(?:y|ies)|acts?|claims?|rights?|status|terms?|conditions?|information|messages?|"
+        "materials?|works?|doctrines?|exceptions?|patents?|the (?:software|program|library|work)|and|or|in|is|are|as|to|on|"
+        "of|for|that|which|this|may|will|shall|must|can|with|under|from|at|if|has|have|does|applies|notwithstanding")
+#: A copyright line by itself: a mark, a year or a name follows.  "(c)" is also a list item, so a name there is a short line.
+COPYRIGHT_LINE = (
+    r"^[^\p{L}\p{N}\n]*(?:all rights reserved|©"
+    rf"|(?:\(c\)[^\p{{L}}\p{{N}}\n]*)?copyright(?:[^\p{{L}}\p{{N}}\n]*(?:(?:19|20)\d\d|\(c\)|©)"
+    rf"|[^\p{{L}}\p{{N}}\n,.;)]+(?!(?:{BODY})\b)\p{{L}})"
+    r"|\(c\)[^\p{L}\p{N}\n]*(?:(?:19|20)\d\d|©)"
+    rf"|\(c\)[ \t]+(?!(?:you|your|a|an|any|all|each|every|no|not|neither|such|it|its|by|copyright|{BODY})\b)"
+    r"(?:\S+[ \t]+){0,5}\S*[^\s;,:][ \t\r]*$)[^\n]*$")
+#: The wider rule of ORACLE, every line that begins so; both agree where no licence sentence is broken before "copyright".
 COPYRIGHT = r"^[^a-z0-9]*(copyright|all rights reserved|\(c\)|©)[^\n]*$"
 #: A line can be a known notice only if it has one of these words.
 HINT = "licen[cs]e|copyright|permission|cc by|cc-by"
@@ -107,7 +123,7 @@ def bare(line: Column) -> Column:
 
 def canonical(text: Column) -> Column:
     """The canonical form of an entire text: copyright lines go, then all lines run together."""
-    return bare(F.regexp_replace(F.lower(F.coalesce(text.cast("string"), F.lit(""))), "(?md)" + COPYRIGHT, " "))
+    return bare(F.regexp_replace(F.lower(F.coalesce(text.cast("string"), F.lit(""))), "(?md)" + COPYRIGHT_LINE, " "))
 
 
 def digest(canon: Column) -> Column:

@@ -1,4 +1,5 @@
 import hashlib
+import textwrap
 
 from tapeworks.llm import licenses
 
@@ -41,3 +42,23 @@ def test_own_table_of_licenses(spark):
 def test_repeated_words_are_all_respelt(spark):
     got = report(spark, [(1, "licence licence licence"), (2, "license license license")])
     assert got[1].digest == got[2].digest
+
+
+def test_known_texts_match_however_their_lines_are_broken(spark):
+    made = [(k, w) for k in licenses.KNOWN_TEXTS for w in (*range(20, 141, 4), 72, 78, 100000)]
+    rows = [(i, "Copyright (c) 2024 Some Body\n\n" + textwrap.fill(
+        " ".join(licenses.KNOWN_TEXTS[k].split()), w, break_long_words=False, break_on_hyphens=False))
+            for i, (k, w) in enumerate(made)]
+    got = report(spark, rows)
+    assert [m for i, m in enumerate(made) if got[i].license_id != m[0]] == []
+
+
+def test_only_real_copyright_lines_go(spark):
+    gone = ["Copyright 2020 A", "copyright (c) 1999-2004, A", "(C) 2020 A", "(c) Copyright A B", "© A", "Copyright: A Inc.",
+            "Copyright The A Authors", "Copyright <YEAR> <COPYRIGHT HOLDER>", " * Copyright [yyyy] [name of owner]", "(c) Acme Inc.",
+            "All rights reserved.", "COPYRIGHT ACME", "Copyright © 2020 A"]
+    stay = ["COPYRIGHT HOLDERS BE LIABLE", "copyright notice, this list", "copyright owner or entity", "copyrighted works",
+            "copyright", "copyright, patent and trademark", "(c) You must retain, in the Source form", "(c) copyright notices stay"]
+    got = report(spark, [(i, "要約\n\n" + x) for i, x in enumerate(gone + stay)])
+    bare = hashlib.sha256("要約".encode()).hexdigest()
+    assert [x for i, x in enumerate(gone + stay) if (got[i].digest == bare) != (x in gone)] == []
