@@ -6,8 +6,9 @@ of ``WINDOW`` characters slides over the candidate; the counts of its
 characters, and from them the sum of c*log2(c), are updated for the one
 character that enters and the one that leaves, so each step costs the
 alphabet and not the window.  The highest entropy of any window is held
-against the threshold of the candidate's character class (hexadecimal, or
-letters and digits).  Allow-listed candidates (placeholders, UUIDs, integrity
+against the threshold of the candidate's character class: hexadecimal, digits
+with letters of one case, digits with letters of both cases, or words and
+numbers (slugs, paths, camel case), which come near to keys in entropy.  Allow-listed candidates (placeholders, UUIDs, integrity
 digests, addresses) are suppressed.
 
 Positions need no UDF: the texts between matches (``split``) and the matches
@@ -37,7 +38,12 @@ MIN_VALUE = 6
 
 WINDOW = 20
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+#: Bits by kind, as in ORACLE; runs of words and numbers are held to the mixed one.
 THRESHOLDS = {"entropy_hex": 3.05, "entropy_mixed": 4.05}
+#: Bits that 99 % of random windows reach: base32 (digits with one case), base62 (with both cases).
+ONE_CASE, BOTH_CASES = 3.34, 3.64
+#: Words and numbers are what remains between these.
+WORD_ENDS, WORD = r"[+/_=-]+|(?<=[a-z0-9])(?=[A-Z])", r"^(?:[A-Z]?[a-z]+[0-9]{0,4}|[A-Z]*|[0-9]+)$"
 
 # Allow-list: fixed values, sought in a candidate without regard to case.
 ALLOWED = ("example|sample|dummy|changeme|placeholder|your[_-]|xxxx|0123456789|1234567890|abcdefgh"
@@ -102,6 +108,18 @@ def allowed(value: Column) -> Column:
     return F.lower(value).rlike(ALLOWED)
 
 
+def worded(value: Column) -> Column:
+    """Only words and numbers, as in slugs, paths and camel case."""
+    return F.forall(F.split(value, WORD_ENDS, -1), lambda w: w.rlike(WORD))
+
+
+def limit_of(value: Column) -> Column:
+    """The entropy that the candidate's character class asks for."""
+    return (F.when(value.rlike("^[0-9A-Fa-f]+$"), THRESHOLDS["entropy_hex"])
+            .when(worded(value), THRESHOLDS["entropy_mixed"])
+            .when(value.rlike("[a-z]") & value.rlike("[A-Z]"), BOTH_CASES).otherwise(ONE_CASE))
+
+
 def find_secrets(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """``keep`` columns, the text (null: empty) as ``_text``, ``base``, ``found`` (all
     spans in order of start, then kind) and ``suppressed`` (allow-listed candidates)."""
@@ -122,12 +140,11 @@ def find_secrets(docs: DataFrame, keep: list[str], text: str = "text") -> DataFr
     def judged(s: Column) -> Column:
         is_hex = s["value"].rlike("^[0-9A-Fa-f]+$")
         kind = F.when(is_hex, "entropy_hex").otherwise("entropy_mixed")
-        limit = F.when(is_hex, THRESHOLDS["entropy_hex"]).otherwise(THRESHOLDS["entropy_mixed"])
         return F.struct(
             s["start"].alias("start"), F.when(is_hex, KINDS.index("entropy_hex"))
             .otherwise(KINDS.index("entropy_mixed")).alias("rank"), s["end"].alias("end"),
             kind.alias("kind"), s["value"].alias("value"),
-            (window_entropy(s["value"]) >= limit).alias("hot"), allowed(s["value"]).alias("ok"))
+            (window_entropy(s["value"]) >= limit_of(s["value"])).alias("hot"), allowed(s["value"]).alias("ok"))
 
     tried = fresh.select(*keep, "_text", "base", F.filter(
         F.transform("_runs", judged), lambda s: s["hot"]).alias("_hot"))

@@ -1,6 +1,8 @@
 import hashlib
 import math
+import random
 import re
+import string
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -72,3 +74,28 @@ def test_redaction(spark):
 
 def test_empty_table(spark):
     assert secrets.secret_report(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+ALPHABETS = {"base62": string.ascii_letters + string.digits, "lower36": string.ascii_lowercase + string.digits,
+             "upper36": string.ascii_uppercase + string.digits, "base32": string.ascii_uppercase + "234567",
+             "base64url": string.ascii_letters + string.digits + "-_"}
+
+
+def test_random_keys_of_every_class_are_found_and_words_are_not(spark):
+    rng = random.Random(3)
+    made = [(k, n) for k in ALPHABETS for n in (20, 24, 32, 64) for _ in range(100)]
+    keys = []
+    for k, n in made:
+        key = "a"
+        while not (any(c.isdigit() for c in key) and any(c.isalpha() for c in key)):
+            key = "".join(rng.choices(ALPHABETS[k], k=n))
+        keys.append(key)
+    words = "report annual market price trade settlement future option summary result window number session order".split()
+    prose = [rng.choice("-_/").join([*rng.sample(words, 5), str(rng.randrange(3000))]) for _ in range(200)]
+    prose += ["".join(w.title() for w in rng.sample(words, 4)) + str(rng.randrange(100)) for _ in range(200)]
+    df = spark.createDataFrame([(i, f"x {t} y") for i, t in enumerate(keys + prose)], "doc_id long, text string")
+    found = {r.doc_id for r in secrets.secret_report(df).collect() if r.spans}
+    hits = Counter(m for i, m in enumerate(made) if i in found)
+    print({m: hits[m] for m in dict.fromkeys(made)}, len([i for i in found if i >= len(keys)]))
+    assert [m for m in dict.fromkeys(made) if hits[m] < 95] == []
+    assert len([i for i in found if i >= len(keys)]) <= 20
