@@ -8,8 +8,9 @@ character that enters and the one that leaves, so each step costs the
 alphabet and not the window.  The highest entropy of any window is held
 against the threshold of the candidate's character class: hexadecimal, digits
 with letters of one case, digits with letters of both cases, or words and
-numbers (slugs, paths, camel case), which come near to keys in entropy.  Allow-listed candidates (placeholders, UUIDs, integrity
-digests, addresses) are suppressed.
+numbers (slugs, paths, camel case), which come near to keys in entropy.  Allow-listed candidates (UUIDs, integrity digests, paths
+of words, addresses after "://") are suppressed; a placeholder word suppresses
+only windows that reach within ``WINDOW`` characters of it.
 
 Positions need no UDF: the texts between matches (``split``) and the matches
 (``regexp_extract_all``) alternate, so running sums of their lengths are the
@@ -48,6 +49,8 @@ WORD_ENDS, WORD = r"[+/_=-]+|(?<=[a-z0-9])(?=[A-Z])", r"^(?:[A-Z]?[a-z]+[0-9]{0,
 # Allow-list: fixed values, sought in a candidate without regard to case.
 ALLOWED = ("example|sample|dummy|changeme|placeholder|your[_-]|xxxx|0123456789|1234567890|abcdefgh"
            "|^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$|^sha(1|256|384|512)-|^/|//")
+#: Its parts: placeholder words, which excuse what is near them, and forms that excuse a whole run.
+ALLOWED_WORDS, ALLOWED_FORMS = ALLOWED.split("|^", 1)[0], "^" + ALLOWED.split("|^", 1)[1].removesuffix("|^/|//")
 
 SPAN = "array<struct<start:int,rank:int,end:int,kind:string,value:string>>"
 
@@ -104,8 +107,22 @@ def window_entropy(value: Column, width: int = WINDOW) -> Column:
                        lambda acc: F.log2(F.lit(float(width))) - acc["low"] / width)
 
 
-def allowed(value: Column) -> Column:
-    return F.lower(value).rlike(ALLOWED)
+def allowed(value: Column, before: Column) -> Column:
+    """Runs that are no secret as a whole; ``before`` is the character in front of the run."""
+    path = (value.startswith("/") | value.contains("//")) & worded(value) & value.rlike("[A-Za-z0-9]/+[A-Za-z0-9]")
+    return F.lower(value).rlike(ALLOWED_FORMS) | path | (value.startswith("//") & (before == ":"))
+
+
+def hot_parts(value: Column, limit: Column) -> Column:
+    """(hot, free): whether a window reaches the limit anywhere, and away from placeholder words."""
+    def reaches(part: Column) -> Column:
+        return (F.length(part) >= WINDOW) & (window_entropy(part) >= limit)
+
+    marked = F.regexp_replace(value, f"(?i){ALLOWED_WORDS}", " ")
+    near = f"[^ ]{{0,{WINDOW}}} [^ ]{{0,{WINDOW}}}"
+    placeholder = value.rlike(f"(?i){ALLOWED_WORDS}")
+    return F.transform(F.array(F.exists(F.split(marked, near, -1), reaches)), lambda free: F.struct(
+        (free | (placeholder & reaches(value))).alias("hot"), free.alias("free")))[0]
 
 
 def worded(value: Column) -> Column:
@@ -144,15 +161,16 @@ def find_secrets(docs: DataFrame, keep: list[str], text: str = "text") -> DataFr
             s["start"].alias("start"), F.when(is_hex, KINDS.index("entropy_hex"))
             .otherwise(KINDS.index("entropy_mixed")).alias("rank"), s["end"].alias("end"),
             kind.alias("kind"), s["value"].alias("value"),
-            (window_entropy(s["value"]) >= limit_of(s["value"])).alias("hot"), allowed(s["value"]).alias("ok"))
+            hot_parts(s["value"], limit_of(s["value"])).alias("hot"),
+            allowed(s["value"], F.substring(F.col("_text"), s["start"], F.lit(1))).alias("ok"))
 
     tried = fresh.select(*keep, "_text", "base", F.filter(
-        F.transform("_runs", judged), lambda s: s["hot"]).alias("_hot"))
-    extra = F.transform(F.filter("_hot", lambda s: ~s["ok"]), lambda s: F.struct(
+        F.transform("_runs", judged), lambda s: s["hot"]["hot"]).alias("_hot"))
+    extra = F.transform(F.filter("_hot", lambda s: s["hot"]["free"] & ~s["ok"]), lambda s: F.struct(
         *[s[f].alias(f) for f in ("start", "rank", "end", "kind", "value")]))
     return tried.select(
         *keep, "_text", "base", F.array_sort(F.concat("base", extra)).alias("found"),
-        F.size(F.filter("_hot", lambda s: s["ok"])).cast("long").alias("suppressed"))
+        F.size(F.filter("_hot", lambda s: s["ok"] | ~s["hot"]["free"])).cast("long").alias("suppressed"))
 
 
 def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:

@@ -99,3 +99,21 @@ def test_random_keys_of_every_class_are_found_and_words_are_not(spark):
     print({m: hits[m] for m in dict.fromkeys(made)}, len([i for i in found if i >= len(keys)]))
     assert [m for m in dict.fromkeys(made) if hits[m] < 95] == []
     assert len([i for i in found if i >= len(keys)]) <= 20
+
+
+def test_slashes_and_words_in_long_keys_do_not_hide_them(spark):
+    rng = random.Random(4)
+    base64 = string.ascii_letters + string.digits + "+/"
+    keys = ["".join(rng.choices(base64, k=n)) for n, times in ((40, 60), (256, 20), (1600, 6)) for _ in range(times)]
+    keys += [k[:700] + w + k[700:] for k in keys[-3:] for w in ("//", "Example", "your_")] + ["/" + k for k in keys[:60]]
+    df = spark.createDataFrame([(i, f"x {t} y") for i, t in enumerate(keys)], "doc_id long, text string")
+    found = [r for r in secrets.secret_report(df).collect() if r.spans]
+    print(len(found), len(keys))
+    assert len(found) >= 0.97 * len(keys)
+
+
+def test_paths_addresses_and_placeholders_stay(spark):
+    texts = ["/usr/local/share/Documents/report2024/quarterly-Figures", "https://Xk9qZ7bT2mWv4LpR8sYc1Nd/a", "/opt/My/Wx/Quick7/Vb/Jump3/Zk",
+             "your_Xk9qZ7bT2mWv4LpR8sYc1Nd", "Xk9qZ7bT2mWv4LpR8sYc1Nd_example", "sha256-Xk9qZ7bT2mWv4LpR8sYc1NdXk9qZ7bT2mWv4LpR8sYc1Nd"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert {r.doc_id: r.spans for r in secrets.secret_report(df).collect()} == dict.fromkeys(range(len(texts)), "")
