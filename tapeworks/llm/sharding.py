@@ -1,19 +1,17 @@
 """Balanced label propagation into shards, in DataFrame functions only.
 
-Documents start evenly over the shards.  Each round joins every linked
-document with its neighbours' shards, and the shard that holds most of them is
-where it wants to go.  Moves obey quotas: between two shards as many go one
-way as the other (a swap leaves both sizes), and beyond that only into free
-room below the shard's capacity.  Movers are counted per pair of shards and
-numbered without gaps, so quotas are met exactly and sizes never exceed
-capacity.  In a round only one side of a link moves (a hash of the document
-and the round decides), else two neighbours would change places for ever.
+Documents start evenly over the shards.  Documents of equal text are a group,
+and each round counts every group's documents per shard; the fullest shards
+that still have room, as many as the group needs, are where the others of it
+want to go.  Moves obey quotas: between two shards as many go one way as the
+other (a swap leaves both sizes), and beyond that only into free room below
+the shard's capacity.  Movers are counted per pair of shards and numbered
+without gaps, so quotas are met exactly and sizes never exceed capacity.
 Documents without links join no round; they fill the shards up at the end, so
 the counts are at most one apart whatever the links are.
 
-Links here join equal texts: each copy to the first of its group.  A group of
-any size thus has one link per copy, and one larger than a shard is split by
-the quotas.
+A group larger than a shard thus fills as few shards as it can, and no pairs
+of its documents are made.
 
 Law ``rows``: shard sizes in documents are at most one apart.
 
@@ -34,6 +32,8 @@ from .common import WorkTables, number_rows, tag_rows
 
 SHARDS = 16
 ROUNDS = 8
+#: A shard with less than this part of its capacity left counts as full (quotas are rounded down).
+SLACK = 100
 
 
 def capacities(total: int, shards: int) -> Column:
@@ -41,20 +41,24 @@ def capacities(total: int, shards: int) -> Column:
     return F.lit(total // shards) + F.when(F.col("shard") < total % shards, 1).otherwise(0)
 
 
-def wishes(links: DataFrame, state: DataFrame, round_no: int) -> DataFrame:
-    """(node, chunk, from, to): documents whose neighbours are mostly in another shard."""
-    there = state.select(F.col("node").alias("_other"), F.col("shard").alias("_there"))
-    votes = (links.join(there, links["other"] == there["_other"])
-             .groupBy("node", "_there").agg(F.sum("weight").alias("_w")))
-    best = votes.groupBy("node").agg(
-        F.max(F.struct(F.col("_w"), F.xxhash64("node", "_there", F.lit(round_no)).alias("_tie"),
-                       F.col("_there"))).alias("best"),
-        F.map_from_entries(F.collect_list(F.struct("_there", "_w"))).alias("all"))
-    turn = F.pmod(F.xxhash64("node", F.lit(round_no)), F.lit(2)) == 0
-    return (state.join(best, "node").where(turn)
-            .where((F.col("best._there") != F.col("shard"))
-                   & (F.col("best._w") > F.coalesce(F.try_element_at("all", F.col("shard")), F.lit(0))))
-            .select("node", "chunk", F.col("shard").alias("from"), F.col("best._there").alias("to")))
+def wishes(state: DataFrame, sizes: DataFrame, round_no: int) -> DataFrame:
+    """(node, chunk, from, to): documents of which a fuller shard of their group has room.
+
+    A group votes by its population per shard, so no pairs are made.  It has as
+    many targets as it needs shards: its fullest ones, those with room first.
+    """
+    room = sizes.select(F.col("shard").alias("_s"), "capacity", (F.col("capacity") - F.col("held")).alias("_room"))
+    counts = state.groupBy("group", "shard").agg(F.count(F.lit(1)).alias("_w"))
+    aims = (counts.join(F.broadcast(room), F.col("shard") == F.col("_s")).groupBy("group").agg(
+        F.sort_array(F.collect_list(F.struct((F.col("_room") * SLACK > F.col("capacity")).alias("free"), F.col("_w").alias("w"),
+                                             F.xxhash64("group", "shard", F.lit(round_no)).alias("tie"), "shard")), False).alias("_all"),
+        F.ceil(F.sum("_w") / F.greatest(F.min("capacity"), F.lit(1))).cast("int").alias("_need"))
+        .select(F.col("group").alias("_g"), F.slice("_all", F.lit(1), F.greatest("_need", F.lit(1))).alias("_aims"),
+                F.map_from_entries(F.transform("_all", lambda x: F.struct(x["shard"], x["w"]))).alias("_held")))
+    aim = F.get("_aims", F.pmod(F.xxhash64("node", F.lit(round_no)), F.size("_aims")).cast("int"))
+    return (state.join(aims, F.col("group") == F.col("_g")).where(~F.exists("_aims", lambda x: x["shard"] == F.col("shard")))
+            .withColumn("_aim", aim).where(F.col("_aim.w") >= F.try_element_at("_held", F.col("shard")))
+            .select("node", "chunk", F.col("shard").alias("from"), F.col("_aim.shard").alias("to")))
 
 
 def quotas(moves: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -73,25 +77,25 @@ def quotas(moves: DataFrame, sizes: DataFrame) -> DataFrame:
             .select("from", "to", (F.col("swap") + F.least(F.col("n") - F.col("swap"), share)).alias("quota")))
 
 
-def propagate(nodes: DataFrame, links: DataFrame, capacity: DataFrame, tables: WorkTables,
+def propagate(nodes: DataFrame, capacity: DataFrame, tables: WorkTables,
               rounds: int = ROUNDS, shards: int = SHARDS) -> DataFrame:
     """(node, chunk, shard) after ``rounds`` rounds.
 
-    ``nodes``: node (unique), chunk (the task that wrote it); ``links``: node,
-    other, weight, both ways; ``capacity``: shard, capacity.
+    ``nodes``: node (unique), chunk (the task that wrote it), group;
+    ``capacity``: shard, capacity.
     """
     numbered = number_rows(nodes, [], "_n", "chunk", "node")
-    state = tables.keep(numbered.select("node", "chunk", (F.col("_n") % shards).cast("int").alias("shard")), "state")
+    state = tables.keep(numbered.select("node", "chunk", "group", (F.col("_n") % shards).cast("int").alias("shard")), "state")
     for r in range(rounds):
         held = state.groupBy("shard").agg(F.count(F.lit(1)).alias("held"))
         sizes = capacity.join(held, "shard", "left").select("shard", "capacity", F.coalesce("held", F.lit(0)).alias("held"))
-        moves = tables.keep(wishes(links, state, r), "wishes")
+        moves = tables.keep(wishes(state, sizes, r), "wishes")
         allowed = tables.keep(quotas(moves, sizes), "quotas")
         ranked = number_rows(moves, ["from", "to"], "_n", "chunk", "node")
         accepted = (ranked.join(allowed, ["from", "to"]).where("_n < quota")
                     .select("node", F.col("to").alias("_to")))
         fresh = tables.keep(state.join(accepted, "node", "left").select(
-            "node", "chunk", F.coalesce("_to", "shard").alias("shard")), "state")
+            "node", "chunk", "group", F.coalesce("_to", "shard").alias("shard")), "state")
         for t in (state, moves, allowed):
             tables.drop(t)
         state = fresh
@@ -132,11 +136,7 @@ def shard_documents(docs: DataFrame, keep: list[str], text: str = "text", shards
     grouped = tables.keep(
         rows.select("node", "chunk", "_digest", "size").join(groups.where("copies > 1"), ["_digest", "size"], "left")
         .select("node", "chunk", "head"), "grouped")
-    arms = grouped.where("head is not null and head <> node")
-    links = tables.keep(arms.select("node", F.col("head").alias("other"), F.lit(1).cast("long").alias("weight"))
-                        .union(arms.select(F.col("head").alias("node"), F.col("node").alias("other"),
-                                           F.lit(1).cast("long").alias("weight"))), "links")
-    linked = propagate(grouped.where("head is not null").select("node", "chunk"), links, capacity, tables, rounds, shards)
+    linked = propagate(grouped.where("head is not null").select("node", "chunk", F.col("head").alias("group")), capacity, tables, rounds, shards)
     singles = fill_up(grouped.where("head is null").select("node", "chunk"), linked, capacity)
     first = number_rows(linked, ["shard"], "slot", "chunk", "node").select("node", "shard", "slot")
     slots = tables.keep(first.union(singles), "slots").withColumnRenamed("node", "_node")

@@ -57,3 +57,13 @@ def test_all_equal_and_all_distinct(spark):
     for make in (lambda i: "same", lambda i: f"t{i}"):
         rows = [(i, make(i)) for i in range(100)]
         check(rows, sharding.sharding_report(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect())
+
+
+def test_large_group_fills_few_shards(spark):
+    rows = [(i, "same" if i % 3 == 0 else f"t{i}") for i in range(4800)]
+    got = sharding.sharding_report(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    check(rows, got)
+    place = sorted(Counter(r.shard for r in got if r.doc_id % 3 == 0).values(), reverse=True)
+    pairs = sum(n * (n - 1) for n in place) / (1600 * 1599)
+    print(place, round(pairs, 3))
+    assert sum(place[:6]) >= 0.98 * 1600 and pairs > 0.16
