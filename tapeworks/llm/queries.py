@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, licenses, mixing, packing, secrets, sharding, simhash, topk, toxicity
+from . import ann, fim, licenses, mixing, packing, secrets, sharding, simhash, topk, toxicity, whitening
 from .common import documents, embeddings
 from .pii import pii_report
 
@@ -49,6 +49,14 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packing_report(documents(spark, sf_dir))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitening_report(embeddings(spark, sf_dir))
+
+
+def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.fim_report(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_secrets": op2_secrets,
@@ -60,10 +68,13 @@ QUERIES = {
     "op5_ann": op5_ann,
     "op6_sharding": op6_sharding,
     "op7_packing": op7_packing,
+    "op11_whitening": op11_whitening,
+    "op12_fim": op12_fim,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op3_licenses": licenses.ORACLE,
     "op8_topk": topk.ORACLE,
     "op2_secrets": secrets.ORACLE,
+    "op12_fim": fim.ORACLE,
 }
