@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, fim, licenses, mixing, packing, secrets, sharding, simhash, topk, toxicity, whitening
+from . import ann, fim, licenses, mixing, packing, phrases, secrets, sharding, simhash, topk, toxicity, whitening
 from .common import documents, embeddings
 from .pii import pii_report
 
@@ -57,6 +57,10 @@ def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.fim_report(documents(spark, sf_dir))
 
 
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.phrases_report(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_secrets": op2_secrets,
@@ -70,6 +74,7 @@ QUERIES = {
     "op7_packing": op7_packing,
     "op11_whitening": op11_whitening,
     "op12_fim": op12_fim,
+    "op13_phrases": op13_phrases,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -77,4 +82,5 @@ ORACLE_SQL: dict[str, str] = {
     "op8_topk": topk.ORACLE,
     "op2_secrets": secrets.ORACLE,
     "op12_fim": fim.ORACLE,
+    "op13_phrases": phrases.ORACLE,
 }
