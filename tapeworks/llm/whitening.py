@@ -204,8 +204,10 @@ def identity_error(whitened: DataFrame, model: Whitening) -> float | None:
     if not pairs:
         return None
     w = [F.col("whitened")[i] for i in range(len(model.values))]
-    got = whitened.agg(*[F.covar_pop(w[i], w[j]) for i, j in pairs]).first()
-    return max(abs(c - (i == j)) for (i, j), c in zip(pairs, got, strict=True))
+    mean = whitened.agg(*[F.avg(x) for x in w]).first()
+    off = {i: w[i] - F.lit(mean[i]) for i in used}
+    got = whitened.agg(*[F.sum(off[i] * off[j]) for i, j in pairs]).first()
+    return max(abs(c / model.n - (i == j)) for (i, j), c in zip(pairs, got, strict=True))
 
 
 REPORT = ("vec_id long, component int, n long, deviation long, whitened double, explained double, "
