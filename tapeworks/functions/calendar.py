@@ -41,7 +41,9 @@ def dates_frame(spark: SparkSession, dates) -> DataFrame:
         if len(dates) != 2:
             raise ValueError(f"a date range is a (start, end) pair, got {len(dates)} items")
         start, end = (parse_date(x) for x in dates)
-        one = spark.range(1).select(F.explode(F.sequence(F.lit(start), F.lit(end))).alias("d"))
+        # a range that ends before it starts holds no day; sequence() would count down
+        days = F.sequence(F.lit(start), F.lit(end)) if start <= end else F.array().cast("array<date>")
+        one = spark.range(1).select(F.explode(days).alias("d"))
         return one.where(is_business_day(F.col("d")))
     if isinstance(dates, list):
         unique = sorted({parse_date(x) for x in dates})

@@ -11,6 +11,8 @@ in the verdict's ``unparsed_cells``); and the strict kinds that fail the whole
 file when a present value does not convert: ``double`` (decimal comma),
 ``date_strict``, ``int``, ``bool``, ``percent``.  Cells may be quoted: a
 separator inside quotes belongs to the cell and a doubled quote is one quote.
+A quoted cell may span lines (see :mod:`.records`); a quote that nothing
+closes fails the file (``quote_unclosed``).
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from pyspark.sql import functions as F
 
 from ..functions import strict as S
 from ..session import cut_lineage
+from .records import QUOTED, join_records, opens
 from .validate import decide, offences, offending_values
 
 STRICT_KINDS = ("double", "date_strict", "int", "bool", "percent")
@@ -90,10 +93,17 @@ def split_cells(line: Column, sep: str) -> Column:
     """Cells of a report line; only lines that hold a quote take the quote-aware split."""
     plain = F.split(line, re.escape(sep), -1)
     # every match starts with a separator, so no match is empty and none is lost
-    cell = re.escape(sep) + r'(?:"(?:[^"]|"")*"[^' + re.escape(sep) + r']*|[^' + re.escape(sep) + r']*)'
+    s = re.escape(sep)
+    cell = rf'{s}(?:{QUOTED}"[^{s}]*|[^{s}]*)'
     found = F.regexp_extract_all(F.concat(F.lit(sep), line), F.lit(cell), F.lit(0))
-    quoted = F.transform(found, lambda c: F.replace(
-        F.regexp_replace(F.substring(c, 2, 1 << 30), r'\A"((?:[^"]|"")*)"', "$1"), F.lit('""'), F.lit('"')))
+    closed = rf'\A"({QUOTED[1:]})"'
+
+    def value(c: Column) -> Column:  # doubled quotes are one inside the quotes only; what follows them is text
+        inner = F.regexp_extract(c, closed, 1)
+        rest = F.substring(c, F.length(inner) + 3, F.lit(1 << 30))
+        return F.when(c.rlike(closed), F.concat(F.replace(inner, F.lit('""'), F.lit('"')), rest)).otherwise(c)
+
+    quoted = F.transform(found, lambda c: value(F.substring(c, 2, 1 << 30)))
     return F.when(F.contains(line, F.lit('"')), quoted).otherwise(plain)
 
 
@@ -128,14 +138,30 @@ def parse_report(lines: DataFrame, layout: ReportLayout, keys: list[str]):
     rows of files whose verdict is OK, with ``keys + line_no + columns``;
     verdicts with ``status, rule, source_column, invalid_count, first_line,
     first_value, data_rows, unparsed_cells`` per file.
+
+    The pass that counts violations also says which files hold a cell that
+    goes on in the next line.  Only those are cut into records and parsed
+    anew; a batch without them costs nothing more.
     """
+    rows, verdicts, spans = _parse_lines(lines.withColumn("_unclosed", F.lit(False)), layout, keys)
+    if spans.isEmpty():
+        return rows, verdicts
+    records = cut_lineage(join_records(lines.join(spans, keys, "left_semi"), keys, layout.sep, layout.skip_lines))
+    more, decided, _ = _parse_lines(records, layout, keys)
+    return (rows.join(spans, keys, "left_anti").unionByName(more),
+            verdicts.join(spans, keys, "left_anti").unionByName(decided))
+
+
+def _parse_lines(lines: DataFrame, layout: ReportLayout, keys: list[str]):
+    """Rows and verdicts of lines that are records, and the files for which that is not so."""
     body = data_lines(lines, layout, keys)
     parts = split_cells(F.col("line"), layout.sep)
     body = body.withColumn("_parts", parts)
     cells = {}
     for i, (name, _) in enumerate(layout.columns):
         cells[name] = S.na_to_null(F.get(F.col("_parts"), i), layout.na_values)
-    typed, checks, unparsed = [], [], F.lit(0)
+    typed, unparsed = [], F.lit(0)
+    checks = [("quote_unclosed", "line", F.col("_unclosed"), F.col("line"))]
     n = len(layout.columns)
     if layout.extra_fields == "reject":
         checks.append(("too_many_fields", "line", F.size("_parts") > n,
@@ -150,7 +176,8 @@ def parse_report(lines: DataFrame, layout: ReportLayout, keys: list[str]):
     # counts and first offending line: one hash aggregate; the offending text
     # is then fetched by joining the lines on (file, first line)
     per_file = offences(body, keys, [(rule, bad) for rule, _, bad, _ in checks],
-                        [F.count(F.lit(1)).alias("data_rows"), F.sum(unparsed).alias("unparsed_cells")],
+                        [F.count(F.lit(1)).alias("data_rows"), F.sum(unparsed).alias("unparsed_cells"),
+                         F.max(opens(F.col("line"), layout.sep)).alias("_spans")],
                         line_col="line_no")
     decided = cut_lineage(decide(per_file, [(rule, col) for rule, col, _, _ in checks]))
     vals = offending_values(body, decided, keys, {rule: value for rule, _, _, value in checks},
@@ -165,7 +192,7 @@ def parse_report(lines: DataFrame, layout: ReportLayout, keys: list[str]):
         F.col("unparsed_cells").cast("bigint").alias("unparsed_cells")))
     ok = verdicts.where(F.col("status") == "OK").select(*keys)
     rows = body.join(ok, keys, "left_semi").select(*keys, "line_no", *typed)
-    return rows, verdicts
+    return rows, verdicts, decided.where("_spans").select(*keys)
 
 
 # --- Fixed values: the three typed report layouts (names and column order) ---

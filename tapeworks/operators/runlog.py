@@ -26,6 +26,12 @@ def valid_status(c: Column) -> Column:
     return c.isin(*STAGE_STATUSES)
 
 
+def checked(c: Column) -> Column:
+    """The status itself; a value outside the vocabulary fails the job instead of entering the log."""
+    return F.when(valid_status(c), c).otherwise(
+        F.raise_error(F.concat(F.lit("not a stage status: "), F.coalesce(c.cast("string"), F.lit("null")))))
+
+
 def report_status(upload_status: Column) -> Column:
     """Upload outcome -> report outcome; anything unmapped is FAILED."""
     m = F.create_map(*[F.lit(x) for kv in UPLOAD_TO_REPORT.items() for x in kv])

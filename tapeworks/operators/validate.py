@@ -131,11 +131,16 @@ def offending_values(x: DataFrame, decided: DataFrame, keys: list[str],
     return hit.select(*keys, value.alias("_value"))
 
 
-def file_verdicts(lines: DataFrame, files: DataFrame | None = None) -> DataFrame:
+def file_verdicts(lines: DataFrame, files: DataFrame | None = None,
+                  line_counts: DataFrame | None = None) -> DataFrame:
     """One row per file: status OK/REJECTED and the deciding rule.
 
     ``files`` (``feed, file_date``) lists files that may have produced no
     line at all (an empty file has no header either, so it is rejected).
+    ``line_counts`` (``feed, file_date, n_lines``) says how many physical
+    lines a file has by a count that did not go through the line reader; a
+    file of which more or fewer were read fails by ``line_count``, before all
+    other rules, since its line numbers mean nothing (VAL-3).
     """
     x = with_dst_flag(with_fields(lines))
     data, header = is_data(), is_header()
@@ -160,7 +165,13 @@ def file_verdicts(lines: DataFrame, files: DataFrame | None = None) -> DataFrame
                 .withColumn("l_header", F.when(missing, F.lit(1)).otherwise(F.col("l_header")))
                 .withColumn("n_zero_rows", F.when(F.col("data_lines") == 0, 1).otherwise(0))
                 .withColumn("l_zero_rows", F.lit(None).cast("int")))
-    decided = cut_lineage(decide(per_file, list(C.RULES)))
+    rules = list(C.RULES)
+    if line_counts is not None:
+        rules.insert(0, ("line_count", "line"))
+        read = F.col("_header_rows") + F.col("data_lines") + F.col("blank_lines")
+        per_file = per_file.join(line_counts.select(*FILE_KEYS, "n_lines"), FILE_KEYS, "left").withColumns({
+            "n_line_count": F.abs(F.coalesce("n_lines", read) - read), "l_line_count": F.lit(None).cast("int")})
+    decided = cut_lineage(decide(per_file, rules))
     vals = offending_values(x, decided, FILE_KEYS, values)
     out = decided.join(vals, FILE_KEYS, "left")
     first_value = F.when(missing & (F.col("_v.rule") == "header"), F.lit("")).otherwise(F.col("_value"))
@@ -184,6 +195,7 @@ def file_verdicts(lines: DataFrame, files: DataFrame | None = None) -> DataFrame
 def violation_message(v: Column) -> Column:
     return (F.when(v["rule"].isNull(), F.lit(None))
             .when(v["rule"] == "zero_rows", F.lit("zero rows"))
+            .when(v["rule"] == "line_count", F.format_string("lines read and lines of the file differ by %d", v["n"]))
             .when(v["rule"] == "header", F.format_string("unexpected header: %s", v["value"]))
             .when(v["rule"] == "field_count", F.format_string(
                 "%d line(s) do not have %d fields; first at line %d (%s fields)",

@@ -18,9 +18,12 @@ from pyspark.sql import functions as F
 
 from .. import contract as C
 from ..functions.keys import archive_name_date, basename, ticks_name_date
-from ..operators import reconcile
+from ..operators import convert, reconcile
 from ..session import cut_lineage
+from ..sources import footer_index
 from ..sources.inventory import list_files, read_footers
+from .lake import current, generation_of
+from .publish import archive_targets, publish, ticks_targets
 from .ticks import (empty_batch, existing_provenance, process_archive_frame, rebuild_report, run_log,
                     write_ticks)
 
@@ -78,12 +81,16 @@ def execute_rebuild(spark: SparkSession, archive_root: str, lake: str, plan: Dat
 
 
 def run_dates(spark: SparkSession, archive_root: str, lake: str, requested: DataFrame,
-              build_id: str | None = None, overwrite: bool = False) -> DataFrame:
+              build_id: str | None = None, overwrite: bool = False,
+              archive_store: str | None = None, ticks_store: str | None = None) -> DataFrame:
     """A daily run over ``requested`` (feed, file_date): the run log, one row per date.
 
     Stage 0 skips dates that have both the archive and published ticks
     (unless ``overwrite``); dates without an archive are UNAVAILABLE; the rest
-    is read, validated, converted and written in one job each.
+    is read, validated, converted and written in one job each.  With
+    ``archive_store`` or ``ticks_store`` the archives and the ticks are also
+    copied there: a stage of its own, tried again per file, whose failure
+    marks the date and stops no other stage.
     """
     started = dt.datetime.now()
     inv = cut_lineage(archive_inventory(spark, archive_root))
@@ -98,18 +105,25 @@ def run_dates(spark: SparkSession, archive_root: str, lake: str, requested: Data
     missing = cut_lineage(todo.join(archived, ["feed", "file_date"], "left_anti"))
     chosen = inv.join(todo, ["feed", "file_date"], "left_semi")
     paths = [r.path for r in chosen.select("path").collect()]  # one per date to do; Spark's reader lists them on the driver too
+    archives = ticks = None
     if paths:
+        if archive_store:
+            archives = publish(archive_targets(chosen, archive_store))
         batch = process_archive_frame(spark.read.format("binaryFile").load(paths), build_id=build_id)
         refused = write_ticks(batch, lake)
+        if ticks_store:
+            done = batch.verdicts.where("status = 'OK'").join(refused, ["feed", "file_date"], "left_anti")
+            ticks = publish(ticks_targets(published_files(spark, lake).join(
+                done.select("feed", "file_date"), ["feed", "file_date"], "left_semi"), ticks_store))
     else:
         batch, refused = empty_batch(spark), None
-    return run_log(batch, started, dt.datetime.now(), refused, missing, skipped)
+    return run_log(batch, started, dt.datetime.now(), refused, missing, skipped, archives, ticks)
 
 
 # --- Verification of what is published ---
 
 def ticks_files(spark: SparkSession, ticks_root: str) -> DataFrame:
-    """``(path, feed, file_date)`` of every ticks file, in either layout.
+    """``(path, feed, file_date, length, modification_time)`` of every ticks file, in either layout.
 
     Our own sink writes ``feed=F/year=Y/file_date=D/part-*.parquet``; the flat
     layout has ``{feed}/ticks/year=Y/YYYY-MM-DD.parquet`` with the feed in
@@ -122,20 +136,56 @@ def ticks_files(spark: SparkSession, ticks_root: str) -> DataFrame:
     day = F.coalesce(F.when(own != "", own_day.try_cast("date")), ticks_name_date(F.col("name")))
     feed = F.when(own != "", own).when(flat != "", flat)
     keep = F.when(day.isNotNull() & feed.isNotNull(), F.array(F.struct(
-        F.col("path"), feed.alias("feed"), day.alias("file_date"))))
+        F.col("path"), feed.alias("feed"), day.alias("file_date"), F.col("length"), F.col("modification_time"))))
     return inv.select(F.inline(keep))
 
 
-def lake_facts(spark: SparkSession, lake: str) -> DataFrame:
+def published_files(spark: SparkSession, lake: str) -> DataFrame:
+    """The ticks files that count: the committed generation's, and any that no commit of ours wrote."""
+    files = ticks_files(spark, f"{lake}/ticks").withColumn("_g", generation_of(basename(F.col("path"))))
+    live = current(spark, lake)
+    if live is None:
+        return files.where("_g IS NULL").drop("_g")
+    live = live.select("feed", "file_date", "generation")
+    return files.join(live, ["feed", "file_date"], "left").where(
+        F.col("_g").isNull() | (F.col("_g") == F.col("generation"))).drop("_g", "generation")
+
+
+def written_schema(spark: SparkSession) -> str:
+    """Names, types and nullability of a ticks file as our own sink writes it."""
+    lines = spark.createDataFrame([], "feed string, file_date date, source_row int, line string")
+    ticks = convert.typed_ticks(lines).select(*C.CONTRACT_COLUMNS)
+    arrow = {"int": "int32", "bigint": "int64", "smallint": "int16", "timestamp": "timestamp[ms, tz=UTC]"}
+    return ", ".join(f"{f.name} {arrow.get(f.dataType.simpleString(), f.dataType.simpleString())}"
+                     f"{'' if f.nullable else ' not null'}" for f in ticks.schema)
+
+
+def lake_footers(spark: SparkSession, lake: str, index: str | None = None) -> DataFrame:
+    """Footer facts of the published files with ``(feed, file_date)`` and ``conforms``.
+
+    A file conforms when the names, order, types and nullability of its
+    columns are those our sink writes.  Footers are read in tasks, and only of
+    files that the index (``{lake}/_footers``) does not have as they are now.
+    """
+    files = cut_lineage(published_files(spark, lake))
+    footers = footer_index.refresh(files, index or f"{lake}/_footers")
+    conforms = F.coalesce(F.col("fields") == written_schema(spark), F.lit(False))
+    return files.select("path", "feed", "file_date").join(footers, "path").withColumn("conforms", conforms)
+
+
+def schema_groups(spark: SparkSession, lake: str, index: str | None = None) -> DataFrame:
+    """``(fields, conforms, n_files, first_path)``: the schemas that stand in the lake, one row each."""
+    return lake_footers(spark, lake, index).groupBy("fields", "conforms").agg(
+        F.count(F.lit(1)).alias("n_files"), F.min("path").alias("first_path"))
+
+
+def lake_facts(spark: SparkSession, lake: str, index: str | None = None) -> DataFrame:
     """Per published date what ``reconcile.verify`` checks: provenance, schema, counts.
 
-    A date's schema conforms when all its files hold the contract columns in
-    order; footers are read in tasks, file bodies are not.
+    A date's schema conforms when that of all its files does (see
+    :func:`lake_footers`); file bodies are not read.
     """
-    files = cut_lineage(ticks_files(spark, f"{lake}/ticks"))
-    good = F.col("names") == F.lit(",".join(C.CONTRACT_COLUMNS))
-    schema = files.join(read_footers(files, ""), "path").groupBy("feed", "file_date").agg(
-        F.every(F.coalesce(good, F.lit(False))).alias("schema_matches"))
+    schema = lake_footers(spark, lake, index).groupBy("feed", "file_date").agg(F.every("conforms").alias("schema_matches"))
     prov = existing_provenance(spark, lake)
     if prov is None:
         return schema.select("feed", "file_date", F.lit(False).alias("has_provenance"),

@@ -28,6 +28,7 @@ from ..sources.text import scan_lines
 from . import oracle_ops as OO
 from . import oracle_reports as OR
 from . import oracle_ticks as OT
+from . import registered_files
 from .reports import archive_raw_lines, availability, parse_layout, read_raw_lines, read_report_by_dates
 from .ticks import missing_ticks, process_lines, read_ticks, rebuild_report, run_log, write_ticks
 
@@ -394,7 +395,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "report_fanout": q_report_fanout,
 }
 
-ORACLE_SQL: dict[str, str] = {
+QUERIES |= registered_files.QUERIES
+
+ORACLE_SQL: dict[str, str] = registered_files.ORACLE_SQL | {
     "tick_verdicts": OT.TICK_VERDICTS,
     "ticks_typed": OT.TICKS_TYPED,
     "tick_provenance": OT.TICK_PROVENANCE,

@@ -113,6 +113,14 @@ def read_report_by_dates(spark: SparkSession, lines: DataFrame, api_name: str, d
     return rows, missing, verdicts
 
 
+def report_support(names: DataFrame) -> DataFrame:
+    """Adds ``support`` to rows with ``report_name``: ``parsed`` (has a layout), ``unparsed`` (landed as raw
+    lines only) or ``unknown`` - what :func:`read_report_by_dates` reads, or refuses by which error (SRC-8)."""
+    name = F.col("report_name")
+    return names.withColumn("support", F.when(name.isin(*LAYOUTS.names()), "parsed")
+                            .when(name.isin(*[row[0] for row in CATALOG]), "unparsed").otherwise("unknown"))
+
+
 def catalog_fanout(spark: SparkSession, dates: DataFrame) -> DataFrame:
     """Dates x enabled reports (the daily work list).
 

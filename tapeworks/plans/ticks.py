@@ -19,7 +19,7 @@ from .. import contract as C
 from ..functions.calendar import date_filter, dates_frame
 from ..operators import convert, provenance, validate
 from ..session import cut_lineage
-from ..sources.inventory import path_missing
+from . import lake
 
 
 # Lines per output file inside one (feed, date) partition directory.
@@ -32,7 +32,8 @@ class TickBatch:
 
     ``facts`` (counts per file) is one pass over the typed ticks, done when it
     is first asked for and materialised: provenance, reports and the run log
-    share it.
+    share it.  :func:`write_ticks` sets it from the files it wrote, without
+    that pass.
     """
 
     verdicts: DataFrame
@@ -94,32 +95,28 @@ def rebuild_report(verdicts: DataFrame, ticks: DataFrame, facts: DataFrame | Non
 # --- Sinks ---
 
 def write_ticks(batch: TickBatch, root: str, skip_existing: bool = False) -> DataFrame:
-    """Write published ticks and their provenance under ``root``.
+    """Publish ticks and their provenance under ``root``, in one commit (see :mod:`.lake`).
 
     Layout: ``ticks/feed=/year=/file_date=`` (``file_date`` copies
     ``reference_date``, which stays inside the files; a day of more than
     :data:`ROWS_PER_FILE` lines is written as several files) and
-    ``provenance/feed=/year=/file_date=``.  Overwrite is dynamic and both
-    tables are partitioned down to the date: only the (feed, date) partitions
+    ``provenance/feed=/year=/file_date=``.  Only the (feed, date) partitions
     of this batch are replaced, every other date stays, and a date rejected
     now keeps its previous output.  ``skip_existing`` leaves already
-    published dates untouched (anti join against the existing provenance).
+    published dates untouched.  A failure at any step leaves what was
+    published before, whole.
 
-    A file whose typed rows are not as many as its data lines, or none, is
-    not published; returns those files with the problem (VAL-8).
+    The source is read once: the counts of provenance, run log and session
+    summary come from the files as written.  A file whose typed rows are not
+    as many as its data lines, or none, is not published; returns those files
+    with the problem (VAL-8).
     """
     spark = batch.ticks.sparkSession
-    ticks, prov = batch.ticks, cut_lineage(batch.provenance)
-    refused = cut_lineage(provenance.output_check(prov))
-    if not refused.isEmpty():
-        ticks = ticks.join(refused, validate.FILE_KEYS, "left_anti")
-        prov = prov.join(refused, validate.FILE_KEYS, "left_anti")
-    if skip_existing:
-        existing = existing_provenance(spark, root)
-        if existing is not None:
-            done = existing.select("feed", "file_date").distinct()
-            ticks = ticks.join(done, validate.FILE_KEYS, "left_anti")
-            prov = prov.join(done, validate.FILE_KEYS, "left_anti")
+    ticks, published = batch.ticks, lake.current(spark, root)
+    done = None
+    if skip_existing and published is not None:
+        done = cut_lineage(published.select(*validate.FILE_KEYS))
+        ticks = ticks.join(done, validate.FILE_KEYS, "left_anti")
     # A hot day must not land in one writer task: each (feed, date) is cut
     # into chunks of consecutive lines, written as separate files of the same
     # partition directory, each in TXT order (source_row recovers the whole).
@@ -128,23 +125,32 @@ def write_ticks(batch: TickBatch, root: str, skip_existing: bool = False) -> Dat
                 .repartition("feed", "file_date", chunk)
                 .sortWithinPartitions("feed", "file_date", "source_row")
                 .select("feed", "year", "file_date", *C.CONTRACT_COLUMNS))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("feed", "year", "file_date").parquet(f"{root}/ticks"))
-    (prov.withColumn("year", F.year("file_date"))
-         .repartition("feed", "file_date")
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("feed", "year", "file_date").parquet(f"{root}/provenance"))
+    made = lake.Generation(spark, root)
+    facts, sessions = made.measure(made.stage(out, "ticks"))
+    if done is None:  # else the batch holds more files than were written
+        batch.facts = facts
+    prov = (batch.provenance if "provenance" in batch.__dict__ or done is None else provenance.provenance_rows(
+        facts, batch.verdicts, batch.sources, batch.collector_version, batch.build_id))
+    if done is not None:
+        prov = prov.join(done, validate.FILE_KEYS, "left_anti")
+    prov = cut_lineage(prov)
+    refused = cut_lineage(provenance.output_check(prov))
+    prov = prov.join(refused, validate.FILE_KEYS, "left_anti")
+    made.stage(prov.withColumn("year", F.year("file_date")).repartition("feed", "file_date"), "provenance")
+    kept = facts.join(prov, validate.FILE_KEYS, "left_semi")
+    dates = kept.select(*validate.FILE_KEYS).collect()  # a row per date of the batch
+    if dates:
+        made.move("ticks", {lake.date_folder(r.feed, r.file_date) for r in refused.collect()})
+        made.move("provenance", set())
+        before = made.superseded(kept.select(*validate.FILE_KEYS))
+        made.commit(kept, sessions)
+        made.clean(dates, before)
     return refused
 
 
 def existing_provenance(spark: SparkSession, root: str) -> DataFrame | None:
     """The published provenance; None if nothing is published yet.  Other failures are raised."""
-    try:
-        return spark.read.schema(PROVENANCE_SCHEMA).parquet(f"{root}/provenance")
-    except Exception as exc:  # noqa: BLE001
-        if path_missing(exc):
-            return None
-        raise
+    return lake.published_provenance(spark, root, PROVENANCE_SCHEMA)
 
 
 PROVENANCE_SCHEMA = ("trade_date string, source_zip_name string, source_zip_sha256 string, "
@@ -158,13 +164,18 @@ def read_ticks(spark: SparkSession, root: str, feed: str, dates) -> DataFrame:
     """Ticks of ``feed`` for calendar *file* dates (not sessions), contract order.
 
     ``dates`` follows the date contract: a date or ISO text, a list, or a
-    (start, end) tuple of business days, ends included.  The filter lands on
-    partition columns, so only those directories are read.  Dates without
-    ticks are simply absent; :func:`missing_ticks` names them.
+    (start, end) tuple of business days, ends included.  The last commits say
+    which files hold those dates (a row per date asked for reaches the
+    driver, as a path does for Spark's own listing); no others are opened.
+    Dates without ticks are simply absent; :func:`missing_ticks` names them.
     """
-    df = spark.read.option("basePath", f"{root}/ticks").parquet(f"{root}/ticks")
-    df = df.where((F.col("feed") == feed) & date_filter(F.col("file_date"), dates))
-    return df.select(*C.CONTRACT_COLUMNS)
+    published = lake.current(spark, root)
+    asked = [] if published is None else published.where(
+        (F.col("feed") == feed) & date_filter(F.col("file_date"), dates)).select("feed", "file_date", "generation").collect()
+    if not asked:
+        return spark.createDataFrame([], C.CONTRACT_SCHEMA)
+    df = spark.read.schema(lake.TICKS_SCHEMA).option("basePath", f"{root}/ticks").parquet(*lake.tick_paths(root, asked))
+    return df.where((F.col("feed") == feed) & date_filter(F.col("file_date"), dates)).select(*C.CONTRACT_COLUMNS)
 
 
 def missing_ticks(spark: SparkSession, root: str, feed: str, dates) -> DataFrame:
@@ -219,7 +230,8 @@ def process_archive_frame(raw: DataFrame, build_id: str | None = None,
     scan = cut_lineage(archives.scan_archive_frame(raw))
     problems = cut_lineage(archives.archive_problems(scan))
     lines = archives.archive_lines(scan)
-    verdicts = validate.file_verdicts(lines, problems.select("feed", "file_date"))
+    verdicts = validate.file_verdicts(lines, problems.select("feed", "file_date"),
+                                      problems.select("feed", "file_date", "n_lines"))
     verdicts = cut_lineage(merge_archive_problems(verdicts, problems))
     ticks = convert.typed_ticks(validate.accepted_lines(lines, verdicts))
     return TickBatch(verdicts, ticks, problems, collector_version, build_id)
@@ -227,10 +239,10 @@ def process_archive_frame(raw: DataFrame, build_id: str | None = None,
 
 def process_text(spark: SparkSession, paths, build_id: str | None = None) -> TickBatch:
     """Validate and convert unzipped tick TXT files (splittable, numbered in parallel)."""
-    from ..sources.text import tick_files, tick_lines_from_text
+    from ..sources.text import tick_files, tick_line_counts, tick_lines_from_text
     lines = tick_lines_from_text(spark, paths).drop("path")
     files = cut_lineage(tick_files(spark, paths))
-    verdicts = validate.file_verdicts(lines, files)
+    verdicts = validate.file_verdicts(lines, files, tick_line_counts(spark, paths))
     verdicts = cut_lineage(merge_archive_problems(verdicts, files))
     ticks = convert.typed_ticks(validate.accepted_lines(lines, verdicts))
     return TickBatch(verdicts, ticks, files, build_id=build_id)
@@ -252,12 +264,17 @@ def write_rebuild_report(report: DataFrame, path: str) -> None:
 
 
 def run_log(batch: TickBatch, started=None, finished=None, refused: DataFrame | None = None,
-            missing: DataFrame | None = None, skipped: DataFrame | None = None) -> DataFrame:
+            missing: DataFrame | None = None, skipped: DataFrame | None = None,
+            archives_published: DataFrame | None = None, ticks_published: DataFrame | None = None) -> DataFrame:
     """Date-level run rows (RUN-2): stage statuses, tick count, error and times.
 
     * a file that was read: ``download`` SUCCESS, ``extract`` by its verdict,
       ``partition`` SUCCESS unless the sink refused it (``refused``, as
-      :func:`write_ticks` returns it), upload stages as the write went;
+      :func:`write_ticks` returns it);
+    * upload stages: the outcome of :func:`.publish.publish` over the archives
+      and over the ticks, if there was one, else as the write went.  A failed
+      upload of the archive stops nothing; its error comes first, then that of
+      a later stage, then that of the ticks;
     * ``missing`` (feed, file_date): no archive - ``download`` UNAVAILABLE;
     * ``skipped`` (feed, file_date): both artifacts were there - all stages SKIPPED.
 
@@ -270,29 +287,38 @@ def run_log(batch: TickBatch, started=None, finished=None, refused: DataFrame |
         v = v.withColumn("problem", F.lit(None).cast("string"))
     else:
         v = v.join(refused.select(*validate.FILE_KEYS, "problem"), validate.FILE_KEYS, "left")
+    for name, outcome in (("_zip", archives_published), ("_out", ticks_published)):
+        if outcome is None:
+            v = v.withColumns({name: F.lit(None).cast("string"), f"{name}_error": F.lit(None).cast("string")})
+        else:
+            v = v.join(outcome.select(*validate.FILE_KEYS, F.col("status").alias(name), F.col("error").alias(f"{name}_error")),
+                       validate.FILE_KEYS, "left")
     ok = F.col("status") == "OK"
     written = ok & F.col("problem").isNull()
     now = F.current_timestamp().cast("timestamp_ntz")
     t0 = now if started is None else F.lit(started).cast("timestamp_ntz")
     t1 = t0 if finished is None else F.lit(finished).cast("timestamp_ntz")
 
-    def row(df: DataFrame, download, extract, partition, upload, ticks, error) -> DataFrame:
+    def row(df: DataFrame, download, extract, partition, archive_upload, ticks_upload, ticks, error) -> DataFrame:
+        stages = dict(zip(runlog.STAGES, (download, extract, partition, archive_upload, ticks_upload), strict=True))
         return df.select(
-            "feed", F.col("file_date").alias("trade_date"), download.alias("download"),
-            extract.alias("extract"), partition.alias("partition"), upload.alias("s3_upload"),
-            upload.alias("ticks_s3_upload"), ticks.cast("bigint").alias("tick_count"),
-            error.alias("error"), t0.alias("started"), t1.alias("finished"))
+            "feed", F.col("file_date").alias("trade_date"), *[runlog.checked(c).alias(n) for n, c in stages.items()],
+            ticks.cast("bigint").alias("tick_count"), error.alias("error"), t0.alias("started"), t1.alias("finished"))
 
     success, failed, skip, none = (F.lit(x) for x in (runlog.SUCCESS, runlog.FAILED, runlog.SKIPPED, None))
     out = row(v, success, F.when(ok, success).otherwise(failed),
               F.when(written, success).when(ok, failed).otherwise(skip),
-              F.when(written, success).otherwise(skip),
+              F.coalesce(F.col("_zip"), skip) if archives_published is not None else F.when(written, success).otherwise(skip),
+              F.when(written, F.coalesce(F.col("_out"), skip if ticks_published is not None else success)).otherwise(skip),
               F.when(written, F.coalesce(F.col("row_count"), F.lit(0))),
-              runlog.accumulate_errors(F.when(~ok, F.concat(F.lit("extract: "), F.col("message"))),
-                                       F.when(ok & ~written, F.concat(F.lit("partition: "), F.col("problem")))))
+              runlog.accumulate_errors(F.when(F.col("_zip") == runlog.FAILED, F.concat(F.lit("archive upload: "), F.col("_zip_error"))),
+                                       F.when(~ok, F.concat(F.lit("extract: "), F.col("message"))),
+                                       F.when(ok & ~written, F.concat(F.lit("partition: "), F.col("problem"))),
+                                       F.when(written & (F.col("_out") == runlog.FAILED),
+                                              F.concat(F.lit("ticks upload: "), F.col("_out_error")))))
     if missing is not None:
-        out = out.unionByName(row(missing, F.lit(runlog.UNAVAILABLE), skip, skip, skip, none,
+        out = out.unionByName(row(missing, F.lit(runlog.UNAVAILABLE), skip, skip, skip, skip, none,
                                   F.lit("download: no archive for the date")))
     if skipped is not None:
-        out = out.unionByName(row(skipped, skip, skip, skip, skip, none, none.cast("string")))
+        out = out.unionByName(row(skipped, skip, skip, skip, skip, skip, none, none.cast("string")))
     return out

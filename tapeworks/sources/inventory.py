@@ -40,10 +40,10 @@ def list_files(spark: SparkSession, location: str, glob: str = "*") -> DataFrame
 # --- Footer reader (runs in tasks) ---
 
 FOOTER_SCHEMA = ("path string, readable boolean, provenance string, "
-                 "schema_matches boolean, names string, error string")
+                 "schema_matches boolean, names string, fields string, error string")
 _FOOTER_OUT = pa.schema([("path", pa.string()), ("readable", pa.bool_()),
                          ("provenance", pa.string()), ("schema_matches", pa.bool_()),
-                         ("names", pa.string()), ("error", pa.string())])
+                         ("names", pa.string()), ("fields", pa.string()), ("error", pa.string())])
 
 
 def _contract_arrow_schema() -> pa.Schema:
@@ -57,6 +57,11 @@ def _contract_arrow_schema() -> pa.Schema:
     return pa.schema([pa.field(n, types[n], nullable) for n, _, nullable in C.CONTRACT_FIELDS])
 
 
+def schema_text(schema: pa.Schema) -> str:
+    """Names, types and nullability of a schema in order, as one text that equal schemas share."""
+    return ", ".join(f"{f.name} {f.type}{'' if f.nullable else ' not null'}" for f in schema)
+
+
 def _footer_reader(footer_key: str):
     key = footer_key.encode()
 
@@ -78,13 +83,22 @@ def arrow_file(uri: str):
     return pafs.FileSystem.from_uri(uri)
 
 
+def arrow_reads(uri: str) -> bool:
+    """True if Arrow has a file system for the URI's store."""
+    try:
+        arrow_file(uri)
+    except Exception:  # noqa: BLE001 - a scheme or a library it does not have
+        return False
+    return True
+
+
 def _read_footers(batches, key: bytes):
     import pyarrow.parquet as pq
     contract = _contract_arrow_schema()
     for batch in batches:
         out = {k: [] for k in _FOOTER_OUT.names}
         for path in batch.column("path").to_pylist():
-            readable, prov, matches, names, error = False, None, None, None, None
+            readable, prov, matches, names, fields, error = False, None, None, None, None, None
             try:
                 fs, inner = arrow_file(path)
                 schema = pq.read_schema(inner, filesystem=fs)
@@ -94,6 +108,7 @@ def _read_footers(batches, key: bytes):
                 prov = raw.decode("utf-8") if raw is not None else None
                 matches = schema.remove_metadata().equals(contract)
                 names = ",".join(schema.names)
+                fields = schema_text(schema)
             except Exception as exc:  # noqa: BLE001 - reported per file
                 error = f"{type(exc).__name__}: {exc}"
             out["path"].append(path)
@@ -101,6 +116,7 @@ def _read_footers(batches, key: bytes):
             out["provenance"].append(prov)
             out["schema_matches"].append(matches)
             out["names"].append(names)
+            out["fields"].append(fields)
             out["error"].append(error)
         yield pa.RecordBatch.from_pydict(out, schema=_FOOTER_OUT)
 

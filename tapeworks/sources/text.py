@@ -40,6 +40,24 @@ def scan_lines(spark: SparkSession, paths, encoding: str = C.TEXT_ENCODING,
     return numbered.select("path", "line_no", "line")
 
 
+def physical_line_counts(spark: SparkSession, paths, sep: str = C.FIELD_SEPARATOR) -> DataFrame:
+    """``(path, n_lines)`` by another reading than :func:`scan_lines`: newlines between field separators.
+
+    The files are cut at ``sep`` instead of at line ends, so this shares
+    neither the record reader's line logic nor the numbering; it is split
+    over tasks all the same.  A last line that no newline ends counts too.
+    """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    raw = spark.read.option("lineSep", sep).text(paths).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_pos"), "value")
+    newlines = F.octet_length("value") - F.octet_length(F.replace(F.col("value"), F.lit("\n"), F.lit("")))
+    per = raw.groupBy("path", "_block").agg(
+        F.sum(newlines).alias("n"), F.max_by(F.endswith(F.col("value"), F.lit("\n")), F.col("_pos")).alias("ended"))
+    ended = F.max_by("ended", "_block")
+    return per.groupBy("path").agg((F.sum("n") + F.when(ended, 0).otherwise(1)).cast("bigint").alias("n_lines"))
+
+
 # --- Fixed values: TXT names inside the archives (feed suffix after the date) ---
 TXT_NAME_PATTERN = r"([0-9]{2})-([0-9]{2})-([0-9]{4})_NEGOCIOSAVISTA_(RV|DRV)[^/]*\.txt$"
 
@@ -74,6 +92,14 @@ def tick_files(spark: SparkSession, paths) -> DataFrame:
         F.when(F.col("n") > 1, "txt_ambiguous").alias("rule"))
 
 
+def tick_line_counts(spark: SparkSession, paths) -> DataFrame:
+    """``(feed, file_date, n_lines)`` of the tick files, counted apart from their lines."""
+    feed, file_date = _tick_name(F.col("path"))
+    counts = physical_line_counts(spark, paths).select(feed.alias("feed"), file_date.alias("file_date"), "n_lines")
+    return counts.where(F.col("feed").isNotNull() & F.col("file_date").isNotNull()).groupBy("feed", "file_date").agg(
+        F.sum("n_lines").alias("n_lines"))
+
+
 def tick_lines_from_text(spark: SparkSession, paths) -> DataFrame:
     """Tick lines ``(feed, file_date, source_row, line, path)`` from unzipped TXT files.
 
