@@ -1,16 +1,19 @@
 """Approximate nearest neighbours by inner product: NN-descent and greedy graph search.
 
 Equal vectors form one class, so a vector that occurs any number of times is
-one node of the graph.  Vectors of unequal length get one more component that
-makes all lengths equal (the root of what the longest has beyond it), which
-turns the largest inner product into the nearest neighbour.
+one node of the graph.  A node's neighbours are the nodes of the largest inner
+product with it, whatever the lengths, so a query's own links already are
+candidates of its answer.
 
 The graph starts from blocks: several times the nodes are ordered by the signs
 of random projections, cut into blocks of ``LEAF`` and compared within a block.
-NN-descent then joins, for every node, the nodes it neighbours or is
-neighboured by (a Spark join that brings their vectors to the centre);
-pairs with a new link are compared, and only those that beat a node's worst
-neighbour are sent to it and merged.  Rounds end when few links change.
+NN-descent then joins, for every node, the nodes it neighbours and a sample of
+those it is neighboured by (a Spark join that brings their vectors to the
+centre); pairs with a new link are compared, and only those that beat a node's
+worst neighbour are sent to it and merged.  The sample is what NN-descent
+prescribes: a long vector is everyone's neighbour, and comparing all of them
+there would cost the square of their number.  Rounds end when few links change
+or after ``MOST_ROUNDS``; which of both ended them is logged.
 
 A query keeps a beam of the best nodes seen.  Each round joins the beam's
 unexpanded nodes with the graph, scores their neighbours and merges them, until
@@ -31,6 +34,8 @@ table gives an empty result.
 
 from __future__ import annotations
 
+import logging
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -38,6 +43,8 @@ from pyspark.sql import functions as F
 
 from .common import WorkTables
 
+log = logging.getLogger(__name__)
+
 LINKS = 32  # neighbours a node keeps
 PASSES = 16
 PASS_KEEPS = 20
@@ -48,6 +55,7 @@ MOST_ROUNDS = 8
 SAMPLE = 2000
 ENTRIES = 16  # longest vectors, and as many others, where every search starts besides the query's own node
 TASK_NODES = 2048
+REVERSE = 32  # nodes that point at a centre and are compared there, fresh links first
 SHORTEST = np.float32(-3e38)
 
 LINKS_DDL = "u long, v long, s float"
@@ -88,7 +96,7 @@ def packed(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def pack(nodes: DataFrame, width: int, longest: float) -> DataFrame:
-    """(node, b, scale, more): working vectors of ``width`` components."""
+    """(node, b, scale, more): working vectors of ``width`` components; ``more``: what the length lacks to the longest."""
     def run(batches):
         for batch in batches:
             x = dense(batch.column(1))
@@ -103,14 +111,13 @@ def pack(nodes: DataFrame, width: int, longest: float) -> DataFrame:
 
 
 def unpacked(table: pa.Table | pa.RecordBatch, width: int) -> np.ndarray:
-    """The vectors of b, scale and more: the last component makes lengths equal."""
+    """The vectors of b and scale."""
     if not table.num_rows:
-        return np.zeros((0, width + 1), np.float32)
+        return np.zeros((0, width), np.float32)
     raw = table.column("b")
     raw = raw.combine_chunks() if isinstance(raw, pa.ChunkedArray) else raw
     b = np.frombuffer(b"".join(raw.to_pylist()), np.int8).reshape(-1, width).astype(np.float32)
-    scale, more = (table.column(c).to_numpy().astype(np.float32) for c in ("scale", "more"))
-    return np.concatenate([b * scale[:, None], more[:, None]], 1)
+    return b * table.column("scale").to_numpy().astype(np.float32)[:, None]
 
 
 def whole(batches) -> pa.Table | None:
@@ -142,8 +149,11 @@ def first_of(key: np.ndarray) -> np.ndarray:
     return np.arange(len(key)) - np.searchsorted(key, key)
 
 
-def merged(rows: DataFrame, keeps: int, tasks: int, all_fresh: bool = False) -> DataFrame:
-    """Per u the ``keeps`` nearest of all its lists; links that no old list held are fresh."""
+def merged(rows: DataFrame, keeps: int, tasks: int, all_fresh: bool = False, own: bool = False) -> DataFrame:
+    """Per u the ``keeps`` nearest of all its lists; links that no old list held are fresh.
+
+    A node is no neighbour of its own; ``own``: u is a query, which may be among its candidates.
+    """
     def run(batches):
         t = whole(batches)
         if t is None or not t.num_rows:
@@ -154,7 +164,7 @@ def merged(rows: DataFrame, keeps: int, tasks: int, all_fresh: bool = False) ->
         v, s = (t.column(c).combine_chunks().flatten().to_numpy() for c in ("v", "s"))
         o = np.lexsort((~old, v, u))
         u, v, s, old = u[o], v[o], s[o], old[o]
-        new = np.append(True, (u[1:] != u[:-1]) | (v[1:] != v[:-1])) & (u != v)
+        new = np.append(True, (u[1:] != u[:-1]) | (v[1:] != v[:-1])) & (own | (u != v))
         u, v, s, old = u[new], v[new], s[new], old[new]
         o = np.lexsort((v, -s, u))
         o = o[first_of(u[o]) < keeps]
@@ -168,7 +178,7 @@ def start(nodes: DataFrame, sample: np.ndarray, count: int, width: int, tasks: i
           seed: int) -> DataFrame:
     """Lists of neighbours from blocks of nodes with like signs under random projections."""
     bits = max(1, int(np.ceil(np.log2(max(1, count / leaf)))) + 2)
-    planes = np.random.default_rng(seed).normal(size=(passes, width + 1, bits))
+    planes = np.random.default_rng(seed).normal(size=(passes, width, bits))
     cuts = np.stack([np.median(sample @ p, 0) for p in planes])
 
     def coded(batches):
@@ -179,8 +189,8 @@ def start(nodes: DataFrame, sample: np.ndarray, count: int, width: int, tasks: i
                 code = ((y > cuts[k]) << np.arange(bits)[::-1]).sum(1)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(x), k, np.int32)), pa.array(code.astype(np.int64)), pa.array(y[:, -1]),
-                     *[b.column(c) for c in ("node", "b", "scale", "more")]],
-                    names=["pass", "code", "y", "node", "b", "scale", "more"])
+                     *[b.column(c) for c in ("node", "b", "scale")]],
+                    names=["pass", "code", "y", "node", "b", "scale"])
 
     def near(batches):
         t = whole(batches)
@@ -201,20 +211,23 @@ def start(nodes: DataFrame, sample: np.ndarray, count: int, width: int, tasks: i
                     yield lists(np.repeat(node[o], keeps), node[top[o]].ravel(),
                                 np.take_along_axis(s, top, 1)[o].ravel(), old=False)
 
-    rows = nodes.mapInArrow(coded, "pass int, code long, y double, node long, b binary, scale double, more double")
+    rows = nodes.select("node", "b", "scale").mapInArrow(coded, "pass int, code long, y double, node long, b binary, scale double")
     order = ["pass", "code", "y", "node"]
     parts = max(1, -(-count * passes // (4 * leaf)))
     return rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(near, LISTS)
 
 
-def descend(graph: DataFrame, nodes: DataFrame, width: int, tasks: int) -> DataFrame:
+def descend(graph: DataFrame, nodes: DataFrame, width: int, tasks: int, turn: int = 0) -> DataFrame:
     """One NN-descent round: lists of better neighbours, found among the neighbours of each node."""
     worst = graph.select(F.col("u").alias("_u"), F.when(
         F.size("s") >= LINKS, F.array_min("s")).otherwise(F.lit(float(SHORTEST))).alias("worst"))
-    members = nodes.join(worst, F.col("node") == F.col("_u"), "left").drop("_u")
+    members = nodes.join(worst, F.col("node") == F.col("_u"), "left").drop("_u", "more")
     links = graph.select("u", F.explode(F.arrays_zip("v", "fresh")).alias("l")).select("u", "l.v", "l.fresh")
+    # the first few by rank: Spark limits them in each task before they meet at a centre
+    some = F.row_number().over(Window.partitionBy("v").orderBy(F.desc("fresh"), F.xxhash64("u", "v", F.lit(turn))))
+    back = links.withColumn("_r", some).where(F.col("_r") <= REVERSE)
     both = links.select(F.col("u").alias("centre"), F.col("v").alias("member"), "fresh").union(
-        links.select(F.col("v").alias("centre"), F.col("u").alias("member"), "fresh"))
+        back.select(F.col("v").alias("centre"), F.col("u").alias("member"), "fresh"))
 
     def local(batches):
         t = whole(batches)
@@ -245,7 +258,7 @@ def descend(graph: DataFrame, nodes: DataFrame, width: int, tasks: int) -> DataF
             yield links_of(u[single], v[single], s[single])
 
     near = both.join(members, both["member"] == members["node"]).select(
-        "centre", "node", "fresh", "b", "scale", "more", "worst")
+        "centre", "node", "fresh", "b", "scale", "worst")
     return as_lists(near.repartition(tasks, "centre").mapInArrow(local, LINKS_DDL))
 
 
@@ -254,16 +267,17 @@ def neighbour_graph(nodes: DataFrame, sample: np.ndarray, count: int, width: int
     """GRAPH rows of every node that has a neighbour."""
     tasks = max(1, -(-count // TASK_NODES))
     graph = tables.keep(merged(start(nodes, sample, count, width, tasks, passes, leaf, seed), LINKS, tasks, True), "graph")
-    if count <= leaf:
-        return graph  # one block: every pair has been compared
-    for _ in range(MOST_ROUNDS):
+    for turn in range(MOST_ROUNDS):
         old = graph.select("u", "v", "s", F.lit(True).alias("old"))
-        better = tables.keep(merged(old.union(descend(graph, nodes, width, tasks)), LINKS, tasks), "graph")
+        better = tables.keep(merged(old.union(descend(graph, nodes, width, tasks, turn)), LINKS, tasks), "graph")
         tables.drop(graph)
         graph = better
         fresh = graph.agg(F.sum(F.size(F.filter("fresh", lambda x: x)))).first()[0] or 0
+        log.info("descent round %d: %d of %d links changed", turn + 1, fresh, LINKS * count)
         if fresh < SETTLED * LINKS * count:
-            break
+            log.info("descent settled after %d rounds", turn + 1)
+            return graph
+    log.info("descent stopped after %d rounds, unsettled", MOST_ROUNDS)
     return graph
 
 
@@ -277,32 +291,34 @@ def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, width: int, t
     def scored(batches):
         for t in batches:
             if t.num_rows:
-                x = unpacked(t, width)[:, :-1]
+                x = unpacked(t, width)
                 q = np.frombuffer(b"".join(t.column("qb").to_pylist()), np.int8).reshape(-1, width)
                 s = (x * q).sum(1) * t.column("qs").to_numpy()
                 yield links_of(t.column("q").to_numpy(), t.column("node").to_numpy(), s)
 
     def step(pairs: DataFrame) -> DataFrame:
         return as_lists(pairs.join(nodes, "node").join(asked, "q").select(
-            "q", "node", "b", "scale", "more", "qb", "qs").mapInArrow(scored, LINKS_DDL))
+            "q", "node", "b", "scale", "qb", "qs").mapInArrow(scored, LINKS_DDL))
 
     def keep_best(rows: DataFrame) -> DataFrame:
-        return tables.keep(merged(rows.withColumn("u", -F.col("u") - 1), beam, tasks)  # a query may be its own candidate
-                           .withColumn("u", -F.col("u") - 1), "beam")
+        return tables.keep(merged(rows, beam, tasks, own=True), "beam")
 
     first = queries.select("q", F.explode(F.array_distinct(F.array("entry", *map(F.lit, entries)))).alias("node"))
     state = keep_best(step(first))
     out = graph.select(F.col("u").alias("node"), F.col("v").alias("next"))
-    for _ in range(4 * MOST_ROUNDS):
+    for step_no in range(4 * MOST_ROUNDS):
         edge = state.select(F.col("u").alias("q"), F.explode(F.arrays_zip("v", "fresh")).alias("l")).where(
             "l.fresh").select("q", F.col("l.v").alias("node"))
         if edge.isEmpty():
+            log.info("search settled after %d rounds", step_no)
             break
         wider = edge.join(out, "node").select("q", F.explode("next").alias("node")).distinct()
         old = state.select("u", "v", "s", F.lit(True).alias("old"))
         better = keep_best(old.union(step(wider)))
         tables.drop(state)
         state = better
+    else:
+        log.info("search stopped after %d rounds, unsettled", 4 * MOST_ROUNDS)
     return state.select(F.col("u").alias("q"), F.explode("v").alias("node"))
 
 

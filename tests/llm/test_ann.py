@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pytest
 
 from tapeworks.llm import ann
 
@@ -82,3 +83,23 @@ def test_few_and_no_rows(spark):
     assert list(map(tuple, ann.ann_report(df).collect())) == [(0, 1, 7, 2.0)]
     assert ann.ann_report(df.where("vec_id = 0")).collect() == []
     assert ann.ann_report(df.limit(0)).collect() == []
+
+
+def test_negative_ids(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(-700, 700)]
+    for q in (20, -20, 0):  # the best match of a query is the row that negating its id and one less gives
+        rows[700 - q - 1] = (-q - 1, [5 * x for x in dict(rows)[q]])
+    want = exact(rows, 20, 20)
+    got = found(ann.nearest(frame(spark, rows), 20, 20, passes=4, leaf=150))
+    assert all(got[q][0][0] == want[q][0][0] == -q - 1 for q in (20, -20, 0)) and recall(got, want) >= 0.9
+
+
+@pytest.mark.parametrize("n", [3000, 9000])
+def test_uneven_lengths_with_default_settings(spark, n):
+    """Normal vectors of 64 dimensions, whose lengths differ by about 9 %: hard, and more than one block."""
+    x = np.random.default_rng(n).normal(size=(n, 64))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    got = recall(found(ann.ann_report(frame(spark, rows))), exact(rows, 20, 20))
+    print(n, got)
+    assert got >= 0.9
