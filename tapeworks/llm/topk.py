@@ -14,11 +14,14 @@ smaller ids, so the result is exact.
 Queries and superblocks meet by an equality join on the superblock, both in
 bounded blocks: a task holds ``SUPER`` blocks and one block of queries.
 
-Defined results: vectors that are null, or hold a null, non-finite or (beyond
-2^20 in size, where integer scores could overflow) component take no part, nor
-do rows without an id; of rows that repeat an id the least vector counts; a
-shorter vector's missing components are zero; an empty table gives an empty
-result.
+Rows with a component of ``LIMIT`` or more in size, whose integer products could
+overflow, are scored on a path of their own: against every query, and as
+queries against every row, in blocks and in integers of any size.
+
+Defined results: vectors that are null, or hold a null or non-finite component,
+take no part, nor do rows without an id; of rows that repeat an id the least
+vector counts; a shorter vector's missing components are zero; a score that no
+long holds keeps its rank and is null; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -36,18 +39,38 @@ BLOCK = 256
 SUPER = 64
 QUERY_BLOCK = 2048
 PIVOTS = 64
+#: Components from here on take the path of any size.
 LIMIT = float(1 << 20)
+EXACT_BLOCK = 512
 
 BLOCKS = "ids binary, weights binary, most binary, least binary, n int, terms int"
 
 
-def quantised(vectors: DataFrame, id_col: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """(id, w): one row per id, integer weights."""
-    fit = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < LIMIT))
+def finite(vectors: DataFrame, id_col: str = "vec_id", vector: str = "embedding") -> DataFrame:
+    """(id, q): one row per id; q are doubles with floor(256 * q) = 256 * q, whatever their size."""
+    values = F.col(vector).cast("array<double>")
+    fit = F.forall(values, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+
+    def floored(x):  # from 2^44 on a double is a multiple of 1/256 anyway
+        return F.when(F.abs(x) < float(1 << 44), F.floor(x * SCALE).cast("double") / SCALE).otherwise(x)
+
     return (vectors.where(F.col(id_col).isNotNull() & F.col(vector).isNotNull() & fit)
-            .select(F.col(id_col).cast("long").alias("id"),
-                    F.transform(vector, lambda x: F.floor(x.cast("double") * SCALE).cast("int")).alias("w"))
-            .groupBy("id").agg(F.min("w").alias("w")))
+            .select(F.col(id_col).cast("long").alias("id"), F.transform(values, floored).alias("q"))
+            .groupBy("id").agg(F.min("q").alias("q")))
+
+
+def is_small():
+    return F.forall("q", lambda x: F.abs(x) < LIMIT)
+
+
+def weights_of(rows: DataFrame) -> DataFrame:
+    """(id, w): integer weights of rows whose components are below ``LIMIT``."""
+    return rows.where(is_small()).select("id", F.transform("q", lambda x: (x * SCALE).cast("int")).alias("w"))
+
+
+def quantised(vectors: DataFrame, id_col: str = "vec_id", vector: str = "embedding") -> DataFrame:
+    """(id, w) of the rows whose components are below ``LIMIT``: one row per id, integer weights."""
+    return weights_of(finite(vectors, id_col, vector))
 
 
 def matrix(column: pa.Array) -> np.ndarray:
@@ -229,22 +252,86 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int, block: int = BLOCK, query
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
 
 
+def exact_integers(column: pd.Series) -> np.ndarray:
+    """floor(256 * q) as Python integers, rows filled up with zeros."""
+    width = max(map(len, column), default=0)
+    out = np.zeros((len(column), width), object)
+    for i, v in enumerate(column):
+        out[i, :len(v)] = [int(x * SCALE) if abs(x) < 1e300 else int(x) * SCALE for x in map(float, v)]
+    return out
+
+
+def exact_pairs(queries: DataFrame, rows: DataFrame, k: int) -> DataFrame:
+    """(query_id, vec_id, score text): the k best of each block of ``rows`` per query; both sides: id, q."""
+    parts = max(1, -(-queries.count() // EXACT_BLOCK))
+    sides = max(1, -(-rows.count() // EXACT_BLOCK))
+
+    def spread(df: DataFrame, own: str, n: int, other: str, m: int) -> DataFrame:
+        return df.withColumn(own, F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")).withColumn(
+            other, F.explode(F.sequence(F.lit(0), F.lit(m - 1))))
+
+    def run(key, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(a) and len(b):
+            x, y = exact_integers(a["q"]), exact_integers(b["q"])
+            both = min(x.shape[1], y.shape[1])
+            ids = b["id"].tolist()
+            scores = x[:, :both] @ y[:, :both].T if both else np.zeros((len(a), len(b)), object)
+            for q, row in zip(a["id"].tolist(), scores, strict=True):
+                best = sorted((-s, i) for s, i in zip(row.tolist(), ids, strict=True) if i != q)[:k]
+                out += [(q, i, str(-s)) for s, i in best]
+        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
+
+    return (spread(queries, "part", parts, "side", sides).groupBy("part", "side")
+            .cogroup(spread(rows, "side", sides, "part", parts).groupBy("part", "side"))
+            .applyInPandas(run, "query_id long, vec_id long, score string"))
+
+
+def merged_best(pairs: DataFrame, k: int, groups: int) -> DataFrame:
+    """The k best of each query, by scores of any size; a score that no long holds is null."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for q, own in pdf.groupby("query_id"):
+            best = sorted((-int(s), i) for s, i in zip(own["score"], own["vec_id"].tolist(), strict=True))[:k]
+            out += [(q, r + 1, i, -s if -(1 << 63) <= -s < 1 << 63 else None) for r, (s, i) in enumerate(best)]
+        query, rank, vec, score = zip(*out, strict=True) if out else ((), (), (), ())
+        return pd.DataFrame({"query_id": query, "rank": rank, "vec_id": vec, "score": pd.array(score, "Int64")})  # never floats
+
+    return (pairs.withColumn("_g", F.pmod(F.xxhash64("query_id"), F.lit(groups))).groupBy("_g")
+            .applyInPandas(run, "query_id long, rank int, vec_id long, score long"))
+
+
+def nearest(vectors: DataFrame, k: int, every: int, id_col: str = "vec_id", vector: str = "embedding") -> DataFrame:
+    """(query_id, rank, vec_id, score) of the ids divisible by ``every`` against all other rows."""
+    tables = WorkTables(vectors.sparkSession, "topk-rows")
+    rows = tables.keep(finite(vectors, id_col, vector), "rows")
+    small, asked = weights_of(rows), F.col("id") % every == 0
+    found = top_k(small, small.where(asked), k)
+    large = tables.keep(rows.where(~is_small()), "large")
+    if large.isEmpty():
+        return found
+    queries = rows.where(asked)
+    pairs = (found.select("query_id", "vec_id", F.col("score").cast("string").alias("score"))
+             .unionByName(exact_pairs(queries, large, k))
+             .unionByName(exact_pairs(large.where(asked), rows.where(is_small()), k)))
+    return merged_best(pairs, k, max(1, -(-queries.count() // QUERY_BLOCK)))
+
+
 def topk_report(vectors: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
     """The columns of the registered query: ids divisible by ``every`` against all rows."""
-    rows = quantised(vectors)
-    return top_k(rows, rows.where(F.col("id") % every == 0), k)
+    return nearest(vectors, k, every)
 
 
 ORACLE = f"""
 WITH fit AS (
-  SELECT vec_id AS id, min(list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * {SCALE}) AS BIGINT))) AS w
+  SELECT vec_id AS id, min(list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * {SCALE}) AS HUGEINT))) AS w
   FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR abs(x) >= {LIMIT})) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
   GROUP BY 1),
 scored AS (
   SELECT q.id AS query_id, d.id AS vec_id,
-         CAST(list_sum(list_transform(list_zip(q.w, d.w), lambda p: coalesce(p[1], 0) * coalesce(p[2], 0))) AS BIGINT) AS score
+         coalesce(list_sum(list_transform(list_zip(q.w, d.w), lambda p: coalesce(p[1], 0) * coalesce(p[2], 0))), 0) AS score
   FROM fit q JOIN fit d ON q.id <> d.id WHERE q.id % 50 = 0),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
-SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, TRY_CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 5
 """
