@@ -5,7 +5,9 @@ key-like characters that mixes letters and digits is a candidate.  A window
 of ``WINDOW`` characters slides over the candidate; the counts of its
 characters, and from them the sum of c*log2(c), are updated for the one
 character that enters and the one that leaves, so each step costs the
-alphabet and not the window.  The highest entropy of any window is held
+alphabet, wherever in the run it is: a run of a megabyte takes as long a
+character as a short one, and the scan ends at the first window that reaches
+the limit.  The highest entropy of any window is held
 against the threshold of the candidate's character class: hexadecimal, digits
 with letters of one case, digits with letters of both cases, or words and
 numbers (slugs, paths, camel case), which come near to keys in entropy.  Allow-listed candidates (UUIDs, integrity digests, paths
@@ -39,7 +41,8 @@ MIN_VALUE = 6
 
 WINDOW = 20
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-#: Bits by kind, as in ORACLE; runs of words and numbers are held to the mixed one.
+PIECE = 512
+#: Bits by kind; runs of words and numbers are held to the mixed one.
 THRESHOLDS = {"entropy_hex": 3.05, "entropy_mixed": 4.05}
 #: Bits that 99 % of random windows reach: base32 (digits with one case), base62 (with both cases).
 ONE_CASE, BOTH_CASES = 3.34, 3.64
@@ -47,10 +50,11 @@ ONE_CASE, BOTH_CASES = 3.34, 3.64
 WORD_ENDS, WORD = r"[+/_=-]+|(?<=[a-z0-9])(?=[A-Z])", r"^(?:[A-Z]?[a-z]+[0-9]{0,4}|[A-Z]*|[0-9]+)$"
 
 # Allow-list: fixed values, sought in a candidate without regard to case.
-ALLOWED = ("example|sample|dummy|changeme|placeholder|your[_-]|xxxx|0123456789|1234567890|abcdefgh"
-           "|^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$|^sha(1|256|384|512)-|^/|//")
-#: Its parts: placeholder words, which excuse what is near them, and forms that excuse a whole run.
-ALLOWED_WORDS, ALLOWED_FORMS = ALLOWED.split("|^", 1)[0], "^" + ALLOWED.split("|^", 1)[1].removesuffix("|^/|//")
+#: Placeholder words, which excuse what is near them.
+ALLOWED_WORDS = "example|sample|dummy|changeme|placeholder|your[_-]|xxxx|0123456789|1234567890|abcdefgh"
+NEAR = f"[^ ]{{0,{WINDOW}}} [^ ]{{0,{WINDOW}}}"
+#: Forms that excuse a whole run.
+ALLOWED_FORMS = "^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$|^sha(1|256|384|512)-"
 
 SPAN = "array<struct<start:int,rank:int,end:int,kind:string,value:string>>"
 
@@ -87,26 +91,36 @@ def window_entropy(value: Column, width: int = WINDOW) -> Column:
     def of(c: Column) -> Column:
         return F.get(weight, c)
 
-    def place(i: Column) -> Column:
-        return F.instr(F.lit(ALPHABET), F.substring(value, i, F.lit(1))) - 1
-
-    def step(acc: Column, i: Column) -> Column:
-        enter, leave = place(i), F.when(i > width, place(i - width)).otherwise(F.lit(-1))
+    def step(acc: Column, x: Column) -> Column:
+        enter, leave = x["enter"], x["leave"]
         gone = F.when(leave >= 0, F.get(acc["n"], leave))
         less = F.coalesce(of(gone) - of(gone - 1), F.lit(0.0))
         held = F.get(acc["n"], enter) - F.when(enter == leave, 1).otherwise(0)
         total = acc["total"] - less + of(held + 1) - of(held)
         counts = F.transform(acc["n"], lambda c, k: c + F.when(k == enter, 1).otherwise(0)
                              - F.when(k == leave, 1).otherwise(0))
-        return F.struct(counts.alias("n"), total.alias("total"),
-                        F.when(i >= width, F.least(acc["low"], total)).otherwise(acc["low"]).alias("low"))
+        return F.struct(counts.alias("n"), total.alias("total"), (acc["seen"] + 1).alias("seen"),
+                        F.when(acc["seen"] + 1 >= width, F.least(acc["low"], total)).otherwise(acc["low"]).alias("low"))
+
+    def moves(codes: Column) -> Column:
+        """What enters and what leaves at each step."""
+        late = F.slice(F.concat(F.array_repeat(F.lit(-1), width), codes), F.lit(1), F.size(codes))
+        return F.zip_with(codes, late, lambda e, x: F.struct(e.alias("enter"), x.alias("leave")))
 
-    first = F.struct(F.array_repeat(F.lit(0), len(ALPHABET)).alias("n"), F.lit(0.0).alias("total"),
+    # the text is cut into characters once; finding one by its place would walk from the start each time
+    codes = F.transform(F.split(value, ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
+    first = F.struct(F.array_repeat(F.lit(0), len(ALPHABET)).alias("n"), F.lit(0.0).alias("total"), F.lit(0).alias("seen"),
                      F.lit(float("inf")).alias("low"))
-    return F.aggregate(F.sequence(F.lit(1), F.length(value)), first, step,
+    return F.aggregate(F.transform(F.array(codes), moves)[0], first, step,
                        lambda acc: F.log2(F.lit(float(width))) - acc["low"] / width)
 
 
+def reaches(value: Column, limit: Column) -> Column:
+    """True if a window of the value has the entropy; pieces overlap by a window, and the first hit ends the scan."""
+    pieces = F.regexp_extract_all(value, F.lit(f"(?=(.{{1,{PIECE + WINDOW - 1}}})).{{1,{PIECE}}}"), F.lit(1))
+    return F.exists(pieces, lambda p: (F.length(p) >= WINDOW) & (window_entropy(p) >= limit))
+
+
 def allowed(value: Column, before: Column) -> Column:
     """Runs that are no secret as a whole; ``before`` is the character in front of the run."""
     path = (value.startswith("/") | value.contains("//")) & worded(value) & value.rlike("[A-Za-z0-9]/+[A-Za-z0-9]")
@@ -115,14 +129,15 @@ def allowed(value: Column, before: Column) -> Column:
 
 def hot_parts(value: Column, limit: Column) -> Column:
     """(hot, free): whether a window reaches the limit anywhere, and away from placeholder words."""
-    def reaches(part: Column) -> Column:
-        return (F.length(part) >= WINDOW) & (window_entropy(part) >= limit)
-
     marked = F.regexp_replace(value, f"(?i){ALLOWED_WORDS}", " ")
-    near = f"[^ ]{{0,{WINDOW}}} [^ ]{{0,{WINDOW}}}"
     placeholder = value.rlike(f"(?i){ALLOWED_WORDS}")
-    return F.transform(F.array(F.exists(F.split(marked, near, -1), reaches)), lambda free: F.struct(
-        (free | (placeholder & reaches(value))).alias("hot"), free.alias("free")))[0]
+
+    def judged(least: Column) -> Column:
+        free = F.exists(F.split(marked, NEAR, -1), lambda part: reaches(part, least))
+        return F.transform(F.array(free), lambda f: F.struct(
+            (f | (placeholder & reaches(value, least))).alias("hot"), f.alias("free")))[0]
+
+    return F.transform(F.array(limit), judged)[0]  # the limit is worked out once
 
 
 def worded(value: Column) -> Column:
@@ -212,7 +227,12 @@ def _sql_spans(name: str, pattern: str) -> str:
           FROM (SELECT rid, t, regexp_extract_all(t, '{quoted}') AS ms FROM d) WHERE len(ms) > 0)))"""
 
 
-ORACLE = f"""
+def _reaches(value: str) -> str:
+    return (f"coalesce(list_max(list_transform(range(1, length({value}) - {WINDOW} + 2), "
+            f"lambda i: list_aggregate(string_split(substring({value}, i, {WINDOW}), ''), 'entropy'))) >= lim, false)")
+
+
+ORACLE = rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
 {_sql_spans('a', ASSIGN)},
 {_sql_spans('k', ACCESS)},
@@ -226,16 +246,27 @@ base AS (
 fresh AS (
   SELECT * FROM c WHERE regexp_matches(m, '[0-9]') AND regexp_matches(m, '[A-Za-z]')
   AND NOT EXISTS (SELECT 1 FROM base b WHERE b.rid = c.rid AND b.start < c."end" AND c.start < b."end")),
-scored AS (
-  SELECT rid, m, start, "end", regexp_full_match(m, '[0-9A-Fa-f]+') AS hx,
-         list_max(list_transform(range(1, length(m) - {WINDOW} + 2),
-                  lambda i: list_aggregate(string_split(substring(m, i, {WINDOW}), ''), 'entropy'))) AS e
+parts AS (
+  SELECT *, regexp_full_match(m, '[0-9A-Fa-f]+') AS hx,
+         len(list_filter(string_split_regex(regexp_replace(m, '([a-z0-9])([A-Z])', '\1 \2', 'g'), '[+/_=-]+| '),
+                         lambda w: NOT regexp_matches(w, '{WORD}'))) = 0 AS words,
+         string_split_regex(regexp_replace(m, '(?i){ALLOWED_WORDS}', ' ', 'g'), '{NEAR}') AS free_parts,
+         regexp_matches(m, '(?i){ALLOWED_WORDS}') AS placeholder
   FROM fresh),
+limits AS (
+  SELECT *, CASE WHEN hx THEN {THRESHOLDS['entropy_hex']} WHEN words THEN {THRESHOLDS['entropy_mixed']}
+                 WHEN regexp_matches(m, '[a-z]') AND regexp_matches(m, '[A-Z]') THEN {BOTH_CASES} ELSE {ONE_CASE} END AS lim,
+         regexp_matches(lower(m), '{ALLOWED_FORMS}')
+           OR ((starts_with(m, '/') OR contains(m, '//')) AND words AND regexp_matches(m, '[A-Za-z0-9]/+[A-Za-z0-9]'))
+           OR (starts_with(m, '//') AND substring(t, start, 1) = ':') AS ok
+  FROM parts JOIN (SELECT rid, t FROM d) USING (rid)),
+scored AS (
+  SELECT *, len(list_filter(free_parts, lambda p: {_reaches('p')})) > 0 AS free, placeholder AND {_reaches('m')} AS near
+  FROM limits),
 hot AS (
-  SELECT rid, CASE WHEN hx THEN 'entropy_hex' ELSE 'entropy_mixed' END AS kind,
-         CASE WHEN hx THEN 3 ELSE 4 END AS rank, start, "end",
-         regexp_matches(lower(m), '{ALLOWED}') AS ok
-  FROM scored WHERE e >= CASE WHEN hx THEN {THRESHOLDS['entropy_hex']} ELSE {THRESHOLDS['entropy_mixed']} END),
+  SELECT rid, CASE WHEN hx THEN 'entropy_hex' ELSE 'entropy_mixed' END AS kind, CASE WHEN hx THEN 3 ELSE 4 END AS rank,
+         start, "end", ok OR NOT free AS ok
+  FROM scored WHERE free OR near),
 b AS (SELECT rid, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
              count(*) FILTER (kind = 'hex') AS n_hex,
              string_agg(kind || ':' || start || ':' || "end", ',' ORDER BY start, rank) AS s FROM base GROUP BY rid),

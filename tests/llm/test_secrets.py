@@ -117,3 +117,29 @@ def test_paths_addresses_and_placeholders_stay(spark):
              "your_Xk9qZ7bT2mWv4LpR8sYc1Nd", "Xk9qZ7bT2mWv4LpR8sYc1Nd_example", "sha256-Xk9qZ7bT2mWv4LpR8sYc1NdXk9qZ7bT2mWv4LpR8sYc1Nd"]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
     assert {r.doc_id: r.spans for r in secrets.secret_report(df).collect()} == dict.fromkeys(range(len(texts)), "")
+
+
+def test_one_long_run_takes_seconds(spark):
+    """Time grows with the length, also where no window is hot and every one is looked at."""
+    import time
+    rng = random.Random(5)
+    base64 = string.ascii_letters + string.digits + "+/"
+    key = "".join(rng.choices(base64, k=1_000_000))
+    dull = "aB3" * 100_000
+    df = spark.createDataFrame([(1, f"x {key} y"), (2, dull), (3, dull + key[:40])], "doc_id long, text string")
+    began = time.monotonic()
+    got = {r.doc_id: r.spans for r in secrets.secret_report(df).collect()}
+    print(time.monotonic() - began)
+    assert time.monotonic() - began < 60
+    assert got == {1: "entropy_mixed:2:1000002", 2: "", 3: f"entropy_mixed:0:{300_040}"}
+
+
+def test_pieces_lose_no_window(spark):
+    hot = "Xk9qZ7bT2mWv4LpR8sYc"
+    values = ["a1" * n + hot + "a1" * 300 for n in (0, 245, 246, 247, 250, 255, 256, 257, 511, 512, 600)]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    rows = df.select("v", secrets.reaches(F.col("v"), F.lit(entropy(hot) - 1e-9)).alias("at"),
+                     secrets.reaches(F.col("v"), F.lit(entropy(hot) + 1e-6)).alias("over")).collect()
+    for r in rows:
+        most = max(entropy(r.v[i:i + 20]) for i in range(len(r.v) - 19))
+        assert r.at == (most >= entropy(hot) - 1e-9) and r.over == (most >= entropy(hot) + 1e-6)
