@@ -1,17 +1,22 @@
 """Licence scan by canonical digest lookup, in DataFrame functions only.
 
-A text's canonical form has lower case, no copyright lines, one spelling of
-words that licences spell two ways, and only letters and digits, single-spaced.
-A copyright line names a year, a mark or a holder and stands on a line of its
-own; sentences of a licence stay wherever its lines are broken.
+A text's canonical form has lower case, no copyright lines, no title line, one
+spelling of words that licences spell two ways, and only letters and digits,
+single-spaced.  A copyright line names a year, a mark or a holder and stands on
+a line of its own; sentences of a licence stay wherever its lines are broken.
+A title line ("The MIT License (MIT)") is a first line that names a licence and
+is no sentence, with more text behind it.
 Its digest is joined by hash with the digests of known licence texts; a
 document whose entire text is a known licence gets the licence's id.  Each
 line of a document is an entire text too: lines that are known notices
 ("Released under the MIT License.") give the document's notices.
 
 Known texts are a table (license_id, text), canonicalised by the same
-expression, so a caller's own corpus of licences can be passed in;
-``KNOWN_TEXTS`` holds short licences and common notices.
+expression, so a caller's own corpus of licences can be passed in
+(``known_from_files`` reads one from a folder of licence files);
+``KNOWN_TEXTS`` holds short licences and common notices.  The table is one of
+licences, so its first words are a short list; a line is digested only if it
+begins with one of them, which no line that could match fails to do.
 
 Digests of whole texts and of the lines that could be notices are computed in
 one pass; from there on only digests are joined, so texts of any size and
@@ -107,10 +112,10 @@ COPYRIGHT_LINE = (
     r"|\(c\)[^\p{L}\p{N}\n]*(?:(?:19|20)\d\d|©)"
     rf"|\(c\)[ \t]+(?!(?:you|your|a|an|any|all|each|every|no|not|neither|such|it|its|by|copyright|{BODY})\b)"
     r"(?:\S+[ \t]+){0,5}\S*[^\s;,:][ \t\r]*$)[^\n]*$")
-#: The wider rule of ORACLE, every line that begins so; both agree where no licence sentence is broken before "copyright".
-COPYRIGHT = r"^[^a-z0-9]*(copyright|all rights reserved|\(c\)|©)[^\n]*$"
-#: A line can be a known notice only if it has one of these words.
-HINT = "licen[cs]e|copyright|permission|cc by|cc-by"
+#: A title: up to nine words that are no sentence's, "licence", and perhaps a version or a name in brackets.
+SENTENCE = "licen[cs]ed|under|released|permission|granted|this|see|terms|may|you|your|is|are|by"
+TITLE = (rf"\A[^\p{{L}}\p{{N}}]*(?:(?!(?:{SENTENCE})\b)[\p{{L}}\p{{N}}.,'\"+-]+[ \t]+){{0,9}}licen[cs]e"
+         r"(?:[ \t,]+(?:version|v\.?)?[ \t]*[0-9][0-9.]*)?(?:[ \t]*\([^()\n]{0,40}\))?[ \t.:\r]*\n(?=[^\p{L}\p{N}]*[\p{L}\p{N}])")
 
 
 def bare(line: Column) -> Column:
@@ -122,8 +127,9 @@ def bare(line: Column) -> Column:
 
 
 def canonical(text: Column) -> Column:
-    """The canonical form of an entire text: copyright lines go, then all lines run together."""
-    return bare(F.regexp_replace(F.lower(F.coalesce(text.cast("string"), F.lit(""))), "(?md)" + COPYRIGHT_LINE, " "))
+    """The canonical form of an entire text: copyright and title lines go, then all lines run together."""
+    kept = F.regexp_replace(F.lower(F.coalesce(text.cast("string"), F.lit(""))), "(?md)" + COPYRIGHT_LINE, " ")
+    return bare(F.regexp_replace(kept, TITLE, ""))
 
 
 def digest(canon: Column) -> Column:
@@ -141,11 +147,27 @@ def known_texts(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(KNOWN_TEXTS.items()), "license_id string, text string")
 
 
+def known_from_files(spark: SparkSession, folder: str) -> DataFrame:
+    """(license_id, text) of a folder of licence files, named by their licence."""
+    name = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(?:\.(?:txt|md|template))?$", 1)
+    return spark.read.text(folder, wholetext=True).select(name.alias("license_id"), F.col("value").alias("text"))
+
+
+def first_words(known: DataFrame) -> list[str]:
+    """The words, in lower case and every spelling, that a line must begin with to be a known text; one per licence at most,
+    and its spellings."""
+    canon = canonical(F.col("text"))
+    begins = {r[0] for r in known.where(F.col("license_id").isNotNull() & (canon != "")).select(
+        F.substring_index(canon, " ", 1)).distinct().collect()}
+    return sorted(begins | {old.split(" ")[0] for old, new in SPELLINGS if new.split(" ")[0] in begins})
+
+
 def scan(docs: DataFrame, known: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """``keep`` columns, digest, license_id (of the whole text, else null) and notices (of lines, comma-joined)."""
     tables = WorkTables(docs.sparkSession, "licenses")
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    lines = F.filter(F.split(t, "\n"), lambda x: F.lower(x).rlike(HINT))
+    begins = first_words(known)
+    lines = F.filter(F.split(t, "\n"), lambda x: F.lower(F.regexp_extract(x, r"[\p{L}\p{N}]+", 0)).isin(*begins))
     rows = tables.keep(tag_rows(docs.select(
         *keep, digest(canonical(t)).alias("digest"),
         F.array_distinct(F.transform(lines, lambda x: digest(canonical(x)))).alias("_lines"))), "digests")
@@ -167,9 +189,34 @@ def _sql_text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
+def _sql_copyright(line: str) -> str:
+    """COPYRIGHT_LINE on one line in lower case; without look-ahead, so by what follows and what must not."""
+    gap, start = r"[^\p{L}\p{N}]*", r"^[^\p{L}\p{N}]*"
+    word = rf"{start}(?:\(c\){gap})?copyright[^\p{{L}}\p{{N}},.;)]+"
+    listed = r"you|your|a|an|any|all|each|every|no|not|neither|such|it|its|by|copyright|" + BODY
+    rules = [rf"{start}(?:all rights reserved|©)", rf"{start}(?:\(c\){gap})?copyright{gap}(?:(?:19|20)\d\d|\(c\)|©)",
+             rf"{start}\(c\){gap}(?:(?:19|20)\d\d|©)"]
+    found = [f"regexp_matches({line}, {_sql_text(r)})" for r in rules]
+    for good, bad in ((word + r"\p{L}", rf"{word}(?:{BODY})\b"),
+                      (start + r"\(c\)[ \t]+(?:\S+[ \t]+){0,5}\S*[^\s;,:][ \t\r]*$", rf"{start}\(c\)[ \t]+(?:{listed})\b")):
+        found.append(f"(regexp_matches({line}, {_sql_text(good)}) AND NOT regexp_matches({line}, {_sql_text(bad)}))")
+    return "(" + " OR ".join(found) + ")"
+
+
+def _sql_title(text: str) -> str:
+    """The text without its title line."""
+    head = (r"^[^\p{L}\p{N}]*((?:[\p{L}\p{N}.,'\"+-]+[ \t]+){0,9})licen[cs]e"
+            r"(?:[ \t,]+(?:version|v\.?)?[ \t]*[0-9][0-9.]*)?(?:[ \t]*\([^()\n]{0,40}\))?[ \t.:\r]*\n")
+    sentence = rf"(?:^|[ \t])(?:{SENTENCE})\b"
+    return (f"CASE WHEN regexp_matches({text}, {_sql_text(head + r'[^' + chr(92) + 'p{L}' + chr(92) + 'p{N}]*[' + chr(92) + 'p{L}' + chr(92) + 'p{N}]')}) "
+            f"AND NOT regexp_matches(regexp_extract({text}, {_sql_text(head)}, 1), {_sql_text(sentence)}) "
+            f"THEN regexp_replace({text}, {_sql_text(head)}, '') ELSE {text} END")
+
+
 def _sql_canonical(text: str) -> str:
-    kept = f"regexp_replace(lower({text}), {_sql_text('(?m)' + COPYRIGHT)}, ' ', 'g')"
-    c = rf"' ' || regexp_replace(lower({kept}), '[^\p{{L}}\p{{N}}]+', '  ', 'g') || ' '"
+    kept = (f"array_to_string(list_transform(string_split(lower({text}), chr(10)), "
+            f"lambda x: CASE WHEN {_sql_copyright('x')} THEN ' ' ELSE x END), chr(10))")
+    c = rf"' ' || regexp_replace({_sql_title(kept)}, '[^\p{{L}}\p{{N}}]+', '  ', 'g') || ' '"
     for old, new in SPELLINGS:
         c = f"replace({c}, ' {old.replace(' ', '  ')} ', ' {new.replace(' ', '  ')} ')"
     return f"trim(regexp_replace({c}, ' +', ' ', 'g'))"
@@ -180,8 +227,7 @@ WITH texts(license_id, text) AS (VALUES {', '.join(f'({_sql_text(k)}, {_sql_text
 known AS (SELECT sha256({_sql_canonical('text')}) AS digest, min(license_id) AS license_id FROM texts GROUP BY 1),
 d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
 l AS (SELECT DISTINCT rid, sha256({_sql_canonical('line')}) AS line
-      FROM (SELECT rid, unnest(string_split(t, chr(10))) AS line FROM d)
-      WHERE regexp_matches(lower(line), '{HINT}')),
+      FROM (SELECT rid, unnest(string_split(t, chr(10))) AS line FROM d)),
 n AS (SELECT rid, string_agg(DISTINCT license_id, ',' ORDER BY license_id) AS notices
       FROM l JOIN known ON line = digest GROUP BY rid)
 SELECT doc_id, sha256({_sql_canonical('t')}) AS digest, license_id, coalesce(notices, '') AS notices
