@@ -32,6 +32,7 @@ from .common import WorkTables, number_rows, tag_rows
 
 SHARDS = 16
 ROUNDS = 8
+CHUNK_BITS = 12  # 4,096 rows
 #: A shard with less than this part of its capacity left counts as full (quotas are rounded down).
 SLACK = 100
 
@@ -55,8 +56,10 @@ def wishes(state: DataFrame, sizes: DataFrame, round_no: int) -> DataFrame:
         F.ceil(F.sum("_w") / F.greatest(F.min("capacity"), F.lit(1))).cast("int").alias("_need"))
         .select(F.col("group").alias("_g"), F.slice("_all", F.lit(1), F.greatest("_need", F.lit(1))).alias("_aims"),
                 F.map_from_entries(F.transform("_all", lambda x: F.struct(x["shard"], x["w"]))).alias("_held")))
+    # by group and chunk: a group of any size meets its aims in as many tasks as chunks hold it
+    here = state.select(F.col("group").alias("_g"), F.col("chunk").alias("_c")).distinct().join(aims, "_g")
     aim = F.get("_aims", F.pmod(F.xxhash64("node", F.lit(round_no)), F.size("_aims")).cast("int"))
-    return (state.join(aims, F.col("group") == F.col("_g")).where(~F.exists("_aims", lambda x: x["shard"] == F.col("shard")))
+    return (state.join(here, (F.col("group") == F.col("_g")) & (F.col("chunk") == F.col("_c"))).where(~F.exists("_aims", lambda x: x["shard"] == F.col("shard")))
             .withColumn("_aim", aim).where(F.col("_aim.w") >= F.try_element_at("_held", F.col("shard")))
             .select("node", "chunk", F.col("shard").alias("from"), F.col("_aim.shard").alias("to")))
 
@@ -81,7 +84,7 @@ def propagate(nodes: DataFrame, capacity: DataFrame, tables: WorkTables,
               rounds: int = ROUNDS, shards: int = SHARDS) -> DataFrame:
     """(node, chunk, shard) after ``rounds`` rounds.
 
-    ``nodes``: node (unique), chunk (the task that wrote it), group;
+    ``nodes``: node (unique), chunk (a few thousand rows that one task wrote), group;
     ``capacity``: shard, capacity.
     """
     numbered = number_rows(nodes, [], "_n", "chunk", "node")
@@ -90,6 +93,8 @@ def propagate(nodes: DataFrame, capacity: DataFrame, tables: WorkTables,
         held = state.groupBy("shard").agg(F.count(F.lit(1)).alias("held"))
         sizes = capacity.join(held, "shard", "left").select("shard", "capacity", F.coalesce("held", F.lit(0)).alias("held"))
         moves = tables.keep(wishes(state, sizes, r), "wishes")
+        if moves.isEmpty():
+            break  # every group is as much together as it wants to be
         allowed = tables.keep(quotas(moves, sizes), "quotas")
         ranked = number_rows(moves, ["from", "to"], "_n", "chunk", "node")
         accepted = (ranked.join(allowed, ["from", "to"]).where("_n < quota")
@@ -125,17 +130,22 @@ def shard_documents(docs: DataFrame, keep: list[str], text: str = "text", shards
     spark = docs.sparkSession
     tables = WorkTables(spark, "sharding")
     t = F.col(text).cast("string")
-    rows = tables.keep(tag_rows(docs.select(
+    # a chunk is a few thousand rows of one writer, so no task of the numbering or of a join takes more of one group
+    chunked = lambda df: tag_rows(df, "chunk", "node").withColumn("chunk", F.shiftright("node", CHUNK_BITS))
+    rows = tables.keep(chunked(docs.select(
         *keep, (F.coalesce(F.octet_length(t), F.lit(0)) + 1).cast("long").alias("size"),
         F.crc32(F.coalesce(t, F.lit("")).cast("binary")).alias("text_crc32"),
-        F.coalesce(F.unhex(F.md5(t.cast("binary"))), F.lit(b"")).alias("_digest")), "chunk", "node"), "rows")
+        F.coalesce(F.unhex(F.md5(t.cast("binary"))), F.lit(b"")).alias("_digest"))), "rows")
     total = rows.count()
     capacity = tables.keep(spark.range(shards).select(F.col("id").cast("int").alias("shard")).select(
         "shard", capacities(total, shards).cast("long").alias("capacity")), "capacity")
-    groups = rows.groupBy("_digest", "size").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("copies"))
-    grouped = tables.keep(
-        rows.select("node", "chunk", "_digest", "size").join(groups.where("copies > 1"), ["_digest", "size"], "left")
-        .select("node", "chunk", "head"), "grouped")
+    key = ["_digest", "size"]
+    heads = tables.keep(rows.groupBy(*key, "chunk").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("copies")), "heads")
+    groups = heads.groupBy(*key).agg(F.min("head").alias("head"), F.sum("copies").alias("copies")).where("copies > 1")
+    # a group meets its head once per chunk, then each chunk's rows meet that
+    known = heads.select(*key, "chunk").join(groups.select(*key, "head"), key)
+    grouped = tables.keep(rows.select("node", "chunk", *key).join(known, [*key, "chunk"], "left").select(
+        "node", "chunk", "head"), "grouped")
     linked = propagate(grouped.where("head is not null").select("node", "chunk", F.col("head").alias("group")), capacity, tables, rounds, shards)
     singles = fill_up(grouped.where("head is null").select("node", "chunk"), linked, capacity)
     first = number_rows(linked, ["shard"], "slot", "chunk", "node").select("node", "shard", "slot")

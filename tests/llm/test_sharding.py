@@ -2,6 +2,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tapeworks.llm import sharding
 
@@ -67,3 +68,56 @@ def test_large_group_fills_few_shards(spark):
     pairs = sum(n * (n - 1) for n in place) / (1600 * 1599)
     print(place, round(pairs, 3))
     assert sum(place[:6]) >= 0.98 * 1600 and pairs > 0.16
+
+
+def most_pairs(sizes, room):
+    """The most pairs of a group in one shard that any placing of the groups reaches (plain search)."""
+    if not sizes:
+        return 0
+    n, best = sizes[0], 0
+
+    def split(left, shard, room, pairs):
+        nonlocal best
+        if shard == len(room):
+            if not left:
+                best = max(best, pairs + most_pairs(sizes[1:], tuple(sorted(room))))
+            return
+        for x in range(min(left, room[shard]), -1, -1):
+            split(left - x, shard + 1, room[:shard] + (room[shard] - x,) + room[shard + 1:], pairs + x * (x - 1) // 2)
+
+    split(n, 0, room, 0)
+    return best
+
+
+def test_pairs_against_the_best_placing(spark):
+    """Small tables, all placings tried: near the best on average, and every one within the quotas."""
+    rng, shares = np.random.default_rng(11), []
+    for _ in range(8):
+        shards, sizes = 3, [int(x) for x in rng.integers(2, 7, rng.integers(2, 5))]
+        singles = int(rng.integers(3, 9))
+        texts = [f"g{i}" for i, n in enumerate(sizes) for _ in range(n)] + [f"s{i}" for i in range(singles)]
+        rows = [(i, t) for i, t in enumerate(rng.permutation(texts).tolist())]
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+        got = sharding.shard_documents(df, ["doc_id"], shards=shards).collect()
+        check(rows, got, shards)
+        text, place = dict(rows), Counter()
+        for r in got:
+            place[text[r.doc_id], r.shard] += 1
+        total = len(rows)
+        best = most_pairs(sizes, tuple(total // shards + (s < total % shards) for s in range(shards)))
+        shares.append(sum(n * (n - 1) // 2 for n in place.values()) / best)
+    print([round(x, 2) for x in shares])
+    assert max(shares) <= 1 and np.mean(shares) >= 0.75
+
+
+def test_tasks_take_chunks_of_a_hot_group(spark):
+    """A third of the rows are one text; the joins of the grouping see it cut by chunk."""
+    n = 40_000
+    df = spark.range(n, numPartitions=2).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "same").otherwise(F.concat(F.lit("t"), F.col("id"))).alias("text"))
+    got = sharding.shard_documents(df, ["doc_id"], rounds=2)
+    place = got.groupBy("shard").count().collect()
+    assert {r["count"] for r in place} == {n // 16}
+    rows = sharding.tag_rows(df, "chunk", "node").withColumn("chunk", F.shiftright("node", sharding.CHUNK_BITS))
+    most = rows.groupBy("text", "chunk").count().agg(F.max("count")).first()[0]
+    assert most <= (1 << sharding.CHUNK_BITS) and rows.select("chunk").distinct().count() >= 10
