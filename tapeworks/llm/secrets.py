@@ -258,7 +258,7 @@ limits AS (
                  WHEN regexp_matches(m, '[a-z]') AND regexp_matches(m, '[A-Z]') THEN {BOTH_CASES} ELSE {ONE_CASE} END AS lim,
          regexp_matches(lower(m), '{ALLOWED_FORMS}')
            OR ((starts_with(m, '/') OR contains(m, '//')) AND words AND regexp_matches(m, '[A-Za-z0-9]/+[A-Za-z0-9]'))
-           OR (starts_with(m, '//') AND substring(t, start, 1) = ':') AS ok
+           OR (starts_with(m, '//') AND substring(t, CAST(start AS BIGINT), 1) = ':') AS ok
   FROM parts JOIN (SELECT rid, t FROM d) USING (rid)),
 scored AS (
   SELECT *, len(list_filter(free_parts, lambda p: {_reaches('p')})) > 0 AS free, placeholder AND {_reaches('m')} AS near

@@ -143,3 +143,19 @@ def test_pieces_lose_no_window(spark):
     for r in rows:
         most = max(entropy(r.v[i:i + 20]) for i in range(len(r.v) - 19))
         assert r.at == (most >= entropy(hot) - 1e-9) and r.over == (most >= entropy(hot) + 1e-6)
+
+
+def test_sql_equals_the_scan(spark):
+    """The oracle on texts where its rules matter: classes, words, placeholders, allowed forms."""
+    import duckdb
+    rng = random.Random(9)
+    keys = ["".join(rng.choices(ALPHABETS[k], k=n)) for k in ALPHABETS for n in (20, 33) for _ in range(6)]
+    texts = [*TEXTS, *keys, *(k + w + k for k in keys[:5] for w in ("example", "Your_", "//", "xxxx")), "/usr/local/share/Documents/report2024/Figures",
+             "https://Xk9qZ7bT2mWv4LpR8sYc1Nd/a", "sha256-Xk9qZ7bT2mWv4LpR8sYc1NdXk9", "quarterly-report-summary-2024-session",
+             "QuarterlyReportSummary2024Session99", "0123456789ABCDEF0123456789ABCDEF", "/opt/My/Wx/Quick7/Vb/Jump3/Zk"]
+    df = spark.createDataFrame([(i, f"{t} y" if i > len(TEXTS) else t) for i, t in enumerate(texts)], "doc_id long, text string")
+    con = duckdb.connect()
+    documents = df.toPandas()  # noqa: F841  (named in the SQL)
+    want = con.execute(secrets.ORACLE).fetchall()
+    cols = [d[0] for d in con.description]
+    assert sorted(map(tuple, secrets.secret_report(df).select(*cols).collect())) == sorted(want)
