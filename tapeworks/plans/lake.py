@@ -26,7 +26,6 @@ from .. import contract as C
 from ..operators.validate import FILE_KEYS
 from ..session import cut_lineage, delete_at_end
 from ..sources.folders import Folder
-from ..sources.inventory import path_missing
 
 COMMIT_SCHEMA = ("feed string, file_date date, generation string, row_count bigint, "
                  "sessions array<struct<session_date: date, n_trades: bigint, volume: bigint>>, version bigint")
@@ -43,12 +42,9 @@ def new_generation() -> str:
 
 def commit_log(spark: SparkSession, root: str) -> DataFrame | None:
     """Every committed (feed, file_date, generation, ...) with its version; None if nothing is published."""
-    try:
-        return spark.read.schema(COMMIT_SCHEMA).json(f"{root}/commits")
-    except Exception as exc:  # noqa: BLE001
-        if path_missing(exc):
-            return None
-        raise
+    if not any(n.startswith("version=") for n in Folder(spark, f"{root}/commits").names()):
+        return None
+    return spark.read.schema(COMMIT_SCHEMA).json(f"{root}/commits")
 
 
 def current(spark: SparkSession, root: str) -> DataFrame | None:

@@ -50,19 +50,20 @@ def q_archive_verdicts(spark, sf_dir):
 
 
 def q_archive_source_lines(spark, sf_dir):
-    """Lines per archive from the named source: a batch read, and a stream of three archives a batch."""
-    root, out = _archives(spark, sf_dir), _folder(spark, "source")
+    """Lines per archive from the named source: a batch read, and a stream that is restarted when the even days land."""
+    lines, root, out = _lines(spark, sf_dir), _folder(spark, "archives"), _folder(spark, "source")
     archive_source.register(spark)
-    batch = spark.read.format(archive_source.NAME).load(root)
-    stream = spark.readStream.format(archive_source.NAME).option("maxFilesPerTrigger", "3").load(root)
 
     def land(df, epoch):
         df.withColumn("epoch", F.lit(epoch)).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(f"{out}/rows")
 
-    query = (stream.writeStream.foreachBatch(land).option("checkpointLocation", f"{out}/checkpoint")
-             .trigger(availableNow=True).start())
-    query.awaitTermination()
+    for parity in (1, 0):
+        write_archives(lines.where(F.dayofmonth("file_date") % 2 == parity), root)
+        stream = spark.readStream.format(archive_source.NAME).load(root)
+        (stream.writeStream.foreachBatch(land).option("checkpointLocation", f"{out}/checkpoint")
+         .trigger(availableNow=True).start().awaitTermination())
+    batch = spark.read.format(archive_source.NAME).load(root)
     both = batch.select(F.lit("batch").alias("way"), "feed", "file_date", "source_row", "n_lines").unionByName(
         spark.read.parquet(f"{out}/rows").select(F.lit("stream").alias("way"), "feed", "file_date", "source_row", "n_lines"))
     return both.groupBy("way", "feed", "file_date").agg(

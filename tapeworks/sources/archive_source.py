@@ -83,8 +83,8 @@ class _Reader(DataSourceReader):
 
 
 class _StreamReader(DataSourceStreamReader):
-    def __init__(self, location: str, at_most: int):
-        self.location, self.at_most, self.last = location, at_most, None
+    def __init__(self, location: str):
+        self.location, self.last = location, None
 
     def initialOffset(self) -> dict:
         return {"time": 0, "path": ""}
@@ -92,8 +92,6 @@ class _StreamReader(DataSourceStreamReader):
     def latestOffset(self) -> dict:
         start = self.last or (0, "")
         new = [f for f in list_archives(self.location) if f > start]
-        if self.at_most:
-            new = new[:self.at_most]
         self.last = new[-1] if new else start
         return {"time": self.last[0], "path": self.last[1]}
 
@@ -110,7 +108,7 @@ class _StreamReader(DataSourceStreamReader):
 
 
 class TickArchives(DataSource):
-    """Options: ``path`` (folder, searched recursively) and, for a stream, ``maxFilesPerTrigger``."""
+    """Option: ``path`` (folder, searched recursively).  A micro-batch takes all that is new."""
 
     @classmethod
     def name(cls) -> str:
@@ -123,7 +121,7 @@ class TickArchives(DataSource):
         return _Reader(self.options["path"])
 
     def streamReader(self, schema):
-        return _StreamReader(self.options["path"], int(self.options.get("maxfilespertrigger", "0")))
+        return _StreamReader(self.options["path"])
 
 
 def register(spark: SparkSession) -> None:

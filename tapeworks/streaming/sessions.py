@@ -4,11 +4,12 @@ Every commit says, per published file, how many trades and how much volume it
 holds of each session.  The stream keeps those few numbers per feed as keyed
 state, finds each session's previous and next file among the files seen so
 far, and emits a session once a file later than it has come: trades of a
-session can sit in the file before it, its own and the one after.  A session
-that no later file follows is emitted by a timer after ``wait`` and again if
-its numbers still change; so is any session that a late or rebuilt file
-changes.  Ticks are never read again, and one key's state is one row per file
-and one per session and file.
+session can sit in the file before it, its own and the one after.  It is
+emitted again if a late or rebuilt file changes it.  With ``wait``, a session
+that no later file follows is emitted by a timer when that time has passed;
+timers need a stream that keeps running (Spark goes on looking at them for
+ever, so a run over what is there now has none).  Ticks are never read again,
+and one key's state is one row per file and one per session and file.
 
 Rows carry the commit version they follow from.  The sink overwrites one
 partition per session, so a replayed micro-batch writes what it wrote before.
@@ -56,7 +57,7 @@ def summary(day: str, files: list[str], parts: dict[str, list[int]]) -> dict:
 class Sessions(StatefulProcessor):
     """State of one feed: its files (version and sessions) and its sessions (numbers per file)."""
 
-    def __init__(self, wait_ms: int):
+    def __init__(self, wait_ms: int | None):
         self.wait_ms = wait_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -113,7 +114,7 @@ class Sessions(StatefulProcessor):
             touched |= {d: version for d in neighbours(files, f) if d is not None and d not in touched}
         waiting = {k[0]: version for k in self.pending.keys()}
         out = self._rows(key[0], waiting | touched, files, False)
-        if any(True for _ in self.pending.keys()):
+        if self.wait_ms is not None and any(True for _ in self.pending.keys()):
             self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.wait_ms)
         if len(out):
             yield out
@@ -126,7 +127,7 @@ class Sessions(StatefulProcessor):
             yield out
 
 
-def session_stream(spark: SparkSession, lake: str, wait: dt.timedelta = dt.timedelta(days=7),
+def session_stream(spark: SparkSession, lake: str, wait: dt.timedelta | None = None,
                    max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming DataFrame of :data:`SESSION_SCHEMA` over the commits of ``lake``."""
     reader = spark.readStream.schema(COMMIT_SCHEMA)
@@ -134,12 +135,15 @@ def session_stream(spark: SparkSession, lake: str, wait: dt.timedelta = dt.timed
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     files = reader.json(f"{lake}/commits").select("feed", "file_date", "version", "sessions")
     return files.groupBy("feed").transformWithStateInPandas(
-        statefulProcessor=Sessions(int(wait.total_seconds() * 1000)), outputStructType=SESSION_SCHEMA,
-        outputMode="Update", timeMode="ProcessingTime")
+        statefulProcessor=Sessions(None if wait is None else int(wait.total_seconds() * 1000)),
+        outputStructType=SESSION_SCHEMA, outputMode="Update", timeMode="None" if wait is None else "ProcessingTime")
 
 
-def run_session_stream(spark: SparkSession, lake: str, checkpoint: str, available_now: bool = True, **options):
+def run_session_stream(spark: SparkSession, lake: str, checkpoint: str, available_now: bool = True,
+                       every: str = "1 minute", wait: dt.timedelta | None = None, max_files_per_trigger: int | None = None):
     """Keeps ``{lake}/sessions`` up to date; with ``available_now`` it ends when all commits are taken."""
+    if available_now and wait is not None:
+        raise ValueError("timers need a stream that keeps running: wait goes with available_now=False")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
 
     def each_batch(batch: DataFrame, epoch_id: int) -> None:
@@ -148,9 +152,9 @@ def run_session_stream(spark: SparkSession, lake: str, checkpoint: str, availabl
         (newest.repartition("feed").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("feed", "session_date").parquet(f"{lake}/sessions"))
 
-    writer = (session_stream(spark, lake, **options).writeStream.outputMode("update")
+    writer = (session_stream(spark, lake, wait, max_files_per_trigger).writeStream.outputMode("update")
               .foreachBatch(each_batch).option("checkpointLocation", checkpoint))
-    query = (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")).start()
+    query = (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=every)).start()
     if available_now:
         query.awaitTermination()
     return query

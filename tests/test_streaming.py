@@ -124,13 +124,21 @@ def test_stream_equals_batch_as_files_come(spark, tmp_path):
 
 def test_timer_emits_what_no_later_file_follows(spark, tmp_path):
     import datetime as dt
+    import time
+
+    import pytest
 
     from tapeworks.streaming.sessions import run_session_stream
     lake, ckpt = str(tmp_path / "lake"), str(tmp_path / "ckpt")
     _session_lake(spark, tmp_path, lake, FILES)
-    run_session_stream(spark, lake, ckpt, wait=dt.timedelta(milliseconds=1))
-    _session_lake(spark, tmp_path, lake, [("2026-06-30", [("2026-06-30", 3)])])
-    run_session_stream(spark, lake, ckpt, wait=dt.timedelta(milliseconds=1))
-    want = _batch_sessions(spark, lake)
-    got = _stream_sessions(spark, lake)
-    assert set(got) == set(want) and got == want
+    with pytest.raises(ValueError):
+        run_session_stream(spark, lake, ckpt, wait=dt.timedelta(seconds=1))
+    want, folder = _batch_sessions(spark, lake), tmp_path / "lake" / "sessions" / "feed=RV"
+    query = run_session_stream(spark, lake, ckpt, available_now=False, every="1 second", wait=dt.timedelta(milliseconds=100))
+    try:
+        end = time.monotonic() + 120
+        while len(list(folder.glob("session_date=*"))) < len(want) and time.monotonic() < end:
+            time.sleep(1)
+    finally:
+        query.stop()
+    assert _stream_sessions(spark, lake) == want
