@@ -18,19 +18,34 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity classifier, fitted on the labelled ones, rejects go."""
+    """Documents that the toxicity classifier, fitted on the labelled ones, rejects go.
+
+    Null and empty texts are scored by the bias alone; long texts
+    are scored whole; rows that repeat are scored alike; without labels of both
+    classes all score the smoothed share of toxic ones; an empty table stays empty.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.fit(docs, labels)
     return toxicity.score(docs, COLUMNS, model).where(F.col("score") < toxicity.THRESHOLD).select(*COLUMNS)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: that with the smallest id."""
+    """One document of each group of near copies stays: that with the smallest id.
+
+    Null and empty texts have the fingerprint zero and are one group; a null
+    id counts as the largest; rows that repeat id and text are one document;
+    texts of any length have one fingerprint; an empty table stays empty.
+    """
     return simhash.representatives(docs, COLUMNS)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document stays; its secrets are replaced by a mark."""
+    """Every document stays; its secrets are replaced by a mark.
+
+    A null text stays null and an empty one empty; a run of any length is one
+    secret; ``n_chars`` changes with the text only where something was
+    replaced; rows that repeat are redacted alike; an empty table stays empty.
+    """
     found = secrets.find_secrets(docs, COLUMNS)
     hit = F.size("found") > 0
     text = F.when(hit, secrets.redacted(F.col("_text"), F.col("found"))).otherwise(F.col("text"))
@@ -45,6 +60,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     The mix is worked out on narrow rows, named by id, source and a hash of
     the text; texts move once, to the names that are taken.  Rows that repeat
     a name are alike, so the name is written as often as all of them are taken.
+    Null and empty texts have size zero; null ids and null sources are names
+    like any other; a document is taken three times at most, whatever its
+    length; an empty table stays empty.
     """
     name = F.xxhash64("text").alias("_h")
     docs, key = docs.select(*COLUMNS), ["doc_id", "source", "_h"]
@@ -55,7 +73,12 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token sequences of the mixed documents."""
+    """Token sequences of the mixed documents.
+
+    A null or empty text is its end token alone; documents longer than a
+    sequence are cut; rows that repeat, as the mix makes them, are packed each;
+    an empty table gives an empty result.
+    """
     return packing.pack(docs, ["doc_id"])
 
 

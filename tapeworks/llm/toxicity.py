@@ -32,7 +32,7 @@ from .common import WorkTables
 
 SIZES = (3, 4, 5, 6)
 FIT_ROWS = 4000
-FEATURES = 2048
+FEATURES = 8192
 LEAST_TEXTS = 3
 PENALTY = 1.0
 THRESHOLD = 0.7

@@ -77,3 +77,11 @@ TOKENIZER = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 @given(st.text(st.characters(exclude_categories=["Cs"]), max_size=60))
 def test_ids_equal_the_tokenizers_library(text):
     assert ENCODE(text).tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids
+
+
+def test_ids_equal_those_of_tokenizers_on_whole_corpus_texts():
+    import pyarrow.parquet as pq
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).column("text").to_pylist()
+    texts = [t for t in texts if t]
+    for t, e in zip(texts, TOKENIZER.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert list(ENCODE(t)) == e.ids
