@@ -260,7 +260,8 @@ def write_rebuild_report(report: DataFrame, path: str) -> None:
     if "seconds" not in report.columns:
         report = report.withColumn("seconds", F.lit(0.0))
     (report.select(*cols).orderBy("feed", "trade_date").coalesce(1)
-           .write.mode("overwrite").option("header", True).csv(path))
+           .write.mode("overwrite").option("header", True).option("ignoreLeadingWhiteSpace", False)
+           .option("ignoreTrailingWhiteSpace", False).csv(path))  # texts as they are
 
 
 def run_log(batch: TickBatch, started=None, finished=None, refused: DataFrame | None = None,
