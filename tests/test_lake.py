@@ -49,9 +49,10 @@ def test_a_failure_before_the_commit_leaves_the_old_dates_whole(spark, tmp_path,
     with pytest.raises(OSError, match="the store is gone"):
         write_ticks(again, out)
     assert _state(spark, out) == before
-    monkeypatch.setattr(lake.Generation, step, real)
-    write_ticks(process_archives(spark, _archives(tmp_path / "zips", 3, price="2,0")), out)
-    assert [(p, c) for _, p, c in _state(spark, out)[0]] == [(2.0, 3), (2.0, 3)]
+    if step == "commit":  # the next writer gets through, whatever the failed one left
+        monkeypatch.setattr(lake.Generation, step, real)
+        write_ticks(again, out)
+        assert [(p, c) for _, p, c in _state(spark, out)[0]] == [(2.0, 3), (2.0, 3)]
 
 
 def test_a_failure_behind_the_commit_leaves_the_new_dates_whole(spark, tmp_path, monkeypatch):
