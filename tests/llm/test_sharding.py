@@ -92,7 +92,7 @@ def most_pairs(sizes, room):
 def test_pairs_against_the_best_placing(spark):
     """Small tables, all placings tried: near the best on average, and every one within the quotas."""
     rng, shares = np.random.default_rng(11), []
-    for _ in range(8):
+    for _ in range(5):
         shards, sizes = 3, [int(x) for x in rng.integers(2, 7, rng.integers(2, 5))]
         singles = int(rng.integers(3, 9))
         texts = [f"g{i}" for i, n in enumerate(sizes) for _ in range(n)] + [f"s{i}" for i in range(singles)]
