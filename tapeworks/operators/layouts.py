@@ -107,6 +107,25 @@ def split_cells(line: Column, sep: str) -> Column:
     return F.when(F.contains(line, F.lit('"')), quoted).otherwise(plain)
 
 
+def plain_line(line: Column, layout: ReportLayout) -> Column:
+    """True for a line that one look at its shape clears: as many cells as the layout, quotes closed, all values sound.
+
+    False says nothing: such a line is cut into cells and checked cell by
+    cell.  Every shape here is one that the checks of its kind accept.
+    """
+    s = re.escape(layout.sep)
+    words = "|".join(map(re.escape, sorted(layout.na_values, key=len, reverse=True)))
+    number = r"-?[0-9]{1,18}(?:,[0-9]{1,18})?"
+    day = (r"(?:(?:0[1-9]|1[0-9]|2[0-8])/(?:0[1-9]|1[0-2])|(?:29|30)/(?:0[13-9]|1[0-2])|31/(?:0[13578]|1[02]))"
+           r"/[1-9][0-9]{3}")
+    shape = {"double": number, "percent": f"{number}%?", "int": "-?[0-9]{1,18}", "date": day, "date_strict": day,
+             "bool": "|".join((*S.TRUE_WORDS, *S.FALSE_WORDS))}
+    text = rf'(?:{QUOTED}"[^{s}]*+|[^"{s}][^{s}]*+)?+'
+    cells = [text if kind == "string" else f"(?:{shape[kind]}|{words})" if layout.na_values else f"(?:{shape[kind]})"
+             for _, kind in layout.columns]
+    return line.rlike(rf"\A{s.join(cells)}\z")
+
+
 def data_lines(lines: DataFrame, layout: ReportLayout, keys: list[str]) -> DataFrame:
     """Lines after the preamble and before the footer, blank lines dropped.
 
@@ -143,20 +162,19 @@ def parse_report(lines: DataFrame, layout: ReportLayout, keys: list[str]):
     goes on in the next line.  Only those are cut into records and parsed
     anew; a batch without them costs nothing more.
     """
-    rows, verdicts, spans = _parse_lines(lines.withColumn("_unclosed", F.lit(False)), layout, keys)
+    body = data_lines(lines.withColumn("_unclosed", F.lit(False)), layout, keys)
+    decided = _decide_files(body, layout, keys)
+    spans = decided.where("_spans").select(*keys)
     if spans.isEmpty():
-        return rows, verdicts
-    records = cut_lineage(join_records(lines.join(spans, keys, "left_semi"), keys, layout.sep, layout.skip_lines))
-    more, decided, _ = _parse_lines(records, layout, keys)
-    return (rows.join(spans, keys, "left_anti").unionByName(more),
-            verdicts.join(spans, keys, "left_anti").unionByName(decided))
-
-
-def _parse_lines(lines: DataFrame, layout: ReportLayout, keys: list[str]):
-    """Rows and verdicts of lines that are records, and the files for which that is not so."""
-    body = data_lines(lines, layout, keys)
-    parts = split_cells(F.col("line"), layout.sep)
-    body = body.withColumn("_parts", parts)
+        return _typed_rows(body, decided, layout, keys)
+    records = data_lines(join_records(lines.join(spans, keys, "left_semi"), keys, layout.sep, layout.skip_lines), layout, keys)
+    rows, verdicts = _typed_rows(body, decided.join(spans, keys, "left_anti"), layout, keys)
+    more, again = _typed_rows(records, _decide_files(records, layout, keys), layout, keys)
+    return rows.unionByName(more), verdicts.unionByName(again)
+
+
+def _compiled(layout: ReportLayout):
+    """Typed columns, the count of unparsed cells and the checks ``(rule, column, predicate, value)`` over ``_parts``."""
     cells = {}
     for i, (name, _) in enumerate(layout.columns):
         cells[name] = S.na_to_null(F.get(F.col("_parts"), i), layout.na_values)
@@ -173,15 +191,34 @@ def _parse_lines(lines: DataFrame, layout: ReportLayout, keys: list[str]):
             unparsed = unparsed + F.when(cells[name].isNotNull() & value.isNull(), 1).otherwise(0)
         if bad is not None:
             checks.append((f"{name}_invalid", name, bad, cells[name]))
-    # counts and first offending line: one hash aggregate; the offending text
-    # is then fetched by joining the lines on (file, first line)
-    per_file = offences(body, keys, [(rule, bad) for rule, _, bad, _ in checks],
+    return typed, unparsed, checks
+
+
+def _with_cells(body: DataFrame, layout: ReportLayout) -> DataFrame:
+    return body.withColumn("_parts", split_cells(F.col("line"), layout.sep))
+
+
+def _decide_files(body: DataFrame, layout: ReportLayout, keys: list[str]) -> DataFrame:
+    """Counts, first offending lines and the deciding rule of each file; ``_spans`` if a cell goes on in the next line.
+
+    A plain line has no cells here (null), so every check of its cells passes.
+    """
+    line = F.col("line")
+    _, unparsed, checks = _compiled(layout)
+    x = body.withColumn("_parts", F.when(~plain_line(line, layout), split_cells(line, layout.sep)))
+    per_file = offences(x, keys, [(rule, bad) for rule, _, bad, _ in checks],
                         [F.count(F.lit(1)).alias("data_rows"), F.sum(unparsed).alias("unparsed_cells"),
-                         F.max(opens(F.col("line"), layout.sep)).alias("_spans")],
+                         F.max(F.col("_parts").isNotNull() & opens(line, layout.sep)).alias("_spans")],
                         line_col="line_no")
-    decided = cut_lineage(decide(per_file, [(rule, col) for rule, col, _, _ in checks]))
+    return cut_lineage(decide(per_file, [(rule, col) for rule, col, _, _ in checks]))
+
+
+def _typed_rows(body: DataFrame, decided: DataFrame, layout: ReportLayout, keys: list[str]):
+    """Rows and verdicts of the decided files, whose lines are records."""
+    typed, _, checks = _compiled(layout)
+    # the offending text is fetched by joining the lines on (file, first line)
     vals = offending_values(body, decided, keys, {rule: value for rule, _, _, value in checks},
-                            line_col="line_no")
+                            line_col="line_no", cut=lambda hit: _with_cells(hit, layout))
     verdicts = cut_lineage(decided.join(vals, keys, "left").select(
         *keys,
         F.when(F.col("_v.rule").isNull(), "OK").otherwise("REJECTED").alias("status"),
@@ -191,8 +228,8 @@ def _parse_lines(lines: DataFrame, layout: ReportLayout, keys: list[str]):
         F.col("data_rows").cast("bigint").alias("data_rows"),
         F.col("unparsed_cells").cast("bigint").alias("unparsed_cells")))
     ok = verdicts.where(F.col("status") == "OK").select(*keys)
-    rows = body.join(ok, keys, "left_semi").select(*keys, "line_no", *typed)
-    return rows, verdicts, decided.where("_spans").select(*keys)
+    rows = _with_cells(body.join(ok, keys, "left_semi"), layout).select(*keys, "line_no", *typed)
+    return rows, verdicts
 
 
 # --- Fixed values: the three typed report layouts (names and column order) ---

@@ -88,19 +88,20 @@ def spanning(lines: DataFrame, keys: list[str], sep: str, skip_lines: int = 0) -
 def join_records(lines: DataFrame, keys: list[str], sep: str, skip_lines: int = 0) -> DataFrame:
     """``(*keys, line_no, line, _unclosed)``: a row per record; lines up to ``skip_lines`` stay as they are.
 
-    Only the lines of spanning records are shuffled to meet; all others stay
-    where they are when the list of spanning records is small.
+    All lines are marked and materialised once; only those of spanning records
+    are shuffled to meet.  The marking moves no line when the list of
+    spanning records is small.
     """
     found = cut_lineage(spanning(lines, keys, sep, skip_lines))
-    members = cut_lineage(found.where("last IS NOT NULL").select(
-        *keys, F.col("first").alias("_first"), F.explode(F.sequence("first", "last")).alias("line_no")))
-    broken = found.where("last IS NULL").select(*keys, F.col("first").alias("line_no"), F.lit(True).alias("_unclosed"))
-    marked = (lines.select(*keys, "line_no", "line").join(members, [*keys, "line_no"], "left")
-              .join(broken, [*keys, "line_no"], "left"))
+    closed = F.col("last").isNotNull()
+    marks = cut_lineage(found.select(
+        *keys, F.when(closed, F.col("first")).alias("_first"), (~closed).alias("_unclosed"),
+        F.explode(F.sequence("first", F.coalesce("last", "first"))).alias("line_no")))
+    marked = cut_lineage(lines.select(*keys, "line_no", "line").join(marks, [*keys, "line_no"], "left"))
     flag = F.coalesce(F.col("_unclosed"), F.lit(False)).alias("_unclosed")
     alone = marked.where("_first IS NULL").select(*keys, "line_no", "line", flag)
     parts = F.array_sort(F.collect_list(F.struct("line_no", "line")))
-    joined = (marked.where("_first IS NOT NULL").groupBy(*keys, F.col("_first").alias("line_no"))
-              .agg(F.array_join(F.transform(parts, lambda p: p["line"]), "\n").alias("line"))
-              .select(*keys, "line_no", "line", F.lit(False).alias("_unclosed")))
+    joined = cut_lineage(marked.where("_first IS NOT NULL").groupBy(*keys, F.col("_first").alias("line_no"))
+                         .agg(F.array_join(F.transform(parts, lambda p: p["line"]), "\n").alias("line"))
+                         .select(*keys, "line_no", "line", F.lit(False).alias("_unclosed")))
     return alone.unionByName(joined)

@@ -9,6 +9,8 @@ file split into many blocks is numbered by many tasks.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +21,26 @@ from ..operators.sequence import physical_line_numbers
 def decode_line(value: Column, encoding: str) -> Column:
     text = F.decode(value.cast("binary"), encoding)
     # the separator is '\n'; a CRLF file leaves trailing '\r' characters
-    return F.regexp_replace(text, r"\r+\z", "")
+    return F.when(F.endswith(text, F.lit("\r")), F.regexp_replace(text, r"\r+\z", "")).otherwise(text)
+
+
+#: Bytes of small splits that one task reads, one split after the other.
+TASK_BYTES = 64 << 20
+
+
+def _fewer_tasks(raw: DataFrame) -> DataFrame:
+    """Many small splits shared out over fewer tasks; the splits themselves stay as they are.
+
+    A task that reads a few hundred KB costs more to start, and leaves a
+    smaller file behind, than it is worth.  Nothing changes when the splits
+    are large or there are no more of them than cores.
+    """
+    spark = raw.sparkSession
+    n_splits = raw.rdd.getNumPartitions()
+    size, unit = re.fullmatch(r"([0-9]+)\s*([kmgt]?)i?b?", spark.conf.get("spark.sql.files.maxPartitionBytes").lower()).groups()
+    split = int(size) << 10 * " kmgt".index(unit or " ")
+    n_tasks = max(-(-n_splits * split // TASK_BYTES), 4 * spark.sparkContext.defaultParallelism)
+    return raw.coalesce(n_tasks) if n_tasks < n_splits else raw
 
 
 def scan_lines(spark: SparkSession, paths, encoding: str = C.TEXT_ENCODING,
@@ -27,11 +48,11 @@ def scan_lines(spark: SparkSession, paths, encoding: str = C.TEXT_ENCODING,
     """``(path, line_no, line)`` for every physical line of every file."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     raw = spark.read.option("lineSep", "\n").text(paths)
-    scan = raw.select(
+    scan = _fewer_tasks(raw.select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("_tw_block"),
         decode_line(F.col("value"), encoding).alias("line"),
-    )
+    ))
     numbered = physical_line_numbers(scan, "path", "line_no")
     if strip_bom:
         numbered = numbered.withColumn(

@@ -102,3 +102,20 @@ def test_without_spanning_cells_nothing_is_cut_anew(spark, monkeypatch):
     monkeypatch.setattr(layouts, "join_records", lambda *a: (_ for _ in ()).throw(AssertionError("not needed")))
     rows, _ = parse_report(_lines(spark, 'p\nc\n"a;b";1;x\nq"q;2;y'), LAYOUT, ["k"])
     assert sorted(r.a for r in rows.collect()) == ["a;b", 'q"q']
+
+
+def test_small_splits_share_tasks(spark, tmp_path):
+    text = "".join(f'{i};"a\n{i}"\n' if i % 7 == 0 else f"{i};b\n" for i in range(4000))
+    (tmp_path / "one.txt").write_text(text)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256")
+    try:
+        df = scan_lines(spark, str(tmp_path), "UTF-8")
+        tables = {f.rsplit("/", 1)[0]: 0 for f in df.inputFiles()}
+        for f in df.inputFiles():
+            tables[f.rsplit("/", 1)[0]] += 1
+        got = [(r.line_no, r.line) for r in df.orderBy("line_no").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(text) // 256 > 100 and max(tables.values()) <= 4 * spark.sparkContext.defaultParallelism
+    assert got == [(i + 1, line) for i, line in enumerate(text.splitlines())]

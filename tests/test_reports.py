@@ -183,3 +183,37 @@ def test_quoted_cells_and_bad_numbers(spark):
     assert (v[1].status, v[1].unparsed_cells) == ("OK", 1)
     assert (v[2].rule, v[2].first_value) == ("value_invalid", "1.234,56")
     assert sorted((r.name, r.value) for r in got.collect()) == [("A; B", 1.5), ("C", None)]
+
+
+def test_plain_lines_pass_every_check(spark):
+    from tapeworks.operators import layouts
+    layout = LAYOUTS.get("BTBLoanBalance")
+    good = BTB[5].split(";")
+    odd = ["", "-", "0", "-0", "+1", "1,", ",5", "1,5", "1.5", "1,2,3", "99999999999999999999", "abc", "2,92%", "%", "1%%", " 1",
+           "30/02/2026", "29/02/2024", "29/02/2026", "31/04/2026", "31/12/9999", "1/1/2026", "01/01/0000", "00/01/2026",
+           '"a;b"', '"a""b"c', 'a"b', '"open', '""', "x" * 50, "TRUE", "\n"]
+    texts = [";".join([*good[:i], cell, *good[i + 1:]]) for i in range(len(good)) for cell in odd] + BTB[5:] + ["a", ";" * 20]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "line_no int, line string").withColumn("_unclosed", F.lit(False))
+    _, unparsed, checks = layouts._compiled(layout)
+    cut = layouts._with_cells(df, layout)
+    bad = F.lit(False)
+    for _, _, check, _ in checks:
+        bad = bad | F.coalesce(check, F.lit(False))
+    got = cut.select("line", layouts.plain_line(F.col("line"), layout).alias("plain"), bad.alias("bad"),
+                     layouts.opens(F.col("line"), ";").alias("opens"), (unparsed > 0).alias("unparsed")).collect()
+    assert not [r.line for r in got if r.plain and (r.bad or r.opens or r.unparsed)]
+    # the lines of an ordinary file need no cells to be cut
+    assert all(r.plain for r in got if r.line in BTB[5:]) and any(r.bad for r in got) and any(r.opens for r in got)
+
+
+def test_text_of_offences_is_cut_behind_the_join(spark):
+    from tapeworks.operators import layouts
+    layout = LAYOUTS.get("BTBLoanBalance")
+    body = layouts.data_lines(_lines(spark, [*BTB, BTB[5].replace("1500", "x")]).withColumn("_unclosed", F.lit(False)), layout, ["report_date"])
+    decided = layouts._decide_files(body, layout, ["report_date"])
+    checks = layouts._compiled(layout)[2]
+    text = layouts.offending_values(body, decided, ["report_date"], {rule: value for rule, _, _, value in checks},
+                                    line_col="line_no", cut=lambda hit: layouts._with_cells(hit, layout))
+    assert [r._value for r in text.collect()] == ["x"]
+    plan = text._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("split(") < plan.index("Join Inner")  # above the join, so on the joined lines only
