@@ -163,13 +163,15 @@ def parse_report(lines: DataFrame, layout: ReportLayout, keys: list[str]):
     anew; a batch without them costs nothing more.
     """
     body = data_lines(lines.withColumn("_unclosed", F.lit(False)), layout, keys)
-    decided = _decide_files(body, layout, keys)
+    marked = _marked(body, layout, keys)
+    decided = _decide_files(marked, layout, keys)
     spans = decided.where("_spans").select(*keys)
     if spans.isEmpty():
-        return _typed_rows(body, decided, layout, keys)
+        return _typed_rows(body, marked, decided, layout, keys)
     records = data_lines(join_records(lines.join(spans, keys, "left_semi"), keys, layout.sep, layout.skip_lines), layout, keys)
-    rows, verdicts = _typed_rows(body, decided.join(spans, keys, "left_anti"), layout, keys)
-    more, again = _typed_rows(records, _decide_files(records, layout, keys), layout, keys)
+    rows, verdicts = _typed_rows(body, marked, decided.join(spans, keys, "left_anti"), layout, keys)
+    marked = _marked(records, layout, keys)
+    more, again = _typed_rows(records, marked, _decide_files(marked, layout, keys), layout, keys)
     return rows.unionByName(more), verdicts.unionByName(again)
 
 
@@ -198,14 +200,26 @@ def _with_cells(body: DataFrame, layout: ReportLayout) -> DataFrame:
     return body.withColumn("_parts", split_cells(F.col("line"), layout.sep))
 
 
-def _decide_files(body: DataFrame, layout: ReportLayout, keys: list[str]) -> DataFrame:
+def _marked(body: DataFrame, layout: ReportLayout, keys: list[str]) -> DataFrame:
+    """Every data line, with its text (else null) only if it is not plain.
+
+    Materialised: the lines are read once, and both the counts and the text
+    of first offences come from here.
+    """
+    line = F.col("line")
+    return cut_lineage(body.select(*keys, "line_no", "_unclosed",
+                                   F.when(F.col("_unclosed") | ~plain_line(line, layout), line).alias("line")))
+
+
+def _decide_files(marked: DataFrame, layout: ReportLayout, keys: list[str]) -> DataFrame:
     """Counts, first offending lines and the deciding rule of each file; ``_spans`` if a cell goes on in the next line.
 
-    A plain line has no cells here (null), so every check of its cells passes.
+    A line without text is plain: it has no cells here (null), so every check
+    of its cells passes.
     """
     line = F.col("line")
     _, unparsed, checks = _compiled(layout)
-    x = body.withColumn("_parts", F.when(~plain_line(line, layout), split_cells(line, layout.sep)))
+    x = marked.withColumn("_parts", F.when(line.isNotNull(), split_cells(line, layout.sep)))
     per_file = offences(x, keys, [(rule, bad) for rule, _, bad, _ in checks],
                         [F.count(F.lit(1)).alias("data_rows"), F.sum(unparsed).alias("unparsed_cells"),
                          F.max(F.col("_parts").isNotNull() & opens(line, layout.sep)).alias("_spans")],
@@ -213,11 +227,11 @@ def _decide_files(body: DataFrame, layout: ReportLayout, keys: list[str]) -> Dat
     return cut_lineage(decide(per_file, [(rule, col) for rule, col, _, _ in checks]))
 
 
-def _typed_rows(body: DataFrame, decided: DataFrame, layout: ReportLayout, keys: list[str]):
+def _typed_rows(body: DataFrame, marked: DataFrame, decided: DataFrame, layout: ReportLayout, keys: list[str]):
     """Rows and verdicts of the decided files, whose lines are records."""
     typed, _, checks = _compiled(layout)
-    # the offending text is fetched by joining the lines on (file, first line)
-    vals = offending_values(body, decided, keys, {rule: value for rule, _, _, value in checks},
+    # the offending text is fetched by joining the lines on (file, first line); an offence is never plain
+    vals = offending_values(marked.where(F.col("line").isNotNull()), decided, keys, {rule: value for rule, _, _, value in checks},
                             line_col="line_no", cut=lambda hit: _with_cells(hit, layout))
     verdicts = cut_lineage(decided.join(vals, keys, "left").select(
         *keys,

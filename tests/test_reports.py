@@ -217,3 +217,24 @@ def test_text_of_offences_is_cut_behind_the_join(spark):
     assert [r._value for r in text.collect()] == ["x"]
     plan = text._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("split(") < plan.index("Join Inner")  # above the join, so on the joined lines only
+
+
+def test_verdicts_read_each_line_once(spark):
+    from tapeworks.operators import layouts
+    layout = LAYOUTS.get("BTBLoanBalance")
+    texts = [*BTB, BTB[5].replace("1500", "x"), BTB[6].replace("200", "+2"), BTB[5] + ";extra", '30/06/2026;"open']
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def look(text):
+        seen.add(1)
+        return text
+
+    lines = _lines(spark, texts[:-1]).withColumn("line", look.asNondeterministic()("line"))
+    v = parse_report(lines, layout, ["report_date"])[1].first()
+    assert (v.rule, v.first_line, v.first_value, v.data_rows) == ("too_many_fields", 10, "15", 5)
+    assert seen.value == len(texts) - 1
+    body = layouts.data_lines(_lines(spark, texts).withColumn("_unclosed", F.col("line_no") == 7), layout, ["report_date"])
+    text = {r.line_no: r.line for r in layouts._marked(body, layout, ["report_date"]).collect()}
+    # a sound line is marked without its text; one that is unclosed or needs a look keeps it
+    assert text == {6: None, 7: texts[6], 8: texts[7], 9: texts[8], 10: texts[9], 11: texts[10]}
